@@ -89,3 +89,214 @@ def q_a03(spark, sf):
 def q_a04(spark, sf):
     from loam.operators.relational import count_by
     return count_by(flights_weather(spark, sf), ["Year", "Month"], ordered=True)
+
+
+# ---------------------------------------------------------------- sources
+from loam.functions.geo import dlit, haversine_miles, haversine_sql, calculate_distance  # noqa: E402
+from loam.functions import scalar as fx  # noqa: E402
+from loam.operators import relational as rel  # noqa: E402
+from loam.sources import tables as tb  # noqa: E402
+
+PAYMENT_LEVELS = ["CSH", "CRD", "DIS", "NOC", "UNK"]
+DEMAND_KEYS = ["CustomerName", "ProductCategory", "Destination"]
+
+TRIP_QUERY = """SELECT tipped, tip_amount, fare_amount, passenger_count, trip_time_in_secs, trip_distance,
+       pickup_datetime, dropoff_datetime,
+       CAST(pickup_longitude AS DOUBLE) AS pickup_longitude,
+       CAST(pickup_latitude AS DOUBLE) AS pickup_latitude,
+       CAST(dropoff_longitude AS DOUBLE) AS dropoff_longitude,
+       CAST(dropoff_latitude AS DOUBLE) AS dropoff_latitude,
+       CAST(pickup_longitude AS DOUBLE) * 100 AS pickup_longitude2,
+       CAST(pickup_latitude AS DOUBLE) * 100 AS pickup_latitude2,
+       CAST(dropoff_longitude AS DOUBLE) * 100 AS dropoff_longitude2,
+       CAST(dropoff_latitude AS DOUBLE) * 100 AS dropoff_latitude2,
+       payment_type FROM {trips}"""
+
+
+@query("S05_sql_query_source", with_views(TRIP_QUERY.replace("{trips}", "trips"), "trips"))
+def q_s05(spark, sf):
+    return tb.sql_source(spark, TRIP_QUERY, trips=view(spark, sf, "trips"))
+
+
+@query("S06_typed_table_source", with_views(
+    "SELECT o_orderkey, CAST(passenger_count AS DOUBLE) AS passenger_count, "
+    "CAST(trip_distance AS DOUBLE) AS trip_distance, "
+    "CAST(trip_time_in_secs AS DOUBLE) AS trip_time_in_secs, tipped FROM trips", "trips"))
+def q_s06(spark, sf):
+    t = view(spark, sf, "trips").select("o_orderkey", "passenger_count", "trip_distance",
+                                        "trip_time_in_secs", "tipped")
+    return tb.typed_columns(t, {"passenger_count": "double", "trip_distance": "double",
+                                "trip_time_in_secs": "double"})
+
+
+_S16_COLS = [("passenger_count", "int", True), ("trip_distance", "double", True),
+             ("fare_amount", "double", True), ("tip_amount", "double", True),
+             ("medallion", "bigint", True), ("payment_type", "string", False)]
+
+
+@query("S16_source_inspection", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS name, '{t}' AS type, "
+    + (f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, " if num
+       else "CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high, ")
+    + f"count({c}) AS valid_n, count(*) - count({c}) AS missing_n FROM trips"
+    for c, t, num in _S16_COLS), "trips"))
+def q_s16(spark, sf):
+    return tb.inspect(view(spark, sf, "trips"), [c for c, _, _ in _S16_COLS])
+
+
+@query("S17_factor_level_record", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, string_agg(DISTINCT {c}, '|' ORDER BY {c}) AS levels, "
+    f"count(DISTINCT {c}) AS n_levels FROM demand" for c in DEMAND_KEYS), "demand"))
+def q_s17(spark, sf):
+    lv = tb.level_record(view(spark, sf, "demand"), DEMAND_KEYS)
+    return lv.select("column", F.array_join("levels", "|").alias("levels"),
+                     F.col("n_levels").cast("bigint").alias("n_levels"))
+
+
+# ---------------------------------------------------------------- projections
+@query("P01_rename_columns", with_views(
+    "SELECT AdjustedYear AS Year, AdjustedMonth AS Month, AdjustedDay AS DayOfMonth, "
+    "AdjustedHour AS CRSDepTime, AirportID AS OriginAirportID, Visibility, DryBulbCelsius, "
+    "DewPointCelsius, RelativeHumidity, WindSpeed, Altimeter FROM weather", "weather"))
+def q_p01(spark, sf):
+    return rel.rename(view(spark, sf, "weather"), fw.WEATHER_RENAME)
+
+
+@query("P02_select_columns", with_views("SELECT " + ", ".join(fw.FLIGHT_COLUMNS) + " FROM flights",
+                                        "flights"))
+def q_p02(spark, sf):
+    return rel.select_columns(view(spark, sf, "flights"), fw.FLIGHT_COLUMNS)
+
+
+@query("P03_floor_to_hour", with_views(
+    "SELECT event_id, CAST(floor(CRSDepTime / 100) AS BIGINT) AS CRSDepTime, CRSArrTime FROM flights",
+    "flights"))
+def q_p03(spark, sf):
+    return rel.floor_to_hour(view(spark, sf, "flights").select("event_id", "CRSDepTime", "CRSArrTime"),
+                             "CRSDepTime")
+
+
+@query("P04_filter_conjunction", with_views(
+    "SELECT * FROM flights WHERE Year < 2025 AND DayOfMonth <= 7 AND Carrier = 'C1'", "flights"))
+def q_p04(spark, sf):
+    f = view(spark, sf, "flights")
+    return f.where((F.col("Year") < 2025) & (F.col("DayOfMonth") <= 7) & (F.col("Carrier") == "C1"))
+
+
+@query("P05_cast_and_scale", with_views(
+    "SELECT o_orderkey, hack_license, passenger_count, CAST(pickup_longitude AS DOUBLE) * 100 AS pickup_longitude2, "
+    "CAST(pickup_latitude AS DOUBLE) * 100 AS pickup_latitude2 FROM trips", "trips"))
+def q_p05(spark, sf):
+    t = view(spark, sf, "trips")
+    return t.select("o_orderkey", "hack_license", "passenger_count",
+                    fx.cast_scale("pickup_longitude", 100).alias("pickup_longitude2"),
+                    fx.cast_scale("pickup_latitude", 100).alias("pickup_latitude2"))
+
+
+_KEEP = ["tipped", "fare_amount", "passenger_count", "trip_time_in_secs", "trip_distance",
+         "pickup_datetime", "dropoff_datetime", "pickup_longitude", "pickup_latitude",
+         "dropoff_longitude", "dropoff_latitude"]
+_HAV = haversine_sql("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+
+
+@query("P06_data_step_keep_and_compute", with_views(
+    "SELECT " + ", ".join(_KEEP) + f", {_HAV} AS direct_distance FROM trips", "trips"))
+def q_p06(spark, sf):
+    return rel.data_step(view(spark, sf, "trips"), _KEEP, {"direct_distance": haversine_miles(
+        "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")})
+
+
+@query("P07_row_selection_in_step", with_views(
+    "SELECT " + ", ".join(_KEEP) + f", {_HAV} AS direct_distance FROM trips WHERE tipped = 1 AND passenger_count <= 6",
+    "trips"))
+def q_p07(spark, sf):
+    return rel.data_step(view(spark, sf, "trips"), _KEEP, {"direct_distance": haversine_miles(
+        "pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")},
+        row_selection=(F.col("tipped") == 1) & (F.col("passenger_count") <= 6))
+
+
+@query("P08_parse_date_drop_missing", with_views(
+    "SELECT CustomerName, ProductCategory, Destination, CAST(CAST(Date AS VARCHAR) AS DATE) AS Date, Quantity "
+    "FROM demand WHERE CustomerName IS NOT NULL AND ProductCategory IS NOT NULL AND Destination IS NOT NULL "
+    "AND Date IS NOT NULL AND Quantity IS NOT NULL", "demand"))
+def q_p08(spark, sf):
+    d = view(spark, sf, "demand").withColumn("Date", F.col("Date").cast("string"))
+    return rel.parse_date_drop_missing(d, "Date", "yyyy-MM-dd")
+
+
+@query("P09_drop_column", with_views("SELECT * EXCLUDE (ArrDel15) FROM flights", "flights"))
+def q_p09(spark, sf):
+    return rel.drop_columns(view(spark, sf, "flights"), "ArrDel15")
+
+
+@query("P11_factor_fixed_levels", with_views(
+    "SELECT o_orderkey, hack_license, passenger_count, payment_type AS payment_raw, "
+    "CASE WHEN payment_type IN ('CSH','CRD','DIS','NOC','UNK') THEN payment_type END AS payment_type, "
+    "CAST(CASE payment_type WHEN 'CSH' THEN 0 WHEN 'CRD' THEN 1 WHEN 'DIS' THEN 2 WHEN 'NOC' THEN 3 "
+    "WHEN 'UNK' THEN 4 END AS INT) AS payment_index FROM trips", "trips"))
+def q_p11(spark, sf):
+    t = view(spark, sf, "trips")
+    return t.select("o_orderkey", "hack_license", "passenger_count",
+                    F.col("payment_type").alias("payment_raw"),
+                    fx.factor_value("payment_type", PAYMENT_LEVELS).alias("payment_type"),
+                    fx.factor_index("payment_type", PAYMENT_LEVELS).alias("payment_index"))
+
+
+@query("P13_drop_constant_columns", with_views(
+    "SELECT ProductCategory, Destination, Date, Quantity FROM demand WHERE CustomerName = 'BUILDING'",
+    "demand"))
+def q_p13(spark, sf):
+    d = view(spark, sf, "demand").where(F.col("CustomerName") == "BUILDING")
+    return rel.drop_constant_columns(d, DEMAND_KEYS)
+
+
+@query("P14_fill_missing_zero", with_views(
+    "SELECT CustomerName, ProductCategory, Destination, Date, coalesce(Quantity, 0.0) AS Quantity FROM demand",
+    "demand"))
+def q_p14(spark, sf):
+    return rel.fill_missing(view(spark, sf, "demand"), 0.0, ["Quantity"])
+
+
+@query("P15_clamp_negatives", with_views(
+    "SELECT AirportID, AdjustedDay, AdjustedHour, CASE WHEN DryBulbCelsius < 0 THEN 0.0 ELSE DryBulbCelsius END "
+    "AS DryBulbCelsius, CASE WHEN DewPointCelsius < 0 THEN 0.0 ELSE DewPointCelsius END AS DewPointCelsius "
+    "FROM weather", "weather"))
+def q_p15(spark, sf):
+    w = view(spark, sf, "weather").select("AirportID", "AdjustedDay", "AdjustedHour", "DryBulbCelsius",
+                                          "DewPointCelsius")
+    return rel.clamp_negatives(w, ["DryBulbCelsius", "DewPointCelsius"])
+
+
+@query("P16_threshold_label", with_views(
+    "SELECT doc_id, fname, TRY_CAST(regexp_extract(fname, '_(\\d+)\\.txt$', 1) AS INT) AS rating, "
+    "TRY_CAST(regexp_extract(fname, '_(\\d+)\\.txt$', 1) AS INT) > 5 AS sentiment FROM reviews", "reviews"))
+def q_p16(spark, sf):
+    r = view(spark, sf, "reviews")
+    return r.select("doc_id", "fname", fx.rating_from_name("fname").alias("rating"),
+                    fx.threshold_label(fx.rating_from_name("fname"), 5).alias("sentiment"))
+
+
+NAME_PATTERNS = ["sas", "i", "ii", "f", "ff"]
+
+
+@query("P17_case_insensitive_regex", with_views(
+    "SELECT doc_id, name, category, " + ", ".join(
+        f"regexp_matches(name, '{p}', 'i') AS has_{p}" for p in NAME_PATTERNS) + " FROM names", "names"))
+def q_p17(spark, sf):
+    n = view(spark, sf, "names")
+    return n.select("doc_id", "name", "category",
+                    *[fx.regex_flag("name", p).alias(f"has_{p}") for p in NAME_PATTERNS])
+
+
+@query("P18_null_predicate", _fw_sql(
+    "SELECT " + ", ".join(fw.FLIGHT_COLUMNS) + " FROM fw WHERE VisibilityOrigin IS NULL AND ArrDel15 IS NOT NULL"))
+def q_p18(spark, sf):
+    f = flights_weather(spark, sf)
+    return f.where(F.col("VisibilityOrigin").isNull() & F.col("ArrDel15").isNotNull()).select(*fw.FLIGHT_COLUMNS)
+
+
+@query("P19_date_range", with_views(
+    "SELECT * FROM demand WHERE Date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'", "demand"))
+def q_p19(spark, sf):
+    return rel.date_range(view(spark, sf, "demand"), "Date", F.lit("1996-01-01").cast("date"),
+                          F.lit("1996-12-31").cast("date"))
