@@ -112,3 +112,12 @@ def with_views(sql: str, *names: str) -> str:
     """Prefix an oracle query with the views it uses as CTEs."""
     ctes = ",\n".join(f"{n} AS ({duckdb_view_sql(n).strip()})" for n in names)
     return f"WITH {ctes}\n{sql}"
+
+
+def with_ctes(names, ctes: str, select: str) -> str:
+    """Views ``names`` plus further CTE definitions ``ctes`` (``a AS (...),
+    b AS (...)``), then the final ``select``."""
+    parts = [f"{n} AS ({duckdb_view_sql(n).strip()})" for n in names]
+    if ctes.strip():
+        parts.append(ctes.strip().rstrip(","))
+    return "WITH " + ",\n".join(parts) + "\n" + select

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.plans import flights as fw
-from loam.sources.views import view, views, with_views
+from loam.sources.views import view, views, with_ctes, with_views
 from loam.suite import query, r6, s6
 
 MEASURES = fw.WEATHER_MEASURES
@@ -300,3 +300,105 @@ def q_p18(spark, sf):
 def q_p19(spark, sf):
     return rel.date_range(view(spark, sf, "demand"), "Date", F.lit("1996-01-01").cast("date"),
                           F.lit("1996-12-31").cast("date"))
+
+
+# ---------------------------------------------------------------- joins
+from loam.operators import sampling as smp  # noqa: E402
+
+HOLDOUT_KEYS = ["medallion", "hack_license", "pickup_datetime"]
+
+
+@query("J03_anti_join_holdout", with_views(
+    f"SELECT t.* FROM trips t WHERE NOT EXISTS (SELECT 1 FROM (SELECT * FROM trips WHERE "
+    f"{smp.hash_sql(HOLDOUT_KEYS, 98052)} % 10000 < 500) s WHERE s.medallion = t.medallion "
+    f"AND s.hack_license = t.hack_license AND s.pickup_datetime = t.pickup_datetime)", "trips"))
+def q_j03(spark, sf):
+    t = view(spark, sf, "trips")
+    sample = smp.repeatable_sample(t, HOLDOUT_KEYS, 5, 98052)
+    return rel.anti_join(t, sample, HOLDOUT_KEYS)
+
+
+_MONTHLY = ("m AS (SELECT CustomerName, ProductCategory, Destination, CAST(date_trunc('month', Date) AS DATE) "
+            "AS Date, sum(Quantity) AS Quantity FROM demand GROUP BY ALL)")
+
+
+def _monthly(spark, sf):
+    return rel.monthly_sum(view(spark, sf, "demand"), "Date", DEMAND_KEYS, "Quantity")
+
+
+@query("J04_full_join_fill_zero", with_ctes(["demand"], _MONTHLY, """SELECT coalesce(a.CustomerName, f.CustomerName) AS CustomerName,
+       coalesce(a.ProductCategory, f.ProductCategory) AS ProductCategory,
+       coalesce(a.Destination, f.Destination) AS Destination,
+       """ + s6("coalesce(a.Quantity, 0.0)") + " AS actual1, " + s6("coalesce(f.Quantity, 0.0)") + """ AS fcast1
+FROM (SELECT * FROM m WHERE Date = DATE '1998-07-01') a
+FULL JOIN (SELECT * FROM m WHERE Date = DATE '1998-06-01') f
+  ON a.CustomerName = f.CustomerName AND a.ProductCategory = f.ProductCategory AND a.Destination = f.Destination"""))
+def q_j04(spark, sf):
+    m = _monthly(spark, sf)
+    act = m.where(F.col("Date") == F.lit("1998-07-01").cast("date")).select(*DEMAND_KEYS, F.col("Quantity").alias("actual1"))
+    fc = m.where(F.col("Date") == F.lit("1998-06-01").cast("date")).select(*DEMAND_KEYS, F.col("Quantity").alias("fcast1"))
+    return r6(rel.full_join_fill(act, fc, DEMAND_KEYS, 0.0), "actual1", "fcast1")
+
+
+@query("J05_calendar_panel_fill", with_ctes(["demand"], _MONTHLY + """,
+k AS (SELECT DISTINCT CustomerName, ProductCategory, Destination FROM m),
+cal AS (SELECT CAST(unnest(generate_series((SELECT min(Date) FROM m), (SELECT max(Date) FROM m), INTERVAL 1 MONTH)) AS DATE) AS Date)""", """SELECT k.CustomerName, k.ProductCategory, k.Destination, cal.Date, """ + s6("coalesce(m.Quantity, 0.0)") + """ AS Quantity
+FROM k CROSS JOIN cal LEFT JOIN m ON k.CustomerName IS NOT DISTINCT FROM m.CustomerName
+  AND k.ProductCategory IS NOT DISTINCT FROM m.ProductCategory
+  AND k.Destination IS NOT DISTINCT FROM m.Destination AND cal.Date = m.Date"""))
+def q_j05(spark, sf):
+    return r6(rel.calendar_panel(_monthly(spark, sf), DEMAND_KEYS, "Date", "Quantity"), "Quantity")
+
+
+@query("J06_expand_level_grid", with_ctes(["demand"], """
+a AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT CustomerName AS v FROM demand WHERE CustomerName IS NOT NULL)),
+b AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT ProductCategory AS v FROM demand WHERE ProductCategory IS NOT NULL)),
+c AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i FROM (SELECT DISTINCT Destination AS v FROM demand WHERE Destination IS NOT NULL))""",
+    """SELECT CAST(a.i + (SELECT count(*) FROM a) * (b.i + (SELECT count(*) FROM b) * c.i) + 1 AS INT) AS grid_id,
+       a.v AS CustomerName, b.v AS ProductCategory, c.v AS Destination FROM a, b, c"""))
+def q_j06(spark, sf):
+    return rel.level_grid(view(spark, sf, "demand"), DEMAND_KEYS)
+
+
+@query("J07_broadcast_level_table", with_views(
+    "SELECT t.o_orderkey, t.hack_license, t.passenger_count, t.payment_type, l.payment_index FROM trips t "
+    "LEFT JOIN (VALUES ('CSH', 0), ('CRD', 1), ('DIS', 2), ('NOC', 3), ('UNK', 4)) l(payment_type, payment_index) "
+    "ON t.payment_type = l.payment_type", "trips"))
+def q_j07(spark, sf):
+    t = view(spark, sf, "trips").select("o_orderkey", "hack_license", "passenger_count", "payment_type")
+    lv = spark.createDataFrame([(v, i) for i, v in enumerate(PAYMENT_LEVELS)],
+                               "payment_type string, payment_index int")
+    return t.join(rel.broadcast_fixed(lv, 10_000, len(PAYMENT_LEVELS)), on="payment_type", how="left")
+
+
+# ---------------------------------------------------------------- aggregations
+@query("A05_monthly_sum_per_keys", with_ctes(["demand"], _MONTHLY,
+       "SELECT CustomerName, ProductCategory, Destination, Date, " + s6("Quantity") + " AS Quantity FROM m"))
+def q_a05(spark, sf):
+    return r6(_monthly(spark, sf), "Quantity")
+
+
+_BIN_P = "CASE WHEN floor(passenger_count) BETWEEN 1 AND 6 THEN CAST(floor(passenger_count) AS INT) END"
+_BIN_D = "CASE WHEN floor(trip_distance) BETWEEN 0 AND 25 THEN CAST(floor(trip_distance) AS INT) END"
+
+
+@query("A06_summary_by_binned_factor", with_views(
+    "SELECT CASE WHEN GROUPING(b) = 1 THEN 'all' ELSE CAST(b AS VARCHAR) END AS level, "
+    f"{s6('avg(fare_amount)')} AS mean, {s6('stddev_samp(fare_amount)')} AS sd, min(fare_amount) AS min, "
+    "max(fare_amount) AS max, count(fare_amount) AS valid_n, count(*) - count(fare_amount) AS missing_n "
+    f"FROM (SELECT {_BIN_P} AS b, fare_amount FROM trips) GROUP BY GROUPING SETS ((), (b)) "
+    "HAVING GROUPING(b) = 1 OR b IS NOT NULL", "trips"))
+def q_a06(spark, sf):
+    return r6(rel.summary_stats(view(spark, sf, "trips"), "fare_amount", "passenger_count", 1, 6), "mean", "sd")
+
+
+@query("A07_cube_two_binned_factors", with_ctes(["trips"], f"""
+g AS (SELECT p AS passenger_count, d AS trip_distance FROM range(1, 7) r1(p), range(0, 26) r2(d)),
+c AS (SELECT {_BIN_P} AS passenger_count, {_BIN_D} AS trip_distance, avg(tip_amount) AS tip_amount,
+             count(*) AS Counts FROM trips WHERE {_BIN_P} IS NOT NULL AND {_BIN_D} IS NOT NULL GROUP BY 1, 2)""",
+    f"""SELECT CAST(g.passenger_count AS INT) AS passenger_count, CAST(g.trip_distance AS INT) AS trip_distance,
+       {s6('c.tip_amount')} AS tip_amount, coalesce(c.Counts, 0) AS Counts
+FROM g LEFT JOIN c ON g.passenger_count = c.passenger_count AND g.trip_distance = c.trip_distance"""))
+def q_a07(spark, sf):
+    out = rel.cube_cells(view(spark, sf, "trips"), "tip_amount", ("passenger_count", 1, 6), ("trip_distance", 0, 25))
+    return r6(out, "tip_amount")
