@@ -402,3 +402,253 @@ FROM g LEFT JOIN c ON g.passenger_count = c.passenger_count AND g.trip_distance
 def q_a07(spark, sf):
     out = rel.cube_cells(view(spark, sf, "trips"), "tip_amount", ("passenger_count", 1, 6), ("trip_distance", 0, 25))
     return r6(out, "tip_amount")
+
+
+@query("A08_histogram_by_panel", with_ctes(["trips"], """
+b AS (SELECT CAST(min(tip_amount) AS DOUBLE) AS lo, CAST(max(tip_amount) AS DOUBLE) AS hi FROM trips),
+x AS (SELECT payment_type, CAST(CASE WHEN v = hi THEN 20 WHEN v > hi THEN 21 WHEN v < lo THEN 0
+             ELSE floor((v - lo) * 20 / (hi - lo)) + 1 END AS INT) AS bin, lo, hi
+      FROM (SELECT payment_type, CAST(tip_amount AS DOUBLE) AS v FROM trips WHERE tip_amount IS NOT NULL), b)""",
+    f"""SELECT payment_type, bin, count(*) AS n, {s6('any_value(lo) + (bin - 1) * ((any_value(hi) - any_value(lo)) / 20)')} AS bin_low,
+       {s6('any_value(lo) + bin * ((any_value(hi) - any_value(lo)) / 20)')} AS bin_high FROM x GROUP BY payment_type, bin"""))
+def q_a08(spark, sf):
+    return r6(rel.histogram(view(spark, sf, "trips"), "tip_amount", 20, by="payment_type"), "bin_low", "bin_high")
+
+
+@query("A09_crosstab_counts", with_views(
+    "SELECT PredictedLabel, category, count(*) AS n FROM scored GROUP BY PredictedLabel, category", "scored"))
+def q_a09(spark, sf):
+    return rel.crosstab_long(view(spark, sf, "scored"), "PredictedLabel", "category")
+
+
+@query("A10_crosstab_with_predicates", with_views(
+    "SELECT category, " + ", ".join(f"count_if(regexp_matches(name, '{p}', 'i')) AS n_{p}" for p in NAME_PATTERNS)
+    + " FROM names GROUP BY category", "names"))
+def q_a10(spark, sf):
+    return rel.crosstab_predicates(view(spark, sf, "names"), "category",
+                                   {f"n_{p}": fx.regex_flag("name", p) for p in NAME_PATTERNS})
+
+
+PROBS = [i / 100 for i in range(101)]
+_PLIST = "[" + ", ".join(dlit(p) for p in PROBS) + "]"
+
+
+@query("A11_exact_percentiles", with_views(
+    f"SELECT unnest({_PLIST}) AS prob, {s6('unnest(quantile_cont(Probability, ' + _PLIST + '))')} AS value "
+    "FROM scored", "scored"))
+def q_a11(spark, sf):
+    from loam.operators.ranking import exact_quantiles
+    return r6(exact_quantiles(view(spark, sf, "scored"), "Probability", PROBS), "value")
+
+
+@query("A12_distinct_count_per_column", with_views(" UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(DISTINCT {c}) AS n_distinct FROM demand"
+    for c in DEMAND_KEYS + ["Date", "Quantity"]), "demand"))
+def q_a12(spark, sf):
+    return rel.distinct_counts(view(spark, sf, "demand"), DEMAND_KEYS + ["Date", "Quantity"])
+
+
+@query("A15_mean_of_fold_means", with_views(
+    f"SELECT category, {s6('avg(m)')} AS score FROM (SELECT category, {smp.hash_sql('event_id', 7)} % 3 + 1 AS fold, "
+    "avg(Probability) AS m FROM scored GROUP BY 1, 2) GROUP BY category", "scored"))
+def q_a15(spark, sf):
+    s = smp.disjoint_parts(view(spark, sf, "scored"), "event_id", 3, 7, col="fold")
+    return r6(rel.mean_of_means(s, ["category", "fold"], ["category"], "Probability"), "score")
+
+
+@query("A16_arg_min_first_on_ties", with_views(
+    "SELECT event_id, category, Probability, is_real, PredictedLabel FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY category ORDER BY Probability, event_id) AS rn FROM scored WHERE Probability IS NOT NULL) "
+    "WHERE rn = 1", "scored"))
+def q_a16(spark, sf):
+    return rel.arg_min(view(spark, sf, "scored"), ["category"], "Probability", "event_id")
+
+
+@query("A16_arg_max_keep_ties", with_views(
+    "SELECT s.* FROM scored s JOIN (SELECT category, max(is_real * 100 + floor(Probability * 10)) AS m FROM scored "
+    "GROUP BY category) x ON s.category = x.category AND s.is_real * 100 + floor(s.Probability * 10) = x.m", "scored"))
+def q_a16b(spark, sf):
+    s = view(spark, sf, "scored").withColumn("score", F.col("is_real") * 100 + F.floor(F.col("Probability") * 10))
+    return rel.arg_max_all(s, ["category"], "score").drop("score")
+
+
+@query("A17_grouping_sets_hierarchy", with_ctes(["demand"], _MONTHLY,
+    "SELECT Date, CustomerName, ProductCategory, Destination, " + s6("sum(Quantity)") + " AS Quantity, "
+    "CAST(GROUPING(CustomerName) * 4 + GROUPING(ProductCategory) * 2 + GROUPING(Destination) AS INT) AS gid "
+    "FROM m GROUP BY GROUPING SETS ((Date), (Date, CustomerName), (Date, ProductCategory), (Date, Destination), "
+    "(Date, CustomerName, ProductCategory, Destination))"))
+def q_a17(spark, sf):
+    return r6(rel.grouping_set_sums(_monthly(spark, sf), "Date", DEMAND_KEYS, "Quantity"), "Quantity")
+
+
+@query("A18_distinct_rows_keep_lowest_id", with_views(
+    "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY Carrier, OriginAirportID "
+    "ORDER BY event_id) AS rn FROM flights) WHERE rn = 1", "flights"))
+def q_a18(spark, sf):
+    return rel.distinct_rows(view(spark, sf, "flights"), ["Carrier", "OriginAirportID"], keep_lowest="event_id")
+
+
+# ---------------------------------------------------------------- sorts
+@query("O01_sort", with_ctes(["demand"], _MONTHLY,
+       "SELECT Date, CustomerName, ProductCategory, Destination, " + s6("Quantity") + " AS Quantity FROM m "
+       "ORDER BY Date, CustomerName, ProductCategory, Destination"))
+def q_o01(spark, sf):
+    return r6(rel.sort(_monthly(spark, sf), "Date", *DEMAND_KEYS), "Quantity")
+
+
+@query("O02_top_n", with_views(
+    "SELECT * FROM scored ORDER BY Probability DESC, event_id LIMIT 3", "scored"))
+def q_o02(spark, sf):
+    return rel.top_n(view(spark, sf, "scored"), 3, [F.col("Probability").desc(), F.col("event_id")])
+
+
+@query("O03_category_extremes", with_ctes(["scored"], """
+c AS (SELECT *, CASE WHEN Probability > 0 THEN log10(Probability) END AS log10Probability FROM scored
+      WHERE category = 'purchase')""",
+    "SELECT * FROM c WHERE log10Probability > (SELECT quantile_cont(log10Probability, 0.99e0) FROM c) "
+    "ORDER BY Probability DESC"))
+def q_o03(spark, sf):
+    return rel.category_extremes(view(spark, sf, "scored"), "category", "purchase", "Probability", 0.01, upper=True)
+
+
+@query("O03_category_extremes_lower", with_ctes(["scored"], """
+c AS (SELECT *, CASE WHEN Probability > 0 THEN log10(Probability) END AS log10Probability FROM scored
+      WHERE category = 'view')""",
+    "SELECT * FROM c WHERE log10Probability < (SELECT quantile_cont(log10Probability, 0.01e0) FROM c) "
+    "ORDER BY Probability DESC"))
+def q_o03b(spark, sf):
+    return rel.category_extremes(view(spark, sf, "scored"), "category", "view", "Probability", 0.01, upper=False)
+
+
+# ---------------------------------------------------------------- reshape
+@query("R01_union_by_name", with_views(
+    "SELECT event_id, Probability FROM scored WHERE category = 'view' UNION ALL BY NAME "
+    "SELECT event_id, is_real FROM scored WHERE category = 'click'", "scored"))
+def q_r01(spark, sf):
+    s = view(spark, sf, "scored")
+    return rel.union_by_name([s.where(F.col("category") == "view").select("event_id", "Probability"),
+                              s.where(F.col("category") == "click").select("event_id", "is_real")])
+
+
+@query("R02_wide_to_long", with_views("", "weather").rstrip() + ",\n" + _W_SUMMARY + "\n" + " UNION ALL ".join(
+    f"SELECT Year, Month, DayOfMonth, CRSDepTime, OriginAirportID, '{m}' AS measure, {s6(m)} AS value FROM ws"
+    for m in MEASURES))
+def q_r02(spark, sf):
+    w = fw.weather_summary(view(spark, sf, "weather"))
+    return r6(rel.wide_to_long(w, fw.WEATHER_KEYS, MEASURES, "measure", "value"), "value")
+
+
+@query("R03_long_to_wide_fill", with_ctes(["demand"], _MONTHLY,
+    "SELECT Destination, Date, " + ", ".join(
+        f"{s6(f'coalesce(sum(CASE WHEN ProductCategory = {chr(39)}{v}{chr(39)} THEN Quantity END), 0.0)')} AS {v}"
+        for v in "FOP") + " FROM m GROUP BY Destination, Date"))
+def q_r03(spark, sf):
+    out = rel.long_to_wide(_monthly(spark, sf), ["Destination", "Date"], "ProductCategory", ["F", "O", "P"], "Quantity")
+    return r6(out, "F", "O", "P")
+
+
+@query("R04_unite_and_separate", with_views(
+    "SELECT DISTINCT CustomerName, ProductCategory, Destination, "
+    "concat_ws('_', CustomerName, ProductCategory, Destination) AS unique_group, "
+    "split_part(concat_ws('_', CustomerName, ProductCategory, Destination), '_', 1) AS k1, "
+    "split_part(concat_ws('_', CustomerName, ProductCategory, Destination), '_', 2) AS k2, "
+    "split_part(concat_ws('_', CustomerName, ProductCategory, Destination), '_', 3) AS k3 FROM demand", "demand"))
+def q_r04(spark, sf):
+    d = view(spark, sf, "demand").select(*DEMAND_KEYS).distinct()
+    return rel.separate(rel.unite(d, DEMAND_KEYS, "unique_group"), "unique_group", ["k1", "k2", "k3"])
+
+
+@query("R05_transpose", with_ctes(["demand"], """
+s AS (SELECT ProductCategory, CAST(count(*) AS DOUBLE) AS n_orders, sum(Quantity) AS total_quantity,
+      avg(Quantity) AS mean_quantity FROM demand GROUP BY ProductCategory)""",
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS column, " + ", ".join(
+            f"{s6(f'max(CASE WHEN ProductCategory = {chr(39)}{v}{chr(39)} THEN {m} END)')} AS {v}" for v in "FOP")
+        + " FROM s" for m in ["n_orders", "total_quantity", "mean_quantity"])))
+def q_r05(spark, sf):
+    d = view(spark, sf, "demand")
+    s = d.groupBy("ProductCategory").agg(F.count(F.lit(1)).cast("double").alias("n_orders"),
+                                         F.sum("Quantity").alias("total_quantity"),
+                                         F.avg("Quantity").alias("mean_quantity"))
+    out = rel.transpose(s, "ProductCategory", ["n_orders", "total_quantity", "mean_quantity"], ["F", "O", "P"])
+    return r6(out, "F", "O", "P")
+
+
+@query("R06_row_complement", "SELECT d.doc_id, d.lang, d.n_chars FROM documents d WHERE NOT EXISTS "
+       "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
+def q_r06(spark, sf):
+    from loam.session import read_table
+    docs = read_table(spark, sf, "documents").select("doc_id", "lang", "n_chars")
+    return rel.anti_join(docs, read_table(spark, sf, "labels"), ["doc_id"])
+
+
+# ---------------------------------------------------------------- scalar functions
+@query("F02_F04_math_functions", with_views(
+    f"SELECT event_id, sin(Probability) AS s, cos(Probability) AS c, atan2(Probability, 1e0) AS a, "
+    f"sqrt(Probability) AS r, pow(Probability, 2) AS p2, pi() * Probability AS pp, "
+    f"{s6('CASE WHEN Probability > 0 THEN log10(Probability) END')} AS lg, {s6('exp(Probability)')} AS ex, "
+    f"{s6('ln(Probability)')} AS lnp FROM scored", "scored"))
+def q_f02(spark, sf):
+    s = view(spark, sf, "scored")
+    p = F.col("Probability")
+    out = s.select("event_id", F.sin(p).alias("s"), F.cos(p).alias("c"), F.atan2(p, F.lit(1.0)).alias("a"),
+                   F.sqrt(p).alias("r"), F.pow(p, 2).alias("p2"), (F.pi() * p).alias("pp"),
+                   fx.log10_or_null(p).alias("lg"), F.exp(p).alias("ex"), F.ln(p).alias("lnp"))
+    return r6(out, "lg", "ex", "lnp")
+
+
+@query("F05_F06_U04_distance", with_views(
+    f"SELECT o_orderkey, hack_license, passenger_count, {s6(_HAV)} AS d_long_first, {s6(_HAV)} AS d_lat_first, "
+    f"{s6(_HAV)} AS d_sql FROM trips", "trips"))
+def q_f05(spark, sf):
+    from loam.functions.geo import register_distance_function
+    register_distance_function(spark)
+    t = view(spark, sf, "trips")
+    out = t.select("o_orderkey", "hack_license", "passenger_count",
+                   haversine_miles("pickup_longitude", "pickup_latitude", "dropoff_longitude",
+                                   "dropoff_latitude").alias("d_long_first"),
+                   calculate_distance("pickup_latitude", "pickup_longitude", "dropoff_latitude",
+                                      "dropoff_longitude").alias("d_lat_first"),
+                   F.expr("fnCalculateDistance(pickup_latitude, pickup_longitude, dropoff_latitude, "
+                          "dropoff_longitude)").alias("d_sql"))
+    return r6(out, "d_long_first", "d_lat_first", "d_sql")
+
+
+@query("F07_date_parts", with_views(
+    "SELECT DISTINCT Date, CAST(year(Date) AS INT) AS y, CAST(month(Date) AS INT) AS mo, "
+    "CAST(date_trunc('month', Date) AS DATE) AS month_start FROM demand", "demand"))
+def q_f07(spark, sf):
+    d = view(spark, sf, "demand")
+    return d.select("Date", F.year("Date").alias("y"), F.month("Date").alias("mo"),
+                    F.trunc("Date", "MM").alias("month_start")).distinct()
+
+
+@query("F08_F09_string_functions", with_views(
+    "SELECT doc_id, split_part(fname, '/', 2) AS split_set, split_part(fname, '/', 3) AS split_label, "
+    "regexp_extract(fname, '_(\\d+)\\.txt$', 1) AS rating_text, "
+    "regexp_replace(fname, '^src/(train|test)/.*$', '\\1') AS set_name, "
+    "concat('f', CAST(doc_id AS VARCHAR), '_', split_part(fname, '/', 3)) AS pasted, "
+    "printf('%s-%05d', split_part(fname, '/', 3), doc_id) AS formatted FROM reviews", "reviews"))
+def q_f08(spark, sf):
+    r = view(spark, sf, "reviews")
+    parts = F.split("fname", "/")
+    return r.select("doc_id", parts.getItem(1).alias("split_set"), parts.getItem(2).alias("split_label"),
+                    F.regexp_extract("fname", r"_(\d+)\.txt$", 1).alias("rating_text"),
+                    F.regexp_replace("fname", r"^src/(train|test)/.*$", "$1").alias("set_name"),
+                    F.concat(F.lit("f"), F.col("doc_id").cast("string"), F.lit("_"), parts.getItem(2)).alias("pasted"),
+                    F.format_string("%s-%05d", parts.getItem(2), F.col("doc_id")).alias("formatted"))
+
+
+@query("F13_power_set_cube", with_ctes(["demand"], _MONTHLY,
+    "SELECT CustomerName, ProductCategory, Destination, " + s6("sum(Quantity)") + " AS Quantity, "
+    "CAST(GROUPING(CustomerName) * 4 + GROUPING(ProductCategory) * 2 + GROUPING(Destination) AS INT) AS gid, "
+    "count(*) AS n_cells FROM m GROUP BY CUBE (CustomerName, ProductCategory, Destination)"))
+def q_f13(spark, sf):
+    sets = fx.power_set_list(DEMAND_KEYS)
+    m = _monthly(spark, sf)
+    n = len(DEMAND_KEYS)
+    from functools import reduce
+    gid = reduce(lambda a, b: a + b, [F.grouping(k) * (1 << (n - 1 - i)) for i, k in enumerate(DEMAND_KEYS)])
+    out = m.groupingSets([list(s) for s in sets], *DEMAND_KEYS).agg(
+        F.sum("Quantity").alias("Quantity"), gid.cast("int").alias("gid"), F.count(F.lit(1)).alias("n_cells"))
+    return r6(out, "Quantity")
