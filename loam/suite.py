@@ -40,4 +40,4 @@ def s6(expr: str) -> str:
 
 
 # Import the modules that register queries (order = report order).
-from loam import suite_relational, suite_sampling, suite_metrics  # noqa: E402,F401
+from loam import suite_relational, suite_sampling, suite_metrics, suite_models, suite_forecast  # noqa: E402,F401
