@@ -70,48 +70,72 @@ def _A(v: DataFrame, membership: DataFrame, w: DataFrame, sys_keys, col: str) ->
 
 
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
-            tol: float = 1e-10, max_iter: int = 200) -> DataFrame:
+            tol: float = 1e-10, max_iter: int = 200, x0: DataFrame | None = None) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
-    Stops when every system's residual norm is below ``tol`` times the norm of
-    its right-hand side; raises if ``max_iter`` steps do not get there."""
+    Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
+    summed weight of the nodes above each bottom series), warm-started from
+    ``x0`` (the bottom base forecasts; for coherent base forecasts the start
+    is already the solution).  Stops when every system's residual norm is
+    below ``tol`` times the norm of its right-hand side; raises if
+    ``max_iter`` steps do not get there."""
     sys_keys = list(sys_keys)
     spark = node_fc.sparkSession
     checkpoint_dir(spark)
-    # right-hand side c = S' W yhat; start from b = 0 (r = c, p = c)
+    k = [*sys_keys, "bottom"]
+    # The loop below runs several jobs per step: store its inputs once so no
+    # step re-plans or recomputes the forecasting lineage above them.
+    membership = membership.select("bottom", "node").checkpoint(eager=True)
+    weights = weights.select(*sys_keys, "node", "w").checkpoint(eager=True)
+    node_fc = node_fc.select(*sys_keys, "node", "fcast").checkpoint(eager=True)
+    diag = (weights.join(membership, on="node").groupBy(*k).agg(F.sum("w").alias("dg")))
+    # right-hand side c = S'W yhat
     wy = node_fc.join(weights, on=[*sys_keys, "node"]).select(
         *sys_keys, "node", (F.col("fcast") * F.col("w")).alias("c"))
     c = _St(wy, membership, sys_keys, "c")
-    state = c.select(*sys_keys, "bottom", F.lit(0.0).alias("x"), F.col("c").alias("r"), F.col("c").alias("p"))
-    state = state.checkpoint(eager=True)
-    norms = state.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("r")).alias("rr"),
-                                         F.sqrt(F.sum(F.col("r") * F.col("r"))).alias("cn"))
-    norms = norms.checkpoint(eager=True)
-    for it in range(max_iter):
+    start = c.join(diag, on=k)
+    if x0 is not None:
+        start = start.join(x0.select(*k, F.col("fcast").alias("x")), on=k, how="left")
+    else:
+        start = start.withColumn("x", F.lit(None).cast("double"))
+    start = start.withColumn("x", F.coalesce("x", F.lit(0.0))).checkpoint(eager=True)
+    ax = _A(start.select(*k, F.col("x").alias("v")), membership, weights, sys_keys, "v")
+    state = (start.join(ax, on=k, how="left").fillna(0.0, subset=["v"])
+                  .withColumn("r", F.col("c") - F.col("v"))
+                  .withColumn("z", F.col("r") / F.col("dg"))
+                  .select(*k, "x", "r", "z", F.col("z").alias("p"), "dg").checkpoint(eager=True))
+    norms = (state.join(c, on=k).groupBy(*sys_keys)
+                  .agg(F.sum(F.col("r") * F.col("z")).alias("rz"), F.sum(F.col("r") * F.col("r")).alias("rr"),
+                       F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn"))
+                  .checkpoint(eager=True))
+    worst = None
+    for _ in range(max_iter):
         worst = norms.agg(F.max(F.when(F.col("cn") > 0, F.sqrt("rr") / F.col("cn")).otherwise(F.lit(0.0)))).first()[0]
         if worst is None or worst <= tol:
             break
-        ap = _A(state.select(*sys_keys, "bottom", "p"), membership, weights, sys_keys, "p").withColumnRenamed("p", "ap")
-        st = state.join(ap, on=[*sys_keys, "bottom"], how="left").fillna(0.0, subset=["ap"])
-        pap = st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
-        step = pap.join(norms, on=sys_keys).select(
-            *sys_keys, "cn", "rr", F.when(F.col("pap") != 0, F.col("rr") / F.col("pap")).otherwise(0.0).alias("alpha"))
-        st = st.join(step.select(*sys_keys, "alpha"), on=sys_keys) \
-               .withColumn("x", F.col("x") + F.col("alpha") * F.col("p")) \
-               .withColumn("r", F.col("r") - F.col("alpha") * F.col("ap"))
-        st = st.select(*sys_keys, "bottom", "x", "r", "p").checkpoint(eager=True)
-        new = st.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("r")).alias("rr_new"))
-        beta = new.join(step.select(*sys_keys, "cn", "rr"), on=sys_keys).select(
-            *sys_keys, "cn", F.col("rr_new").alias("rr"),
-            F.when(F.col("rr") > 0, F.col("rr_new") / F.col("rr")).otherwise(0.0).alias("beta"))
-        beta = beta.checkpoint(eager=True)
-        state = (st.join(beta.select(*sys_keys, "beta"), on=sys_keys)
-                   .withColumn("p", F.col("r") + F.col("beta") * F.col("p"))
-                   .select(*sys_keys, "bottom", "x", "r", "p").checkpoint(eager=True))
-        norms = beta.select(*sys_keys, "rr", "cn")
+        ap = _A(state.select(*k, F.col("p").alias("ap")), membership, weights, sys_keys, "ap")
+        st = state.join(ap, on=k, how="left").fillna(0.0, subset=["ap"])
+        alpha = (st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
+                   .join(norms, on=sys_keys)
+                   .select(*sys_keys, F.when(F.col("pap") != 0, F.col("rz") / F.col("pap")).otherwise(0.0).alias("alpha")))
+        st = (st.join(alpha, on=sys_keys)
+                .withColumn("x", F.col("x") + F.col("alpha") * F.col("p"))
+                .withColumn("r", F.col("r") - F.col("alpha") * F.col("ap"))
+                .withColumn("z", F.col("r") / F.col("dg"))
+                .select(*k, "x", "r", "z", "p", "dg").checkpoint(eager=True))
+        new = (st.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("z")).alias("rz_new"),
+                                         F.sum(F.col("r") * F.col("r")).alias("rr"))
+                 .join(norms.select(*sys_keys, "rz", "cn"), on=sys_keys)
+                 .select(*sys_keys, "cn", "rr", F.col("rz_new").alias("rz"),
+                         F.when(F.col("rz") != 0, F.col("rz_new") / F.col("rz")).otherwise(0.0).alias("beta"))
+                 .checkpoint(eager=True))
+        state = (st.join(new.select(*sys_keys, "beta"), on=sys_keys)
+                   .withColumn("p", F.col("z") + F.col("beta") * F.col("p"))
+                   .select(*k, "x", "r", "z", "p", "dg").checkpoint(eager=True))
+        norms = new.select(*sys_keys, "rz", "rr", "cn")
     else:
         raise RuntimeError(f"reconciliation did not converge in {max_iter} steps (residual {worst})")
-    return state.select(*sys_keys, "bottom", F.col("x").alias("fcast"))
+    return state.select(*k, F.col("x").alias("fcast"))
 
 
 def clamp_and_sum(bottom_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

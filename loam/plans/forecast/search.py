@@ -57,7 +57,9 @@ def _reconciled_bottoms(fc: DataFrame, memb: DataFrame, settings: Sequence[tuple
             w = reconcile.node_weights(memb, nf, ["grid_id", *keys_sys], wname)
             node_fc = nf if node_fc is None else node_fc.unionByName(nf)
             wts = w if wts is None else wts.unionByName(w)
-        parts.append(reconcile.combine(node_fc, memb, ["grid_id", *keys_sys], wts, tol=tol))
+        x0 = node_fc.where(F.col("level") == level_bottom).select(
+            "grid_id", *keys_sys, F.col("node").alias("bottom"), "fcast")
+        parts.append(reconcile.combine(node_fc, memb, ["grid_id", *keys_sys], wts, tol=tol, x0=x0))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

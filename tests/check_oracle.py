@@ -17,7 +17,7 @@ from loam.suite import ORACLE, QUERIES  # noqa: E402
 
 def main(argv):
     sf = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.01")
-    spark = get_spark("local[8]", shuffle_partitions=8)
+    spark = get_spark("local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
     con = duck(sf)
     bad = 0
     for name, fn in QUERIES.items():
