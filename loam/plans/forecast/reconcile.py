@@ -69,6 +69,35 @@ def _A(v: DataFrame, membership: DataFrame, w: DataFrame, sys_keys, col: str) ->
     return _St(wsv, membership, sys_keys, col)
 
 
+class _Store:
+    """Materialise iteration state.  Frames are persisted (memory + disk);
+    loop-carried frames are also written with a reliable ``checkpoint`` to
+    the shared folder -- read back from the cached rows, so nothing is
+    computed twice -- which keeps every step's plan the same size and lets a
+    lost executor's work be recovered from the last step."""
+
+    def __init__(self):
+        self.live: list[DataFrame] = []
+
+    def keep(self, df: DataFrame, checkpoint: bool) -> DataFrame:
+        from pyspark import StorageLevel
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if checkpoint:
+            out = df.checkpoint(eager=True)
+        else:
+            df.count()
+            out = df
+        self.live.append(df)
+        return out
+
+    def release_older_than(self, n: int) -> None:
+        while len(self.live) > n:
+            self.live.pop(0).unpersist()
+
+    def release_all(self) -> None:
+        self.release_older_than(0)
+
+
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
             tol: float = 1e-10, max_iter: int = 200, x0: DataFrame | None = None) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
@@ -83,12 +112,13 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
     spark = node_fc.sparkSession
     checkpoint_dir(spark)
     k = [*sys_keys, "bottom"]
-    # The loop below runs several jobs per step: store its inputs once so no
-    # step re-plans or recomputes the forecasting lineage above them.
-    membership = membership.select("bottom", "node").checkpoint(eager=True)
-    weights = weights.select(*sys_keys, "node", "w").checkpoint(eager=True)
-    node_fc = node_fc.select(*sys_keys, "node", "fcast").checkpoint(eager=True)
-    diag = (weights.join(membership, on="node").groupBy(*k).agg(F.sum("w").alias("dg")))
+    store = _Store()
+    # Inputs of the loop stored once, so no step re-plans or recomputes the
+    # forecasting lineage above them.
+    membership = store.keep(membership.select("bottom", "node"), True)
+    weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
+    node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
+    diag = weights.join(membership, on="node").groupBy(*k).agg(F.sum("w").alias("dg"))
     # right-hand side c = S'W yhat
     wy = node_fc.join(weights, on=[*sys_keys, "node"]).select(
         *sys_keys, "node", (F.col("fcast") * F.col("w")).alias("c"))
@@ -98,44 +128,52 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         start = start.join(x0.select(*k, F.col("fcast").alias("x")), on=k, how="left")
     else:
         start = start.withColumn("x", F.lit(None).cast("double"))
-    start = start.withColumn("x", F.coalesce("x", F.lit(0.0))).checkpoint(eager=True)
+    start = store.keep(start.withColumn("x", F.coalesce("x", F.lit(0.0))), True)
     ax = _A(start.select(*k, F.col("x").alias("v")), membership, weights, sys_keys, "v")
-    state = (start.join(ax, on=k, how="left").fillna(0.0, subset=["v"])
-                  .withColumn("r", F.col("c") - F.col("v"))
-                  .withColumn("z", F.col("r") / F.col("dg"))
-                  .select(*k, "x", "r", "z", F.col("z").alias("p"), "dg").checkpoint(eager=True))
-    norms = (state.join(c, on=k).groupBy(*sys_keys)
-                  .agg(F.sum(F.col("r") * F.col("z")).alias("rz"), F.sum(F.col("r") * F.col("r")).alias("rr"),
-                       F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn"))
-                  .checkpoint(eager=True))
+    state = store.keep(start.join(ax, on=k, how="left").fillna(0.0, subset=["v"])
+                            .withColumn("r", F.col("c") - F.col("v"))
+                            .withColumn("z", F.col("r") / F.col("dg"))
+                            .select(*k, "x", "r", "z", F.col("z").alias("p"), "dg", "c"), True)
+    norms = store.keep(state.groupBy(*sys_keys).agg(
+        F.sum(F.col("r") * F.col("z")).alias("rz"), F.sum(F.col("r") * F.col("r")).alias("rr"),
+        F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn")), True)
+    state = state.drop("c")
     worst = None
-    for _ in range(max_iter):
-        worst = norms.agg(F.max(F.when(F.col("cn") > 0, F.sqrt("rr") / F.col("cn")).otherwise(F.lit(0.0)))).first()[0]
-        if worst is None or worst <= tol:
-            break
-        ap = _A(state.select(*k, F.col("p").alias("ap")), membership, weights, sys_keys, "ap")
-        st = state.join(ap, on=k, how="left").fillna(0.0, subset=["ap"])
-        alpha = (st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
-                   .join(norms, on=sys_keys)
-                   .select(*sys_keys, F.when(F.col("pap") != 0, F.col("rz") / F.col("pap")).otherwise(0.0).alias("alpha")))
-        st = (st.join(alpha, on=sys_keys)
-                .withColumn("x", F.col("x") + F.col("alpha") * F.col("p"))
-                .withColumn("r", F.col("r") - F.col("alpha") * F.col("ap"))
-                .withColumn("z", F.col("r") / F.col("dg"))
-                .select(*k, "x", "r", "z", "p", "dg").checkpoint(eager=True))
-        new = (st.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("z")).alias("rz_new"),
-                                         F.sum(F.col("r") * F.col("r")).alias("rr"))
-                 .join(norms.select(*sys_keys, "rz", "cn"), on=sys_keys)
-                 .select(*sys_keys, "cn", "rr", F.col("rz_new").alias("rz"),
-                         F.when(F.col("rz") != 0, F.col("rz_new") / F.col("rz")).otherwise(0.0).alias("beta"))
-                 .checkpoint(eager=True))
-        state = (st.join(new.select(*sys_keys, "beta"), on=sys_keys)
-                   .withColumn("p", F.col("z") + F.col("beta") * F.col("p"))
-                   .select(*k, "x", "r", "z", "p", "dg").checkpoint(eager=True))
-        norms = new.select(*sys_keys, "rz", "rr", "cn")
-    else:
-        raise RuntimeError(f"reconciliation did not converge in {max_iter} steps (residual {worst})")
-    return state.select(*k, F.col("x").alias("fcast"))
+    try:
+        for it in range(1, max_iter + 1):
+            worst = norms.agg(F.max(F.when(F.col("cn") > 0, F.sqrt("rr") / F.col("cn"))
+                                    .otherwise(F.lit(0.0)))).first()[0]
+            if worst is None or worst <= tol:
+                break
+            ap = _A(state.select(*k, F.col("p").alias("ap")), membership, weights, sys_keys, "ap")
+            st = store.keep(state.join(ap, on=k, how="left").fillna(0.0, subset=["ap"]), False)
+            alpha = (st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
+                       .join(norms, on=sys_keys)
+                       .select(*sys_keys, F.when(F.col("pap") != 0, F.col("rz") / F.col("pap"))
+                               .otherwise(0.0).alias("alpha")))
+            upd = (st.join(alpha, on=sys_keys)
+                     .withColumn("x", F.col("x") + F.col("alpha") * F.col("p"))
+                     .withColumn("r", F.col("r") - F.col("alpha") * F.col("ap"))
+                     .withColumn("z", F.col("r") / F.col("dg")))
+            new = store.keep(
+                upd.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("z")).alias("rz_new"),
+                                           F.sum(F.col("r") * F.col("r")).alias("rr"))
+                   .join(norms.select(*sys_keys, "rz", "cn"), on=sys_keys)
+                   .select(*sys_keys, "cn", "rr", F.col("rz_new").alias("rz"),
+                           F.when(F.col("rz") != 0, F.col("rz_new") / F.col("rz")).otherwise(0.0).alias("beta")),
+                True)
+            state = store.keep(upd.join(new.select(*sys_keys, "beta"), on=sys_keys)
+                                  .withColumn("p", F.col("z") + F.col("beta") * F.col("p"))
+                                  .select(*k, "x", "r", "z", "p", "dg"), True)
+            norms = new.select(*sys_keys, "rz", "rr", "cn")
+            store.release_older_than(8)
+        else:
+            raise RuntimeError(f"reconciliation did not converge in {max_iter} steps (residual {worst})")
+        # the result is written out so that the caller's plan does not depend
+        # on cached frames released below
+        return state.select(*k, F.col("x").alias("fcast")).checkpoint(eager=True)
+    finally:
+        store.release_all()
 
 
 def clamp_and_sum(bottom_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

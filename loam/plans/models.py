@@ -190,12 +190,17 @@ def fit_parts_ensemble(df: DataFrame, part_col: str, n_parts: int, formula: str,
                        parallelism: int = 4) -> list[PipelineModel]:
     """One model per disjoint part (H06), fitted concurrently: a driver
     thread pool submits the Spark fits, each a distributed job on its part."""
+    from pyspark import StorageLevel
     params = dict(params or {})
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)      # one scan feeds all part fits
 
     def one(p: int) -> PipelineModel:
-        return fit(df.where(F.col(part_col) == p), formula, name, params)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        return list(ex.map(one, range(1, n_parts + 1)))
+        return fit(data.where(F.col(part_col) == p), formula, name, params)
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
+            return list(ex.map(one, range(1, n_parts + 1)))
+    finally:
+        data.unpersist()
 
 
 def ensemble_predict(models: Sequence[PipelineModel], df: DataFrame, name: str = "prediction",

@@ -77,7 +77,8 @@ def score_single(spark: SparkSession, model: PipelineModel, values: Mapping[str,
 
 
 def score_sets(model: PipelineModel, df: DataFrame, set_col: str, carry: Sequence[str]) -> DataFrame:
-    """Independent row sets scored in one pass: repartitioned by set so
-    each set is spread over its own tasks; the feature steps are inside the
-    pipeline, so they run in the same pass."""
-    return score_label_raw_prob(model, df.repartition(set_col), [set_col, *carry])
+    """Independent row sets scored in one pass.  Scoring is a narrow
+    per-partition map, so the sets need no co-location (repartitioning by a
+    handful of set ids would funnel the data into that many tasks); the
+    feature steps are inside the pipeline and run in the same pass."""
+    return score_label_raw_prob(model, df, [set_col, *carry])
