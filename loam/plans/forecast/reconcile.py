@@ -99,7 +99,7 @@ class _Store:
 
 
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
-            tol: float = 1e-10, max_iter: int = 200, x0: DataFrame | None = None) -> DataFrame:
+            tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
     Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the

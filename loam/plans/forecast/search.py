@@ -79,7 +79,7 @@ def base_node_forecasts(nodes_long: DataFrame, series_keys: Sequence[str], date_
 
 
 def crossval(df: DataFrame, params: ForecastParams, grid: DataFrame | None = None, nfolds: int = 3,
-             ts_override: str | None = None, tol: float = 1e-10) -> DataFrame:
+             ts_override: str | None = None, tol: float = 1e-8) -> DataFrame:
     """For each of the last ``nfolds`` months as origin, forecast one
     month ahead from the history before it (for every setting of ``grid``;
     default: the single setting of ``params`` as grid_id 0), compare with the
@@ -127,7 +127,7 @@ def best_setting(scores: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def search(df: DataFrame, params: ForecastParams, nfolds: int = 3, ts_override: str | None = None,
-           tol: float = 1e-10) -> tuple[DataFrame, DataFrame]:
+           tol: float = 1e-8) -> tuple[DataFrame, DataFrame]:
     """T12 + T13: score the base setting (grid_id 0) and every legal grid
     setting in one plan; return (scores with settings, best row)."""
     spark = df.sparkSession
@@ -140,7 +140,7 @@ def search(df: DataFrame, params: ForecastParams, nfolds: int = 3, ts_override:
 
 
 def future_forecast(df: DataFrame, params: ForecastParams, ts_override: str | None = None,
-                    tol: float = 1e-10) -> DataFrame:
+                    tol: float = 1e-8) -> DataFrame:
     """T14 (and T05 for a single series): ``params.horizon`` months after the
     last month, with the given setting; bottom forecasts clamped at 0.
 

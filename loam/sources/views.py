@@ -76,6 +76,11 @@ SELECT d.doc_id,
               CAST(CASE WHEN l.quality = 1 THEN 6 ELSE 1 END + d.doc_id % 5 AS STRING), '.txt') AS fname,
        d.text AS review
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
+""",
+    # whole documents with their labels (the text counterpart of "names")
+    "texts": """
+SELECT d.doc_id, d.text, d.lang AS category, l.quality AS is_real
+FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
 """,
     "scored": """
 SELECT event_id, event_type AS category, value / 500e0 AS Probability,

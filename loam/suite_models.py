@@ -113,9 +113,7 @@ w AS (SELECT doc_id, unnest(string_split_regex(lower(review), '[^\\p{{L}}]+')) A
 c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE length(word) > 0 AND word NOT IN ({_SW}) GROUP BY 1, 2)""",
     f"SELECT doc_id, sum(n) AS n_words, count(*) AS n_distinct, {s6('sqrt(sum(n * n))')} AS l2_norm FROM c GROUP BY doc_id"))
 def q_m04(spark, sf):
-    r = view(spark, sf, "reviews")
-    w = r.select("doc_id", F.explode(tx.word_tokens("review")).alias("word"))
-    c = w.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
+    c = tx.word_counts(view(spark, sf, "reviews"), "doc_id", "review")
     out = c.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.count(F.lit(1)).alias("n_distinct"),
                                   F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("l2_norm"))
     return r6(out, "l2_norm")

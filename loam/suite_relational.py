@@ -280,12 +280,11 @@ NAME_PATTERNS = ["sas", "i", "ii", "f", "ff"]
 
 
 @query("P17_case_insensitive_regex", with_views(
-    "SELECT doc_id, name, category, " + ", ".join(
-        f"regexp_matches(name, '{p}', 'i') AS has_{p}" for p in NAME_PATTERNS) + " FROM names", "names"))
+    "SELECT doc_id, category, " + ", ".join(
+        f"regexp_matches(text, '{p}', 'i') AS has_{p}" for p in NAME_PATTERNS) + " FROM texts", "texts"))
 def q_p17(spark, sf):
-    n = view(spark, sf, "names")
-    return n.select("doc_id", "name", "category",
-                    *[fx.regex_flag("name", p).alias(f"has_{p}") for p in NAME_PATTERNS])
+    n = view(spark, sf, "texts")
+    return n.select("doc_id", "category", *[fx.regex_flag("text", p).alias(f"has_{p}") for p in NAME_PATTERNS])
 
 
 @query("P18_null_predicate", _fw_sql(
@@ -422,11 +421,11 @@ def q_a09(spark, sf):
 
 
 @query("A10_crosstab_with_predicates", with_views(
-    "SELECT category, " + ", ".join(f"count_if(regexp_matches(name, '{p}', 'i')) AS n_{p}" for p in NAME_PATTERNS)
-    + " FROM names GROUP BY category", "names"))
+    "SELECT category, " + ", ".join(f"count_if(regexp_matches(text, '{p}', 'i')) AS n_{p}" for p in NAME_PATTERNS)
+    + " FROM texts GROUP BY category", "texts"))
 def q_a10(spark, sf):
-    return rel.crosstab_predicates(view(spark, sf, "names"), "category",
-                                   {f"n_{p}": fx.regex_flag("name", p) for p in NAME_PATTERNS})
+    return rel.crosstab_predicates(view(spark, sf, "texts"), "category",
+                                   {f"n_{p}": fx.regex_flag("text", p) for p in NAME_PATTERNS})
 
 
 PROBS = [i / 100 for i in range(101)]
@@ -652,3 +651,54 @@ def q_f13(spark, sf):
     out = m.groupingSets([list(s) for s in sets], *DEMAND_KEYS).agg(
         F.sum("Quantity").alias("Quantity"), gid.cast("int").alias("gid"), F.count(F.lit(1)).alias("n_cells"))
     return r6(out, "Quantity")
+
+
+# ---------------------------------------------------------------- file round trips
+from loam.session import scratch_path  # noqa: E402
+from loam.sources import files as fl  # noqa: E402
+
+_FL_TYPES = {"event_id": "bigint", "ArrDel15": "int", "Year": "int", "Month": "int", "DayOfMonth": "int",
+             "DayOfWeek": "int", "Carrier": "string", "OriginAirportID": "int", "DestAirportID": "int",
+             "CRSDepTime": "int", "CRSArrTime": "int"}
+
+
+def _flights_csv(spark, sf) -> str:
+    """The flights rows written as header CSV with the text null token."""
+    path = scratch_path(spark, "flights-csv")
+    view(spark, sf, "flights").write.option("header", True).option("nullValue", "null").csv(path)
+    return path
+
+
+@query("S01_csv_all_text_null_token", with_views(
+    "SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _FL_TYPES) + " FROM flights", "flights"))
+def q_s01(spark, sf):
+    return fl.read_csv_text(spark, _flights_csv(spark, sf), list(_FL_TYPES))
+
+
+@query("S02_S03_csv_declared_types", with_views("SELECT * FROM flights", "flights"))
+def q_s02(spark, sf):
+    return fl.read_csv_typed(spark, _flights_csv(spark, sf), _FL_TYPES)
+
+
+@query("S04_csv_integer_matrix", with_views(
+    "SELECT " + ", ".join(c for c, t in _FL_TYPES.items() if t == "int") + " FROM flights", "flights"))
+def q_s04(spark, sf):
+    ints = [c for c, t in _FL_TYPES.items() if t == "int"]
+    path = scratch_path(spark, "flights-int-csv")
+    view(spark, sf, "flights").select(*ints).write.option("header", True).option("nullValue", "NA").csv(path)
+    return fl.read_csv_int_matrix(spark, path, ints)
+
+
+@query("S07_parquet_table_round_trip", with_views("SELECT * FROM trips", "trips"))
+def q_s07(spark, sf):
+    path = fl.write_table(view(spark, sf, "trips"), scratch_path(spark, "trips"), max_records_per_file=20000)
+    return spark.read.parquet(path)
+
+
+@query("S14_stage_only_if_missing", with_views("SELECT * FROM flights", "flights"))
+def q_s14(spark, sf):
+    path = scratch_path(spark, "staged")
+    f = view(spark, sf, "flights")
+    fl.stage_if_missing(f, path)
+    fl.stage_if_missing(f, path)                   # already there: left as it is, no duplicate rows
+    return spark.read.parquet(path)
