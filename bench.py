@@ -35,7 +35,7 @@ HEADLINE = [
     "T10_rolling_origin_naive_rmse",     # rolling-origin evaluation
     "T12_parameter_search_scores",       # grid of settings in one plan
     "M03_char_ngram_features",           # text features
-    "E13_parallel_set_scoring",          # model scoring over row sets
+    "E13_U06_parallel_set_scoring",          # model scoring over row sets
 ]
 
 

@@ -125,7 +125,7 @@ def q_t06(spark, sf):
     return r6(bottom_up(b, membership(panel, keys), ["run"]).select("node", "fcast"), "fcast")
 
 
-@query("T07_optimal_combination_weights")
+@query("T07_T08_optimal_combination_clamped")
 def q_t07(spark, sf):
     d = _demand(spark, sf)
     outs = []

@@ -75,3 +75,23 @@ def q_a14(spark, sf):
 def q_e10(spark, sf):
     t = smp.tag_rows(view(spark, sf, "scored"), "event_id", 3, 1, 0.25, 5)
     return mt.training_set_size(t)
+
+
+def _auc_reducer(pdf):
+    """Running true/false-positive shares from the top bucket down, then the
+    trapezoid area anchored at (0, 0) -- state carried through the rows."""
+    import pandas as pd
+    g = pdf.sort_values("bucket", ascending=False)
+    tp, fp = g["positives"].astype(float), (g["total"] - g["positives"]).astype(float)
+    tpr, fpr = tp.cumsum() / tp.sum(), fp.cumsum() / fp.sum()
+    dfpr = fpr.diff().fillna(fpr.iloc[0])
+    dtpr = tpr.diff().fillna(tpr.iloc[0])
+    auc = float((tpr * dfpr).sum() - (dtpr * dfpr).sum() / 2)
+    return pd.DataFrame({"model": [g["model"].iloc[0]], "auc": [round(auc, 6) + 0.0]})
+
+
+@query("U03_grouped_state_function", with_ctes(["scored"], _LONG + ",\n" + _BUCKETS + ",\n" + _ROC, _AUC))
+def q_u03(spark, sf):
+    from loam.operators.batch import grouped_state
+    b = mt.score_buckets(_long(spark, sf), "score", "is_real", ["model"])   # <= 1000 rows per model
+    return grouped_state(b, ["model"], _auc_reducer, "model string, auc double")

@@ -133,7 +133,7 @@ def q_m05(spark, sf):
 
 
 # ----------------------------------------------------------------- M06-M17
-@query("M06_logit_coefficients_with_se")
+@query("M01_M02_M06_logit_formula_coefficients_with_se")
 def q_m06(spark, sf):
     train, _ = flight_split(spark, sf)
     model = md.fit_logit(train, flight_formula(train))
@@ -169,7 +169,7 @@ def q_m10(spark, sf):
     return pred
 
 
-@query("M11_M15_learners_by_name")
+@query("M11_M12_M13_M14_M15_M16_learners_by_name")
 def q_m11(spark, sf):
     train, test = flight_split(spark, sf)
     formula = flight_formula(train)
@@ -249,7 +249,7 @@ def q_e11(spark, sf):
     return sc.score_label_raw_prob(model, one, ["o_orderkey", "passenger_count", "trip_distance", "direct_distance"])
 
 
-@query("E13_parallel_set_scoring")
+@query("E13_U06_parallel_set_scoring")
 def q_e13(spark, sf):
     from pyspark.ml.feature import HashingTF
     r = view(spark, sf, "reviews").withColumn("label", F.col("fname").rlike("/pos/").cast("double"))

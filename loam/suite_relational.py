@@ -118,7 +118,7 @@ def q_s05(spark, sf):
     return tb.sql_source(spark, TRIP_QUERY, trips=view(spark, sf, "trips"))
 
 
-@query("S06_typed_table_source", with_views(
+@query("S06_F11_typed_table_source", with_views(
     "SELECT o_orderkey, CAST(passenger_count AS DOUBLE) AS passenger_count, "
     "CAST(trip_distance AS DOUBLE) AS trip_distance, "
     "CAST(trip_time_in_secs AS DOUBLE) AS trip_time_in_secs, tipped FROM trips", "trips"))
@@ -168,7 +168,7 @@ def q_p02(spark, sf):
     return rel.select_columns(view(spark, sf, "flights"), fw.FLIGHT_COLUMNS)
 
 
-@query("P03_floor_to_hour", with_views(
+@query("P03_F01_floor_to_hour", with_views(
     "SELECT event_id, CAST(floor(CRSDepTime / 100) AS BIGINT) AS CRSDepTime, CRSArrTime FROM flights",
     "flights"))
 def q_p03(spark, sf):
@@ -279,7 +279,7 @@ def q_p16(spark, sf):
 NAME_PATTERNS = ["sas", "i", "ii", "f", "ff"]
 
 
-@query("P17_case_insensitive_regex", with_views(
+@query("P17_F10_case_insensitive_regex", with_views(
     "SELECT doc_id, category, " + ", ".join(
         f"regexp_matches(text, '{p}', 'i') AS has_{p}" for p in NAME_PATTERNS) + " FROM texts", "texts"))
 def q_p17(spark, sf):
@@ -287,7 +287,7 @@ def q_p17(spark, sf):
     return n.select("doc_id", "category", *[fx.regex_flag("text", p).alias(f"has_{p}") for p in NAME_PATTERNS])
 
 
-@query("P18_null_predicate", _fw_sql(
+@query("P18_F12_null_predicate", _fw_sql(
     "SELECT " + ", ".join(fw.FLIGHT_COLUMNS) + " FROM fw WHERE VisibilityOrigin IS NULL AND ArrDel15 IS NOT NULL"))
 def q_p18(spark, sf):
     f = flights_weather(spark, sf)
@@ -582,7 +582,7 @@ def q_r06(spark, sf):
 
 
 # ---------------------------------------------------------------- scalar functions
-@query("F02_F04_math_functions", with_views(
+@query("F02_F03_F04_math_functions", with_views(
     f"SELECT event_id, sin(Probability) AS s, cos(Probability) AS c, atan2(Probability, 1e0) AS a, "
     f"sqrt(Probability) AS r, pow(Probability, 2) AS p2, pi() * Probability AS pp, "
     f"{s6('CASE WHEN Probability > 0 THEN log10(Probability) END')} AS lg, {s6('exp(Probability)')} AS ex, "
@@ -596,7 +596,7 @@ def q_f02(spark, sf):
     return r6(out, "lg", "ex", "lnp")
 
 
-@query("F05_F06_U04_distance", with_views(
+@query("F05_F06_U01_U04_distance", with_views(
     f"SELECT o_orderkey, hack_license, passenger_count, {s6(_HAV)} AS d_long_first, {s6(_HAV)} AS d_lat_first, "
     f"{s6(_HAV)} AS d_sql FROM trips", "trips"))
 def q_f05(spark, sf):
@@ -702,3 +702,66 @@ def q_s14(spark, sf):
     fl.stage_if_missing(f, path)
     fl.stage_if_missing(f, path)                   # already there: left as it is, no duplicate rows
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------- more ids
+@query("P10_positional_rename", with_views("", "weather").rstrip() + ",\n" + _W_SUMMARY
+       + "\nSELECT Year AS y, Month AS mo, DayOfMonth AS dom, CRSDepTime AS hr, OriginAirportID AS airport, "
+       + ", ".join(s6(m) + f" AS m{i}" for i, m in enumerate(MEASURES)) + " FROM ws")
+def q_p10(spark, sf):
+    w = r6(fw.weather_summary(view(spark, sf, "weather")), *MEASURES)
+    return rel.rename_positional(w, ["y", "mo", "dom", "hr", "airport"] + [f"m{i}" for i in range(len(MEASURES))])
+
+
+@query("R07_column_set_difference", with_views("SELECT * EXCLUDE (ArrDel15) FROM flights", "flights"))
+def q_r07(spark, sf):
+    f = view(spark, sf, "flights")
+    return f.select(*rel.column_difference(f.columns, ["ArrDel15"]))
+
+
+@query("H04_path_based_split", with_views(
+    "SELECT doc_id, fname, CASE WHEN regexp_matches(fname, '/train/') THEN 'train' ELSE 'rest' END AS split "
+    "FROM reviews", "reviews"))
+def q_h04(spark, sf):
+    r = view(spark, sf, "reviews").select("doc_id", "fname")
+    train, rest = smp.path_split(r, "fname", "/train/")
+    return train.withColumn("split", F.lit("train")).unionByName(rest.withColumn("split", F.lit("rest")))
+
+
+@query("S11_import_with_known_levels", with_views(
+    "SELECT o_orderkey, hack_license, passenger_count, CASE WHEN payment_type IN ('CSH','CRD','DIS','NOC','UNK') "
+    "THEN payment_type END AS payment_type FROM trips", "trips"))
+def q_s11(spark, sf):
+    t = view(spark, sf, "trips").select("o_orderkey", "hack_license", "passenger_count", "payment_type")
+    return tb.import_with_levels(t, {"payment_type": PAYMENT_LEVELS})
+
+
+@query("S08_text_file_directory", with_views(
+    "SELECT doc_id, CAST(regexp_extract(fname, '_(\\d+)\\.txt$', 1) AS INT) AS rating, "
+    "CAST(regexp_extract(fname, '_(\\d+)\\.txt$', 1) AS INT) > 5 AS sentiment, review || chr(10) AS review "
+    "FROM reviews WHERE NOT regexp_matches(fname, 'unsup')", "reviews"))
+def q_s08(spark, sf):
+    """Reviews written as one text file per review (directories named by the
+    review's file name), then read back as a directory of files."""
+    root = scratch_path(spark, "review-files")
+    r = view(spark, sf, "reviews").withColumn("file", F.element_at(F.split("fname", "/"), -1))
+    r.select("file", "review").write.partitionBy("file").text(root)
+    got = fl.read_text_files(spark, root, label_pattern=r"_(\d+)\.txt(?:/|$)")
+    return got.select(F.regexp_extract("fname", r"file=(\d+)_", 1).cast("bigint").alias("doc_id"),
+                      F.regexp_extract("fname", r"_(\d+)\.txt(?:/|$)", 1).cast("int").alias("rating"),
+                      "sentiment", "review")
+
+
+@query("U02_batch_function_adds_columns", with_views(
+    f"SELECT o_orderkey, hack_license, passenger_count, {s6(_HAV)} AS direct_distance FROM trips", "trips"))
+def q_u02(spark, sf):
+    from loam.functions.geo import haversine_numpy
+    from loam.operators.batch import add_columns_in_batches
+    t = view(spark, sf, "trips").select("o_orderkey", "hack_license", "passenger_count", "pickup_longitude",
+                                        "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+
+    def fn(pdf):
+        return pdf.assign(direct_distance=haversine_numpy(pdf.pickup_longitude, pdf.pickup_latitude,
+                                                          pdf.dropoff_longitude, pdf.dropoff_latitude))
+    out = add_columns_in_batches(t, fn, "direct_distance double")
+    return r6(out.select("o_orderkey", "hack_license", "passenger_count", "direct_distance"), "direct_distance")
