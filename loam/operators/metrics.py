@@ -44,8 +44,9 @@ def roc_points(buckets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(F.col("bucket").desc()).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*by)
     neg = F.col("total") - F.col("positives")
-    return (buckets.withColumn("tpr", F.sum("positives").over(w) / F.sum("positives").over(whole))
-                   .withColumn("fpr", F.sum(neg).over(w) / F.sum(neg).over(whole)))
+    # one class only -> the rate of the missing class is undefined (null)
+    return (buckets.withColumn("tpr", F.try_divide(F.sum("positives").over(w), F.sum("positives").over(whole)))
+                   .withColumn("fpr", F.try_divide(F.sum(neg).over(w), F.sum(neg).over(whole))))
 
 
 def auc_from_roc(roc: DataFrame, by: Sequence[str] = (), anchor: bool = True) -> DataFrame:
