@@ -35,7 +35,8 @@ HEADLINE = [
     "T10_rolling_origin_naive_rmse",     # rolling-origin evaluation
     "T12_parameter_search_scores",       # grid of settings in one plan
     "M03_char_ngram_features",           # text features
-    "E13_U06_parallel_set_scoring",          # model scoring over row sets
+    "E13_U06_parallel_set_scoring",      # model scoring over row sets
+    "M07_S04_P03_csv_to_glm_pipeline",   # CSV -> frame -> binomial GLM (the baseline's pipeline)
 ]
 
 

@@ -70,8 +70,8 @@ def q_a14(spark, sf):
 
 
 @query("E10_training_set_size", with_ctes(["scored"], "",
-       f"SELECT count_if(({smp.hash_sql('event_id', 5)} % 3 + 1) <> 1 AND "
-       f"{smp.hash_sql('event_id', '5:train')} < {int(0.25 * 2 ** 32)}) AS tss FROM scored"))
+       f"SELECT CAST(count_if(({smp.hash_sql('event_id', 5)} % 3 + 1) <> 1 AND "
+       f"{smp.hash_sql('event_id', '5:train')} < {int(0.25 * 2 ** 32)}) AS BIGINT) AS tss FROM scored"))
 def q_e10(spark, sf):
     t = smp.tag_rows(view(spark, sf, "scored"), "event_id", 3, 1, 0.25, 5)
     return mt.training_set_size(t)

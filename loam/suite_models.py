@@ -95,7 +95,7 @@ c AS (SELECT doc_id, {_CLEAN_SQL} AS t FROM documents),
 g AS (SELECT doc_id, substr(t, i, 3) AS ngram FROM c, range(1, greatest(length(t) - 3 + 2, 2)) r(i)
       WHERE length(substr(t, i, 3)) = 3),
 tf AS (SELECT doc_id, ngram, count(*) AS tf FROM g GROUP BY 1, 2)""",
-    "SELECT doc_id, sum(tf) AS n_terms, count(*) AS n_distinct, max(tf) AS max_tf, "
+    "SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n_terms, count(*) AS n_distinct, max(tf) AS max_tf, "
     "CAST(sum(CASE WHEN ngram = 'the' THEN tf ELSE 0 END) AS BIGINT) AS tf_the FROM tf GROUP BY doc_id"))
 def q_m03(spark, sf):
     d = read_table(spark, sf, "documents").select("doc_id", "text")
@@ -111,7 +111,7 @@ _SW = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
 @query("M04_word_counts_l2", with_ctes(["reviews"], f"""
 w AS (SELECT doc_id, unnest(string_split_regex(lower(review), '[^\\p{{L}}]+')) AS word FROM reviews),
 c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE length(word) > 0 AND word NOT IN ({_SW}) GROUP BY 1, 2)""",
-    f"SELECT doc_id, sum(n) AS n_words, count(*) AS n_distinct, {s6('sqrt(sum(n * n))')} AS l2_norm FROM c GROUP BY doc_id"))
+    f"SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_words, count(*) AS n_distinct, {s6('sqrt(sum(n * n))')} AS l2_norm FROM c GROUP BY doc_id"))
 def q_m04(spark, sf):
     c = tx.word_counts(view(spark, sf, "reviews"), "doc_id", "review")
     out = c.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.count(F.lit(1)).alias("n_distinct"),
@@ -356,3 +356,36 @@ def q_e09(spark, sf):
     cls = mt.metric_for("classification")(s.withColumn("all", F.lit("all")), "Probability", "is_real", ["all"]) \
         .withColumnRenamed("all", "category").withColumn("kind", F.lit("classification"))
     return reg.unionByName(cls)
+
+
+# ----------------------------------------------------------------- S04 + P03 + M07 pipeline
+_INT_CSV: dict[tuple, str] = {}
+GLM_COLS = ["IsArrDelayed", "Month", "DayofMonth", "DayOfWeek", "CRSDepTime", "Distance"]
+
+
+def _lineitem_int_csv(spark, sf) -> str:
+    """Integer columns derived from ``lineitem`` written once per session as
+    header CSV (the stand-in for the large all-integer flight file)."""
+    key = (id(spark), sf)
+    if key not in _INT_CSV:
+        li = read_table(spark, sf, "lineitem")
+        ints = li.select((F.col("l_discount") > 0.05).cast("int").alias("IsArrDelayed"),
+                         F.month("l_shipdate").alias("Month"), F.dayofmonth("l_shipdate").alias("DayofMonth"),
+                         F.dayofweek("l_shipdate").alias("DayOfWeek"),
+                         (F.col("l_linenumber") * 100 + F.col("l_partkey") % 60).cast("int").alias("CRSDepTime"),
+                         (F.col("l_quantity") * 20).cast("int").alias("Distance"))
+        path = scratch_path(spark, "int-csv")
+        ints.write.option("header", True).csv(path)
+        _INT_CSV[key] = path
+    return _INT_CSV[key]
+
+
+@query("M07_S04_P03_csv_to_glm_pipeline")
+def q_m07_pipeline(spark, sf):
+    """Read the integer CSV (S04), truncate the departure time to the hour
+    (P03), fit the five-predictor binomial GLM (M07); returns its coefficients."""
+    from loam.sources.files import read_csv_int_matrix
+    from loam.operators.relational import floor_to_hour
+    df = floor_to_hour(read_csv_int_matrix(spark, _lineitem_int_csv(spark, sf), GLM_COLS), "CRSDepTime")
+    model = md.fit_logit(df, "IsArrDelayed ~ Month + DayofMonth + DayOfWeek + CRSDepTime + Distance")
+    return md.coefficient_table(spark, model, sample=df)

@@ -421,7 +421,8 @@ def q_a09(spark, sf):
 
 
 @query("A10_crosstab_with_predicates", with_views(
-    "SELECT category, " + ", ".join(f"count_if(regexp_matches(text, '{p}', 'i')) AS n_{p}" for p in NAME_PATTERNS)
+    "SELECT category, " + ", ".join(f"CAST(count_if(regexp_matches(text, '{p}', 'i')) AS BIGINT) AS n_{p}"
+                                    for p in NAME_PATTERNS)
     + " FROM texts GROUP BY category", "texts"))
 def q_a10(spark, sf):
     return rel.crosstab_predicates(view(spark, sf, "texts"), "category",
