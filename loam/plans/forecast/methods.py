@@ -172,27 +172,32 @@ def _ar_forecast_cols(h: int) -> list[Column]:
 
 
 def arima(arrays: DataFrame, keys: Sequence[str], h: int) -> DataFrame:
-    """AR(1)/AR(2) on 0 or 1 differences, best by AIC per series;
-    falls back to the naive forecast when no order can be fitted."""
+    """AR(1)/AR(2) on 0 or 1 differences, best by AIC per series; a
+    series where no order can be fitted gets the naive forecast (it is a
+    last-resort candidate in the same selection, so one pass)."""
     keys = list(keys)
     cands = None
     for d in (0, 1):
         for p in (1, 2):
             c = _ar_candidate(arrays, keys, d, p)
             cands = c if cands is None else cands.unionByName(c)
-    cands = cands.where(F.col("fit.ok"))
     m = F.col("fit.m").cast("double")
-    aic = m * F.log(F.greatest(F.col("fit.sse") / m, F.lit(1e-12))) + 2 * (F.col("p") + 1)
+    aic = F.when(F.col("fit.ok"), m * F.log(F.greatest(F.col("fit.sse") / m, F.lit(1e-12))) + 2 * (F.col("p") + 1))
+    # not fittable -> ranked after every fitted order (null AIC sorts last via the flag)
+    rank = F.struct((~F.col("fit.ok")).alias("bad"), aic.alias("aic"), F.col("d"), F.col("p"))
     best = (cands.groupBy(*keys, "last_date")
-                 .agg(F.min_by(F.struct("y", "d", "p", "fit"), F.struct(aic, F.col("d"), F.col("p"))).alias("b"))
+                 .agg(F.min_by(F.struct("y", "d", "p", "fit"), rank).alias("b"))
                  .select(*keys, "last_date", "b.*"))
-    fc = best.select(*keys, "last_date", F.posexplode(F.array(*_ar_forecast_cols(h))).alias("_i", "fcast"),
-                     (F.col("fit.sse") / F.col("fit.m")).alias("resid_var"),
-                     F.col("d").alias("ar_d"), F.col("p").alias("ar_p"))
-    fc = fc.select(*keys, "last_date", (F.col("_i") + 1).alias("step"), "fcast", "resid_var", "ar_d", "ar_p")
-    # series with no fittable order: naive
-    rest = naive(arrays.join(best.select(*keys), on=keys, how="left_anti"), keys, h)
-    return fc.unionByName(rest, allowMissingColumns=True)
+    ok = F.col("fit.ok")
+    y = F.col("y")
+    d = _diff(y)
+    naive_var = F.aggregate(d, F.lit(0.0), lambda acc, e: acc + e * e) / F.greatest(F.size(d), F.lit(1))
+    fc = best.select(*keys, "last_date", "fit", "d", "p", "y",
+                     F.posexplode(F.array(*_ar_forecast_cols(h))).alias("_i", "_ar"))
+    return fc.select(*keys, "last_date", (F.col("_i") + 1).alias("step"),
+                     F.when(ok, F.col("_ar")).otherwise(F.element_at(y, -1)).alias("fcast"),
+                     F.when(ok, F.col("fit.sse") / F.col("fit.m")).otherwise(naive_var).alias("resid_var"),
+                     F.when(ok, F.col("d")).alias("ar_d"), F.when(ok, F.col("p")).alias("ar_p"))
 
 
 def forecast(arrays: DataFrame, keys: Sequence[str], h: int, method: str) -> DataFrame:

@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 
 from loam.session import checkpoint_dir
 
+# (steps, final relative residual) of the recent solves, for diagnostics
+SOLVE_LOG: list[tuple[int, float]] = []
+
 
 def bottom_up(bottom_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
               value: str = "fcast") -> DataFrame:
@@ -134,17 +137,27 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
                             .withColumn("r", F.col("c") - F.col("v"))
                             .withColumn("z", F.col("r") / F.col("dg"))
                             .select(*k, "x", "r", "z", F.col("z").alias("p"), "dg", "c"), True)
-    norms = store.keep(state.groupBy(*sys_keys).agg(
-        F.sum(F.col("r") * F.col("z")).alias("rz"), F.sum(F.col("r") * F.col("r")).alias("rr"),
-        F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn")), True)
+    # Per-system scalars: one row per (setting, origin, step) -- a count fixed
+    # by the parameters, not by the data -- so they are collected and fed
+    # back as a small local table; this also gives the convergence test.
+    scal = ["rz", "rr", "cn"]
+    key_ddl = ", ".join(f"`{n}` {state.schema[n].dataType.simpleString()}" for n in sys_keys)
+    sys_schema = key_ddl + ", rz double, rr double, cn double"
+    rows = [tuple(r) for r in
+            state.groupBy(*sys_keys)
+                 .agg(F.sum(F.col("r") * F.col("z")).alias("rz"), F.sum(F.col("r") * F.col("r")).alias("rr"),
+                      F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("cn"))
+                 .select(*sys_keys, *scal).collect()]
+    nk = len(sys_keys)
     state = state.drop("c")
     worst = None
     try:
         for it in range(1, max_iter + 1):
-            worst = norms.agg(F.max(F.when(F.col("cn") > 0, F.sqrt("rr") / F.col("cn"))
-                                    .otherwise(F.lit(0.0)))).first()[0]
-            if worst is None or worst <= tol:
+            worst = max([(r[nk + 1] ** 0.5) / r[nk + 2] if r[nk + 2] else 0.0 for r in rows] or [0.0])
+            if worst <= tol:
+                SOLVE_LOG.append((it - 1, worst))
                 break
+            norms = F.broadcast(spark.createDataFrame(rows, sys_schema))
             ap = _A(state.select(*k, F.col("p").alias("ap")), membership, weights, sys_keys, "ap")
             st = store.keep(state.join(ap, on=k, how="left").fillna(0.0, subset=["ap"]), False)
             alpha = (st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
@@ -155,17 +168,18 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
                      .withColumn("x", F.col("x") + F.col("alpha") * F.col("p"))
                      .withColumn("r", F.col("r") - F.col("alpha") * F.col("ap"))
                      .withColumn("z", F.col("r") / F.col("dg")))
-            new = store.keep(
-                upd.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("z")).alias("rz_new"),
-                                           F.sum(F.col("r") * F.col("r")).alias("rr"))
-                   .join(norms.select(*sys_keys, "rz", "cn"), on=sys_keys)
-                   .select(*sys_keys, "cn", "rr", F.col("rz_new").alias("rz"),
-                           F.when(F.col("rz") != 0, F.col("rz_new") / F.col("rz")).otherwise(0.0).alias("beta")),
-                True)
-            state = store.keep(upd.join(new.select(*sys_keys, "beta"), on=sys_keys)
+            new = (upd.groupBy(*sys_keys).agg(F.sum(F.col("r") * F.col("z")).alias("rz_new"),
+                                              F.sum(F.col("r") * F.col("r")).alias("rr"))
+                      .join(norms.select(*sys_keys, "rz", "cn"), on=sys_keys)
+                      .select(*sys_keys, F.col("rz_new").alias("rz"), "rr", "cn",
+                              F.when(F.col("rz") != 0, F.col("rz_new") / F.col("rz")).otherwise(0.0).alias("beta"))
+                      .collect())
+            betas = F.broadcast(spark.createDataFrame(
+                [tuple(r[c] for c in sys_keys) + (r["beta"],) for r in new], key_ddl + ", beta double"))
+            state = store.keep(upd.join(betas, on=sys_keys)
                                   .withColumn("p", F.col("z") + F.col("beta") * F.col("p"))
                                   .select(*k, "x", "r", "z", "p", "dg"), True)
-            norms = new.select(*sys_keys, "rz", "rr", "cn")
+            rows = [tuple(r[c] for c in [*sys_keys, *scal]) for r in new]
             store.release_older_than(8)
         else:
             raise RuntimeError(f"reconciliation did not converge in {max_iter} steps (residual {worst})")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loam.operators.relational import arg_min, expand_grid, full_join_fill, mean_of_means
+from loam.session import materialize
 from loam.plans.forecast import methods, reconcile
 from loam.plans.forecast.panel import (ForecastParams, aggregate_nodes, bottom_node, bottom_panel,
                                        expanding_windows, membership)
@@ -95,11 +96,14 @@ def crossval(df: DataFrame, params: ForecastParams, grid: DataFrame | None = Non
         settings = [(g, m, w, ts_override) for g, m, w, _ in settings]
     panel, keys = bottom_panel(df, params)
     d, v = params.date_col, params.value_col
-    memb = membership(panel, keys)
+    # the panel, the summing structure and the base forecasts feed several
+    # jobs (each setting, the solver, the actuals): store each once
+    panel = materialize(panel)
+    memb = materialize(membership(panel, keys))
     nodes = aggregate_nodes(panel, keys, d, v)
     windows = expanding_windows(nodes, d, nfolds)
     fc = base_node_forecasts(windows, ["origin", "node"], d, v, 1, [s[3] for s in settings])
-    fc = fc.join(nodes.select("node", "level").distinct(), on="node")
+    fc = materialize(fc.join(nodes.select("node", "level").distinct(), on="node"))
     bottoms = _reconciled_bottoms(fc, memb, settings, len(keys), ["origin", "step"], tol)
     fcast = bottoms.where(F.col("step") == 1).select("grid_id", "origin", "bottom", F.col("fcast").alias("fcast1"))
     # actuals at each origin month (dense panel: a series without sales that
@@ -151,10 +155,11 @@ def future_forecast(df: DataFrame, params: ForecastParams, ts_override: str | No
     d, v = params.date_col, params.value_col
     if not keys:                                   # T05: one series left -> arima, clamp
         ts = ts_override or "arima"
-    memb = membership(panel, keys)
+    panel = materialize(panel)
+    memb = materialize(membership(panel, keys))
     nodes = aggregate_nodes(panel, keys, d, v).withColumn("run", F.lit(0))
     fc = base_node_forecasts(nodes, ["run", "node"], d, v, params.horizon, [ts])
-    fc = fc.join(nodes.select("node", "level").distinct(), on="node")
+    fc = materialize(fc.join(nodes.select("node", "level").distinct(), on="node"))
     method = params.gts_method if keys else "bu"
     settings = [(0, method, params.comb_weights, ts)]
     b = _reconciled_bottoms(fc, memb, settings, len(keys), ["run", "step"], tol)

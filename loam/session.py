@@ -74,3 +74,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
     return {n: read_table(spark, sf_dir, n) for n in names}
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Store an intermediate that several later jobs read: persisted, then
+    written with a reliable checkpoint to the shared folder (read back from
+    the cache, so it is computed once); the returned frame reads the files."""
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
