@@ -120,14 +120,29 @@ def fit(df: DataFrame, formula: str | None, name: str, params: dict | None = Non
 def fit_logit(df: DataFrame, formula: str, max_features: int = GLR_MAX_FEATURES, **params) -> PipelineModel:
     """Maximum-likelihood binomial GLM with coefficient standard
     errors when the design has at most ``max_features`` columns; wider inputs
-    fall back to unpenalised ``LogisticRegression`` (no standard errors)."""
-    rf = formula_stage(formula).fit(df)
-    width = rf.transform(df.limit(1)).select("features").first()[0].size
+    fall back to unpenalised ``LogisticRegression`` (no standard errors).
+
+    Factors are encoded with one real level as reference (full-rank design,
+    as R does); rows whose level was not seen in fitting are left out when
+    this model scores (``handleInvalid='skip'``) -- with 'keep' the extra
+    unseen bucket would be the dropped column and the design would be
+    collinear with the intercept."""
+    rf = formula_stage(formula, handle_invalid="skip").fit(df)
+    width = vector_width(rf.transform(df))
     est = (_glr_binomial(**params) if width <= max_features
            else LogisticRegression(regParam=0.0, **params))
     return Pipeline(stages=[rf, est]).fit(df)
 
 
+def vector_width(transformed: DataFrame, features_col: str = "features") -> int:
+    """Length of an assembled feature vector, read from the column's ML
+    metadata (analysis only, no job)."""
+    meta = transformed.schema[features_col].metadata.get("ml_attr", {})
+    if "num_attrs" in meta:
+        return int(meta["num_attrs"])
+    return len(feature_names(transformed, features_col))
+
+
 def feature_names(transformed: DataFrame, features_col: str = "features") -> list[str]:
     """Names of the vector slots from the column's ML attribute metadata."""
     meta = transformed.schema[features_col].metadata.get("ml_attr", {})
@@ -144,7 +159,7 @@ def coefficient_table(spark, model: PipelineModel, sample: DataFrame | None = No
     output on ``sample`` (one row is enough)."""
     last = model.stages[-1]
     if terms is None and sample is not None:
-        terms = feature_names(model.transform(sample.limit(1)))
+        terms = feature_names(model.transform(sample))      # schema metadata only, no job
     names = list(terms or [])
     coefs = list(last.coefficients.toArray()) if hasattr(last, "coefficients") else []
     rows = [("(Intercept)", float(getattr(last, "intercept", 0.0)))] + [

@@ -180,7 +180,7 @@ def q_m11(spark, sf):
                          ("neuralnet_class", {"layers": None, "maxIter": 50}),
                          ("logistic", {"regParam": 0.01})]:
         if name == "neuralnet_class":
-            width = md.formula_stage(formula).fit(train).transform(train.limit(1)).first()["features"].size
+            width = md.vector_width(md.formula_stage(formula).fit(train).transform(train))
             params = {"layers": [width, 8, 2], "maxIter": 50, "seed": 1}
         model = md.fit(train, formula, name, params)
         kind = md.TASK_KIND[name]
