@@ -102,7 +102,8 @@ class _Store:
 
 
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
-            tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None) -> DataFrame:
+            tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None,
+            inputs_stored: bool = False) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
     Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
@@ -117,10 +118,12 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
     k = [*sys_keys, "bottom"]
     store = _Store()
     # Inputs of the loop stored once, so no step re-plans or recomputes the
-    # forecasting lineage above them.
-    membership = store.keep(membership.select("bottom", "node"), True)
-    weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
-    node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
+    # forecasting lineage above them (skipped when the caller already derives
+    # them from stored frames by cheap projections).
+    if not inputs_stored:
+        membership = store.keep(membership.select("bottom", "node"), True)
+        weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
+        node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
     diag = weights.join(membership, on="node").groupBy(*k).agg(F.sum("w").alias("dg"))
     # right-hand side c = S'W yhat
     wy = node_fc.join(weights, on=[*sys_keys, "node"]).select(
@@ -131,7 +134,7 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         start = start.join(x0.select(*k, F.col("fcast").alias("x")), on=k, how="left")
     else:
         start = start.withColumn("x", F.lit(None).cast("double"))
-    start = store.keep(start.withColumn("x", F.coalesce("x", F.lit(0.0))), True)
+    start = store.keep(start.withColumn("x", F.coalesce("x", F.lit(0.0))), False)
     ax = _A(start.select(*k, F.col("x").alias("v")), membership, weights, sys_keys, "v")
     state = store.keep(start.join(ax, on=k, how="left").fillna(0.0, subset=["v"])
                             .withColumn("r", F.col("c") - F.col("v"))
@@ -183,9 +186,9 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
             store.release_older_than(8)
         else:
             raise RuntimeError(f"reconciliation did not converge in {max_iter} steps (residual {worst})")
-        # the result is written out so that the caller's plan does not depend
-        # on cached frames released below
-        return state.select(*k, F.col("x").alias("fcast")).checkpoint(eager=True)
+        # ``state`` is a checkpointed frame (it reads the written files), so
+        # the result does not depend on the cached frames released below
+        return state.select(*k, F.col("x").alias("fcast"))
     finally:
         store.release_all()
 

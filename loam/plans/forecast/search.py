@@ -60,7 +60,9 @@ def _reconciled_bottoms(fc: DataFrame, memb: DataFrame, settings: Sequence[tuple
             wts = w if wts is None else wts.unionByName(w)
         x0 = node_fc.where(F.col("level") == level_bottom).select(
             "grid_id", *keys_sys, F.col("node").alias("bottom"), "fcast")
-        parts.append(reconcile.combine(node_fc, memb, ["grid_id", *keys_sys], wts, tol=tol, x0=x0))
+        # memb and fc are stored by the callers; node_fc / wts are projections of them
+        parts.append(reconcile.combine(node_fc, memb, ["grid_id", *keys_sys], wts, tol=tol, x0=x0,
+                                       inputs_stored=True))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

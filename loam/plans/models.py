@@ -127,11 +127,17 @@ def fit_logit(df: DataFrame, formula: str, max_features: int = GLR_MAX_FEATURES,
     this model scores (``handleInvalid='skip'``) -- with 'keep' the extra
     unseen bucket would be the dropped column and the design would be
     collinear with the intercept."""
+    from pyspark import StorageLevel
     rf = formula_stage(formula, handle_invalid="skip").fit(df)
     width = vector_width(rf.transform(df))
     est = (_glr_binomial(**params) if width <= max_features
            else LogisticRegression(regParam=0.0, **params))
-    return Pipeline(stages=[rf, est]).fit(df)
+    # IRLS passes over the data once per iteration and does not cache its input
+    data = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=[rf, est]).fit(data)
+    finally:
+        data.unpersist()
 
 
 def vector_width(transformed: DataFrame, features_col: str = "features") -> int:
