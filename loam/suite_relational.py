@@ -766,3 +766,13 @@ def q_u02(spark, sf):
                                                           pdf.dropoff_longitude, pdf.dropoff_latitude))
     out = add_columns_in_batches(t, fn, "direct_distance double")
     return r6(out.select("o_orderkey", "hack_license", "passenger_count", "direct_distance"), "direct_distance")
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("A09_crosstab_wide_layout", with_views(
+    "SELECT PredictedLabel, " + ", ".join(f"CAST(count_if(category = '{c}') AS BIGINT) AS {c}" for c in EVENT_TYPES)
+    + " FROM scored GROUP BY PredictedLabel", "scored"))
+def q_a09w(spark, sf):
+    return rel.crosstab_wide(view(spark, sf, "scored"), "PredictedLabel", "category", EVENT_TYPES)

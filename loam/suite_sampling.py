@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loam.functions.geo import dlit
 from loam.operators import sampling as smp
 from loam.operators.ranking import group_row_number
 from loam.sources.views import view, with_ctes, with_views
