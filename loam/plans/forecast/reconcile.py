@@ -53,23 +53,56 @@ def node_weights(membership: DataFrame, node_fc: DataFrame, sys_keys: Sequence[s
     raise ValueError(f"unknown weights {scheme!r}")
 
 
-def _S(v: DataFrame, membership: DataFrame, sys_keys, col: str) -> DataFrame:
-    """(S v) per (system, node)."""
-    return (v.select(*sys_keys, "bottom", col).join(membership.select("bottom", "node"), on="bottom")
-             .groupBy(*sys_keys, "node").agg(F.sum(col).alias(col)))
-
-
-def _St(u: DataFrame, membership: DataFrame, sys_keys, col: str) -> DataFrame:
-    """(S' u) per (system, bottom)."""
-    return (u.select(*sys_keys, "node", col).join(membership.select("bottom", "node"), on="node")
-             .groupBy(*sys_keys, "bottom").agg(F.sum(col).alias(col)))
-
-
-def _A(v: DataFrame, membership: DataFrame, w: DataFrame, sys_keys, col: str) -> DataFrame:
-    """(S' W S v) per (system, bottom)."""
-    sv = _S(v, membership, sys_keys, col)
-    wsv = sv.join(w, on=[*sys_keys, "node"]).select(*sys_keys, "node", (F.col(col) * F.col("w")).alias(col))
-    return _St(wsv, membership, sys_keys, col)
+class _Structure:
+    """The summing matrix S split into its bottom rows (identity: a bottom
+    node *is* its bottom series) and its upper rows (total and one node per
+    value of each key -- their number is bounded by the key cardinalities,
+    not by the data).  Products never join on an upper node against the whole
+    membership table (the total node covers every series, a hot key): the
+    upper-node vectors are broadcast when their checked size allows, and the
+    bottom part joins on the series key, which is evenly spread."""
+
+    def __init__(self, membership: DataFrame, n_systems: int, broadcast_rows: int = 2_000_000):
+        self.up = membership.where(F.col("node") != F.col("bottom")).select("bottom", "node")
+        self.up_nodes = self.up.select("node").distinct()
+        n_up = self.up_nodes.count()                              # small: one row per upper node
+        self.bcast = n_up * max(n_systems, 1) <= broadcast_rows
+        self.up_nodes_small = F.broadcast(self.up_nodes) if n_up <= broadcast_rows else self.up_nodes
+
+    def flag(self, w: DataFrame) -> DataFrame:
+        """Weights with an ``up`` flag (upper node or bottom node); every
+        node-level vector of the solver inherits it through its join with the
+        weights, so splitting needs no further join."""
+        return (w.join(self.up_nodes_small.withColumn("up", F.lit(True)), on="node", how="left")
+                 .fillna(False, subset=["up"]))
+
+    def _b(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.bcast else df
+
+    def S(self, v: DataFrame, sys_keys, col: str) -> DataFrame:
+        """(S v) per (system, node) from v per (system, bottom)."""
+        bottom = v.select(*sys_keys, F.col("bottom").alias("node"), col)
+        upper = (v.select(*sys_keys, "bottom", col).join(self.up, on="bottom")
+                  .groupBy(*sys_keys, "node").agg(F.sum(col).alias(col)))      # partial aggregation first
+        return bottom.unionByName(upper)
+
+    def St(self, u: DataFrame, sys_keys, col: str) -> DataFrame:
+        """(S' u) per (system, bottom) from u per (system, node) carrying the
+        ``up`` flag."""
+        u = u.select(*sys_keys, "node", col, "up")
+        u_up = u.where(F.col("up")).drop("up")
+        u_bot = u.where(~F.col("up")).drop("up").withColumnRenamed("node", "bottom")
+        contrib = (self.up.join(self._b(u_up), on="node")
+                       .groupBy(*sys_keys, "bottom").agg(F.sum(col).alias(col)))
+        return (u_bot.unionByName(contrib.select(*sys_keys, "bottom", col))
+                     .groupBy(*sys_keys, "bottom").agg(F.sum(col).alias(col)))
+
+    def A(self, v: DataFrame, w: DataFrame, sys_keys, col: str) -> DataFrame:
+        """(S' W S v) per (system, bottom)."""
+        sv = self.S(v, sys_keys, col)
+        wsv = sv.join(w, on=[*sys_keys, "node"]).select(*sys_keys, "node", (F.col(col) * F.col("w")).alias(col),
+                                                          "up")
+        return self.St(wsv, sys_keys, col)
 
 
 class _Store:
@@ -124,18 +157,21 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         membership = store.keep(membership.select("bottom", "node"), True)
         weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
         node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
-    diag = weights.join(membership, on="node").groupBy(*k).agg(F.sum("w").alias("dg"))
+    n_systems = weights.select(*sys_keys).distinct().count()      # fixed by the parameters
+    struct = _Structure(membership, n_systems)
+    weights = store.keep(struct.flag(weights), False)
+    diag = struct.St(weights.withColumnRenamed("w", "dg"), sys_keys, "dg")
     # right-hand side c = S'W yhat
     wy = node_fc.join(weights, on=[*sys_keys, "node"]).select(
-        *sys_keys, "node", (F.col("fcast") * F.col("w")).alias("c"))
-    c = _St(wy, membership, sys_keys, "c")
+        *sys_keys, "node", (F.col("fcast") * F.col("w")).alias("c"), "up")
+    c = struct.St(wy, sys_keys, "c")
     start = c.join(diag, on=k)
     if x0 is not None:
         start = start.join(x0.select(*k, F.col("fcast").alias("x")), on=k, how="left")
     else:
         start = start.withColumn("x", F.lit(None).cast("double"))
     start = store.keep(start.withColumn("x", F.coalesce("x", F.lit(0.0))), False)
-    ax = _A(start.select(*k, F.col("x").alias("v")), membership, weights, sys_keys, "v")
+    ax = struct.A(start.select(*k, F.col("x").alias("v")), weights, sys_keys, "v")
     state = store.keep(start.join(ax, on=k, how="left").fillna(0.0, subset=["v"])
                             .withColumn("r", F.col("c") - F.col("v"))
                             .withColumn("z", F.col("r") / F.col("dg"))
@@ -161,7 +197,7 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
                 SOLVE_LOG.append((it - 1, worst))
                 break
             norms = F.broadcast(spark.createDataFrame(rows, sys_schema))
-            ap = _A(state.select(*k, F.col("p").alias("ap")), membership, weights, sys_keys, "ap")
+            ap = struct.A(state.select(*k, F.col("p").alias("ap")), weights, sys_keys, "ap")
             st = store.keep(state.join(ap, on=k, how="left").fillna(0.0, subset=["ap"]), False)
             alpha = (st.groupBy(*sys_keys).agg(F.sum(F.col("p") * F.col("ap")).alias("pap"))
                        .join(norms, on=sys_keys)
