@@ -46,11 +46,15 @@ def bottom_panel(df: DataFrame, params: ForecastParams, drop_constant: bool = Tr
 
     Key columns with one value are dropped from the grouping (they add no
     node); returns the panel and the key columns kept."""
+    from loam.session import materialize
     keys = list(params.keys)
-    m = monthly_sum(df, params.date_col, keys, params.value_col)
+    # the monthly sums (keys x months, far smaller than the rows) are stored
+    # once; the constant-key test and the panel both read them, so the fact
+    # rows are scanned a single time
+    m = materialize(monthly_sum(df, params.date_col, keys, params.value_col))
     kept = keys
     if drop_constant:
-        const = set(constant_columns(df.select(*keys)))
+        const = set(constant_columns(m.select(*keys)))
         kept = [k for k in keys if k not in const]
         if len(kept) < len(keys):
             m = m.groupBy(params.date_col, *kept).agg(F.sum(params.value_col).alias(params.value_col))
