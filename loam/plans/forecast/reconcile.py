@@ -136,7 +136,7 @@ class _Store:
 
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
             tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None,
-            inputs_stored: bool = False) -> DataFrame:
+            inputs_stored: bool = False, broadcast_rows: int = 2_000_000) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
     Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
@@ -158,7 +158,7 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
         node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
     n_systems = weights.select(*sys_keys).distinct().count()      # fixed by the parameters
-    struct = _Structure(membership, n_systems)
+    struct = _Structure(membership, n_systems, broadcast_rows)
     weights = store.keep(struct.flag(weights), False)
     diag = struct.St(weights.withColumnRenamed("w", "dg"), sys_keys, "dg")
     # right-hand side c = S'W yhat

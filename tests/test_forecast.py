@@ -36,12 +36,15 @@ def test_combine_matches_dense_solve(spark):
     var = rng.uniform(0.5, 2.0, size=len(nodes))
     fc = spark.createDataFrame([(0, n, float(y), float(v)) for n, y, v in zip(nodes, yhat, var)],
                                "run int, node string, fcast double, resid_var double")
-    for scheme, w in (("ols", np.ones(len(nodes))), ("nseries", 1 / S.sum(axis=1)), ("wls", 1 / var)):
+    cases = (("ols", np.ones(len(nodes)), 2_000_000), ("nseries", 1 / S.sum(axis=1), 2_000_000),
+             ("wls", 1 / var, 2_000_000), ("wls", 1 / var, 0))          # 0: upper rows not broadcast
+    for scheme, w, bcast in cases:
         W = np.diag(w)
         expect = np.linalg.solve(S.T @ W @ S, S.T @ W @ yhat)
         wts = reconcile.node_weights(memb, fc, ["run"], scheme)
-        got = {r["bottom"]: r["fcast"] for r in reconcile.combine(fc, memb, ["run"], wts, tol=1e-12).collect()}
-        assert np.allclose([got[b] for b in bottoms], expect, atol=1e-8), scheme
+        got = {r["bottom"]: r["fcast"] for r in
+               reconcile.combine(fc, memb, ["run"], wts, tol=1e-12, broadcast_rows=bcast).collect()}
+        assert np.allclose([got[b] for b in bottoms], expect, atol=1e-8), (scheme, bcast)
 
 
 def test_reconciled_parents_equal_children_sums(spark):
