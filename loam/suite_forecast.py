@@ -178,7 +178,7 @@ def q_t13(spark, sf):
                  .fillna(False, subset=["chosen"])
 
 
-@query("T14_future_forecast_chosen_setting")
+@query("T01_T14_future_forecast_chosen_setting")
 def q_t14(spark, sf):
     d = _demand(spark, sf)
     _, best = fs.search(d, PARAMS)
