@@ -776,3 +776,11 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     + " FROM scored GROUP BY PredictedLabel", "scored"))
 def q_a09w(spark, sf):
     return rel.crosstab_wide(view(spark, sf, "scored"), "PredictedLabel", "category", EVENT_TYPES)
+
+
+@query("A11_approx_percentiles_sketch")
+def q_a11_sketch(spark, sf):
+    """A11, sketch form: mergeable quantile summaries (bounded memory per
+    task); values are within the sketch's rank error of the exact ones."""
+    from loam.operators.ranking import approx_quantiles
+    return approx_quantiles(view(spark, sf, "scored"), "Probability", PROBS, accuracy=10000)

@@ -73,3 +73,14 @@ def test_anti_join_equals_except_all_on_keys(spark):
     b = spark.range(0, 100, 3).withColumnRenamed("id", "k")
     assert sorted(r[0] for r in anti_join(a, b, ["k"]).collect()) == sorted(
         r[0] for r in a.exceptAll(b).collect())
+
+
+def test_sketch_quantiles_within_rank_error(spark):
+    from loam.operators.ranking import approx_quantiles
+    vals = np.sort(np.random.default_rng(5).normal(size=5000))
+    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
+    probs = [0.05, 0.25, 0.5, 0.75, 0.95]
+    got = {r["prob"]: r["value"] for r in approx_quantiles(df, "x", probs, accuracy=1000).collect()}
+    for p in probs:
+        rank = np.searchsorted(vals, got[p]) / len(vals)
+        assert abs(rank - p) <= 2.0 / 1000 + 1.0 / len(vals)
