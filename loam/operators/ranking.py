@@ -50,7 +50,11 @@ def group_row_number(df: DataFrame, order_cols: Sequence, group_cols: Sequence[s
     stats = stats.withColumn("_before", F.coalesce(F.sum("_n").over(w_before), F.lit(0)))
     if size_name:
         stats = stats.withColumn(size_name, F.sum("_n").over(Window.partitionBy(*group_cols)))
-    st = stats.alias("st")
+    # Without group columns the offsets table has at most one row per
+    # partition (a proven bound), so it is broadcast and the sorted rows stay
+    # where they are; with groups its size follows the group count and AQE
+    # decides from the measured size.
+    st = (F.broadcast(stats) if not group_cols else stats).alias("st")
     cond = [F.col("s._pid") == F.col("st._pid")]
     cond += [F.col(f"s.{g}").eqNullSafe(F.col(f"st.{g}")) for g in group_cols]
     keep = [F.col(f"s.{c}") for c in df.columns]
