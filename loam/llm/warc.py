@@ -131,8 +131,10 @@ def write(df: DataFrame, folder: str, page_id: str = "page_id", url: str = "url"
 def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
     """The records that ``index`` names: ``RECORDS`` (null payload for
     revisits, and for all if ``payloads`` is false)."""
+    # by bytes to read, not by the size of the index rows; a number keeps Spark from merging the partitions
+    regions = int((index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]) // (REGION // 4)) + 1
     picked = (index.select("archive", "offset", "length", F.floor(F.col("offset") / REGION).alias("region"))
-                   .repartition("archive", "region").sortWithinPartitions("archive", "offset"))
+                   .repartition(regions, "archive", "region").sortWithinPartitions("archive", "offset"))
     names = [x.split()[0] for x in RECORDS.split(", ")]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
