@@ -20,7 +20,6 @@ packed each; an empty table gives none.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -34,9 +33,59 @@ from loam.llm.tokens import tokenizer
 
 CAPACITY = 4096
 ITEMS = 50_000
-REMEMBER = 400_000
-_POINT = re.compile(rb"(?<=[a-z])([.,])(?=[ \n]|\Z)")
+REMEMBER = 500_000
 _KNOWN: dict[str, dict[bytes, bytes]] = {}
+_CLOSES: dict[str, np.ndarray] = {}
+
+
+def _ends(path: str) -> np.ndarray:
+    """Which ids close a piece of the tokenizer's splitting."""
+    if path not in _CLOSES:
+        t = tokenizer(path)
+        _CLOSES[path] = np.array([(t.id_to_token(i) or "").endswith("</w>") for i in range(t.get_vocab_size())])
+    return _CLOSES[path]
+
+
+def _learn(chunks: list[bytes], path: str, known: dict[bytes, bytes]) -> None:
+    """Remember the ids of chunks without white space.
+
+    Chunks of letters are one piece each, so many go to the tokenizer as one
+    text, whose ids part behind each closing id; where the number of closing
+    ids is not that of the chunks, they go one by one.  A full stop or comma
+    behind letters is a piece of its own."""
+    t, le = tokenizer(path), np.dtype("<u4")
+    letters, pointed, other = set(), [], []
+    for w in chunks:
+        head = w[:-1]
+        if w.isalpha() or w.decode("utf-8", "surrogatepass").isalpha():
+            letters.add(w)
+        elif w[-1:] in (b".", b",") and len(w) > 1 and (head.isalpha() or head.decode("utf-8", "replace").isalpha()):
+            pointed.append(w)
+            letters.add(head)
+        else:
+            other.append(w)
+    other += [p for p in (b".", b",") if p not in known]
+    words = [w for w in letters if w not in known]
+    groups = [words[a:a + 256] for a in range(0, len(words), 256)]
+    for a in range(0, len(groups), 64):
+        part = groups[a:a + 64]
+        for g, e in zip(part, t.encode_batch_fast([b" ".join(g).decode("utf-8", "surrogatepass") for g in part],
+                                                  add_special_tokens=False)):
+            ids = np.array(e.ids, le)
+            stops = np.flatnonzero(_ends(path)[ids]) + 1
+            if len(stops) == len(g) and stops[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for w, z in zip(g, (4 * stops).tolist()):
+                    known[w] = raw[at:z]
+                    at = z
+            else:
+                other.extend(g)
+    for a in range(0, len(other), 4096):
+        part = other[a:a + 4096]
+        for w, e in zip(part, t.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)):
+            known[w] = np.array(e.ids, le).tobytes()
+    for w in pointed:
+        known[w] = known[w[:-1]] + known[w[-1:]]
 
 
 def encode(texts: list[str | None], path: str, end: int) -> list[bytes]:
@@ -45,7 +94,6 @@ def encode(texts: list[str | None], path: str, end: int) -> list[bytes]:
     known = _KNOWN.setdefault(path, {})
     if len(known) > REMEMBER:
         known.clear()
-    le = np.dtype("<u4")
     stop = int(end).to_bytes(4, "little")
     split: list[list[bytes] | None] = []
     new: set[bytes] = set()
@@ -54,22 +102,12 @@ def encode(texts: list[str | None], path: str, end: int) -> list[bytes]:
         if b"<|" in raw:  # may hold a special string, whose letters' case counts
             split.append(None)
             continue
-        # lower case and a full stop or comma after a letter: pieces of their own in the tokenizer's pattern
-        words = _POINT.sub(rb" \1", raw.lower()).split()
+        words = raw.lower().split()
         split.append(words)
-        new.update(w for w in words if w not in known)
-    fresh = list(new)
-    for a in range(0, len(fresh), 4096):
-        part = fresh[a:a + 4096]
-        for w, e in zip(part, t.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in part], add_special_tokens=False)):
-            known[w] = np.array(e.ids, le).tobytes()
-    out = []
-    for text, words in zip(texts, split):
-        if words is None:
-            out.append(np.array(t.encode(text, add_special_tokens=False).ids, le).tobytes() + stop)
-        else:
-            out.append(b"".join([known[w] for w in words]) + stop)
-    return out
+        new |= set(words).difference(known)
+    _learn(list(new), path, known)
+    return [np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + stop if words is None
+            else b"".join(map(known.__getitem__, words)) + stop for text, words in zip(texts, split)]
 
 
 def pieces(df: DataFrame, path: str, text: str = "text", end: int = 1, carry: tuple[str, ...] = ("doc_id",),
