@@ -33,7 +33,7 @@ from loam.llm.tokens import tokenizer
 
 CAPACITY = 4096
 ITEMS = 50_000
-REMEMBER = 500_000
+REMEMBER = 1_000_000
 _KNOWN: dict[str, dict[bytes, bytes]] = {}
 _CLOSES: dict[str, np.ndarray] = {}
 
@@ -95,19 +95,29 @@ def encode(texts: list[str | None], path: str, end: int) -> list[bytes]:
     if len(known) > REMEMBER:
         known.clear()
     stop = int(end).to_bytes(4, "little")
-    split: list[list[bytes] | None] = []
+    out: list = []
     new: set[bytes] = set()
+    gaps = []
     for text in texts:
         raw = utf8(text)
         if b"<|" in raw:  # may hold a special string, whose letters' case counts
-            split.append(None)
+            out.append(np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + stop)
             continue
         words = raw.lower().split()
-        split.append(words)
-        new |= set(words).difference(known)
+        ids = list(map(known.get, words))
+        if None in ids:
+            lack = [(i, words[i]) for i, x in enumerate(ids) if x is None]
+            new.update([w for _, w in lack])
+            gaps.append((len(out), lack, ids))
+            out.append(None)
+        else:
+            out.append(b"".join(ids) + stop)
     _learn(list(new), path, known)
-    return [np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes() + stop if words is None
-            else b"".join(map(known.__getitem__, words)) + stop for text, words in zip(texts, split)]
+    for at, lack, ids in gaps:
+        for i, w in lack:
+            ids[i] = known[w]
+        out[at] = b"".join(ids) + stop
+    return out
 
 
 def pieces(df: DataFrame, path: str, text: str = "text", end: int = 1, carry: tuple[str, ...] = ("doc_id",),
