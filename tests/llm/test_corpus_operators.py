@@ -181,7 +181,7 @@ def test_lm_probabilities_add_up():
         mass[leaves[w]] += c + 0.5
     m = lm.Model(mass)
     m.flat += np.random.default_rng(0).normal(0, 0.3, len(m.flat)).astype(np.float32)
-    feats = np.repeat(np.array([[1, 2, 3, 4]]), lm.LEAVES, axis=0)
+    feats = np.repeat(np.arange(lm.TEMPLATES)[:, None], lm.LEAVES, axis=1)
     p = 10 ** m.logp(feats, np.arange(lm.LEAVES))
     total = sum(p[leaves[w]] * (c + 0.5) / mass[leaves[w]] for w, c in counts.items()) + sum(p * 0.5 / mass)
     assert math.isclose(total, 1, rel_tol=1e-5)
@@ -190,7 +190,7 @@ def test_lm_probabilities_add_up():
 def test_lm_gradient():
     rng = np.random.default_rng(5)
     m = lm.Model(rng.random(lm.LEAVES) + 1)
-    feats, leaves = rng.integers(0, lm.FEATURES, (400, 4)), rng.integers(0, 4, 400)
+    feats, leaves = rng.integers(0, lm.FEATURES, (lm.TEMPLATES, 400)), rng.integers(0, 4, 400)
     before = m.logp(feats, leaves).mean()
     for _ in range(5):
         m.learn(feats, leaves)
