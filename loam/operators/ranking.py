@@ -6,13 +6,19 @@ of the data.  The operators here get the same exact numbers from a
 range-partitioned sort instead:
 
 1. ``orderBy(group, order)``: range exchange + local sort, spread over all
-   partitions however skewed the groups are;
-2. per (partition, group): row count and first row id -- a table with at most
+   partitions however skewed the groups are; the sorted rows are **written
+   once**, each with the number of its sort partition and its place in it, so
+   every later step reads the same partitioning (a second evaluation of the
+   sort would sample other bounds);
+2. per (partition, group): row count and first place -- a table with at most
    ``#partitions + #groups`` rows;
 3. a window over that small table gives, for each (partition, group), how many
    rows of the group sit in earlier partitions;
 4. rank = rows before + position inside the partition.
 
+Quantiles count each distinct value first and rank the values, so tied values
+are one row, never one task.
+
 Used by exact quantiles (A11, O03), exact training fractions (H09, W04) and
 equal-size row sets (H05).
 """
@@ -24,6 +30,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loam.session import materialize
+
 
 def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
@@ -40,9 +48,9 @@ def group_row_number(df: DataFrame, order_cols: Sequence, group_cols: Sequence[s
     group_cols = _names(group_cols)
     order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     keys = [F.col(g).asc_nulls_first() for g in group_cols] + order
-    s = (df.orderBy(*keys)
-           .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
+    s = materialize(df.orderBy(*keys)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()), "sorted")
     stats = s.groupBy("_pid", *group_cols).agg(F.count(F.lit(1)).alias("_n"),
                                                F.min("_mid").alias("_first"))
     w_before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(
@@ -64,30 +72,49 @@ def group_row_number(df: DataFrame, order_cols: Sequence, group_cols: Sequence[s
     return s.alias("s").join(st, on=cond, how="inner").select(*keep, *extra)
 
 
+def _value_ranks(counts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Distinct values (groups, _v, _n) with ``_rn``, the rank of a value's
+    first row in its group, and ``_size``, the group's rows."""
+    keys = [F.col(g).asc_nulls_first() for g in group_cols] + [F.col("_v")]
+    s = materialize(counts.orderBy(*keys).withColumn("_pid", F.spark_partition_id())
+                          .withColumn("_mid", F.monotonically_increasing_id()), "values")
+    parts = s.groupBy("_pid", *group_cols).agg(F.sum("_n").alias("_rows"))
+    upto = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumns({"_before": F.coalesce(F.sum("_rows").over(upto), F.lit(0)),
+                               "_size": F.sum("_rows").over(Window.partitionBy(*group_cols))})
+    inside = Window.partitionBy("_pid", *group_cols).orderBy("_mid").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.withColumn("_in", F.coalesce(F.sum("_n").over(inside), F.lit(0))).alias("s")
+    cond = [F.col("s._pid") == F.col("p._pid")]
+    cond += [F.col(f"s.{g}").eqNullSafe(F.col(f"p.{g}")) for g in group_cols]
+    return s.join(parts.alias("p"), on=cond).select(
+        *[F.col(f"s.{g}") for g in group_cols], "s._v", "s._n", (F.col("_before") + F.col("_in")).alias("_rn"), "_size")
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     group_cols: Sequence[str] = (), prob_name: str = "prob",
                     value_name: str = "value") -> DataFrame:
     """Exact quantiles with linear interpolation (type 7; equals
     ``percentile`` / DuckDB ``quantile_cont``), one row per (group, prob).
 
-    Nulls are skipped.  Only the <= 2 rows per requested probability leave the
-    sort, so the result is small whatever the input size.
+    Nulls are skipped.  Values are counted first, so ties of any number are
+    one row; a distinct value stands for the ranks from the count of smaller
+    values on.  Only the <= 2 values per requested probability leave the sort.
     """
     group_cols = _names(group_cols)
     probs = [float(p) for p in probs]
     x = df.select(*group_cols, F.col(col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = group_row_number(x, ["_v"], group_cols, name="_rn", size_name="_size")
+    ranked = _value_ranks(x.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n")), group_cols)
     parr = F.array(*[F.lit(p) for p in probs])
     h = lambda p: (F.col("_size") - 1).cast("double") * p
-    needed = ranked.where(F.exists(parr, lambda p: (F.floor(h(p)) == F.col("_rn"))
-                                   | (F.ceil(h(p)) == F.col("_rn"))))
+    at = lambda r: (r >= F.col("_rn")) & (r < F.col("_rn") + F.col("_n"))
+    needed = ranked.where(F.exists(parr, lambda p: at(F.floor(h(p))) | at(F.ceil(h(p)))))
     hit = (needed
-           .select(*group_cols, "_v", "_rn", "_size", F.explode(parr).alias(prob_name))
+           .select(*group_cols, "_v", "_rn", "_n", "_size", F.explode(parr).alias(prob_name))
            .withColumn("_h", h(F.col(prob_name)))
-           .where((F.floor("_h") == F.col("_rn")) | (F.ceil("_h") == F.col("_rn"))))
+           .where(at(F.floor("_h")) | at(F.ceil("_h"))))
     agg = hit.groupBy(*group_cols, prob_name).agg(
-        F.max(F.when(F.col("_rn") == F.floor("_h"), F.col("_v"))).alias("_lo"),
-        F.max(F.when(F.col("_rn") == F.ceil("_h"), F.col("_v"))).alias("_hi"),
+        F.max(F.when(at(F.floor("_h")), F.col("_v"))).alias("_lo"),
+        F.max(F.when(at(F.ceil("_h")), F.col("_v"))).alias("_hi"),
         F.first("_h").alias("_h"))
     frac = F.col("_h") - F.floor("_h")
     return agg.select(*group_cols, prob_name,

@@ -162,8 +162,11 @@ def calendar_panel(df: DataFrame, keys: Sequence[str], date_col: str, value_col:
     hi = df.select(F.max(date_col)).scalar()
     grid = (df.select(*keys).distinct()
               .select(*keys, F.explode(F.sequence(lo, hi, F.expr(f"INTERVAL {step}"))).alias(date_col)))
-    return (grid.join(df, on=keys + [date_col], how="left")
-                .withColumn(value_col, F.coalesce(F.col(value_col), F.lit(fill))))
+    same = [F.col(f"g.{c}").eqNullSafe(F.col(f"d.{c}")) for c in keys + [date_col]]
+    rest = [F.col(f"d.{c}") for c in df.columns if c not in {*keys, date_col}]
+    out = grid.alias("g").join(df.alias("d"), on=same, how="left").select(
+        *[F.col(f"g.{c}") for c in keys + [date_col]], *rest)
+    return out.withColumn(value_col, F.coalesce(F.col(value_col), F.lit(fill)))
 
 
 def expand_grid(spark, levels: Mapping[str, Sequence], id_col: str = "grid_id") -> DataFrame:
@@ -296,9 +299,26 @@ def crosstab_long(df: DataFrame, a: str, b: str, name: str = "n") -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias(name))
 
 
-def crosstab_wide(df: DataFrame, rows: str, cols: str, values: Sequence) -> DataFrame:
-    """A09 wide layout; ``values`` lists the column levels (no extra pass)."""
-    return df.groupBy(rows).pivot(cols, list(values)).count().fillna(0)
+def _levels(df: DataFrame, col: str, values: Sequence | None) -> tuple[DataFrame, list]:
+    """The levels that become columns: from the data if ``values`` is None
+    (Spark refuses more than ``spark.sql.pivotMaxValues``), else as listed; a
+    value outside the list fails the query instead of vanishing."""
+    if values is None:
+        most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+        found = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(most + 1).collect()]
+        if len(found) > most:
+            raise ValueError(f"{col} has more than {most} levels")
+        return df, sorted(found)
+    bad = F.concat(F.lit(f"{col} has a value outside the listed levels: "), F.col(col).cast("string"))
+    listed = F.when(F.col(col).isNull() | F.col(col).isin(list(values)), F.col(col)).otherwise(F.raise_error(bad))
+    return df.withColumn(col, listed), list(values)
+
+
+def crosstab_wide(df: DataFrame, rows: str, cols: str, values: Sequence | None = None) -> DataFrame:
+    """A09 wide layout; ``values`` lists the column levels (no extra pass),
+    None takes them from the data."""
+    df, values = _levels(df, cols, values)
+    return df.groupBy(rows).pivot(cols, values).count().fillna(0)
 
 
 def crosstab_predicates(df: DataFrame, by: str, predicates: Mapping[str, Column]) -> DataFrame:
@@ -418,11 +438,12 @@ def wide_to_long(df: DataFrame, ids: Sequence[str], values: Sequence[str], var_n
     return df.unpivot(list(ids), list(values), var_name, value_name)
 
 
-def long_to_wide(df: DataFrame, ids: Sequence[str], pivot_col: str, values: Sequence,
+def long_to_wide(df: DataFrame, ids: Sequence[str], pivot_col: str, values: Sequence | None,
                  measure: str, fill=0.0) -> DataFrame:
     """``spread`` with fill; ``values`` fixes the output columns (no
-    extra distinct pass, bounded width)."""
-    out = df.groupBy(*ids).pivot(pivot_col, list(values)).agg(F.sum(measure))
+    extra distinct pass, bounded width), None takes them from the data."""
+    df, values = _levels(df, pivot_col, values)
+    out = df.groupBy(*ids).pivot(pivot_col, values).agg(F.sum(measure))
     return out.fillna(fill, subset=[str(v) for v in values])
 
 
@@ -440,10 +461,11 @@ def separate(df: DataFrame, col: str, into: Sequence[str], sep: str = "_") -> Da
     return df.withColumns({n: parts.getItem(i) for i, n in enumerate(into)})
 
 
-def transpose(df: DataFrame, id_col: str, value_cols: Sequence[str], new_ids: Sequence,
+def transpose(df: DataFrame, id_col: str, value_cols: Sequence[str], new_ids: Sequence | None,
               var_name: str = "column") -> DataFrame:
     """Rows <-> columns for a small table: unpivot then pivot on the
-    old row ids (``new_ids`` lists them)."""
+    old row ids (``new_ids`` lists them, None takes them from the data)."""
+    df, new_ids = _levels(df, id_col, new_ids)
     long = df.unpivot([id_col], list(value_cols), var_name, "_v")
     return long.groupBy(var_name).pivot(id_col, list(new_ids)).agg(F.first("_v"))
 

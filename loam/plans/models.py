@@ -117,21 +117,23 @@ def fit(df: DataFrame, formula: str | None, name: str, params: dict | None = Non
     return Pipeline(stages=stages).fit(df)
 
 
-def fit_logit(df: DataFrame, formula: str, max_features: int = GLR_MAX_FEATURES, **params) -> PipelineModel:
+def fit_logit(df: DataFrame, formula: str, max_features: int = GLR_MAX_FEATURES,
+              full: DataFrame | None = None, **params) -> PipelineModel:
     """Maximum-likelihood binomial GLM with coefficient standard
-    errors when the design has at most ``max_features`` columns; wider inputs
-    fall back to unpenalised ``LogisticRegression`` (no standard errors).
+    errors.  A design above ``max_features`` columns is an error: the normal
+    equations do not hold it, and the caller must name another learner.
 
     Factors are encoded with one real level as reference (full-rank design,
-    as R does); rows whose level was not seen in fitting are left out when
-    this model scores (``handleInvalid='skip'``) -- with 'keep' the extra
-    unseen bucket would be the dropped column and the design would be
-    collinear with the intercept."""
+    as R does); their levels are those of ``full`` (train and test together,
+    P12), by default of ``df``.  Rows that cannot be encoded (null predictor,
+    level outside ``full``) are left out of the fit; scoring keeps them with a
+    null score (``scoring.transform_all``)."""
     from pyspark import StorageLevel
-    rf = formula_stage(formula, handle_invalid="skip").fit(df)
+    rf = formula_stage(formula, handle_invalid="skip").fit(df if full is None else full)
     width = vector_width(rf.transform(df))
-    est = (_glr_binomial(**params) if width <= max_features
-           else LogisticRegression(regParam=0.0, **params))
+    if width > max_features:
+        raise ValueError(f"the design has {width} columns, more than {max_features}: use learner 'logistic'")
+    est = _glr_binomial(**params)
     # IRLS passes over the data once per iteration and does not cache its input
     data = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -208,15 +210,19 @@ def top_coefficients(spark, model: PipelineModel, vocabulary: Sequence[str] | No
 # ----------------------------------------------------------------- ensemble
 def fit_parts_ensemble(df: DataFrame, part_col: str, n_parts: int, formula: str,
                        name: str = "btrees_reg", params: dict | None = None,
-                       parallelism: int = 4) -> list[PipelineModel]:
+                       parallelism: int = 4, full: DataFrame | None = None) -> list[PipelineModel]:
     """One model per disjoint part (H06), fitted concurrently: a driver
-    thread pool submits the Spark fits, each a distributed job on its part."""
+    thread pool submits the Spark fits, each a distributed job on its part.
+
+    The formula is fitted once, on ``full`` (default: all parts), so every
+    part's learner sees and scores the same encoding."""
     from pyspark import StorageLevel
-    params = dict(params or {})
-    data = df.persist(StorageLevel.MEMORY_AND_DISK)      # one scan feeds all part fits
+    rf = formula_stage(formula).fit(df if full is None else full)
+    data = rf.transform(df).select(part_col, "features", "label").persist(StorageLevel.MEMORY_AND_DISK)
 
     def one(p: int) -> PipelineModel:
-        return fit(data.where(F.col(part_col) == p), formula, name, params)
+        est = learner(name, featuresCol="features", labelCol="label", **dict(params or {}))
+        return PipelineModel(stages=[rf, est.fit(data.where(F.col(part_col) == p))])
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
             return list(ex.map(one, range(1, n_parts + 1)))

@@ -14,16 +14,30 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loam.session import materialize
+
 
 def _has(df: DataFrame, c: str) -> bool:
     return c in df.columns
 
 
+def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``model.transform`` that keeps every row: rows that a formula with
+    ``handleInvalid='skip'`` cannot encode come back with null outputs."""
+    first = model.stages[0]
+    if df.isStreaming or not (first.hasParam("handleInvalid") and first.getOrDefault("handleInvalid") == "skip"):
+        return model.transform(df)
+    base = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    out = model.transform(base)
+    new = [c for c in out.columns if c not in base.columns and c != "features"]
+    return base.join(out.select("_row", *new), on="_row", how="left").drop("_row")
+
+
 def score(model: PipelineModel, df: DataFrame, carry: Sequence[str] = (), name: str = "Score",
           response: bool = True) -> DataFrame:
     """Batch score with carried columns; ``response=True`` gives the
     positive-class probability for classifiers, the prediction otherwise."""
-    out = model.transform(df)
+    out = transform_all(model, df)
     if response and _has(out, "probability"):
         s = vector_to_array("probability").getItem(1)
     else:
@@ -33,7 +47,7 @@ def score(model: PipelineModel, df: DataFrame, carry: Sequence[str] = (), name:
 
 def score_label_raw_prob(model: PipelineModel, df: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """``PredictedLabel``, ``Score`` (raw margin) and ``Probability``."""
-    out = model.transform(df)
+    out = transform_all(model, df)
     cols = [*carry, (F.col("prediction") > 0.5).alias("PredictedLabel")]
     cols.append((vector_to_array("rawPrediction").getItem(1) if _has(out, "rawPrediction")
                  else F.col("prediction")).alias("Score"))
@@ -47,7 +61,7 @@ def score_many(models: Mapping[str, PipelineModel], df: DataFrame, carry: Sequen
     model; each model only sees the input columns, so stages cannot collide."""
     out = df
     for name, m in models.items():
-        scored = m.transform(out)
+        scored = transform_all(m, out)
         s = (vector_to_array("probability").getItem(1) if _has(scored, "probability") else F.col("prediction"))
         out = scored.select(*out.columns, s.alias(f"Score_{name}"))
     return out.select(*carry, *[f"Score_{n}" for n in models])

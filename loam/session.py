@@ -3,7 +3,8 @@ reading the parquet tables."""
 
 from __future__ import annotations
 
-import os
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +48,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints and intermediate tables.
 
     Uses the cluster's ``spark.checkpoint.dir`` (or the context's checkpoint
-    dir) when set.  Only when neither is set (local tests) a folder under the
-    system temp dir is chosen and registered.
+    dir).  Without either, a local session (tests) gets a temporary folder; any
+    other session fails, since its executors share no local folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -56,7 +57,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"loam-ckpt-{uuid.uuid4().hex[:8]}")
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = tempfile.mkdtemp(prefix="loam-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
@@ -76,13 +79,10 @@ def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]
     return {n: read_table(spark, sf_dir, n) for n in names}
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Store an intermediate that several later jobs read: persisted, then
-    written with a reliable checkpoint to the shared folder (read back from
-    the cache, so it is computed once); the returned frame reads the files."""
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Store an intermediate that several later jobs read: written once as
+    Parquet to the shared folder; the returned frame reads the files, with
+    their sizes known to the planner."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -69,12 +69,6 @@ def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def level_record(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Sorted level list per factor column: (column, levels, n_levels).
-
-    ``collect_set`` is merged map-side; meant for factor columns whose level
-    count is small by nature."""
-    agg = df.agg(*[F.array_sort(F.collect_set(F.col(c).cast("string"))).alias(f"l{i}")
-                   for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', l{i}" for i, c in enumerate(cols))
-    return (agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column, levels)")
-               .withColumn("n_levels", F.size("levels")))
+    """The levels of each factor column, one row per (column, level)."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
+    return df.select(F.explode(pairs).alias("p")).select("p.*").where("level IS NOT NULL").distinct()

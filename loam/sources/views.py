@@ -66,21 +66,23 @@ FROM {orders} JOIN {customer} ON o_custkey = c_custkey
             JOIN {region} ON n_regionkey = r_regionkey
 """,
     "names": """
-SELECT d.doc_id, substr(d.text, 1, 40) AS name, d.lang AS category, l.quality AS is_real
+SELECT d.doc_id, d.text AS name, d.lang AS category, l.quality AS is_real
 FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
 """,
     "reviews": """
 SELECT d.doc_id,
        concat('src/', CASE WHEN d.doc_id % 2 = 0 THEN 'train' ELSE 'test' END, '/',
-              CASE WHEN l.quality = 1 THEN 'pos' ELSE 'neg' END, '/', CAST(d.doc_id AS STRING), '_',
-              CAST(CASE WHEN l.quality = 1 THEN 6 ELSE 1 END + d.doc_id % 5 AS STRING), '.txt') AS fname,
+              CASE WHEN l.quality = 1 THEN 'pos' WHEN l.quality = 0 THEN 'neg' ELSE 'unsup' END, '/',
+              CAST(d.doc_id AS STRING), '_',
+              CAST(CASE WHEN l.quality = 1 THEN 6 + d.doc_id % 5 WHEN l.quality = 0 THEN 1 + d.doc_id % 5 ELSE 0 END AS STRING),
+              '.txt') AS fname,
        d.text AS review
-FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """,
     # whole documents with their labels (the text counterpart of "names")
     "texts": """
 SELECT d.doc_id, d.text, d.lang AS category, l.quality AS is_real
-FROM {documents} d JOIN {labels} l ON d.doc_id = l.doc_id
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """,
     "scored": """
 SELECT event_id, event_type AS category, value / 500e0 AS Probability,

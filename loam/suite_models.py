@@ -44,6 +44,16 @@ def flight_formula(df, vars_=FLIGHT_VARS) -> str:
     return md.create_formula("ArrDel15", [v for v in vars_ if v not in const])
 
 
+def with_constant_terms(coefs, df, vars_):
+    """A coefficient table with the terms that hold one value in ``df``: they
+    cannot be told from the intercept and have no estimate."""
+    rows = [(v, None) for v in constant_columns(df, vars_)]
+    if not rows:
+        return coefs
+    gone = df.sparkSession.createDataFrame(rows, "term string, estimate double")
+    return coefs.unionByName(gone, allowMissingColumns=True)
+
+
 def flight_split(spark, sf):
     f = flight_model_frame(spark, sf)
     return fw.time_split(f, (2024, 1, 22), (2024, 1, 22), (2024, 2, 1))
@@ -56,10 +66,12 @@ def text_frame(spark, sf):
     return d.join(lab, on="doc_id")
 
 
-def text_stages(n: int = 3, num_features: int = 1 << 15):
-    from pyspark.ml.feature import HashingTF
+def text_stages(n: int = 3, vocab_size: int = 1 << 18):
+    """Character n-grams counted over a vocabulary: its ``vocab_size`` most
+    frequent terms (a parameter), each with a name."""
+    from pyspark.ml.feature import CountVectorizer
     return [tx.char_ngram_stage("text", "ngrams", n),
-            HashingTF(inputCol="ngrams", outputCol="features", numFeatures=num_features)]
+            CountVectorizer(inputCol="ngrams", outputCol="features", vocabSize=vocab_size)]
 
 
 def trip_model_frame(spark, sf):
@@ -137,7 +149,7 @@ def q_m05(spark, sf):
 def q_m06(spark, sf):
     train, _ = flight_split(spark, sf)
     model = md.fit_logit(train, flight_formula(train))
-    return md.coefficient_table(spark, model, sample=train)
+    return with_constant_terms(md.coefficient_table(spark, model, sample=train), train, FLIGHT_VARS)
 
 
 @query("M07_binomial_glm_five_predictors")
@@ -146,7 +158,7 @@ def q_m07(spark, sf):
     f = f.withColumn("CRSDepTime", F.floor(F.col("CRSDepTime") / 100).cast("double"))
     vars_ = ["Month", "DayOfMonth", "DayOfWeek", "CRSDepTime", "CRSArrTime"]
     model = md.fit_logit(f, flight_formula(f, vars_))
-    return md.coefficient_table(spark, model, sample=f)
+    return with_constant_terms(md.coefficient_table(spark, model, sample=f), f, vars_)
 
 
 @query("M08_M09_text_linear_classifier")
@@ -164,7 +176,7 @@ def q_m10(spark, sf):
     train, test = flight_split(spark, sf)
     train = smp.disjoint_parts(train, ["Carrier", "DayOfMonth", "CRSArrTime", "OriginAirportID"], 16, 3)
     models = md.fit_parts_ensemble(train, "part", 16, flight_formula(train), "btrees_reg",
-                                   {"maxIter": 50}, parallelism=8)
+                                   {"maxIter": 50}, parallelism=8, full=flight_model_frame(spark, sf))
     pred = md.ensemble_predict(models, test, keep=["ArrDel15", "Carrier", "DayOfMonth"])
     return pred
 
@@ -195,7 +207,7 @@ def q_m11(spark, sf):
 def q_m17(spark, sf):
     train, _ = flight_split(spark, sf)
     model = md.fit(train, flight_formula(train), "logistic", {"regParam": 0.01})
-    return md.coefficient_table(spark, model, sample=train).limit(13)
+    return md.coefficient_table(spark, model, sample=train)
 
 
 # ----------------------------------------------------------------- scoring
@@ -208,7 +220,7 @@ def _trip_model(spark, sf):
 @query("E01_batch_score_with_carried_columns")
 def q_e01(spark, sf):
     train, test = flight_split(spark, sf)
-    model = md.fit_logit(train, flight_formula(train))
+    model = md.fit_logit(train, flight_formula(train), full=flight_model_frame(spark, sf))
     return sc.score(model, test, ["ArrDel15", "Carrier", "DayOfMonth", "CRSDepTime"], "ArrDel15_Pred")
 
 
@@ -224,7 +236,7 @@ def q_e02(spark, sf):
 def q_e03(spark, sf):
     train, test = flight_split(spark, sf)
     formula = flight_formula(train)
-    models = {"logit": md.fit_logit(train, formula),
+    models = {"logit": md.fit_logit(train, formula, full=flight_model_frame(spark, sf)),
               "forest": md.fit(train, formula, "forest_class", {"numTrees": 20, "seed": 1})}
     return sc.score_many(models, test, ["ArrDel15", "Carrier", "DayOfMonth"])
 
@@ -249,20 +261,13 @@ def q_e11(spark, sf):
     return sc.score_label_raw_prob(model, one, ["o_orderkey", "passenger_count", "trip_distance", "direct_distance"])
 
 
-_REVIEW_MODELS: dict[tuple, object] = {}
-
-
 def _review_model(spark, sf):
     """M04 + M08: word features and an L2 logistic regression fitted on the
-    training paths -- once per session and data set, like a saved model."""
-    key = (id(spark), sf)
-    if key not in _REVIEW_MODELS:
-        r = view(spark, sf, "reviews").withColumn("label", F.col("fname").rlike("/pos/").cast("double"))
-        train, _ = smp.path_split(r, "fname", "/train/")
-        stages = tx.word_feature_stages("review", "features", 1 << 16)
-        _REVIEW_MODELS[key] = md.fit(train, None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0},
-                                     pre_stages=stages)
-    return _REVIEW_MODELS[key]
+    labelled training paths."""
+    r = view(spark, sf, "reviews").where(~F.col("fname").rlike("/unsup/"))
+    train, _ = smp.path_split(r.withColumn("label", F.col("fname").rlike("/pos/").cast("double")), "fname", "/train/")
+    stages = tx.word_feature_stages("review", "features", 1 << 16)
+    return md.fit(train, None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0}, pre_stages=stages)
 
 
 @query("E13_U06_parallel_set_scoring")
@@ -276,10 +281,14 @@ def q_e13(spark, sf):
 @query("E14_scoring_function_stored_levels")
 def q_e14(spark, sf):
     train, test = flight_split(spark, sf)
-    idx = md.shared_level_indexers(train, ["Carrier", "OriginAirportID"])
-    f = "ArrDel15 ~ Carrier_idx + OriginAirportID_idx + CRSDepTime + DayOfWeek"
-    model = md.fit(idx.transform(train), f, "logistic", {"regParam": 0.01})
     from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+    # levels stored from the full table; codes become indicator columns
+    idx = md.shared_level_indexers(flight_model_frame(spark, sf), ["Carrier", "OriginAirportID"])
+    stages = [OneHotEncoder(inputCols=["Carrier_idx", "OriginAirportID_idx"], outputCols=["Carrier_vec", "Origin_vec"]),
+              VectorAssembler(inputCols=["Carrier_vec", "Origin_vec", "CRSDepTime", "DayOfWeek"], outputCol="features")]
+    data = idx.transform(train).withColumn("label", F.col("ArrDel15").cast("double"))
+    model = md.fit(data, None, "logistic", {"regParam": 0.01}, pre_stages=stages)
     scoring = PipelineModel(stages=[*idx.stages, *model.stages])
     return sc.score(scoring, test, ["ArrDel15", "Carrier", "OriginAirportID"], "Score")
 
@@ -372,25 +381,21 @@ def q_e09(spark, sf):
 
 
 # ----------------------------------------------------------------- S04 + P03 + M07 pipeline
-_INT_CSV: dict[tuple, str] = {}
 GLM_COLS = ["IsArrDelayed", "Month", "DayofMonth", "DayOfWeek", "CRSDepTime", "Distance"]
 
 
 def _lineitem_int_csv(spark, sf) -> str:
-    """Integer columns derived from ``lineitem`` written once per session as
-    header CSV (the stand-in for the large all-integer flight file)."""
-    key = (id(spark), sf)
-    if key not in _INT_CSV:
-        li = read_table(spark, sf, "lineitem")
-        ints = li.select((F.col("l_discount") > 0.05).cast("int").alias("IsArrDelayed"),
-                         F.month("l_shipdate").alias("Month"), F.dayofmonth("l_shipdate").alias("DayofMonth"),
-                         F.dayofweek("l_shipdate").alias("DayOfWeek"),
-                         (F.col("l_linenumber") * 100 + F.col("l_partkey") % 60).cast("int").alias("CRSDepTime"),
-                         (F.col("l_quantity") * 20).cast("int").alias("Distance"))
-        path = scratch_path(spark, "int-csv")
-        ints.write.option("header", True).csv(path)
-        _INT_CSV[key] = path
-    return _INT_CSV[key]
+    """Integer columns derived from ``lineitem`` written as header CSV (the
+    stand-in for the large all-integer flight file)."""
+    li = read_table(spark, sf, "lineitem")
+    ints = li.select((F.col("l_discount") > 0.05).cast("int").alias("IsArrDelayed"),
+                     F.month("l_shipdate").alias("Month"), F.dayofmonth("l_shipdate").alias("DayofMonth"),
+                     F.dayofweek("l_shipdate").alias("DayOfWeek"),
+                     (F.col("l_linenumber") * 100 + F.col("l_partkey") % 60).cast("int").alias("CRSDepTime"),
+                     (F.col("l_quantity") * 20).cast("int").alias("Distance"))
+    path = scratch_path(spark, "int-csv")
+    ints.write.option("header", True).csv(path)
+    return path
 
 
 @query("M07_S04_P03_csv_to_glm_pipeline")

@@ -145,12 +145,9 @@ def q_s16(spark, sf):
 
 
 @query("S17_factor_level_record", with_views(" UNION ALL ".join(
-    f"SELECT '{c}' AS column, string_agg(DISTINCT {c}, '|' ORDER BY {c}) AS levels, "
-    f"count(DISTINCT {c}) AS n_levels FROM demand" for c in DEMAND_KEYS), "demand"))
+    f"SELECT DISTINCT '{c}' AS column, {c} AS level FROM demand WHERE {c} IS NOT NULL" for c in DEMAND_KEYS), "demand"))
 def q_s17(spark, sf):
-    lv = tb.level_record(view(spark, sf, "demand"), DEMAND_KEYS)
-    return lv.select("column", F.array_join("levels", "|").alias("levels"),
-                     F.col("n_levels").cast("bigint").alias("n_levels"))
+    return tb.level_record(view(spark, sf, "demand"), DEMAND_KEYS)
 
 
 # ---------------------------------------------------------------- projections
@@ -543,7 +540,7 @@ def q_r02(spark, sf):
         f"{s6(f'coalesce(sum(CASE WHEN ProductCategory = {chr(39)}{v}{chr(39)} THEN Quantity END), 0.0)')} AS {v}"
         for v in "FOP") + " FROM m GROUP BY Destination, Date"))
 def q_r03(spark, sf):
-    out = rel.long_to_wide(_monthly(spark, sf), ["Destination", "Date"], "ProductCategory", ["F", "O", "P"], "Quantity")
+    out = rel.long_to_wide(_monthly(spark, sf), ["Destination", "Date"], "ProductCategory", None, "Quantity")
     return r6(out, "F", "O", "P")
 
 
@@ -570,7 +567,7 @@ def q_r05(spark, sf):
     s = d.groupBy("ProductCategory").agg(F.count(F.lit(1)).cast("double").alias("n_orders"),
                                          F.sum("Quantity").alias("total_quantity"),
                                          F.avg("Quantity").alias("mean_quantity"))
-    out = rel.transpose(s, "ProductCategory", ["n_orders", "total_quantity", "mean_quantity"], ["F", "O", "P"])
+    out = rel.transpose(s, "ProductCategory", ["n_orders", "total_quantity", "mean_quantity"], None)
     return r6(out, "F", "O", "P")
 
 
@@ -745,10 +742,11 @@ def q_s08(spark, sf):
     """Reviews written as one text file per review (directories named by the
     review's file name), then read back as a directory of files."""
     root = scratch_path(spark, "review-files")
-    r = view(spark, sf, "reviews").withColumn("file", F.element_at(F.split("fname", "/"), -1))
+    r = view(spark, sf, "reviews").withColumn(
+        "file", F.replace(F.regexp_replace("fname", "^src/(train|test)/", ""), F.lit("/"), F.lit("-")))
     r.select("file", "review").write.partitionBy("file").text(root)
     got = fl.read_text_files(spark, root, label_pattern=r"_(\d+)\.txt(?:/|$)")
-    return got.select(F.regexp_extract("fname", r"file=(\d+)_", 1).cast("bigint").alias("doc_id"),
+    return got.select(F.regexp_extract("fname", r"file=(?:pos|neg)-(\d+)_", 1).cast("bigint").alias("doc_id"),
                       F.regexp_extract("fname", r"_(\d+)\.txt(?:/|$)", 1).cast("int").alias("rating"),
                       "sentiment", "review")
 
@@ -775,7 +773,7 @@ EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
     "SELECT PredictedLabel, " + ", ".join(f"CAST(count_if(category = '{c}') AS BIGINT) AS {c}" for c in EVENT_TYPES)
     + " FROM scored GROUP BY PredictedLabel", "scored"))
 def q_a09w(spark, sf):
-    return rel.crosstab_wide(view(spark, sf, "scored"), "PredictedLabel", "category", EVENT_TYPES)
+    return rel.crosstab_wide(view(spark, sf, "scored"), "PredictedLabel", "category")
 
 
 @query("A11_approx_percentiles_sketch")

@@ -60,5 +60,6 @@ def test_inspect_and_levels(spark):
     info = {r["name"]: r for r in tb.inspect(t).collect()}
     assert info["o_totalprice"]["low"] <= info["o_totalprice"]["high"]
     assert info["o_orderstatus"]["low"] is None
-    lv = tb.level_record(t, ["o_orderstatus"]).first()
-    assert lv["levels"] == sorted(lv["levels"])
+    lv = tb.level_record(t, ["o_orderstatus", "o_orderpriority"]).collect()
+    assert {tuple(r) for r in lv} == {("o_orderstatus", r[0]) for r in t.select("o_orderstatus").collect()} | {
+        ("o_orderpriority", r[0]) for r in t.select("o_orderpriority").collect()}
