@@ -121,7 +121,7 @@ _SW = ", ".join(f"'{w}'" for w in tx.STOP_WORDS)
 
 
 @query("M04_word_counts_l2", with_ctes(["reviews"], f"""
-w AS (SELECT doc_id, unnest(string_split_regex(lower(review), '[^\\p{{L}}]+')) AS word FROM reviews),
+w AS (SELECT doc_id, unnest(string_split_regex(translate(lower(review), '{tx.ACCENTED}', '{tx.UNACCENTED}'), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM reviews),
 c AS (SELECT doc_id, word, count(*) AS n FROM w WHERE length(word) > 0 AND word NOT IN ({_SW}) GROUP BY 1, 2)""",
     f"SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_words, count(*) AS n_distinct, {s6('sqrt(sum(n * n))')} AS l2_norm FROM c GROUP BY doc_id"))
 def q_m04(spark, sf):
@@ -135,7 +135,7 @@ _LEX = ", ".join(f"('{k}', {v!r}e0)" for k, v in sorted(tx.SENTIMENT_LEXICON.ite
 
 
 @query("M05_lexicon_sentiment_feature", with_ctes(["reviews"], f"""
-w AS (SELECT doc_id, unnest(string_split_regex(lower(review), '[^\\p{{L}}]+')) AS word FROM reviews),
+w AS (SELECT doc_id, unnest(string_split_regex(translate(lower(review), '{tx.ACCENTED}', '{tx.UNACCENTED}'), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM reviews),
 h AS (SELECT doc_id, avg(weight) AS aw FROM w JOIN (VALUES {_LEX}) lx(word, weight) USING (word) GROUP BY doc_id)""",
     f"SELECT r.doc_id, {s6('0.5e0 + coalesce(h.aw, 0e0) / 2')} AS preSentiment FROM reviews r LEFT JOIN h USING (doc_id)"))
 def q_m05(spark, sf):
