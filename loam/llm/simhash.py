@@ -225,8 +225,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle_
     fp = full.select("fp", key)
     comp = component_ids(fp, key, max_bits)
     order = F.struct(F.col(key).isNull(), F.col(key), F.col("fp"))
+    # the id as two plain columns: join and the last step then share one exchange of the texts, spread by id
+    ids = {"k": F.coalesce(F.col(key).cast("string"), F.lit("")), "absent": F.col(key).isNull()}
     best = (fp.join(comp, "fp").groupBy("root").agg(F.min(order).alias("w"))
-              .select(F.col(f"w.{key}").alias("w_id"), F.col("w.fp").alias("w_fp")))
-    won = full.join(best, (F.col("fp") == F.col("w_fp")) & F.col(key).eqNullSafe(F.col("w_id")))
-    return (won.dropDuplicates(["fp", key])
+              .select("w.fp", F.col(f"w.{key}").alias(key)).withColumns(ids).select("fp", "k", "absent"))
+    won = full.withColumns(ids).join(best, ["fp", "k", "absent"])
+    return (won.dropDuplicates(["fp", "k", "absent"])
                .select(*[F.col(n).alias(c) for c, n in zip(df.columns, names)]))
