@@ -32,7 +32,7 @@ MIN_DOCS = 200
 RULES = {
     "symbol_rate": (500, None),      # symbols per 10,000 word characters
     "dup_line_rate": (3000, None),   # repeated lines per 10,000 lines
-    "repeat_rate": (2000, None),     # words in repeated windows per 10,000
+    "repeat_rate": (3000, None),      # words in repeated windows per 10,000
     "word_length": (1500, 200),      # hundredths of a character
 }
 
