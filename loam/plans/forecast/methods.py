@@ -6,9 +6,11 @@ volume, so ``collect_list`` per series is safe; the number of series is
 spread over all tasks.
 
 * naive: last value (fully SQL-checkable baseline);
-* ``ets``: additive exponential smoothing, level-only (A,N,N) and linear
-  trend (A,A,N), each smoothing setting of a fixed grid run as one
-  ``aggregate`` fold over the array, best setting per series by AIC;
+* ``ets``: additive exponential smoothing, level-only (A,N,N), linear trend
+  (A,A,N) and, for series of two periods or more, their seasonal forms
+  (A,N,A), (A,A,A).  The settings are an array inside the row; each is one
+  ``aggregate`` fold over the history, and the best by AIC is the array's
+  minimum, so the search neither copies the history nor shuffles;
 * ``arima``: AR(1)/AR(2) on 0 or 1 differences by conditional least squares
   from moment sums, best order per series by AIC (no MA terms).
 
@@ -23,10 +25,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Smoothing grid: (model, alpha, beta); "ANN" = level only, "AAN" = additive trend.
-ETS_GRID = ([("ANN", a / 10, 0.0) for a in range(1, 10)]
-            + [("AAN", a, b) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2)])
-ETS_PARAMS = {"ANN": 2, "AAN": 4}     # alpha + initial level (+ beta + initial trend)
+# Smoothing grids: (model, alpha, beta, gamma); N = none, A = additive, in the
+# order error, trend, season.
+ETS_GRID = ([("ANN", a / 10, 0.0, 0.0) for a in range(1, 10)]
+            + [("AAN", a, b, 0.0) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2)])
+ETS_SEASONAL_GRID = ([("ANA", a, 0.0, g) for a in (0.1, 0.3, 0.5, 0.7) for g in (0.05, 0.2, 0.5)]
+                     + [("AAA", a, 0.05, g) for a in (0.1, 0.3, 0.5) for g in (0.05, 0.2)])
+# smoothing weights and initial states; a seasonal form adds its ``frequency`` slots
+ETS_PARAMS = {"ANN": 2, "AAN": 4, "ANA": 3, "AAA": 5}
 
 
 def series_arrays(long: DataFrame, keys: Sequence[str], date_col: str, value_col: str) -> DataFrame:
@@ -62,35 +68,109 @@ def ses_fixed(arrays: DataFrame, keys: Sequence[str], h: int, alpha: float) -> D
     return arrays.select(*keys, "last_date", _steps(h), lvl.alias("fcast"))
 
 
-def ets(arrays: DataFrame, keys: Sequence[str], h: int, grid=ETS_GRID) -> DataFrame:
-    """Additive exponential smoothing with the best grid setting per series."""
+def _tail(y: Column, start, drop) -> Column:
+    """``y`` from position ``start`` (1-based), ``size - drop`` values, or none."""
+    return F.slice(y, start, F.greatest(F.size(y) - drop, F.lit(0)))
+
+
+def _season_step(alpha, beta, gamma, m: int):
+    """One month of additive smoothing; ``s`` holds the last ``m`` seasonal
+    states, the oldest (this month's) first."""
+    def step(acc, x):
+        base = acc["l"] + acc["b"]
+        s0 = F.element_at(acc["s"], 1)
+        lvl = alpha * (x - s0) + (1 - alpha) * base
+        err = x - base - s0
+        return F.struct(lvl.alias("l"), (beta * (lvl - acc["l"]) + (1 - beta) * acc["b"]).alias("b"),
+                        F.concat(F.slice(acc["s"], 2, m - 1), F.array(gamma * (x - lvl) + (1 - gamma) * s0)).alias("s"),
+                        (acc["sse"] + err * err).alias("sse"))
+    return step
+
+
+def _mean(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda acc, v: acc + v) / F.size(a)
+
+
+def _season_start(y: Column, m: int, trend: Column) -> Column:
+    """Start of the seasonal fold: the first period's mean, its deviations, and
+    the mean monthly change to the second period where there is a trend."""
+    first = F.slice(y, 1, m)
+    l0 = _mean(first)
+    slope = F.when(trend, (_mean(F.slice(y, m + 1, m)) - l0) / m).otherwise(F.lit(0.0))
+    return F.struct(l0.alias("l"), slope.alias("b"), F.transform(first, lambda v: v - l0).alias("s"), F.lit(0.0).alias("sse"))
+
+
+def seasonal_fixed(arrays: DataFrame, keys: Sequence[str], h: int, alpha: float, gamma: float,
+                   frequency: int = 12) -> DataFrame:
+    """T03 with fixed weights, level and additive season: the first period sets
+    level (its mean) and season; later months smooth both.  Series shorter than
+    one period have no forecast (null)."""
+    m = frequency
+    y = F.col("y")
+    state = F.aggregate(_tail(y, m + 1, m), _season_start(y, m, F.lit(False)),
+                        _season_step(F.lit(alpha), F.lit(0.0), F.lit(gamma), m))
+    fitted = arrays.select(*keys, "last_date", F.when(F.size(y) >= m, state).alias("_f"))
+    return fitted.select(*keys, "last_date", _steps(h), "_f").select(
+        *keys, "last_date", "step",
+        (F.col("_f.l") + F.get(F.col("_f.s"), (F.col("step") - 1) % m)).alias("fcast"))
+
+
+def ets(arrays: DataFrame, keys: Sequence[str], h: int, grid=ETS_GRID, seasonal_grid=ETS_SEASONAL_GRID,
+        frequency: int = 12) -> DataFrame:
+    """Additive exponential smoothing with the best setting per series.
+
+    Seasonal settings join where a series has two periods of ``frequency``
+    months (``frequency`` 1: none).  All settings of a series are compared over
+    the same months: with a season in play, errors count after the first period."""
     keys = list(keys)
-    settings = F.array(*[F.struct(F.lit(i).alias("gi"), F.lit(m).alias("model"), F.lit(float(a)).alias("alpha"),
-                                  F.lit(float(b)).alias("beta")) for i, (m, a, b) in enumerate(grid)])
-    s = arrays.select(*keys, "last_date", "y", F.explode(settings).alias("st")).select(
-        *keys, "last_date", "y", "st.*")
+    m = frequency
     y = F.col("y")
     n = F.size(y)
-    trend = F.col("model") == "AAN"
-    b0 = F.when(trend & (n >= 2), F.element_at(y, 2) - F.element_at(y, 1)).otherwise(F.lit(0.0))
-    init = F.struct(F.element_at(y, 1).alias("l"), b0.alias("b"), F.lit(0.0).alias("sse"))
-    a, b = F.col("alpha"), F.col("beta")
-
-    def step(acc, x):
-        pred = acc["l"] + acc["b"]
-        lvl = a * x + (1 - a) * pred
-        return F.struct(lvl.alias("l"), (b * (lvl - acc["l"]) + (1 - b) * acc["b"]).alias("b"),
-                        (acc["sse"] + (x - pred) * (x - pred)).alias("sse"))
-    fitted = s.withColumn("_f", F.aggregate(F.slice(y, 2, F.greatest(n - 1, F.lit(0))), init, step)) \
-              .withColumn("_m", F.greatest(n - 1, F.lit(1)))
-    k = F.when(trend, F.lit(ETS_PARAMS["AAN"])).otherwise(F.lit(ETS_PARAMS["ANN"]))
-    aic = F.col("_m") * F.log(F.greatest(F.col("_f.sse") / F.col("_m"), F.lit(1e-12))) + 2 * k
-    best = fitted.groupBy(*keys, "last_date").agg(
-        F.min_by(F.struct("_f", "_m", "model", "alpha", "beta"), F.struct(aic, F.col("gi"))).alias("b"))
-    return best.select(*keys, "last_date", _steps(h),
-                       (F.col("b._f.l") + F.col("step") * F.col("b._f.b")).alias("fcast"),
-                       (F.col("b._f.sse") / F.col("b._m")).alias("resid_var"),
-                       F.col("b.model").alias("ets_model"), F.col("b.alpha").alias("alpha"))
+    seasonal = (n >= 2 * m) if m > 1 and seasonal_grid else F.lit(False)
+    warm = F.when(seasonal, F.lit(m - 1)).otherwise(F.lit(0))
+
+    def settings(g):
+        return F.array(*[F.struct(F.lit(i).alias("gi"), F.lit(mod).alias("model"), F.lit(float(a)).alias("alpha"),
+                                  F.lit(float(b)).alias("beta"), F.lit(float(c)).alias("gamma"),
+                                  F.lit(float(ETS_PARAMS[mod] + (m if mod.endswith("A") else 0))).alias("k"))
+                         for i, (mod, a, b, c) in g])
+
+    def fitted(st, state):
+        aic = F.col("_m") * F.log(F.greatest(state["sse"] / F.col("_m"), F.lit(1e-12))) + 2 * st["k"]
+        return F.struct(aic.alias("aic"), st["gi"].alias("gi"), st["model"].alias("model"), st["alpha"].alias("alpha"),
+                        state.alias("f"))
+
+    def plain(st):
+        def step(acc, x):
+            pred = acc["l"] + acc["b"]
+            lvl = st["alpha"] * x + (1 - st["alpha"]) * pred
+            return F.struct(lvl.alias("l"), (st["beta"] * (lvl - acc["l"]) + (1 - st["beta"]) * acc["b"]).alias("b"),
+                            acc["s"].alias("s"), (acc["sse"] + (x - pred) * (x - pred)).alias("sse"))
+        b0 = F.when((st["model"] == "AAN") & (n >= 2), F.try_element_at(y, F.lit(2)) - F.element_at(y, 1)).otherwise(F.lit(0.0))
+        start = F.struct(F.element_at(y, 1).alias("l"), b0.alias("b"), F.array().cast("array<double>").alias("s"),
+                         F.lit(0.0).alias("sse"))
+        before = F.aggregate(F.slice(y, F.lit(2), F.col("_warm")), start, step,
+                             lambda acc: F.struct(acc["l"].alias("l"), acc["b"].alias("b"), acc["s"].alias("s"),
+                                                  F.lit(0.0).alias("sse")))
+        return F.aggregate(_tail(y, F.col("_warm") + 2, F.col("_warm") + 1), before, step)
+
+    def season(st):
+        return F.aggregate(_tail(y, m + 1, m), _season_start(y, m, st["model"] == "AAA"),
+                           _season_step(st["alpha"], st["beta"], st["gamma"], m))
+
+    numbered = list(enumerate([*grid, *seasonal_grid]))
+    tried = F.transform(settings(numbered[:len(grid)]), lambda st: fitted(st, plain(st)))
+    if m > 1 and seasonal_grid:
+        more = F.transform(settings(numbered[len(grid):]), lambda st: fitted(st, season(st)))
+        tried = F.when(F.col("_seasonal"), F.concat(tried, more)).otherwise(tried)
+    base = arrays.withColumns({"_seasonal": seasonal, "_warm": warm}).withColumn(
+        "_m", F.greatest(n - 1 - F.col("_warm"), F.lit(1)))
+    best = base.withColumn("_b", F.array_min(tried))
+    swing = F.when(F.size("_b.f.s") > 0, F.get(F.col("_b.f.s"), (F.col("step") - 1) % m)).otherwise(F.lit(0.0))
+    return best.select(*keys, "last_date", _steps(h), "_b", "_m").select(
+        *keys, "last_date", "step", (F.col("_b.f.l") + F.col("step") * F.col("_b.f.b") + swing).alias("fcast"),
+        (F.col("_b.f.sse") / F.col("_m")).alias("resid_var"),
+        F.col("_b.model").alias("ets_model"), F.col("_b.alpha").alias("alpha"))
 
 
 def _ar_moments(z: Column, p: int) -> Column:
@@ -200,12 +280,12 @@ def arima(arrays: DataFrame, keys: Sequence[str], h: int) -> DataFrame:
                      F.when(ok, F.col("d")).alias("ar_d"), F.when(ok, F.col("p")).alias("ar_p"))
 
 
-def forecast(arrays: DataFrame, keys: Sequence[str], h: int, method: str) -> DataFrame:
+def forecast(arrays: DataFrame, keys: Sequence[str], h: int, method: str, frequency: int = 12) -> DataFrame:
     """Dispatch by method name: ``naive``, ``ets``, ``arima``."""
     if method == "naive":
         return naive(arrays, keys, h)
     if method == "ets":
-        return ets(arrays, keys, h)
+        return ets(arrays, keys, h, frequency=frequency)
     if method == "arima":
         return arima(arrays, keys, h)
     raise ValueError(f"unknown forecasting method {method!r}")

@@ -45,20 +45,29 @@ def bottom_panel(df: DataFrame, params: ForecastParams, drop_constant: bool = Tr
     every month from the first to the last month, gaps = 0).
 
     Key columns with one value are dropped from the grouping (they add no
-    node); returns the panel and the key columns kept."""
+    node) but stay in the panel, so that outputs carry them; returns the panel
+    and the key columns that group."""
     from loam.session import materialize
     keys = list(params.keys)
     # the monthly sums (keys x months, far smaller than the rows) are stored
     # once; the constant-key test and the panel both read them, so the fact
     # rows are scanned a single time
     m = materialize(monthly_sum(df, params.date_col, keys, params.value_col))
-    kept = keys
+    kept, fixed = keys, {}
     if drop_constant:
         const = set(constant_columns(m.select(*keys)))
         kept = [k for k in keys if k not in const]
-        if len(kept) < len(keys):
+        if const:
+            fixed = {k: F.lit(m.select(F.first(k)).first()[0]).cast(m.schema[k].dataType) for k in sorted(const)}
             m = m.groupBy(params.date_col, *kept).agg(F.sum(params.value_col).alias(params.value_col))
-    return calendar_panel(m, kept, params.date_col, params.value_col), kept
+    return calendar_panel(m, kept, params.date_col, params.value_col).withColumns(fixed), kept
+
+
+def bottom_keys(panel: DataFrame, params: ForecastParams, keys: list[str]) -> DataFrame:
+    """One row per bottom series: its node name and every key column, those
+    with one value included."""
+    every = [k for k in params.keys if k in panel.columns]
+    return panel.select(bottom_node(keys).alias("bottom"), *every).distinct()
 
 
 def node_sets(keys: list[str]) -> list[list[str]]:

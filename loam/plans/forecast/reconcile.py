@@ -59,25 +59,38 @@ class _Structure:
     value of each key -- their number is bounded by the key cardinalities,
     not by the data).  Products never join on an upper node against the whole
     membership table (the total node covers every series, a hot key): the
-    upper-node vectors are broadcast when their checked size allows, and the
-    bottom part joins on the series key, which is evenly spread."""
+    upper-node vectors are broadcast when their measured bytes allow; otherwise
+    a node is split into parts of ``PART`` series, and the join runs on (node,
+    part), so no key has more than about ``PART`` rows per system.  The bottom
+    part joins on the series key, which is evenly spread."""
 
-    def __init__(self, membership: DataFrame, n_systems: int, broadcast_rows: int = 2_000_000):
+    PART = 10_000
+
+    def __init__(self, membership: DataFrame, n_systems: int, broadcast_bytes: int = 64 << 20):
         self.up = membership.where(F.col("node") != F.col("bottom")).select("bottom", "node")
-        self.up_nodes = self.up.select("node").distinct()
-        n_up = self.up_nodes.count()                              # small: one row per upper node
-        self.bcast = n_up * max(n_systems, 1) <= broadcast_rows
-        self.up_nodes_small = F.broadcast(self.up_nodes) if n_up <= broadcast_rows else self.up_nodes
+        per = self.up.groupBy("node").agg(F.count(F.lit(1)).alias("_n"))
+        self.up_nodes = per.select("node", F.ceil(F.col("_n") / self.PART).cast("int").alias("_parts"))
+        # names plus about 64 bytes of keys and values a row; one row per upper node and system
+        size = self.up_nodes.agg(F.sum(F.octet_length("node") + 64)).first()[0] or 0
+        self.bcast = size * max(n_systems, 1) <= broadcast_bytes
+        self.up_nodes_small = F.broadcast(self.up_nodes) if size <= broadcast_bytes else self.up_nodes
 
     def flag(self, w: DataFrame) -> DataFrame:
         """Weights with an ``up`` flag (upper node or bottom node); every
         node-level vector of the solver inherits it through its join with the
         weights, so splitting needs no further join."""
-        return (w.join(self.up_nodes_small.withColumn("up", F.lit(True)), on="node", how="left")
+        return (w.join(self.up_nodes_small.select("node", F.lit(True).alias("up")), on="node", how="left")
                  .fillna(False, subset=["up"]))
 
-    def _b(self, df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if self.bcast else df
+    def _to_bottoms(self, u_up: DataFrame) -> DataFrame:
+        """Upper-node rows brought to every bottom series under them."""
+        if self.bcast:
+            return self.up.join(F.broadcast(u_up), on="node")
+        parts = self.up.join(self.up_nodes_small, on="node").withColumn(
+            "_part", F.pmod(F.xxhash64("bottom"), F.col("_parts")).cast("int")).drop("_parts")
+        copies = u_up.join(self.up_nodes_small, on="node").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+        return parts.join(copies, on=["node", "_part"])
 
     def S(self, v: DataFrame, sys_keys, col: str) -> DataFrame:
         """(S v) per (system, node) from v per (system, bottom)."""
@@ -92,7 +105,7 @@ class _Structure:
         u = u.select(*sys_keys, "node", col, "up")
         u_up = u.where(F.col("up")).drop("up")
         u_bot = u.where(~F.col("up")).drop("up").withColumnRenamed("node", "bottom")
-        contrib = (self.up.join(self._b(u_up), on="node")
+        contrib = (self._to_bottoms(u_up)
                        .groupBy(*sys_keys, "bottom").agg(F.sum(col).alias(col)))
         return (u_bot.unionByName(contrib.select(*sys_keys, "bottom", col))
                      .groupBy(*sys_keys, "bottom").agg(F.sum(col).alias(col)))
@@ -136,7 +149,7 @@ class _Store:
 
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
             tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None,
-            inputs_stored: bool = False, broadcast_rows: int = 2_000_000) -> DataFrame:
+            inputs_stored: bool = False, broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
     Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
@@ -158,7 +171,7 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         weights = store.keep(weights.select(*sys_keys, "node", "w"), True)
         node_fc = store.keep(node_fc.select(*sys_keys, "node", "fcast"), True)
     n_systems = weights.select(*sys_keys).distinct().count()      # fixed by the parameters
-    struct = _Structure(membership, n_systems, broadcast_rows)
+    struct = _Structure(membership, n_systems, broadcast_bytes)
     weights = store.keep(struct.flag(weights), False)
     diag = struct.St(weights.withColumnRenamed("w", "dg"), sys_keys, "dg")
     # right-hand side c = S'W yhat

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from loam.operators.relational import arg_min, expand_grid, full_join_fill, mean_of_means
 from loam.session import materialize
 from loam.plans.forecast import methods, reconcile
-from loam.plans.forecast.panel import (ForecastParams, aggregate_nodes, bottom_node, bottom_panel,
+from loam.plans.forecast.panel import (ForecastParams, aggregate_nodes, bottom_keys, bottom_node, bottom_panel,
                                        expanding_windows, membership)
 
 GRID_LEVELS = {"GTSMETHOD": ["bu", "comb"], "COMBHTS_WEIGHTS": ["ols", "wls", "nseries"],
@@ -70,12 +70,12 @@ def _reconciled_bottoms(fc: DataFrame, memb: DataFrame, settings: Sequence[tuple
 
 
 def base_node_forecasts(nodes_long: DataFrame, series_keys: Sequence[str], date_col: str, value_col: str,
-                        h: int, ts_methods: Sequence[str]) -> DataFrame:
+                        h: int, ts_methods: Sequence[str], frequency: int = 12) -> DataFrame:
     """Base forecasts of every node series for each method, one plan."""
     arrays = methods.series_arrays(nodes_long, series_keys, date_col, value_col)
     out = None
     for ts in sorted(set(ts_methods)):
-        f = methods.forecast(arrays, series_keys, h, ts).select(
+        f = methods.forecast(arrays, series_keys, h, ts, frequency).select(
             *series_keys, "last_date", "step", "fcast", "resid_var", F.lit(ts).alias("ts_method"))
         out = f if out is None else out.unionByName(f)
     return out
@@ -104,7 +104,7 @@ def crossval(df: DataFrame, params: ForecastParams, grid: DataFrame | None = Non
     memb = materialize(membership(panel, keys))
     nodes = aggregate_nodes(panel, keys, d, v)
     windows = expanding_windows(nodes, d, nfolds)
-    fc = base_node_forecasts(windows, ["origin", "node"], d, v, 1, [s[3] for s in settings])
+    fc = base_node_forecasts(windows, ["origin", "node"], d, v, 1, [s[3] for s in settings], params.frequency)
     fc = materialize(fc.join(nodes.select("node", "level").distinct(), on="node"))
     bottoms = _reconciled_bottoms(fc, memb, settings, len(keys), ["origin", "step"], tol)
     fcast = bottoms.where(F.col("step") == 1).select("grid_id", "origin", "bottom", F.col("fcast").alias("fcast1"))
@@ -116,7 +116,7 @@ def crossval(df: DataFrame, params: ForecastParams, grid: DataFrame | None = Non
                    .join(runs, on="origin"))
     merged = full_join_fill(actual, fcast, ["grid_id", "origin", "bottom"], 0.0)
     out = merged.withColumn("RMSE", F.sqrt((F.col("actual1") - F.col("fcast1")) ** 2))
-    keys_df = memb.select("bottom", *keys).distinct()
+    keys_df = bottom_keys(panel, params, keys)
     return out.join(keys_df, on="bottom", how="left")
 
 
@@ -160,14 +160,13 @@ def future_forecast(df: DataFrame, params: ForecastParams, ts_override: str | No
     panel = materialize(panel)
     memb = materialize(membership(panel, keys))
     nodes = aggregate_nodes(panel, keys, d, v).withColumn("run", F.lit(0))
-    fc = base_node_forecasts(nodes, ["run", "node"], d, v, params.horizon, [ts])
+    fc = base_node_forecasts(nodes, ["run", "node"], d, v, params.horizon, [ts], params.frequency)
     fc = materialize(fc.join(nodes.select("node", "level").distinct(), on="node"))
     method = params.gts_method if keys else "bu"
     settings = [(0, method, params.comb_weights, ts)]
     b = _reconciled_bottoms(fc, memb, settings, len(keys), ["run", "step"], tol)
-    keys_df = memb.select("bottom", *keys).distinct()
-    out = b.join(keys_df, on="bottom", how="left")
-    return out.select("bottom", *keys, F.add_months(panel.select(F.max(d)).scalar(), F.col("step")).alias(d),
+    out = b.join(bottom_keys(panel, params, keys), on="bottom", how="left")
+    return out.select("bottom", *[k for k in params.keys if k in out.columns], F.add_months(panel.select(F.max(d)).scalar(), F.col("step")).alias(d),
                       "step", "fcast")
 
 

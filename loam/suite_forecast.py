@@ -74,6 +74,22 @@ def q_t03(spark, sf):
     return r6(methods.ses_fixed(arr, ["node"], 1, 0.5).select("node", "fcast"), "fcast")
 
 
+@query("T03_seasonal_fixed_weights", _sql(
+    f"SELECT node, step, {s6('l + s[step]')} AS fcast FROM r, (SELECT unnest(range(1, 4)) AS step) "
+    "WHERE t = (SELECT max(t) FROM o WHERE o.node = r.node)", """
+o AS (SELECT node, CAST(row_number() OVER (PARTITION BY node ORDER BY Date) AS INT) AS t, Quantity AS y FROM nodes),
+f AS (SELECT node, avg(y) AS l0, list(y ORDER BY t) AS ys FROM o WHERE t <= 12 GROUP BY node),
+r(node, t, l, s) AS (SELECT node, 12, l0, list_transform(ys, lambda v: v - l0) FROM f
+   UNION ALL SELECT o.node, o.t, 0.3e0 * (o.y - r.s[1]) + 0.7e0 * r.l,
+     list_append(r.s[2:], 0.2e0 * (o.y - (0.3e0 * (o.y - r.s[1]) + 0.7e0 * r.l)) + 0.8e0 * r.s[1])
+   FROM r JOIN o ON o.node = r.node AND o.t = r.t + 1)"""
+).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_t03c(spark, sf):
+    _, _, nodes = _nodes(spark, sf)
+    arr = methods.series_arrays(nodes, ["node"], "Date", "Quantity")
+    return r6(methods.seasonal_fixed(arr, ["node"], 3, 0.3, 0.2, PARAMS.frequency).select("node", "step", "fcast"), "fcast")
+
+
 @query("T03_ets_searched_per_node")
 def q_t03b(spark, sf):
     _, _, nodes = _nodes(spark, sf)
@@ -103,9 +119,8 @@ def q_t04b(spark, sf):
 
 @query("T05_univariate_series_forecast")
 def q_t05(spark, sf):
-    """One series left (a single customer segment, category and region): arima, clamped at 0."""
-    d = _demand(spark, sf).where((F.col("CustomerName") == "BUILDING") & (F.col("ProductCategory") == "F")
-                                 & (F.col("Destination") == "ASIA"))
+    """All demand grouped to one series (every key holds one value): arima, clamped at 0."""
+    d = _demand(spark, sf).withColumns({k: F.lit("all") for k in K})
     return fs.future_forecast(d, PARAMS)
 
 

@@ -36,14 +36,14 @@ def test_combine_matches_dense_solve(spark):
     var = rng.uniform(0.5, 2.0, size=len(nodes))
     fc = spark.createDataFrame([(0, n, float(y), float(v)) for n, y, v in zip(nodes, yhat, var)],
                                "run int, node string, fcast double, resid_var double")
-    cases = (("ols", np.ones(len(nodes)), 2_000_000), ("nseries", 1 / S.sum(axis=1), 2_000_000),
-             ("wls", 1 / var, 2_000_000), ("wls", 1 / var, 0))          # 0: upper rows not broadcast
+    cases = (("ols", np.ones(len(nodes)), 64 << 20), ("nseries", 1 / S.sum(axis=1), 64 << 20),
+             ("wls", 1 / var, 64 << 20), ("wls", 1 / var, 0))          # 0: upper rows not broadcast
     for scheme, w, bcast in cases:
         W = np.diag(w)
         expect = np.linalg.solve(S.T @ W @ S, S.T @ W @ yhat)
         wts = reconcile.node_weights(memb, fc, ["run"], scheme)
         got = {r["bottom"]: r["fcast"] for r in
-               reconcile.combine(fc, memb, ["run"], wts, tol=1e-12, broadcast_rows=bcast).collect()}
+               reconcile.combine(fc, memb, ["run"], wts, tol=1e-12, broadcast_bytes=bcast).collect()}
         assert np.allclose([got[b] for b in bottoms], expect, atol=1e-8), (scheme, bcast)
 
 
@@ -100,3 +100,37 @@ def test_aggregate_nodes_levels(spark):
     panel = _panel(spark)
     n = aggregate_nodes(panel, ["A", "B"], "Date", "Quantity")
     assert n.select("node").distinct().count() == 1 + 3 + 2 + 6
+
+
+def test_seasonal_smoothing(spark):
+    """A clean season is found by the search and continued; fixed weights equal plain Python."""
+    rng = np.random.default_rng(3)
+    season = np.array([5, 3, 0, -2, -4, -6, -4, -1, 0, 2, 3, 4.0]) * 4
+    y = [float(50 + season[i % 12] + rng.normal(0, 0.5)) for i in range(60)]
+    arr = spark.createDataFrame([(0, "2022-12-01", y), (1, "2022-12-01", y[:15]), (2, "2022-12-01", y[:1])],
+                                "k int, last_date string, y array<double>")
+    got = {(r["k"], r["step"]): r for r in methods.ets(arr, ["k"], 14).collect()}
+    assert len(got) == 3 * 14
+    assert got[0, 1]["ets_model"] in ("ANA", "AAA")
+    for h in range(1, 15):
+        assert abs(got[0, h]["fcast"] - (50 + season[(h - 1) % 12])) < 3
+    assert got[1, 1]["ets_model"] in ("ANN", "AAN") and got[2, 1]["fcast"] == y[0]
+    lvl = float(np.mean(y[:12]))
+    s = [v - lvl for v in y[:12]]
+    for x in y[12:]:
+        s0 = s.pop(0)
+        lvl = 0.3 * (x - s0) + 0.7 * lvl
+        s.append(0.2 * (x - lvl) + 0.8 * s0)
+    fixed = {(r["k"], r["step"]): r["fcast"] for r in methods.seasonal_fixed(arr, ["k"], 13, 0.3, 0.2).collect()}
+    assert all(abs(fixed[0, h] - (lvl + s[(h - 1) % 12])) < 1e-9 for h in range(1, 14))
+    assert fixed[2, 1] is None
+
+
+def test_constant_keys_stay_in_outputs(spark):
+    df = _panel(spark).withColumn("C", F.lit("only"))
+    p = ForecastParams(keys=("A", "C", "B"), horizon=1, gts_method="bu")
+    fc = fs.future_forecast(df, p, ts_override="naive")
+    assert fc.columns == ["bottom", "A", "C", "B", "Date", "step", "fcast"]
+    assert {r["C"] for r in fc.collect()} == {"only"} and fc.count() == 6
+    cv = fs.crossval(df, p, nfolds=1, ts_override="naive")
+    assert {r["C"] for r in cv.collect()} == {"only"}
