@@ -81,13 +81,14 @@ def score_query(spark: SparkSession, model: PipelineModel, query: str, carry: Se
 
 
 def score_single(spark: SparkSession, model: PipelineModel, values: Mapping[str, object],
-                 schema: str, derive=None) -> DataFrame:
+                 schema, derive=None, carry: Sequence[str] = ()) -> DataFrame:
     """One row built from raw inputs, optional derived columns
-    (``derive(df) -> df``), then the model."""
+    (``derive(df) -> df``), then the model; returns the inputs, the derived
+    columns named in ``carry`` and the scores."""
     one = spark.createDataFrame([tuple(values.values())], schema)
     if derive is not None:
         one = derive(one)
-    return score_label_raw_prob(model, one, list(values))
+    return score_label_raw_prob(model, one, [*values, *carry])
 
 
 def score_sets(model: PipelineModel, df: DataFrame, set_col: str, carry: Sequence[str]) -> DataFrame:

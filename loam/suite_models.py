@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loam.functions import text as tx
-from loam.functions.geo import haversine_miles
+from loam.functions.geo import haversine_miles, haversine_sql
 from loam.operators import metrics as mt
 from loam.operators import sampling as smp
 from loam.operators.relational import constant_columns
@@ -19,9 +19,9 @@ from loam.plans import flights as fw
 from loam.plans import models as md
 from loam.plans import scoring as sc
 from loam.session import read_table, scratch_path
-from loam.sources.views import view, with_ctes
+from loam.sources.views import view, with_ctes, with_views
 from loam.suite import query, r6, s6
-from loam.suite_relational import flights_weather
+from loam.suite_relational import HOLDOUT_KEYS, flights_weather
 
 WEATHER_VARS = [m + s for s in ("Origin", "Dest") for m in fw.WEATHER_MEASURES]
 FLIGHT_VARS = ["Year", "Month", "DayOfMonth", "DayOfWeek", "Carrier", "OriginAirportID", "DestAirportID",
@@ -181,6 +181,21 @@ def q_m10(spark, sf):
     return pred
 
 
+@query("M10_ensemble_auc")
+def q_m10_auc(spark, sf):
+    """AUC of the ensemble's averaged predictions, kept within [0, 1], on the test flights."""
+    pred = q_m10(spark, sf).withColumn("Probability", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0)))
+    return mt.bucketed_auc(pred.withColumn("model", F.lit("btrees_mean")), "Probability", "ArrDel15", ["model"])
+
+
+@query("M02_interaction_formula")
+def q_m02_interaction(spark, sf):
+    """A binomial GLM with an interaction term, fitted over all trips."""
+    t = trip_model_frame(spark, sf)
+    model = md.fit_logit(t, "tipped ~ passenger_count + trip_distance + passenger_count:trip_distance")
+    return md.coefficient_table(spark, model, sample=t)
+
+
 @query("M11_M12_M13_M14_M15_M16_learners_by_name")
 def q_m11(spark, sf):
     train, test = flight_split(spark, sf)
@@ -251,14 +266,45 @@ def q_e12(spark, sf):
     return sc.score_query(spark, model, holdout, ["o_orderkey", "hack_license", "tipped"], trips=t, sample=sample)
 
 
-@query("E11_single_row_score_by_model_name")
-def q_e11(spark, sf):
+def _raw_trip_score(spark, sf):
+    """Publish the tip model, load it by name and score one trip from its raw
+    inputs (the trip with the smallest key); the distance is derived from the
+    coordinates on the way."""
     from loam.plans.registry import ModelRegistry
     reg = ModelRegistry(spark, scratch_path(spark, "registry"))
     reg.save(_trip_model(spark, sf), "tip_logit", "1", modeler="logit")
-    model = reg.load("tip_logit")
-    one = trip_model_frame(spark, sf).orderBy("o_orderkey", "hack_license", "passenger_count").limit(1)
-    return sc.score_label_raw_prob(model, one, ["o_orderkey", "passenger_count", "trip_distance", "direct_distance"])
+    raw = ["o_orderkey", "hack_license", "passenger_count", "trip_distance", "trip_time_in_secs", "pickup_latitude",
+           "pickup_longitude", "dropoff_latitude", "dropoff_longitude"]
+    trips = view(spark, sf, "trips").select(*raw)
+    row = trips.orderBy(*raw).first()                 # one row: the raw inputs
+    return sc.score_single(spark, reg.load("tip_logit"), row.asDict(), trips.schema, derive=lambda d: d.withColumn(
+        "direct_distance", haversine_miles("pickup_longitude", "pickup_latitude", "dropoff_longitude",
+                                           "dropoff_latitude")), carry=["direct_distance"])
+
+
+@query("E11_single_row_score_by_model_name")
+def q_e11(spark, sf):
+    return _raw_trip_score(spark, sf).select("o_orderkey", "passenger_count", "trip_distance", "direct_distance",
+                                             "PredictedLabel", "Score", "Probability")
+
+
+_DIST = haversine_sql("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
+
+
+def _is_score(c):
+    """True where ``c`` is a probability."""
+    return F.coalesce(F.col(c).between(0, 1), F.lit(False))
+
+
+@query("E11_single_row_raw_inputs", with_views(
+    "SELECT o_orderkey, hack_license, passenger_count, trip_distance, trip_time_in_secs, "
+    f"{s6(_DIST)} AS direct_distance, true AS scored FROM trips ORDER BY o_orderkey, hack_license, passenger_count, "
+    "trip_distance, trip_time_in_secs, pickup_latitude, pickup_longitude, dropoff_latitude, dropoff_longitude LIMIT 1",
+    "trips"))
+def q_e11_inputs(spark, sf):
+    out = _raw_trip_score(spark, sf).withColumn("scored", _is_score("Probability"))
+    return r6(out.select("o_orderkey", "hack_license", "passenger_count", "trip_distance", "trip_time_in_secs",
+                         "direct_distance", "scored"), "direct_distance")
 
 
 def _review_model(spark, sf):
@@ -278,6 +324,13 @@ def q_e13(spark, sf):
     return sc.score_sets(_review_model(spark, sf), r, "set_id", ["doc_id", "fname"])
 
 
+@query("E13_U06_sets_keep_every_row", with_ctes(["reviews"], "", "SELECT doc_id, fname, CAST(ntile(4) OVER "
+       "(ORDER BY doc_id) AS INT) AS set_id, true AS scored FROM reviews"))
+def q_e13_rows(spark, sf):
+    return q_e13(spark, sf).select("doc_id", "fname", F.col("set_id").cast("int").alias("set_id"),
+                                   _is_score("Probability").alias("scored"))
+
+
 @query("E14_scoring_function_stored_levels")
 def q_e14(spark, sf):
     train, test = flight_split(spark, sf)
@@ -318,6 +371,33 @@ def q_s12(spark, sf):
         "duplicate_refused", F.lit(refused)).withColumn("scored_rows", F.lit(n))
 
 
+_TRIP_SAMPLE = f"{smp.hash_sql(HOLDOUT_KEYS, 98052)} % 10000 < 500"
+
+
+@query("E12_U05_holdout_rows_scored", with_views(
+    "SELECT t.o_orderkey, t.hack_license, t.tipped, true AS scored FROM trips t WHERE NOT EXISTS (SELECT 1 FROM "
+    f"(SELECT * FROM trips WHERE {_TRIP_SAMPLE}) s WHERE s.medallion = t.medallion "
+    "AND s.hack_license = t.hack_license AND s.pickup_datetime = t.pickup_datetime)", "trips"))
+def q_e12_rows(spark, sf):
+    return q_e12(spark, sf).select("o_orderkey", "hack_license", "tipped", _is_score("Score").alias("scored"))
+
+
+@query("E02_every_row_scored", with_views(
+    "SELECT o_orderkey, hack_license, tipped, true AS scored, true AS label_follows FROM trips", "trips"))
+def q_e02_rows(spark, sf):
+    p, margin = F.col("Probability"), F.col("Score")
+    return q_e02(spark, sf).select("o_orderkey", "hack_license", "tipped", _is_score("Probability").alias("scored"),
+                                   ((F.col("PredictedLabel") == (p > 0.5)) & (F.abs(p - 1 / (1 + F.exp(-margin))) < 1e-9))
+                                   .alias("label_follows"))
+
+
+@query("S12_S13_registry_rows", with_views(
+    "SELECT v.name, v.version, v.modeler, true AS duplicate_refused, (SELECT count(*) FROM trips) AS scored_rows "
+    "FROM (VALUES ('tip_logit', '1', 'logit'), ('tip_logit', '2', 'logit')) v(name, version, modeler)", "trips"))
+def q_s12_rows(spark, sf):
+    return q_s12(spark, sf).drop("path")
+
+
 @query("N01_stream_score_new_rows")
 def q_n01(spark, sf):
     """Score the events table as newly arriving files with a published model."""
@@ -334,6 +414,11 @@ def q_n01(spark, sf):
     return spark.read.parquet(sink)
 
 
+@query("N01_stream_keeps_every_row", "SELECT event_id, event_type, true AS scored FROM events")
+def q_n01_rows(spark, sf):
+    return q_n01(spark, sf).select("event_id", "event_type", _is_score("Probability").alias("scored"))
+
+
 # ----------------------------------------------------------------- sweeps
 def _text_grid(n_docs: int) -> list[dict]:
     fracs = smp.training_fractions(50, max(n_docs * (1 - 1 / 3), 51), 4)
