@@ -185,27 +185,27 @@ def expand_grid(spark, levels: Mapping[str, Sequence], id_col: str = "grid_id")
                  .select((i + 1).cast("int").alias(id_col), *cols))
 
 
-def level_grid(df: DataFrame, cols: Sequence[str], id_col: str = "grid_id") -> DataFrame:
-    """J06 over level sets found in the data: every combination of the sorted
-    distinct values of ``cols`` (first column fastest), from one aggregate row
-    and one ``sequence`` -- no cross join.  For factor-like columns."""
-    cols = list(cols)
-    lv = df.agg(*[F.array_sort(F.collect_set(c)).alias(f"_l{j}") for j, c in enumerate(cols)])
-    size = reduce(lambda a, b: a * b, [F.size(f"_l{j}") for j in range(len(cols))])
-    g = lv.select("*", F.explode(F.sequence(F.lit(0), size - 1)).alias("_i"))
-    out, stride = [], F.lit(1)
-    for j, c in enumerate(cols):
-        k = F.size(f"_l{j}")
-        out.append(F.element_at(F.col(f"_l{j}"), (F.floor(F.col("_i") / stride) % k + 1).cast("int")).alias(c))
-        stride = stride * k
-    return g.select((F.col("_i") + 1).cast("int").alias(id_col), *out)
-
-
-def broadcast_fixed(small: DataFrame, max_rows: int, n_rows: int) -> DataFrame:
-    """Broadcast hint for a side whose row count is known and bounded
-    (level lists, grids, lexicons).  Refuses anything above ``max_rows``;
-    data-derived sides are left to AQE's measured-size decision instead."""
-    if n_rows > max_rows:
+def level_grid(df: DataFrame, cols: Sequence[str], id_col: str = "grid_id", max_levels: int = 1000) -> DataFrame:
+    """J06 over the levels of factor columns: every combination of their sorted
+    distinct non-null values (first column fastest), laid out by
+    :func:`expand_grid`.  The level lists are parameters of a search, so they
+    are short: a column of more than ``max_levels`` values is an error."""
+    levels = {}
+    for c in cols:
+        vals = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(max_levels + 1).collect()]
+        if len(vals) > max_levels:
+            raise ValueError(f"{c!r} has more than {max_levels} levels: not a parameter list")
+        levels[c] = sorted(vals)
+    if not all(levels.values()):
+        return df.select(F.lit(0).alias(id_col), *cols).where(F.lit(False))
+    return expand_grid(df.sparkSession, levels, id_col)
+
+
+def broadcast_fixed(small: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint for a side that is small by nature (level lists,
+    grids, lexicons), after counting it: more than ``max_rows`` rows get no
+    hint and are left to the planner's measured sizes."""
+    if small.limit(max_rows + 1).count() > max_rows:
         return small
     return F.broadcast(small)
 
@@ -268,9 +268,7 @@ def cube_cells(df: DataFrame, measure: str, f1: tuple, f2: tuple, include_empty:
     spark = df.sparkSession
     grid = (spark.range(1).select(F.explode(F.sequence(F.lit(lo1), F.lit(hi1))).alias(c1))
                  .select(c1, F.explode(F.sequence(F.lit(lo2), F.lit(hi2))).alias(c2)))
-    n_cells = (hi1 - lo1 + 1) * (hi2 - lo2 + 1)
-    return (broadcast_fixed(grid, 1_000_000, n_cells)
-            .join(agg, on=[c1, c2], how="left")
+    return (agg.join(broadcast_fixed(grid, 1_000_000), on=[c1, c2], how="right")
             .withColumn("Counts", F.coalesce(F.col("Counts"), F.lit(0))))
 
 

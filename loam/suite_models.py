@@ -140,8 +140,7 @@ h AS (SELECT doc_id, avg(weight) AS aw FROM w JOIN (VALUES {_LEX}) lx(word, weig
     f"SELECT r.doc_id, {s6('0.5e0 + coalesce(h.aw, 0e0) / 2')} AS preSentiment FROM reviews r LEFT JOIN h USING (doc_id)"))
 def q_m05(spark, sf):
     r = view(spark, sf, "reviews")
-    lex = tx.lexicon_frame(spark)
-    return r6(tx.sentiment_scores(r, "doc_id", "review", lex, len(tx.SENTIMENT_LEXICON)), "preSentiment")
+    return r6(tx.sentiment_scores(r, "doc_id", "review", tx.lexicon_frame(spark)), "preSentiment")
 
 
 # ----------------------------------------------------------------- M06-M17
@@ -307,13 +306,22 @@ def q_e11_inputs(spark, sf):
                          "direct_distance", "scored"), "direct_distance")
 
 
+def _with_sentiment(spark, reviews):
+    """Reviews with M05's ``preSentiment``; 0.5 where no lexicon word occurs."""
+    s = tx.sentiment_scores(reviews, "doc_id", "review", tx.lexicon_frame(spark))
+    return reviews.join(s, on="doc_id", how="left").fillna(0.5, subset=["preSentiment"])
+
+
 def _review_model(spark, sf):
-    """M04 + M08: word features and an L2 logistic regression fitted on the
-    labelled training paths."""
+    """M04 + M05 + M08: word features and the lexicon sentiment, an L2 logistic
+    regression fitted on the labelled training paths."""
+    from pyspark.ml.feature import VectorAssembler
     r = view(spark, sf, "reviews").where(~F.col("fname").rlike("/unsup/"))
     train, _ = smp.path_split(r.withColumn("label", F.col("fname").rlike("/pos/").cast("double")), "fname", "/train/")
-    stages = tx.word_feature_stages("review", "features", 1 << 16)
-    return md.fit(train, None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0}, pre_stages=stages)
+    stages = [*tx.word_feature_stages("review", "words", 1 << 16),
+              VectorAssembler(inputCols=["words", "preSentiment"], outputCol="features")]
+    return md.fit(_with_sentiment(spark, train), None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0},
+                  pre_stages=stages)
 
 
 @query("E13_U06_parallel_set_scoring")
@@ -321,7 +329,7 @@ def q_e13(spark, sf):
     """Score four equal row sets of reviews (H05) in one pass, feature steps
     included, with the fitted review model."""
     r = smp.row_sets(view(spark, sf, "reviews"), 4, ["doc_id"])
-    return sc.score_sets(_review_model(spark, sf), r, "set_id", ["doc_id", "fname"])
+    return sc.score_sets(_review_model(spark, sf), _with_sentiment(spark, r), "set_id", ["doc_id", "fname"])
 
 
 @query("E13_U06_sets_keep_every_row", with_ctes(["reviews"], "", "SELECT doc_id, fname, CAST(ntile(4) OVER "

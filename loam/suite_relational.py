@@ -364,7 +364,7 @@ def q_j07(spark, sf):
     t = view(spark, sf, "trips").select("o_orderkey", "hack_license", "passenger_count", "payment_type")
     lv = spark.createDataFrame([(v, i) for i, v in enumerate(PAYMENT_LEVELS)],
                                "payment_type string, payment_index int")
-    return t.join(rel.broadcast_fixed(lv, 10_000, len(PAYMENT_LEVELS)), on="payment_type", how="left")
+    return t.join(rel.broadcast_fixed(lv, 10_000), on="payment_type", how="left")
 
 
 # ---------------------------------------------------------------- aggregations
