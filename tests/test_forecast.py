@@ -134,3 +134,18 @@ def test_constant_keys_stay_in_outputs(spark):
     assert {r["C"] for r in fc.collect()} == {"only"} and fc.count() == 6
     cv = fs.crossval(df, p, nfolds=1, ts_override="naive")
     assert {r["C"] for r in cv.collect()} == {"only"}
+
+
+def test_split_upper_nodes_reach_every_series(spark, monkeypatch):
+    """Upper nodes in several parts, not broadcast, give the broadcast form's sums."""
+    monkeypatch.setattr(reconcile._Structure, "PART", 2)
+    memb = membership(_panel(spark), ["A", "B"])
+    u = memb.select("node").distinct().withColumn("run", F.lit(0)).withColumn(
+        "u", F.pmod(F.xxhash64("node"), F.lit(100)).cast("double"))
+    sums = []
+    for limit in (64 << 20, 0):
+        s = reconcile._Structure(memb, 1, limit)
+        assert s.bcast == (limit > 0)
+        sums.append({r["bottom"]: r["u"] for r in s.St(s.flag(u), ["run"], "u").collect()})
+    assert s.up_nodes.agg(F.max("_parts")).first()[0] == 3
+    assert len(sums[0]) == 6 and sums[0] == sums[1]
