@@ -6,13 +6,22 @@ weight per node.
 
 * bottom-up (T06): node forecast = sum of its bottom forecasts;
 * optimal combination (T07): bottom forecasts ``b`` minimising
-  ``(yhat - S b)' W (yhat - S b)``, i.e. ``(S'WS) b = S'W yhat``.  Solved by
-  conjugate gradient with matrix-free products on long tables: ``S v`` is a
-  join to ``membership`` + sum per node, ``S' u`` a join + sum per bottom.
-  Every system -- one per (setting, origin, step) -- is solved in the same
-  DataFrame iteration; the per-system scalars (step sizes) are tables with one
-  row per system.  Each iteration's state is checkpointed to the shared
-  checkpoint folder, which cuts the lineage and survives executor loss.
+  ``(yhat - S b)' W (yhat - S b)``, i.e. ``(S'WS) b = S'W yhat``.  Two exact
+  forms, chosen by the counted size of the smaller one:
+
+  - *upper-node systems*: with ``U`` the upper rows of ``S``, ``D`` the bottom
+    weights and ``V`` the upper weights, ``b = yb + D^-1 U' mu`` where
+    ``(V^-1 + U D^-1 U') mu = yu - U yb``.  One grouped sum builds the matrix
+    of every system -- one per (setting, origin, step) --, one task solves each,
+    and one join brings ``mu`` back to the bottom series: a fixed number of
+    jobs, whatever the number of series.
+  - *conjugate gradient* with matrix-free products on long tables, where a
+    system has more than ``TASK_ENTRIES`` matrix entries: ``S v`` is a join to
+    ``membership`` + sum per node, ``S' u`` a join + sum per bottom.  All
+    systems run in the same DataFrame iteration; the per-system scalars (step
+    sizes) are tables with one row per system.  Each iteration's state is
+    checkpointed to the shared checkpoint folder, which cuts the lineage and
+    survives executor loss.
 
 Weights: ``ols`` 1, ``nseries`` 1 / (number of bottom series under the node),
 ``wls`` 1 / (in-sample one-step residual variance of the node's base model).
@@ -22,10 +31,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loam.session import checkpoint_dir
+from loam.session import checkpoint_dir, materialize
+
+#: Largest matrix of one system that a task solves (entries of 24 bytes plus two node names).
+TASK_ENTRIES = 1_000_000
+#: Unknowns up to which a task solves densely (8 bytes each squared); beyond, conjugate gradient on the entries.
+DENSE_NODES = 1_000
 
 # (steps, final relative residual) of the recent solves, for diagnostics
 SOLVE_LOG: list[tuple[int, float]] = []
@@ -147,12 +163,83 @@ class _Store:
         self.release_older_than(0)
 
 
+def _solve_entries(i: np.ndarray, j: np.ndarray, g: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Solve the symmetric positive definite system given by its entries
+    (duplicates add up, only one of (i, j) and (j, i) is given)."""
+    m = len(e)
+    off = i != j
+    i, j, g = np.concatenate([i, j[off]]), np.concatenate([j, i[off]]), np.concatenate([g, g[off]])
+    if m <= DENSE_NODES:
+        a = np.zeros((m, m))
+        np.add.at(a, (i, j), g)
+        return np.linalg.solve(a, e)
+    d = np.bincount(i[i == j], g[i == j], m)
+    x, r = np.zeros(m), e.copy()
+    z = r / d
+    p, rz, goal = z, r @ z, 1e-12 * np.linalg.norm(e)
+    for _ in range(10 * m):
+        if np.linalg.norm(r) <= goal:
+            return x
+        ap = np.bincount(i, g * p[j], m)
+        alpha = rz / (p @ ap)
+        x, r = x + alpha * p, r - alpha * ap
+        z = r / d
+        rz, before = r @ z, rz
+        p = z + rz / before * p
+    raise RuntimeError(f"a system of {m} upper nodes did not converge")
+
+
+def _upper_systems(node_fc: DataFrame, membership: DataFrame, sys_keys: list[str], weights: DataFrame,
+                   struct: _Structure, task_entries: int) -> DataFrame | None:
+    """The upper-node form; None where a system has more than ``task_entries``
+    matrix entries.  A null base forecast counts as 0."""
+    nodes = node_fc.select(*sys_keys, "node", F.coalesce("fcast", F.lit(0.0)).alias("y")).join(
+        weights, on=[*sys_keys, "node"]).select(*sys_keys, "node", "y", (1.0 / F.col("w")).alias("iw"), "up")
+    bottoms = (nodes.where(~F.col("up")).drop("up").withColumnRenamed("node", "bottom"))
+    # a series lies under at most one upper node per key and the total: the list is bounded by the keys
+    above = struct.up.groupBy("bottom").agg(F.sort_array(F.collect_list("node")).alias("above"))
+    under = bottoms.join(above, on="bottom").select(*sys_keys, "y", "iw", F.posexplode("above").alias("_k", "node"),
+                                                    "above")
+    n_above = F.size("above") - F.col("_k")
+    pairs = (under.select(*sys_keys, "node", "y", "iw", F.posexplode(F.slice("above", F.col("_k") + 1, n_above))
+                          .alias("_at", "other"))
+                  .groupBy(*sys_keys, "node", "other")
+                  .agg(F.sum("iw").alias("g"), F.sum(F.when(F.col("_at") == 0, F.col("y"))).alias("e")))
+    upper = nodes.where(F.col("up")).select(*sys_keys, "node", F.col("node").alias("other"), F.col("iw").alias("g"),
+                                            (-F.col("y")).alias("e"))
+    # entries of V^-1 + U D^-1 U' with U yb - yu on the diagonal rows
+    entries = materialize(pairs.unionByName(upper).groupBy(*sys_keys, "node", "other")
+                               .agg(F.sum("g").alias("g"), F.sum("e").alias("e")), "entries")
+    largest = entries.groupBy(*sys_keys).count().agg(F.max("count")).first()[0] or 0
+    if largest > task_entries:
+        return None
+    schema = entries.select(*sys_keys, "node", F.col("g").alias("mu")).schema
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, at = np.unique(np.concatenate([pdf["node"], pdf["other"]]).astype(object), return_inverse=True)
+        i, j = at[:len(pdf)], at[len(pdf):]
+        e = np.bincount(i, -pdf["e"].fillna(0.0).to_numpy(), len(names))
+        out = pd.DataFrame({"node": names, "mu": _solve_entries(i, j, pdf["g"].to_numpy(), e)})
+        for c in sys_keys:
+            out[c] = pdf[c].iloc[0]
+        return out[[*sys_keys, "node", "mu"]]
+
+    mu = entries.groupBy(*sys_keys).applyInPandas(solve, schema)
+    shift = struct._to_bottoms(mu).groupBy(*sys_keys, "bottom").agg(F.sum("mu").alias("mu"))
+    return (bottoms.join(shift, on=[*sys_keys, "bottom"], how="left")
+                   .select(*sys_keys, "bottom", (F.col("y") + F.col("iw") * F.coalesce("mu", F.lit(0.0))).alias("fcast")))
+
+
 def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str], weights: DataFrame,
             tol: float = 1e-8, max_iter: int = 200, x0: DataFrame | None = None,
-            inputs_stored: bool = False, broadcast_bytes: int = 64 << 20) -> DataFrame:
+            inputs_stored: bool = False, broadcast_bytes: int = 64 << 20,
+            task_entries: int = TASK_ENTRIES) -> DataFrame:
     """Reconciled bottom forecasts ``(sys_keys..., bottom, fcast)``.
 
-    Preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
+    Every node of ``membership`` has a base forecast and a positive weight.
+    Systems of at most ``task_entries`` matrix entries between upper nodes are
+    solved exactly, one task each (see the module text); larger ones by
+    preconditioned conjugate gradient (Jacobi: the diagonal of S'WS is the
     summed weight of the nodes above each bottom series), warm-started from
     ``x0`` (the bottom base forecasts; for coherent base forecasts the start
     is already the solution).  Stops when every system's residual norm is
@@ -173,6 +260,11 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
     n_systems = weights.select(*sys_keys).distinct().count()      # fixed by the parameters
     struct = _Structure(membership, n_systems, broadcast_bytes)
     weights = store.keep(struct.flag(weights), False)
+    exact = _upper_systems(node_fc, membership, sys_keys, weights, struct, task_entries)
+    if exact is not None:
+        out = materialize(exact, "reconciled")
+        store.release_all()
+        return out
     diag = struct.St(weights.withColumnRenamed("w", "dg"), sys_keys, "dg")
     # right-hand side c = S'W yhat
     wy = node_fc.join(weights, on=[*sys_keys, "node"]).select(

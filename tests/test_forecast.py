@@ -36,15 +36,32 @@ def test_combine_matches_dense_solve(spark):
     var = rng.uniform(0.5, 2.0, size=len(nodes))
     fc = spark.createDataFrame([(0, n, float(y), float(v)) for n, y, v in zip(nodes, yhat, var)],
                                "run int, node string, fcast double, resid_var double")
-    cases = (("ols", np.ones(len(nodes)), 64 << 20), ("nseries", 1 / S.sum(axis=1), 64 << 20),
-             ("wls", 1 / var, 64 << 20), ("wls", 1 / var, 0))          # 0: upper rows not broadcast
-    for scheme, w, bcast in cases:
+    big, rows = 64 << 20, reconcile.TASK_ENTRIES
+    # broadcast 0: upper rows joined in parts; entries 0: conjugate gradient over the long tables
+    cases = (("ols", np.ones(len(nodes)), big, rows), ("nseries", 1 / S.sum(axis=1), big, rows),
+             ("wls", 1 / var, big, rows), ("wls", 1 / var, 0, rows), ("wls", 1 / var, big, 0), ("wls", 1 / var, 0, 0))
+    for scheme, w, bcast, entries in cases:
         W = np.diag(w)
         expect = np.linalg.solve(S.T @ W @ S, S.T @ W @ yhat)
         wts = reconcile.node_weights(memb, fc, ["run"], scheme)
         got = {r["bottom"]: r["fcast"] for r in
-               reconcile.combine(fc, memb, ["run"], wts, tol=1e-12, broadcast_bytes=bcast).collect()}
-        assert np.allclose([got[b] for b in bottoms], expect, atol=1e-8), (scheme, bcast)
+               reconcile.combine(fc, memb, ["run"], wts, tol=1e-12, broadcast_bytes=bcast,
+                                                               task_entries=entries).collect()}
+        assert np.allclose([got[b] for b in bottoms], expect, atol=1e-8), (scheme, bcast, entries)
+
+
+def test_solve_entries_sparse_equals_dense(monkeypatch):
+    rng = np.random.default_rng(5)
+    m = 60
+    i, j = np.triu_indices(m)
+    keep = (i == j) | (rng.random(len(i)) < 0.1)
+    i, j = i[keep], j[keep]
+    g = np.where(i == j, 20.0, rng.uniform(0, 1, len(i)))
+    e = rng.normal(size=m)
+    dense = reconcile._solve_entries(i, j, g, e)
+    monkeypatch.setattr(reconcile, "DENSE_NODES", 0)
+    assert np.allclose(reconcile._solve_entries(i, j, g, e), dense, atol=1e-9)
+    assert not reconcile._solve_entries(i, j, g, np.zeros(m)).any()
 
 
 def test_reconciled_parents_equal_children_sums(spark):
