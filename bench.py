@@ -5,7 +5,7 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``{"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}``.
 
 Every query is fully executed through the ``noop`` sink (no collect to the
-driver); the reported time per query is the median of ``$BENCH_REPS`` runs
+driver); the reported time per query is the median of ``$BENCH_REPS`` (2) runs
 after one warm-up run.
 """
 
@@ -34,6 +34,7 @@ HEADLINE = [
     "J05_calendar_panel_fill",           # dense monthly panel
     "T10_rolling_origin_naive_rmse",     # rolling-origin evaluation
     "T12_parameter_search_scores",       # grid of settings in one plan
+    "T11_T13_optimise_settings",         # the same with smoothing: the reconciliation systems are solved
     "M03_char_ngram_features",           # text features
     "E13_U06_parallel_set_scoring",      # model scoring over row sets
     "M07_S04_P03_csv_to_glm_pipeline",   # CSV -> frame -> binomial GLM (the baseline's pipeline)
@@ -43,7 +44,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "2"))
     from loam.session import get_spark
     spark = get_spark(f"local[{cpus}]", app="loam-bench", shuffle_partitions=int(cpus) * 2,
                       extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})

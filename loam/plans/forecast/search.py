@@ -145,29 +145,37 @@ def search(df: DataFrame, params: ForecastParams, nfolds: int = 3, ts_override:
     return scores, best_setting(scores.select("grid_id", "score"), grid)
 
 
-def future_forecast(df: DataFrame, params: ForecastParams, ts_override: str | None = None,
-                    tol: float = 1e-8) -> DataFrame:
-    """T14 (and T05 for a single series): ``params.horizon`` months after the
-    last month, with the given setting; bottom forecasts clamped at 0.
-
-    Columns: bottom, keys..., Date, step, fcast."""
-    spark = df.sparkSession
-    ts = ts_override or params.ts_method
+def future_forecasts(df: DataFrame, params: ForecastParams, settings: Sequence[tuple], tol: float = 1e-8,
+                     single: str = "arima") -> DataFrame:
+    """T14 for several settings (grid_id, GTSMETHOD, COMBHTS_WEIGHTS, TSMETHOD)
+    in one plan: panel and base forecasts are computed once, all settings are
+    reconciled together.  A single series (T05: no key has two values) is
+    forecast by ``single`` and needs no combination.
+
+    Columns: grid_id, bottom, keys..., Date, step, fcast."""
     panel, keys = bottom_panel(df, params)
     d, v = params.date_col, params.value_col
-    if not keys:                                   # T05: one series left -> arima, clamp
-        ts = ts_override or "arima"
+    if not keys:
+        settings = [(g, "bu", w, single) for g, _, w, _ in settings]
     panel = materialize(panel)
     memb = materialize(membership(panel, keys))
     nodes = aggregate_nodes(panel, keys, d, v).withColumn("run", F.lit(0))
-    fc = base_node_forecasts(nodes, ["run", "node"], d, v, params.horizon, [ts], params.frequency)
+    fc = base_node_forecasts(nodes, ["run", "node"], d, v, params.horizon, [s[3] for s in settings], params.frequency)
     fc = materialize(fc.join(nodes.select("node", "level").distinct(), on="node"))
-    method = params.gts_method if keys else "bu"
-    settings = [(0, method, params.comb_weights, ts)]
     b = _reconciled_bottoms(fc, memb, settings, len(keys), ["run", "step"], tol)
     out = b.join(bottom_keys(panel, params, keys), on="bottom", how="left")
-    return out.select("bottom", *[k for k in params.keys if k in out.columns], F.add_months(panel.select(F.max(d)).scalar(), F.col("step")).alias(d),
-                      "step", "fcast")
+    return out.select("grid_id", "bottom", *[k for k in params.keys if k in out.columns],
+                      F.add_months(panel.select(F.max(d)).scalar(), F.col("step")).alias(d), "step", "fcast")
+
+
+def future_forecast(df: DataFrame, params: ForecastParams, ts_override: str | None = None,
+                    tol: float = 1e-8) -> DataFrame:
+    """T14 (and T05 for a single series): ``params.horizon`` months after the
+    last month, with the given setting; bottom forecasts clamped at 0.
+
+    Columns: bottom, keys..., Date, step, fcast."""
+    one = (0, params.gts_method, params.comb_weights, ts_override or params.ts_method)
+    return future_forecasts(df, params, [one], tol, ts_override or "arima").drop("grid_id")
 
 
 def forecast_table(fc: DataFrame, keys: Sequence[str], prefix: str = "fcast", horizon: int = 3) -> DataFrame:

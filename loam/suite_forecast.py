@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from loam.plans.forecast import methods
 from loam.plans.forecast import search as fs
 from loam.plans.forecast.panel import ForecastParams, aggregate_nodes, bottom_panel, membership
-from loam.plans.forecast.reconcile import bottom_up
+from loam.plans.forecast.reconcile import bottom_up, combine, node_weights
+from loam.session import materialize
 from loam.sources.views import view, with_ctes
 from loam.suite import query, r6, s6
 from loam.suite_relational import DEMAND_KEYS, _MONTHLY
@@ -140,14 +141,37 @@ def q_t06(spark, sf):
     return r6(bottom_up(b, membership(panel, keys), ["run"]).select("node", "fcast"), "fcast")
 
 
+_SCHEMES = ("ols", "wls", "nseries")
+
+
 @query("T07_T08_optimal_combination_clamped")
 def q_t07(spark, sf):
-    d = _demand(spark, sf)
-    outs = []
-    for w in ("ols", "wls", "nseries"):
-        fc = fs.future_forecast(d, PARAMS.with_(comb_weights=w, horizon=1))
-        outs.append(fc.withColumn("weights", F.lit(w)))
-    return outs[0].unionByName(outs[1]).unionByName(outs[2])
+    p = PARAMS.with_(horizon=1)
+    settings = [(i, "comb", w, p.ts_method) for i, w in enumerate(_SCHEMES)]
+    fc = fs.future_forecasts(_demand(spark, sf), p, settings)
+    return fc.withColumn("weights", F.get(F.array(*[F.lit(w) for w in _SCHEMES]), "grid_id")).drop("grid_id")
+
+
+@query("T07_normal_equations", _sql(
+    "SELECT w.weights, k.bottom, 0.0e0 AS residual FROM (SELECT DISTINCT bottom FROM p) k, "
+    "(VALUES ('ols'), ('wls'), ('nseries')) w(weights)"))
+def q_t07b(spark, sf):
+    """Smoothed node forecasts, which do not add up, combined; the residual S'W(yhat - S b) per series is
+    measured from the result, against the size of its terms."""
+    panel, keys, nodes = _nodes(spark, sf)
+    memb = materialize(membership(panel, keys))
+    fc = materialize(methods.ets(methods.series_arrays(nodes, ["node"], "Date", "Quantity"), ["node"], 1))
+    fc = fc.select("node", "fcast", "resid_var", F.explode(F.array(*[F.lit(w) for w in _SCHEMES])).alias("weights"))
+    wts = None
+    for w in _SCHEMES:
+        one = node_weights(memb, fc.where(F.col("weights") == w), ["weights"], w)
+        wts = one if wts is None else wts.unionByName(one)
+    b = combine(fc, memb, ["weights"], wts, inputs_stored=True)
+    sums = bottom_up(b, memb, ["weights"]).withColumnRenamed("fcast", "s")
+    terms = memb.select("bottom", "node").join(
+        fc.join(sums, on=["weights", "node"]).join(wts, on=["weights", "node"]), on="node")
+    gap, size = F.col("w") * (F.col("fcast") - F.col("s")), F.col("w") * F.abs("fcast")
+    return r6(terms.groupBy("weights", "bottom").agg((F.sum(gap) / F.sum(size)).alias("residual")), "residual")
 
 
 @query("T09_forecast_table_wide", _sql(
