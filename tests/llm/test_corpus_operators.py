@@ -197,6 +197,22 @@ def test_lm_gradient():
     assert m.logp(feats, leaves).mean() > before + 0.3
 
 
+def test_lm_reads_the_third_word_back():
+    # the middle words are noise; only the third word back tells which word comes
+    assert lm.FEATURES >= 4096
+    rng = np.random.default_rng(8)
+    codes = rng.integers(0, 2, 20_000) * 2
+    codes[3:][np.arange(3, len(codes)) % 4 == 3] = 0
+    at = np.arange(3, len(codes), 4)
+    codes[at] = codes[at - 3] + 1
+    f = lm.features(codes, codes, np.arange(len(codes)))
+    assert f.shape == (lm.TEMPLATES, len(codes)) and f.max() < lm.FEATURES
+    m = lm.Model(np.bincount(codes, minlength=lm.LEAVES) + 1.0)
+    for _ in range(20):
+        m.learn(f[:, at], codes[at])
+    assert m.logp(f[:, at], codes[at]).mean() > math.log10(0.9)
+
+
 # -- packing --------------------------------------------------------------------------------------------------
 
 def check_packing(rows, texts, t, capacity):
