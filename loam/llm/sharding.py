@@ -5,11 +5,14 @@ hash of their text; the atomic sizes are those of ``BUCKETS`` equal hash ranges
 (on small tables a bucket holds one group, on any table its share of a shard
 is about ``n_shards / BUCKETS``).  The smallest shard capacity for which a
 greedy walk over the ordered sizes needs at most ``n_shards`` shards is found
-by binary search; the walk's cuts are the shard borders.  What reaches the
-driver are ``BUCKETS`` sums, whatever the input.
+by binary search.  Where one size alone sets that capacity it becomes a shard,
+and the search is run again on the sizes before and after it with the shards
+that remain; elsewhere cuts lie as near to equal parts as the capacity allows.
+What reaches the driver are ``BUCKETS`` sums, whatever the input.
 
 Law: ``bytes`` (sizes near equal): the largest shard is as small as any
-contiguous cut of the ordered groups allows.
+contiguous cut of the ordered hash ranges allows, and no shard is empty while
+there are ranges with rows for all.
 
 Rows get gapless slots without a window over a shard: a bucket's first slot
 comes from the sums, rows inside are numbered in ``SALTS`` parts each, so a
@@ -22,8 +25,9 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from itertools import accumulate
+from math import inf
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,27 +42,78 @@ OVERHEAD = 16
 def cut(sizes: list[int], n_shards: int) -> tuple[int, list[int]]:
     """(capacity, first index of shards 1..n_shards-1) for ordered ``sizes``."""
     upto = [0, *accumulate(sizes)]
-    total = upto[-1]
-
-    def greedy(capacity: int) -> list[int]:
-        borders, at = [], 0
-        while at < len(sizes):
-            nxt = bisect_right(upto, upto[at] + capacity) - 1
-            borders.append(nxt)
-            at = nxt
-            if len(borders) > n_shards:
-                break
+    filled = [0, *accumulate(int(x > 0) for x in sizes)]
+
+    def needed(a: int, z: int, capacity: int, most: int) -> int:
+        """Shards of a greedy walk over sizes[a:z], at most ``most`` + 1."""
+        n = 0
+        while a < z and n <= most:
+            a = min(z, bisect_right(upto, upto[a] + capacity) - 1)
+            n += 1
+        return n
+
+    def least(a: int, z: int, n: int) -> float:
+        """The smallest capacity for sizes[a:z] in n shards."""
+        total = upto[z] - upto[a]
+        if not n or not total:
+            return inf if total else 0
+        low, high = max(*sizes[a:z], -(-total // n)), total
+        while low < high:
+            mid = (low + high) // 2
+            if needed(a, z, mid, n) <= n:
+                high = mid
+            else:
+                low = mid + 1
+        return low
+
+    def even(a: int, z: int, n: int, capacity: int) -> list[int]:
+        """n - 1 borders near equal parts, none above ``capacity``, none empty if the sizes allow."""
+        borders = []
+        for left in range(n - 1, 0, -1):  # shards after this one
+            low, high = a, min(z, bisect_right(upto, upto[a] + capacity) - 1)
+            first = bisect_left(filled, filled[a] + 1, a, high) if filled[z] > filled[a] else a
+            last = max(first, min(high, bisect_right(filled, max(filled[z] - left, filled[a]), a, z + 1) - 1))
+            while low < high:  # the least place after which ``left`` shards are enough
+                mid = (low + high) // 2
+                if needed(mid, z, capacity, left) <= left:
+                    high = mid
+                else:
+                    low = mid + 1
+            goal = upto[a] + (upto[z] - upto[a]) / (left + 1)
+            at = bisect_left(upto, goal, a, z)
+            if at > a and goal - upto[at - 1] < upto[at] - goal:
+                at -= 1
+            a = min(max(at, low, first), max(low, last))
+            borders.append(a)
         return borders
 
-    low, high = max([0, *sizes, -(-total // n_shards)]), max(total, 0)
-    while low < high:
-        mid = (low + high) // 2
-        if len(greedy(mid)) <= n_shards:
-            high = mid
-        else:
-            low = mid + 1
-    borders = greedy(low)[:-1]
-    return low, (borders + [len(sizes)] * n_shards)[:n_shards - 1]
+    def split(a: int, z: int, n: int) -> list[int]:
+        if n < 2:
+            return []
+        if upto[z] == upto[a]:
+            return [z] * (n - 1)
+        capacity = least(a, z, n)
+        hot = max(range(a, z), key=sizes.__getitem__)
+        if sizes[hot] < capacity:
+            return even(a, z, n, capacity)
+        # one size alone sets the capacity: it has a shard of its own, the others share the rest
+        # shards before it, no more than sizes there or after it
+        most = filled[hot] - filled[a]
+        start = low = min(most, max(0, n - 1 - (filled[z] - filled[hot + 1])))
+        high = max(low, min(n - 1, most))
+        while low < high:
+            mid = (low + high) // 2
+            if least(a, hot, mid) <= least(hot + 1, z, n - 1 - mid):
+                high = mid
+            else:
+                low = mid + 1
+        k = min((low, max(low - 1, start)), key=lambda k: max(least(a, hot, k), least(hot + 1, z, n - 1 - k)))
+        after = n - 1 - k
+        return (split(a, hot, k) + [hot] * (k > 0) + [hot + 1] * (after > 0) + split(hot + 1, z, after))
+
+    if not upto[-1]:
+        return 0, [len(sizes)] * (n_shards - 1)
+    return least(0, len(sizes), n_shards), split(0, len(sizes), n_shards)
 
 
 def bucket_of(text: Column) -> Column:

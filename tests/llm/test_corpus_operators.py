@@ -353,6 +353,30 @@ def test_cut_is_minimax():
         assert max(sum(x[a:b]) for a, b in zip(edges, edges[1:])) <= capacity
 
 
+@pytest.mark.parametrize("hot", [0, 3000, 8000, 16_383])
+@pytest.mark.parametrize("times", [0.5, 0.05])
+def test_cut_is_even_beside_a_hot_group(hot, times):
+    sizes = np.random.default_rng(2).integers(900, 1100, sharding.BUCKETS).tolist()
+    sizes[hot] += int(sum(sizes) * times)  # a third of all bytes, or a twentieth
+    capacity, borders = sharding.cut(sizes, 40)
+    edges = [0, *borders, len(sizes)]
+    parts = [sum(sizes[a:b]) for a, b in zip(edges, edges[1:])]
+    rest = sorted(parts)[:-1]
+    assert capacity == sizes[hot] == max(parts) and rest[-1] < 1.05 * sum(rest) / 39 and rest[0] > 0.9 * sum(rest) / 39
+
+
+def test_cut_leaves_no_shard_empty():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        x = (rng.integers(0, 30, rng.integers(1, 30)) * rng.choice([1, 1, 20], 1)).tolist()
+        n = int(rng.integers(1, 12))
+        capacity, borders = sharding.cut(x, n)
+        edges = [0, *borders, len(x)]
+        parts = [sum(x[a:b]) for a, b in zip(edges, edges[1:])]
+        assert edges == sorted(edges) and len(parts) == n and max(parts) <= capacity
+        assert sum(p > 0 for p in parts) == min(n, sum(v > 0 for v in x))
+
+
 @pytest.mark.parametrize("which", ["docs", "real_docs"])
 def test_shards(which, request):
     df = request.getfixturevalue(which)
