@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import product
 
 import pytest
 from pyspark.sql import functions as F
@@ -63,6 +64,45 @@ def test_license_rules_are_many_and_distinct():
     assert all(0 <= x[3] < licenses.LEVELS for x in r)
 
 
+def shortest(parsed):
+    """All texts a parsed pattern matches with every optional part left out."""
+    out = [""]
+    for op, of in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(of)]
+        elif name == "IN":
+            more = ["0"] if str(of[0][0]) == "CATEGORY" else [chr(c) for k, c in of if str(k) == "LITERAL"] or [chr(of[0][1][0])]
+        elif name == "MAX_REPEAT":
+            more = ["".join(x) for x in product(*[shortest(of[2])] * of[0])]
+        elif name == "BRANCH":
+            more = [x for branch in of[1] for x in shortest(branch)]
+        else:
+            assert name == "SUBPATTERN"
+            more = shortest(of[3])
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_license_gates_lose_no_match():
+    for _, label, key, _, _, pattern in licenses.rules():
+        for text in shortest(re._parser.parse(pattern)):
+            assert re.fullmatch(pattern, text)
+            assert f" {key} " in f" {text} " and any(g in text for g in licenses.GATE), (label, text)
+
+
+def test_license_texts_without_the_word_license(spark):
+    want = {"Distributed under Apache 2.0": "apache-2.0", "released under the MPL 2.0": "mpl", "available under MIT": "mit",
+            "BSD 3-Clause": "bsd-3-clause", "WTFPL": "wtfpl", "Beerware": "beerware", "CDDL 1.1": "cddl-1.0",
+            "EUPL 1.2": "eupl-1.2", "SSPL": "sspl-1.0", "0BSD": "0bsd", "zero clause BSD": "0bsd", "FreeBSD": "bsd-2-clause",
+            "you can redistribute it and/or modify it under the terms of the GNU": "gpl", "without warranties": "no-warranty",
+            "altered source versions must be plainly marked as such": "zlib", "come without any warranty": "no-warranty",
+            "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit"}
+    df = spark.createDataFrame([(f"It is {t} here.",) for t in want], "text string")
+    got = {r.text[6:-6]: r.scan.labels for r in licenses.scan(df, carry=("text",)).collect()}
+    assert {t: x for t, x in got.items() if want[t] not in x} == {}
+
+
 def test_license_containment(spark):
     df = spark.createDataFrame([("licensed under the Apache License, Version 2.0 for all",)], "text string")
     hits = licenses.scan(df, carry=()).select(F.explode("scan.hits").alias("h")).select("h.*").collect()
