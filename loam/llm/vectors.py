@@ -126,7 +126,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
         for b in batches:
             if not b.num_rows:
                 continue
-            y = unit(matrix(b.column("v"), width)) @ basis
+            y = np.clip(unit(matrix(b.column("v"), width)) @ basis, -1, 1)  # a rounded -1 - 2e-16 has no cell
             at = np.floor((y[:, :lead] + 1) / reach).astype(np.int64)
             cell = at @ (per_axis ** np.arange(lead))
             yield pa.RecordBatch.from_arrays([b.column("uid"), b.column("many"), pa.array(cell),

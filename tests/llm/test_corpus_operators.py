@@ -307,6 +307,14 @@ def test_vectors_edges(spark):
         assert vectors.near_duplicates(bad).count() == bad.count()
 
 
+@pytest.mark.parametrize("width", [1, 3, 7])
+def test_vectors_along_one_direction(spark, width):
+    one = np.random.default_rng(width).normal(size=width)
+    rows = [(i, [float(x) for x in one * k * (1 + i / 7)]) for i, k in enumerate([1, -1] * 15)]
+    got = vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert all((r.n_links, r.component_id) == (14, r.vec_id % 2) for r in got) and len(got) == 30
+
+
 # -- WARC -----------------------------------------------------------------------------------------------------
 
 def test_warc_round_trip(spark, tmp_path):
