@@ -247,6 +247,13 @@ def q_p13(spark, sf):
     return rel.drop_constant_columns(d, DEMAND_KEYS)
 
 
+@query("P13_drop_constant_columns_whole", with_views(
+    "SELECT CustomerName, ProductCategory, Destination, Date, Quantity FROM demand", "demand"))
+def q_p13_whole(spark, sf):
+    d = view(spark, sf, "demand").withColumn("Unit", F.lit("piece"))
+    return rel.drop_constant_columns(d, [*DEMAND_KEYS, "Unit"])
+
+
 @query("P14_fill_missing_zero", with_views(
     "SELECT CustomerName, ProductCategory, Destination, Date, coalesce(Quantity, 0.0) AS Quantity FROM demand",
     "demand"))
@@ -336,6 +343,20 @@ def q_j04(spark, sf):
     return r6(rel.full_join_fill(act, fc, DEMAND_KEYS, 0.0), "actual1", "fcast1")
 
 
+@query("J04_full_join_fill_zero_whole", with_ctes(["demand"], _MONTHLY, """SELECT coalesce(a.CustomerName, f.CustomerName) AS CustomerName,
+       coalesce(a.ProductCategory, f.ProductCategory) AS ProductCategory,
+       coalesce(a.Destination, f.Destination) AS Destination, coalesce(a.Date, f.Date) AS Date,
+       """ + s6("coalesce(a.Quantity, 0.0)") + " AS actual1, " + s6("coalesce(f.Quantity, 0.0)") + """ AS fcast1
+FROM m a FULL JOIN (SELECT * REPLACE (CAST(Date + INTERVAL 1 MONTH AS DATE) AS Date) FROM m) f
+  ON a.CustomerName = f.CustomerName AND a.ProductCategory = f.ProductCategory AND a.Destination = f.Destination
+  AND a.Date = f.Date"""))
+def q_j04_whole(spark, sf):
+    m = _monthly(spark, sf).withColumn("Date", F.col("Date").cast("date"))
+    act = m.select(*DEMAND_KEYS, "Date", F.col("Quantity").alias("actual1"))
+    fc = m.select(*DEMAND_KEYS, F.add_months("Date", 1).alias("Date"), F.col("Quantity").alias("fcast1"))
+    return r6(rel.full_join_fill(act, fc, [*DEMAND_KEYS, "Date"], 0.0), "actual1", "fcast1")
+
+
 @query("J05_calendar_panel_fill", with_ctes(["demand"], _MONTHLY + """,
 k AS (SELECT DISTINCT CustomerName, ProductCategory, Destination FROM m),
 cal AS (SELECT CAST(unnest(generate_series((SELECT min(Date) FROM m), (SELECT max(Date) FROM m), INTERVAL 1 MONTH)) AS DATE) AS Date)""", """SELECT k.CustomerName, k.ProductCategory, k.Destination, cal.Date, """ + s6("coalesce(m.Quantity, 0.0)") + """ AS Quantity
@@ -527,6 +548,13 @@ def q_r01(spark, sf):
                               s.where(F.col("category") == "click").select("event_id", "is_real")])
 
 
+@query("R01_union_by_name_whole", with_views(
+    "SELECT event_id, Probability FROM scored UNION ALL BY NAME SELECT event_id, is_real FROM scored", "scored"))
+def q_r01_whole(spark, sf):
+    s = view(spark, sf, "scored")
+    return rel.union_by_name([s.select("event_id", "Probability"), s.select("event_id", "is_real")])
+
+
 @query("R02_wide_to_long", with_views("", "weather").rstrip() + ",\n" + _W_SUMMARY + "\n" + " UNION ALL ".join(
     f"SELECT Year, Month, DayOfMonth, CRSDepTime, OriginAirportID, '{m}' AS measure, {s6(m)} AS value FROM ws"
     for m in MEASURES))

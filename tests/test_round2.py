@@ -88,3 +88,17 @@ def test_no_local_scratch_on_a_cluster():
         conf = {}
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session())
+
+
+def test_whole_tables_leave_no_row_out(spark):
+    from conftest import SF01
+    from loam.sources.views import view
+    from loam.suite import QUERIES
+    run = lambda name: QUERIES[name](spark, SF01)
+    demand, scored = view(spark, SF01, "demand"), view(spark, SF01, "scored")
+    p13 = run("P13_drop_constant_columns_whole")
+    assert "Unit" not in p13.columns and p13.count() == demand.count()
+    assert run("R01_union_by_name_whole").count() == 2 * scored.count()
+    total = run("J04_full_join_fill_zero_whole").selectExpr("sum(actual1)", "sum(fcast1)").first()
+    want = demand.selectExpr("sum(Quantity)").first()[0]
+    assert abs(total[0] - want) < 1e-3 and abs(total[1] - want) < 1e-3
