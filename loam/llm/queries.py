@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.llm import licenses, lm, mixing, packing, quality, sharding, simhash, tokens, vectors, warc
+from loam.llm import (decontamination, licenses, lm, mixing, packing, quality, sharding, simhash, spelling, tokens, vectors, warc,
+                      whitening)
 from loam.session import read_table, scratch_path
 
 #: The token id that ends a packed document.
@@ -67,9 +68,27 @@ def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = decontamination.matches(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    ids = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    return m.select(
+        F.col("doc").alias("doc_id"), "n_words", decontamination.covered(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"), "n_near")
+
+
+def op12_spelling_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.misspelt_counts(read_table(spark, sf_dir, "documents")))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_simhash_pivots, op3_source_mixing, op4_maxent_scoring, op5_certified_packing,
-    op6_embedding_pca_tiles, op7_adaptive_quality, op8_warc_index, op9_token_counts, op10_minimax_shards)}
+    op6_embedding_pca_tiles, op7_adaptive_quality, op8_warc_index, op9_token_counts, op10_minimax_shards,
+    op11_benchmark_decontamination, op12_spelling_chunks, op13_embedding_whitening)}
 
 # -- SQL of the queries that SQL can express ------------------------------------------------------------------
 
@@ -166,4 +185,39 @@ SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
 FROM t
 """
 
-ORACLE: dict[str, str] = {"op6_embedding_pca_tiles": _OP6, "op7_adaptive_quality": _op7(), "op8_warc_index": _OP8}
+_WORDS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+_OP11 = f"""
+WITH b AS (SELECT item_id, w, least(len(w), {decontamination.WINDOW}) AS k FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, k, w[i:i + k - 1] AS g FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM b)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS w FROM documents),
+dw AS (SELECT rid, k, i, w[i:i + k - 1] AS g FROM (SELECT rid, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM win))),
+hit AS (SELECT rid, item_id, i, dw.k FROM dw JOIN win ON dw.g = win.g AND dw.k = win.k),
+cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + k)) AS p FROM hit) GROUP BY rid),
+it AS (SELECT rid, count(DISTINCT item_id) AS n, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
+       FROM hit GROUP BY rid),
+-- proximity: the rarest distinct words of a window all of whose words occur, near a place of the rarest
+place AS (SELECT rid, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS t FROM d),
+freq AS (SELECT t, count(*) AS c FROM place GROUP BY t),
+grid AS (SELECT g, unnest(range(1, len(g) + 1)) AS o, unnest(g) AS t FROM (SELECT DISTINCT g FROM win)),
+term AS (SELECT grid.g, grid.t, min(grid.o) AS o, any_value(c) AS c FROM grid LEFT JOIN freq USING (t) GROUP BY grid.g, grid.t),
+full_ AS (SELECT g FROM term GROUP BY g HAVING count(*) = count(c)),
+rare AS (SELECT g, t, row_number() OVER (PARTITION BY g ORDER BY c, o) AS r FROM term JOIN full_ USING (g)),
+trio AS (SELECT g, max(CASE WHEN r = 1 THEN t END) AS t1, max(CASE WHEN r = 2 THEN t END) AS t2, max(CASE WHEN r = 3 THEN t END) AS t3
+         FROM rare GROUP BY g),
+sets AS (SELECT DISTINCT t1, t2, t3 FROM trio),
+p1 AS (SELECT DISTINCT rid, p, t1, t2, t3 FROM place JOIN sets ON t = t1),
+p2 AS (SELECT DISTINCT p1.* FROM p1 JOIN place x ON x.rid = p1.rid AND x.t = t2 AND abs(x.p - p1.p) <= {decontamination.NEAR}
+       UNION SELECT * FROM p1 WHERE t2 IS NULL),
+p3 AS (SELECT DISTINCT p2.* FROM p2 JOIN place x ON x.rid = p2.rid AND x.t = t3 AND abs(x.p - p2.p) <= {decontamination.NEAR}
+       UNION SELECT * FROM p2 WHERE t3 IS NULL),
+near AS (SELECT rid, count(DISTINCT item_id) AS n FROM (SELECT DISTINCT rid, t1, t2, t3 FROM p3) q
+         JOIN trio ON trio.t1 = q.t1 AND trio.t2 IS NOT DISTINCT FROM q.t2 AND trio.t3 IS NOT DISTINCT FROM q.t3
+         JOIN win ON win.g = trio.g GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(cov.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, cov.n IS NOT NULL AS contaminated, coalesce(near.n, 0) AS n_near
+FROM d LEFT JOIN cov USING (rid) LEFT JOIN it USING (rid) LEFT JOIN near USING (rid)
+"""
+
+ORACLE: dict[str, str] = {"op6_embedding_pca_tiles": _OP6, "op7_adaptive_quality": _op7(), "op8_warc_index": _OP8,
+                          "op11_benchmark_decontamination": _OP11}

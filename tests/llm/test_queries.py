@@ -24,8 +24,8 @@ def test_sql(spark, name):
     assert ok, said
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_registered():
@@ -40,7 +40,9 @@ def test_columns(spark):
         "op5": "doc_id piece start length ids_crc32 sequence_id offset", "op6": "vec_id n_links component_id kept",
         "op7": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
         "op8": "page_id payload_bytes payload_digest record_type refers_to", "op9": "doc_id n_bytes n_tokens over_limit",
-        "op10": "doc_id size text_crc32 law shard slot grown_shard"}
+        "op10": "doc_id size text_crc32 law shard slot grown_shard",
+        "op11": "doc_id n_words n_hit n_items items_sha256 contaminated", "op12": "word form root n n_near form_n",
+        "op13": "vec_id component n deviation whitened explained identity_error"}
     for name, fn in QUERIES.items():
         if name.split("_")[0] in want:
             df = fn(spark, SF001)
