@@ -82,16 +82,12 @@ TASK_KIND = {"logit": "classification", "logistic": "classification", "linear":
 
 
 def fast_linear(kind: str = "classification", l1_weight: float = 0.0, l2_weight: float = 1e-4,
-                tol: float = 1e-6, max_iter: int = 100, **kw):
-    """Linear classifier / regressor with L1 + L2 penalties.
-
-    ``regParam = l1 + l2`` and ``elasticNetParam = l1 / (l1 + l2)``; the
-    penalty scale differs from other implementations, so the weights are a
-    search axis, not numbers to carry over."""
-    reg = l1_weight + l2_weight
-    enet = (l1_weight / reg) if reg > 0 else 0.0
-    common = dict(regParam=reg, elasticNetParam=enet, tol=tol, maxIter=max_iter, standardization=False, **kw)
-    return LogisticRegression(**common) if kind == "classification" else LinearRegression(**common)
+                tol: float = 1e-3, max_iter: int = 200, **kw):
+    """Linear classifier / regressor with L1 + L2 penalties by dual
+    coordinate ascent: mean loss + l2/2 |w|^2 + l1 |w|_1, stopped at a duality
+    gap of ``tol`` times the objective (``plans.dual``)."""
+    from loam.plans.dual import FastLinear
+    return FastLinear(kind=kind, l1=float(l1_weight), l2=float(l2_weight), tol=tol, maxIter=max_iter, **kw)
 
 
 LEARNERS["fastlinear_class"] = lambda **kw: fast_linear("classification", **kw)

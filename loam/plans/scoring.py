@@ -14,23 +14,56 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.session import materialize
-
-
 def _has(df: DataFrame, c: str) -> bool:
     return c in df.columns
 
 
+def _formula_indexers(stage):
+    """The fitted level lists of a formula's string columns: (column, first level,
+    number of levels, indexer)."""
+    for s in stage._java_obj.pipelineModel().stages():
+        if s.getClass().getSimpleName() == "StringIndexerModel" and s.isSet(s.getParam("inputCol")):
+            known = s.labelsArray()[0]
+            yield s.getInputCol(), known[0] if len(known) else "", len(known), s
+
+
+def _formula_columns(stage) -> set[str]:
+    """The predictor columns of a formula."""
+    terms = stage._java_obj.resolvedFormula().terms()
+    return {terms.apply(i).apply(k) for i in range(terms.size()) for k in range(terms.apply(i).size())}
+
+
 def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``model.transform`` that keeps every row: rows that a formula with
-    ``handleInvalid='skip'`` cannot encode come back with null outputs."""
+    """``model.transform`` that keeps every row of a batch or a stream: rows that a
+    formula with ``handleInvalid='skip'`` cannot encode (a null, not a number or a
+    level that it was not fitted on) come back with null outputs.
+
+    Such a row goes through the model with a known level or 0 in its place and
+    loses its outputs after; nothing is copied, joined or shuffled."""
     first = model.stages[0]
-    if df.isStreaming or not (first.hasParam("handleInvalid") and first.getOrDefault("handleInvalid") == "skip"):
+    if not (first.hasParam("handleInvalid") and first.getOrDefault("handleInvalid") == "skip" and hasattr(first._java_obj, "resolvedFormula")):
         return model.transform(df)
-    base = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    out = model.transform(base)
-    new = [c for c in out.columns if c not in base.columns and c != "features"]
-    return base.join(out.select("_row", *new), on="_row", how="left").drop("_row")
+    tag = "__row"
+    while any(c.startswith(tag) for c in df.columns):
+        tag += "_"
+    used, kinds, given = _formula_columns(first), dict(df.dtypes), df
+    valid, filled = F.lit(True), {}
+    for i, (c, level, count, indexer) in enumerate(x for x in _formula_indexers(first) if x[0] in used):
+        # the fitted indexer itself tells a level that it does not know from the others
+        probe = indexer.copy(indexer.extractParamMap()).setHandleInvalid("keep").setOutputCol(f"{tag}level{i}")
+        given = DataFrame(probe.transform(given._jdf), df.sparkSession)
+        ok = F.col(f"{tag}level{i}") < count
+        valid, filled[c] = valid & ok, F.when(ok, F.col(c)).otherwise(F.lit(level))
+    for c in sorted(used - filled.keys()):
+        ok = F.col(c).isNotNull() & (~F.isnan(c) if kinds[c] in ("double", "float") else F.lit(True))
+        valid, filled[c] = valid & ok, F.when(ok, F.col(c)).otherwise(F.lit(0).cast(kinds[c]))
+    given = given.withColumns({f"{tag}ok": valid, **{f"{tag}{i}": F.col(c) for i, c in enumerate(filled)}}).withColumns(filled)
+    out = model.transform(given)
+    back = {c: F.col(f"{tag}{i}") for i, c in enumerate(filled)}
+    inner = {first.getOrDefault("featuresCol")}
+    new = [c for c in out.columns if c not in given.columns and c not in inner]
+    return out.select(*[back[c].alias(c) if c in back else F.col(c) for c in df.columns],
+                      *[F.when(F.col(f"{tag}ok"), F.col(c)).alias(c) for c in new])
 
 
 def score(model: PipelineModel, df: DataFrame, carry: Sequence[str] = (), name: str = "Score",

@@ -16,8 +16,11 @@ from loam.operators import metrics as mt
 from loam.operators import sampling as smp
 from loam.operators.relational import constant_columns
 from loam.plans import flights as fw
+from loam.plans import dual
 from loam.plans import models as md
 from loam.plans import scoring as sc
+from loam.plans import textlinear as tl
+from loam.plans.dual import Setting
 from loam.session import read_table, scratch_path
 from loam.sources.views import view, with_ctes, with_views
 from loam.suite import query, r6, s6
@@ -66,14 +69,6 @@ def text_frame(spark, sf):
     return d.join(lab, on="doc_id")
 
 
-def text_stages(n: int = 3, vocab_size: int = 1 << 18):
-    """Character n-grams counted over a vocabulary: its ``vocab_size`` most
-    frequent terms (a parameter), each with a name."""
-    from pyspark.ml.feature import CountVectorizer
-    return [tx.char_ngram_stage("text", "ngrams", n),
-            CountVectorizer(inputCol="ngrams", outputCol="features", vocabSize=vocab_size)]
-
-
 def trip_model_frame(spark, sf):
     t = view(spark, sf, "trips")
     return t.withColumn("direct_distance", haversine_miles("pickup_longitude", "pickup_latitude",
@@ -160,16 +155,50 @@ def q_m07(spark, sf):
     return with_constant_terms(md.coefficient_table(spark, model, sample=f), f, vars_)
 
 
+TEXT_SETTING = Setting(l1=1e-5, l2=1e-4)
+
+
 @query("M08_M09_text_linear_classifier")
 def q_m08(spark, sf):
+    """Character trigrams without a dictionary limit, fitted on the training
+    rows by dual coordinate ascent; area under the curve of both sets."""
     d = smp.tag_rows(text_frame(spark, sf), "doc_id", 3, 1, 1.0, 42)
-    model = md.fit(d.where("in_training_set"), None, "fastlinear_class",
-                   {"l1_weight": 1e-5, "l2_weight": 1e-4}, pre_stages=text_stages(3))
-    scored = sc.score_label_raw_prob(model, d, ["doc_id", "in_test_set", "label"])
+    fit = tl.fit_text(d, "text", "label", [TEXT_SETTING], [F.col("in_training_set")], tol=1e-2)
+    scored = tl.score_text(d, "text", fit, [TEXT_SETTING], ["doc_id", "in_test_set", "label"], key=["doc_id"])
+    scored = scored.withColumn("Probability", tl.probability(F.col("margins")[0]))
     return mt.bucketed_auc(scored.withColumn("set", F.when(F.col("in_test_set"), "test").otherwise("training")),
                            "Probability", "label", ["set"])
 
 
+@query("M09_dual_gap_by_round")
+def q_m09_gap(spark, sf):
+    """Primal and dual value and their gap after every round, for four penalties
+    fitted in the same passes over the labelled texts."""
+    settings = [Setting(l1, l2) for l1 in (0.0, 1e-4) for l2 in (1e-3, 1e-2)]
+    fit = tl.fit_text(text_frame(spark, sf), "text", "label", settings, tol=1e-3)
+    penalties = spark.createDataFrame([(i, s.l1, s.l2) for i, s in enumerate(settings)], "setting int, l1 double, l2 double")
+    return fit.history.join(F.broadcast(penalties), "setting")
+
+
+_RIDGE = 0.1
+
+
+@query("M09_dual_ascent_ridge_line", f"""
+WITH t AS (SELECT CAST(l_quantity AS DOUBLE) / 50 AS x, CAST(l_extendedprice AS DOUBLE) / 1e4 AS y FROM lineitem),
+m AS (SELECT avg(x) AS mx, avg(y) AS my, avg(x * x) + {_RIDGE} AS sxx, avg(x * y) AS sxy, 1 + {_RIDGE} AS one FROM t)
+SELECT 'quantity' AS term, round((sxy * one - mx * my) / (sxx * one - mx * mx), 3) + 0.0 AS estimate FROM m
+UNION ALL SELECT '(Intercept)', round((my * sxx - mx * sxy) / (sxx * one - mx * mx), 3) + 0.0 FROM m""")
+def q_m09_ridge(spark, sf):
+    """The squared loss with one predictor: the optimum has a closed form."""
+    li = read_table(spark, sf, "lineitem")
+    rows = li.select((F.col("l_extendedprice").cast("double") / 1e4).alias("y"), F.array(F.lit(True)).alias("uses"),
+                     F.array(F.array(F.lit(1).cast("long"))).alias("idx"),
+                     F.array(F.array(F.col("l_quantity").cast("double") / 50)).alias("val"))
+    fit = dual.ascend(rows, [Setting(0.0, _RIDGE)], "squared", tol=1e-11, passes=2)
+    return fit.weights.select(F.when(F.col("feature") == 1, "quantity").otherwise("(Intercept)").alias("term"),
+                              F.round("weight", 3).alias("estimate"))
+
+
 @query("M10_parts_ensemble_boosted_trees")
 def q_m10(spark, sf):
     train, test = flight_split(spark, sf)
@@ -408,23 +437,26 @@ def q_s12_rows(spark, sf):
 
 @query("N01_stream_score_new_rows")
 def q_n01(spark, sf):
-    """Score the events table as newly arriving files with a published model."""
-    from loam.streaming.scoring import scoring_stream, start_scoring
+    """Publish a model, then score the events table as newly arriving files with
+    the newest published version."""
+    from loam.plans.registry import ModelRegistry
+    from loam.streaming.scoring import follow_registry, read_scores
     ev = read_table(spark, sf, "events")
 
     def prep(d):
         return d.withColumn("label", F.col("event_type").isin("purchase", "error").cast("double"))
-    model = md.fit(prep(ev), "label ~ value + user_id", "logistic", {"regParam": 0.01})
-    scores = scoring_stream(spark, model, sf, ev.schema, ["event_id", "event_type"], prepare=prep,
-                            glob="events.parquet")
+    registry = ModelRegistry(spark, scratch_path(spark, "registry"))
+    for version, reg in (("1", 0.1), ("2", 0.01)):
+        registry.save(md.fit(prep(ev), "label ~ value + user_id", "logistic", {"regParam": reg}), "event_logit", version)
     sink = scratch_path(spark, "stream-scores")
-    start_scoring(scores, sink, scratch_path(spark, "stream-ckpt")).awaitTermination()
-    return spark.read.parquet(sink)
+    follow_registry(spark, registry, "event_logit", sf, ev.schema, ["event_id", "event_type"], sink,
+                    scratch_path(spark, "stream-ckpt"), prepare=prep, glob="events.parquet").awaitTermination()
+    return read_scores(spark, sink).drop("batch")
 
 
-@query("N01_stream_keeps_every_row", "SELECT event_id, event_type, true AS scored FROM events")
+@query("N01_stream_keeps_every_row", "SELECT event_id, event_type, '2' AS model_version, true AS scored FROM events")
 def q_n01_rows(spark, sf):
-    return q_n01(spark, sf).select("event_id", "event_type", _is_score("Probability").alias("scored"))
+    return q_n01(spark, sf).select("event_id", "event_type", "model_version", _is_score("Probability").alias("scored"))
 
 
 # ----------------------------------------------------------------- sweeps
@@ -436,11 +468,9 @@ def _text_grid(n_docs: int) -> list[dict]:
 
 
 def _sweep(spark, sf, results_path=None):
-    from loam.plans.sweep import run_grid
+    """All settings in shared passes over the labelled texts."""
     data = text_frame(spark, sf)
-    grid = _text_grid(data.count())
-    return run_grid(spark, data, "doc_id", grid, stages_fn=lambda p: text_stages(int(p["feat_ngram"])),
-                    parallelism=4, results_path=results_path, salt=42)
+    return tl.run_linear_grid(spark, data, "doc_id", "text", _text_grid(data.count()), salt=42, results_path=results_path)
 
 
 @query("E15_parameter_sweep_results")
@@ -448,6 +478,25 @@ def q_e15(spark, sf):
     return _sweep(spark, sf)
 
 
+_LABELLED = "SELECT d.doc_id FROM documents d JOIN labels USING (doc_id)"
+_UNIT = smp.hash_sql(["doc_id"], "42:train")
+
+
+@query("E15_sweep_training_sizes", f"""
+WITH l AS ({_LABELLED}), c AS (SELECT ln(50 / greatest(count(*) * (1 - 1e0 / 3), 51)) AS a FROM l),
+f AS (SELECT i, exp(a + (0 - a) * i / 3) AS fraction FROM c, range(0, 4) r(i)),
+n AS (SELECT i, count(*) AS tss FROM f, l WHERE {smp.hash_sql(["doc_id"], 42)} % 3 + 1 <> 1
+      AND {_UNIT} < floor(fraction * 4294967296) GROUP BY i)
+SELECT round(fraction, 6) + 0.0 AS fraction, ngram, l2, CAST(tss AS DOUBLE) AS tss, true AS measured
+FROM f JOIN n USING (i), (VALUES ('2'), ('3')) g(ngram), (VALUES ('0.0001'), ('0.01')) w(l2)""")
+def q_e15_sizes(spark, sf):
+    """Every run of the sweep with its exact number of training rows; both areas known."""
+    r = _sweep(spark, sf)
+    return r.select(F.round(F.get_json_object("run_id", "$[1]").cast("double"), 6).alias("fraction"),
+                    F.get_json_object("params", "$.feat_ngram").alias("ngram"), F.regexp_extract("params", r'"l2_weight": ([0-9.]+)', 1).alias("l2"),
+                    "tss", F.coalesce(F.col("training").between(0, 1) & F.col("test").between(0, 1), F.lit(False)).alias("measured"))
+
+
 @query("E16_learning_curve_best_setting")
 def q_e16(spark, sf):
     from loam.plans.sweep import best_runs, learning_curve_table
