@@ -111,9 +111,46 @@ def metric_for(kind: str):
     raise ValueError(f"unknown task kind: {kind}")
 
 
-def auc_exact(df: DataFrame, score: str, label: str) -> float:
-    """E06 cross-check: Spark ML's area under ROC (sorts all scores)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName="areaUnderROC")
-    return ev.evaluate(df.select(F.col(score).cast("double").alias(score),
-                                 F.col(label).cast("double").alias(label)))
+def counted_scores(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Rows (by.., score, positives, total) of the distinct known scores; -0.0
+    counts as 0.0, rows without a label or with a score that is no number are left out."""
+    s = F.col(score).cast("double")
+    return (df.where(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
+              .groupBy(*_names(by), F.when(s == 0, 0.0).otherwise(s).alias("score"))
+              .agg(F.sum(F.col(label).cast("long")).alias("positives"), F.count(F.lit(1)).alias("total")))
+
+
+def exact_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """The exact area under the ROC curve of every model, ties counted half:
+    the share of (positive, negative) pairs that the score puts in order.
+
+    Scores are counted first, so ties cost one row however many there are.  The
+    counted rows are sorted by range once and written; a row's negatives below it
+    are those earlier in its part plus the sum of the parts before, so a model
+    with a third of all scores is spread over all tasks, and no window holds one.
+    The pair count is a decimal: exact up to 1e19 rows a class.  Null for a model
+    of one class."""
+    from loam.session import materialize
+    by = _names(by)
+    n = F.col("total") - F.col("positives")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = counted_scores(df, score, label, by).repartitionByRange(parts, *by, "score")
+    rows = materialize(keyed.sortWithinPartitions(*by, "score").withColumn("part", F.spark_partition_id()), "auc")
+    group = [F.col(c) for c in by] or [F.lit(0)]
+    inside = Window.partitionBy(*group, "part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    # one row a model and part: the sums of the parts before it
+    sums = rows.groupBy(*by, "part").agg(F.sum(n).alias("negatives"))
+    before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.withColumn("before", F.coalesce(F.sum("negatives").over(before), F.lit(0))).drop("negatives")
+    on = F.col("s.part") == F.col("o.part")
+    for c in by:
+        on = on & F.col(f"s.{c}").eqNullSafe(F.col(f"o.{c}"))
+    # parts times models rows: as many as the sort has tasks, and one more for each model
+    joined = rows.alias("s").join(offsets.alias("o"), on).select(
+        *[F.col(f"s.{c}").alias(c) for c in by], F.col("s.part").alias("part"), "score", "positives", "total", "before")
+    low = F.coalesce(F.sum(n).over(inside), F.lit(0)) + F.col("before")
+    pairs = joined.withColumn("low", low).select(*by, "positives", n.alias("negatives"), (
+        F.col("positives").cast("decimal(19,0)") * (2 * F.col("low") + n).cast("decimal(19,0)")).alias("twice"))
+    got = pairs.groupBy(*by).agg(F.sum("twice").alias("twice"), F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
+    size = F.col("p").cast("double") * F.col("n").cast("double")
+    return got.select(*by, F.try_divide(F.col("twice").cast("double"), 2 * size).alias("auc"))

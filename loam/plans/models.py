@@ -11,6 +11,8 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors.exceptions.captured import CapturedException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -175,7 +177,10 @@ def coefficient_table(spark, model: PipelineModel, sample: DataFrame | None = No
         se, tv, pv = list(s.coefficientStandardErrors), list(s.tValues), list(s.pValues)
         # the GLM summary lists the intercept last
         se, tv, pv = [se[-1]] + se[:-1], [tv[-1]] + tv[:-1], [pv[-1]] + pv[:-1]
-    except Exception:  # noqa: BLE001 - singular design: solved iteratively, no standard errors
+    except (Py4JJavaError, CapturedException) as e:
+        # a singular design is solved iteratively and has no standard errors (plans.glm keeps those of the other terms)
+        if "No Std. Error" not in str(e):
+            raise
         se = tv = pv = [None] * len(rows)
     f = lambda v: None if v is None else float(v)
     rows = [(t, e, f(a), f(b), f(c)) for (t, e), a, b, c in zip(rows, se, tv, pv)]

@@ -33,6 +33,12 @@ def _formula_columns(stage) -> set[str]:
     return {terms.apply(i).apply(k) for i in range(terms.size()) for k in range(terms.apply(i).size())}
 
 
+def _skips_rows(model: PipelineModel) -> bool:
+    first = model.stages[0]
+    return (first.hasParam("handleInvalid") and first.getOrDefault("handleInvalid") == "skip"
+            and hasattr(first._java_obj, "resolvedFormula"))
+
+
 def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``model.transform`` that keeps every row of a batch or a stream: rows that a
     formula with ``handleInvalid='skip'`` cannot encode (a null, not a number or a
@@ -41,7 +47,7 @@ def transform_all(model: PipelineModel, df: DataFrame) -> DataFrame:
     Such a row goes through the model with a known level or 0 in its place and
     loses its outputs after; nothing is copied, joined or shuffled."""
     first = model.stages[0]
-    if not (first.hasParam("handleInvalid") and first.getOrDefault("handleInvalid") == "skip" and hasattr(first._java_obj, "resolvedFormula")):
+    if not _skips_rows(model):
         return model.transform(df)
     tag = "__row"
     while any(c.startswith(tag) for c in df.columns):
@@ -93,7 +99,8 @@ def score_many(models: Mapping[str, PipelineModel], df: DataFrame, carry: Sequen
     """Several models' scores side by side, one ``Score_<name>`` column per
     model; each model only sees the input columns, so stages cannot collide."""
     out = df
-    for name, m in models.items():
+    # models that null their outputs by a flag last: later models would carry the flag's whole expression along
+    for name, m in sorted(models.items(), key=lambda x: _skips_rows(x[1])):
         scored = transform_all(m, out)
         s = (vector_to_array("probability").getItem(1) if _has(scored, "probability") else F.col("prediction"))
         out = scored.select(*out.columns, s.alias(f"Score_{name}"))

@@ -47,6 +47,25 @@ def q_w02(spark, sf):
     return r6(mt.bucketed_auc(_long(spark, sf), "score", "is_real", ["model"]), "auc")
 
 
+_TIED = """e AS (SELECT event_id % 5 AS run, Probability AS score, is_real AS label FROM scored
+   UNION ALL SELECT 5, CASE WHEN event_id % 10 = 0 THEN Probability ELSE 0.5e0 END, is_real FROM scored
+   UNION ALL SELECT NULL, floor(Probability * 3), is_real FROM scored),
+c AS (SELECT run, score, sum(label) AS p, sum(1 - label) AS n FROM e WHERE score IS NOT NULL AND label IS NOT NULL GROUP BY run, score),
+u AS (SELECT run, p, n, coalesce(sum(n) OVER (PARTITION BY run ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS low FROM c)"""
+
+
+@query("E06_exact_auc", with_ctes(["scored"], _TIED, "SELECT CAST(run AS BIGINT) AS run, "
+       + s6("sum(p * (2 * low + n)) / (2e0 * sum(p) * sum(n))") + " AS auc FROM u GROUP BY run"))
+def q_e06_exact(spark, sf):
+    """The exact area of seven models, one with 90 % and one with nearly all scores tied."""
+    s = view(spark, sf, "scored")
+    p, label = F.col("Probability"), F.col("is_real").alias("label")
+    runs = (s.select((F.col("event_id") % 5).alias("run"), p.alias("score"), label)
+             .unionByName(s.select(F.lit(5).cast("long").alias("run"), F.when(F.col("event_id") % 10 == 0, p).otherwise(0.5).alias("score"), label))
+             .unionByName(s.select(F.lit(None).cast("long").alias("run"), F.floor(p * 3).cast("double").alias("score"), label)))
+    return r6(mt.exact_auc(runs, "score", "label", ["run"]), "auc")
+
+
 @query("W02_literal_first_difference_auc", with_ctes(["scored"], _LONG + ",\n" + _BUCKETS + ",\n" + _ROC,
        "SELECT model, " + s6("sum(tpr * coalesce(fpr - pf, 0)) - sum((tpr - pt) * (fpr - pf)) / 2")
        + " AS auc FROM (SELECT *, lag(fpr) OVER v AS pf, lag(tpr) OVER v AS pt FROM r "

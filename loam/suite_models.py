@@ -16,7 +16,7 @@ from loam.operators import metrics as mt
 from loam.operators import sampling as smp
 from loam.operators.relational import constant_columns
 from loam.plans import flights as fw
-from loam.plans import dual
+from loam.plans import dual, glm
 from loam.plans import models as md
 from loam.plans import scoring as sc
 from loam.plans import textlinear as tl
@@ -141,9 +141,26 @@ def q_m05(spark, sf):
 # ----------------------------------------------------------------- M06-M17
 @query("M01_M02_M06_logit_formula_coefficients_with_se")
 def q_m06(spark, sf):
+    """Estimates and standard errors; null for the terms that the others determine."""
     train, _ = flight_split(spark, sf)
-    model = md.fit_logit(train, flight_formula(train))
-    return with_constant_terms(md.coefficient_table(spark, model, sample=train), train, FLIGHT_VARS)
+    return with_constant_terms(glm.fit_formula(train, flight_formula(train)).table(spark), train, FLIGHT_VARS)
+
+
+_CELLS = """WITH c AS (SELECT count_if(x AND y) AS a, count_if(x AND NOT y) AS b, count_if(NOT x AND y) AS c, count_if(NOT x AND NOT y) AS d
+           FROM (SELECT l_returnflag = 'R' AS x, l_discount > 0.05 AS y FROM lineitem))"""
+
+
+@query("M06_M07_redundant_term_keeps_errors", f"""{_CELLS}
+SELECT '(Intercept)' AS term, {s6("ln(c / d)")} AS estimate, {s6("sqrt(1 / c + 1 / d)")} AS std_error FROM c
+UNION ALL SELECT 'returned', {s6("ln(a / b) - ln(c / d)")}, {s6("sqrt(1 / a + 1 / b + 1 / c + 1 / d)")} FROM c
+UNION ALL SELECT 'again', NULL, NULL""")
+def q_m06_redundant(spark, sf):
+    """One yes/no predictor, named twice on different scales: its estimates and
+    errors have a closed form, and the second name is redundant."""
+    li = read_table(spark, sf, "lineitem").select(
+        (F.col("l_discount") > 0.05).cast("double").alias("discounted"), (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    fit = glm.fit_formula(li.withColumn("again", 3 - 2 * F.col("returned")), "discounted ~ returned + again")
+    return r6(fit.table(spark).select("term", "estimate", "std_error"), "estimate", "std_error")
 
 
 @query("M07_binomial_glm_five_predictors")
@@ -151,8 +168,7 @@ def q_m07(spark, sf):
     f = view(spark, sf, "flights").where(F.col("ArrDel15").isNotNull())
     f = f.withColumn("CRSDepTime", F.floor(F.col("CRSDepTime") / 100).cast("double"))
     vars_ = ["Month", "DayOfMonth", "DayOfWeek", "CRSDepTime", "CRSArrTime"]
-    model = md.fit_logit(f, flight_formula(f, vars_))
-    return with_constant_terms(md.coefficient_table(spark, model, sample=f), f, vars_)
+    return with_constant_terms(glm.fit_formula(f, flight_formula(f, vars_)).table(spark), f, vars_)
 
 
 TEXT_SETTING = Setting(l1=1e-5, l2=1e-4)
@@ -547,5 +563,4 @@ def q_m07_pipeline(spark, sf):
     from loam.sources.files import read_csv_int_matrix
     from loam.operators.relational import floor_to_hour
     df = floor_to_hour(read_csv_int_matrix(spark, _lineitem_int_csv(spark, sf), GLM_COLS), "CRSDepTime")
-    model = md.fit_logit(df, "IsArrDelayed ~ Month + DayofMonth + DayOfWeek + CRSDepTime + Distance")
-    return md.coefficient_table(spark, model, sample=df)
+    return glm.fit_formula(df, "IsArrDelayed ~ Month + DayofMonth + DayOfWeek + CRSDepTime + Distance").table(spark)
