@@ -453,9 +453,9 @@ def unite(df: DataFrame, cols: Sequence[str], name: str, sep: str = "_", keep: b
 
 
 def separate(df: DataFrame, col: str, into: Sequence[str], sep: str = "_") -> DataFrame:
-    """Split a united name back into columns (exact only if no value
-    contains ``sep``)."""
-    parts = F.split(F.col(col), sep.replace("|", r"\|"))
+    """Split a united name back into columns at the literal ``sep`` (exact
+    only if no value contains it)."""
+    parts = F.split(F.col(col), "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)
     return df.withColumns({n: parts.getItem(i) for i, n in enumerate(into)})
 
 

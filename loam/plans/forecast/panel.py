@@ -80,10 +80,21 @@ def node_sets(keys: list[str]) -> list[list[str]]:
     return sets
 
 
+def node_part(key: str) -> Column:
+    """``key=value`` as a part of a node name: ``%``, ``/`` and ``=`` in names and
+    values read ``%25``, ``%2F`` and ``%3D``, a null reads ``%N``, so that no two
+    nodes have one name."""
+    plain = F.col(key).cast("string")
+    name = key
+    for sign, code in (("%", "%25"), ("/", "%2F"), ("=", "%3D")):
+        plain, name = F.replace(plain, F.lit(sign), F.lit(code)), name.replace(sign, code)
+    return F.concat(F.lit(f"{name}="), F.coalesce(plain, F.lit("%N")))
+
+
 def node_id(keys: list[str]) -> Column:
     """Readable node name: ``total`` or ``k1=v1/k2=v2`` over the non-rolled-up keys
     (to be used right after a grouping-sets aggregation)."""
-    parts = [F.when(F.grouping(k) == 0, F.concat(F.lit(f"{k}="), F.col(k).cast("string"))) for k in keys]
+    parts = [F.when(F.grouping(k) == 0, node_part(k)) for k in keys]
     if not parts:
         return F.lit("total")
     joined = F.concat_ws("/", *parts)
@@ -109,7 +120,7 @@ def bottom_node(keys: list[str]) -> Column:
     """The node name of a bottom series row (same text as :func:`node_id`)."""
     if not keys:
         return F.lit("total")
-    return F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
+    return F.concat_ws("/", *[node_part(k) for k in keys])
 
 
 def membership(panel: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,7 +129,7 @@ def membership(panel: DataFrame, keys: list[str]) -> DataFrame:
     bottoms = panel.select(*keys).distinct().withColumn("bottom", bottom_node(keys))
     sets = node_sets(keys)
     arr = F.array(*[
-        (F.concat_ws("/", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in s]) if s else F.lit("total"))
+        (F.concat_ws("/", *[node_part(k) for k in s]) if s else F.lit("total"))
         for s in sets])
     return bottoms.select("bottom", *keys, F.explode(F.array_distinct(arr)).alias("node"))
 

@@ -63,6 +63,35 @@ def q_t02(spark, sf):
     return r6(nodes.select("node", "level", "Date", "Quantity"), "Quantity")
 
 
+_ODD = {"CustomerName": "CASE WHEN CustomerName < 'C' THEN NULL WHEN CustomerName < 'G' THEN 'x/ProductCategory=1%' ELSE CustomerName END",
+        "ProductCategory": "CASE WHEN length(ProductCategory) % 2 = 0 THEN NULL ELSE ProductCategory || '=/' END"}
+
+
+def _odd_part(k: str) -> str:
+    return f"'{k}=' || coalesce(replace(replace(replace({k}, '%', '%25'), '/', '%2F'), '=', '%3D'), '%N')"
+
+
+def _odd_node(keys, level: int) -> str:
+    node = " || '/' || ".join(_odd_part(k) for k in keys) or "'total'"
+    return f"SELECT {node} AS node, {level} AS level, sum(Quantity) AS q FROM o GROUP BY 1"
+
+
+@query("T02_T06_null_keys_and_separators", with_ctes(["demand"], "o AS (SELECT " + ", ".join(
+    f"{_ODD.get(k, k)} AS {k}" for k in K) + ", Quantity FROM demand WHERE Date IS NOT NULL AND Quantity IS NOT NULL),\nn AS ("
+    + "\nUNION ALL ".join([_odd_node([], 0), *[_odd_node([k], 1) for k in K], _odd_node(K, 3)]) + ")",
+    f"SELECT node, level, {s6('q')} AS summed, {s6('q')} AS from_bottom FROM n"))
+def q_t02_odd(spark, sf):
+    """Nodes over null keys and values with ``/``, ``=`` and ``%``: their sums, and
+    the same from the bottom series by the membership table."""
+    d = view(spark, sf, "demand").where("Date IS NOT NULL AND Quantity IS NOT NULL").selectExpr(
+        *[f"{_ODD.get(k, k)} AS {k}" for k in K], "Date", "Quantity")
+    panel, keys = bottom_panel(d, PARAMS)
+    nodes = aggregate_nodes(panel, keys, "Date", "Quantity").groupBy("node", "level").agg(F.sum("Quantity").alias("summed"))
+    bottom = nodes.where(F.col("level") == len(keys)).select(F.lit(0).alias("run"), F.col("node").alias("bottom"), F.col("summed").alias("fcast"))
+    up = bottom_up(bottom, membership(panel, keys), ["run"]).select("node", F.col("fcast").alias("from_bottom"))
+    return r6(nodes.join(up, "node").select("node", "level", "summed", "from_bottom"), "summed", "from_bottom")
+
+
 @query("T03_smoothing_fixed_weight", _sql(
     f"SELECT node, {s6('l')} AS fcast FROM r WHERE t = (SELECT max(t) FROM s WHERE s.node = r.node)", """
 s AS (SELECT node, CAST(row_number() OVER (PARTITION BY node ORDER BY Date) AS INT) AS t, Quantity AS y FROM nodes),
