@@ -47,6 +47,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from loam.plans.partials import packed, summed
 from loam.session import materialize
 
 #: The feature of value 1 in every row.
@@ -355,25 +356,13 @@ class _Sent:
                 for row in b.to_pylist():
                     at = np.searchsorted(feats, np.asarray(row["feats"], np.int64))
                     sums[:, at] += np.frombuffer(b"".join(row["change"])).reshape(rows, -1)
-            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
+            yield packed(sums)
 
-        def again(batches):
-            sums = np.zeros(rows * len(feats))
-            for b in batches:
-                for x in b.column(0).to_pylist():
-                    sums += np.frombuffer(x)
-            yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
-
-        parts = out.select("feats", "change").mapInArrow(total, "sums binary")
-        left = max(1, out.rdd.getNumPartitions())
-        while left > 2 and left * rows * len(feats) * 8 > SENT_BYTES:
-            left = math.isqrt(left) + 1
-            parts = parts.repartition(left).mapInArrow(again, "sums binary")
-        for x in parts.toLocalIterator():
-            change = np.frombuffer(x["sums"]).reshape(rows, -1)
-            for k, i in enumerate(now):
-                if i in active:
-                    self.v[i] += change[k]
+        parts = out.select("feats", "change").mapInArrow(total, "v binary")
+        change = summed(parts, max(1, out.rdd.getNumPartitions()), rows * len(feats)).reshape(rows, -1)
+        for k, i in enumerate(now):
+            if i in active:
+                self.v[i] += change[k]
 
     def weights(self, spark: SparkSession, settings) -> DataFrame:
         cols = [(i, shrink(v, s.l1 / s.l2)) for i, (v, s) in enumerate(zip(self.v, settings))]

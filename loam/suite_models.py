@@ -20,8 +20,9 @@ from loam.plans import dual, glm
 from loam.plans import models as md
 from loam.plans import scoring as sc
 from loam.plans import textlinear as tl
+from loam.plans import trees
 from loam.plans.dual import Setting
-from loam.session import read_table, scratch_path
+from loam.session import materialize, read_table, scratch_path
 from loam.sources.views import view, with_ctes, with_views
 from loam.suite import query, r6, s6
 from loam.suite_relational import HOLDOUT_KEYS, flights_weather
@@ -138,6 +139,14 @@ def q_m05(spark, sf):
     return r6(tx.sentiment_scores(r, "doc_id", "review", tx.lexicon_frame(spark)), "preSentiment")
 
 
+@query("M05_sentiment_in_the_row", with_ctes(["reviews"], f"""
+w AS (SELECT doc_id, unnest(string_split_regex(translate(lower(review), '{tx.ACCENTED}', '{tx.UNACCENTED}'), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM reviews),
+h AS (SELECT doc_id, avg(weight) AS aw FROM w JOIN (VALUES {_LEX}) lx(word, weight) USING (word) GROUP BY doc_id)""",
+    f"SELECT r.doc_id, {s6('0.5e0 + coalesce(h.aw, 0e0) / 2')} AS preSentiment FROM reviews r LEFT JOIN h USING (doc_id)"))
+def q_m05_row(spark, sf):
+    return r6(view(spark, sf, "reviews").select("doc_id", tx.lexicon_sentiment("review").alias("preSentiment")), "preSentiment")
+
+
 # ----------------------------------------------------------------- M06-M17
 @query("M01_M02_M06_logit_formula_coefficients_with_se")
 def q_m06(spark, sf):
@@ -217,12 +226,13 @@ def q_m09_ridge(spark, sf):
 
 @query("M10_parts_ensemble_boosted_trees")
 def q_m10(spark, sf):
+    """Sixteen boosted models on disjoint parts, grown in the same passes; the
+    mean of their predictions on the test flights."""
     train, test = flight_split(spark, sf)
     train = smp.disjoint_parts(train, ["Carrier", "DayOfMonth", "CRSArrTime", "OriginAirportID"], 16, 3)
-    models = md.fit_parts_ensemble(train, "part", 16, flight_formula(train), "btrees_reg",
-                                   {"maxIter": 50}, parallelism=8, full=flight_model_frame(spark, sf))
-    pred = md.ensemble_predict(models, test, keep=["ArrDel15", "Carrier", "DayOfMonth"])
-    return pred
+    coded = md.formula_stage(flight_formula(train)).fit(flight_model_frame(spark, sf))
+    model = trees.fit_parts(coded.transform(train), "part", "label", trees=50)
+    return trees.predict(model, coded.transform(test), ["ArrDel15", "Carrier", "DayOfMonth"])
 
 
 @query("M10_ensemble_auc")
@@ -351,10 +361,9 @@ def q_e11_inputs(spark, sf):
                          "direct_distance", "scored"), "direct_distance")
 
 
-def _with_sentiment(spark, reviews):
-    """Reviews with M05's ``preSentiment``; 0.5 where no lexicon word occurs."""
-    s = tx.sentiment_scores(reviews, "doc_id", "review", tx.lexicon_frame(spark))
-    return reviews.join(s, on="doc_id", how="left").fillna(0.5, subset=["preSentiment"])
+def _with_sentiment(reviews):
+    """Reviews with M05's ``preSentiment``, from the row alone."""
+    return reviews.withColumn("preSentiment", tx.lexicon_sentiment("review"))
 
 
 def _review_model(spark, sf):
@@ -365,8 +374,9 @@ def _review_model(spark, sf):
     train, _ = smp.path_split(r.withColumn("label", F.col("fname").rlike("/pos/").cast("double")), "fname", "/train/")
     stages = [*tx.word_feature_stages("review", "words", 1 << 16),
               VectorAssembler(inputCols=["words", "preSentiment"], outputCol="features")]
-    return md.fit(_with_sentiment(spark, train), None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0},
-                  pre_stages=stages)
+    # the dictionary and the fit read the rows: views and sentiment are made once
+    rows = materialize(_with_sentiment(train), "reviews")
+    return md.fit(rows, None, "logistic", {"regParam": 0.01, "elasticNetParam": 0.0}, pre_stages=stages)
 
 
 @query("E13_U06_parallel_set_scoring")
@@ -374,7 +384,7 @@ def q_e13(spark, sf):
     """Score four equal row sets of reviews (H05) in one pass, feature steps
     included, with the fitted review model."""
     r = smp.row_sets(view(spark, sf, "reviews"), 4, ["doc_id"])
-    return sc.score_sets(_review_model(spark, sf), _with_sentiment(spark, r), "set_id", ["doc_id", "fname"])
+    return sc.score_sets(_review_model(spark, sf), _with_sentiment(r), "set_id", ["doc_id", "fname"])
 
 
 @query("E13_U06_sets_keep_every_row", with_ctes(["reviews"], "", "SELECT doc_id, fname, CAST(ntile(4) OVER "
