@@ -19,6 +19,7 @@ from loam.plans import flights as fw
 from loam.plans import dual, glm
 from loam.plans import models as md
 from loam.plans import scoring as sc
+from loam.plans import sentiment
 from loam.plans import textlinear as tl
 from loam.plans import trees
 from loam.plans.dual import Setting
@@ -147,6 +148,39 @@ def q_m05_row(spark, sf):
     return r6(view(spark, sf, "reviews").select("doc_id", tx.lexicon_sentiment("review").alias("preSentiment")), "preSentiment")
 
 
+_LEARNED = f"""
+t AS (SELECT d.doc_id, d.text, l.quality AS label, CASE WHEN l.quality IS NULL THEN 0
+      ELSE {smp.hash_sql(["d.doc_id"], sentiment.SALT)} % {sentiment.FOLDS} + 1 END AS fold FROM documents d LEFT JOIN labels l USING (doc_id)),
+w AS (SELECT DISTINCT doc_id, fold, label, word FROM (SELECT doc_id, fold, label, unnest(string_split_regex(translate(lower(text),
+      '{tx.ACCENTED}', '{tx.UNACCENTED}'), '[^\\p{{L}}\\p{{N}}]+')) AS word FROM t) WHERE length(word) > 0),
+k AS (SELECT CAST(unnest(range(0, {sentiment.FOLDS + 1})) AS INT) AS k),
+tot AS (SELECT k, count_if(label = 1) * 1e0 AS pos, count_if(label = 0) * 1e0 AS neg FROM k, t WHERE label IS NOT NULL AND fold <> k GROUP BY k),
+voc AS (SELECT DISTINCT word FROM w WHERE label IS NOT NULL),
+c AS (SELECT word, k, count_if(label = 1) AS p, count_if(label = 0) AS n FROM k, w WHERE label IS NOT NULL AND fold <> k GROUP BY word, k),
+wt AS (SELECT word, k, ln((coalesce(p, 0) + {sentiment.PRIOR} * pos / (pos + neg)) / (coalesce(n, 0) + {sentiment.PRIOR} * (1 - pos / (pos + neg))))
+              - ln(pos / neg) AS weight FROM voc CROSS JOIN tot LEFT JOIN c USING (word, k))"""
+
+
+@query("M05_learned_word_weights", with_ctes([], _LEARNED, f"SELECT word, k, {s6('weight')} AS weight FROM wt"))
+def q_m05_weights(spark, sf):
+    """Shrunk log-odds of every word, from all labels and without each fold's."""
+    w = sentiment.word_weights(_labelled_documents(spark, sf), "doc_id", "text", "quality")
+    return r6(w.select("word", F.posexplode("weights").alias("k", "weight")), "weight")
+
+
+@query("M05_learned_sentiment_feature", with_ctes([], _LEARNED + """,
+m AS (SELECT doc_id, avg(weight) AS m FROM w JOIN wt ON w.word = wt.word AND w.fold = wt.k GROUP BY doc_id)""",
+    f"SELECT t.doc_id, {s6('1 / (1 + exp(-coalesce(m, 0)))')} AS preSentiment FROM t LEFT JOIN m USING (doc_id)"))
+def q_m05_learned(spark, sf):
+    """Every document's learned sentiment; labelled ones by the other folds' labels."""
+    return r6(sentiment.learned_sentiment(_labelled_documents(spark, sf), "doc_id", "text", "quality"), "preSentiment")
+
+
+def _labelled_documents(spark, sf):
+    d = read_table(spark, sf, "documents").select("doc_id", "text")
+    return d.join(read_table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+
+
 # ----------------------------------------------------------------- M06-M17
 @query("M01_M02_M06_logit_formula_coefficients_with_se")
 def q_m06(spark, sf):
