@@ -680,7 +680,8 @@ def q_f13(spark, sf):
 
 
 # ---------------------------------------------------------------- file round trips
-from loam.session import scratch_path  # noqa: E402
+from loam.session import read_table, scratch_path  # noqa: E402
+from loam.sources import types as ty  # noqa: E402
 from loam.sources import files as fl  # noqa: E402
 
 _FL_TYPES = {"event_id": "bigint", "ArrDel15": "int", "Year": "int", "Month": "int", "DayOfMonth": "int",
@@ -706,6 +707,42 @@ def q_s02(spark, sf):
     return fl.read_csv_typed(spark, _flights_csv(spark, sf), _FL_TYPES)
 
 
+#: Text columns of orders, as Spark and DuckDB both spell them.
+_DIRTY = {
+    "k": "CASE WHEN o_orderkey % 10 = 0 THEN 'NA' ELSE CAST(o_orderkey AS STRING) END",
+    "big": "concat(CAST(o_orderkey AS STRING), '000000000000')",
+    "num": "CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey AS STRING) ELSE concat('-', CAST(o_orderkey AS STRING), '.5e1') END",
+    "flag": "CASE WHEN o_orderkey % 4 = 0 THEN 'null' WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END",
+    "day": "concat('2024-0', CAST(o_orderkey % 9 + 1 AS STRING), '-1', CAST(o_orderkey % 10 AS STRING))",
+    "moment": "CASE WHEN o_orderkey % 5 = 0 THEN '2024-02-29' ELSE concat('2024-01-01T0', CAST(o_orderkey % 10 AS STRING), ':30:00.25') END",
+    "bad_day": "CASE WHEN o_orderkey % 97 = 1 THEN '2023-02-29' ELSE '2024-02-29' END",
+    "rare_word": "CASE WHEN o_orderkey % 997 = 1 THEN concat('x', CAST(o_orderkey AS STRING)) ELSE CAST(o_orderkey AS STRING) END",
+    "none": "CASE WHEN o_orderkey % 2 = 0 THEN 'NA' ELSE 'N/A' END",
+    "name": "o_orderstatus"}
+_NULLS = ", ".join(f"'{t}'" for t in ty.NULL_TOKENS)
+
+
+def _lattice_sql(name: str) -> str:
+    whole = f"regexp_matches(c, '{ty.INTEGER}')"
+    fits = {"boolean": "lower(c) IN ('true', 'false')",
+            "int": f"{whole} AND coalesce(TRY_CAST(c AS BIGINT) BETWEEN -2147483648 AND 2147483647, false)",
+            "bigint": whole, "double": f"regexp_matches(c, '{ty.NUMBER}')",
+            "date": f"regexp_matches(c, '{ty.DAY}') AND TRY_CAST(c AS DATE) IS NOT NULL",
+            "timestamp": f"regexp_matches(c, '{ty.MOMENT}') AND TRY_CAST(c AS TIMESTAMP) IS NOT NULL"}
+    whens = " ".join(f"WHEN bool_and({fits[t]}) FILTER (WHERE c IS NOT NULL) THEN '{t}'" for t in ty.ORDER)
+    return (f"SELECT '{name}' AS \"column\", CASE {whens} ELSE 'string' END AS type, count(*) - count(c) AS nulls, count(c) AS known, "
+            f"CAST(max(length(c)) AS INT) AS longest FROM (SELECT CASE WHEN {name} NOT IN ({_NULLS}) THEN {name} END AS c FROM d)")
+
+
+@query("S02_type_lattice_of_dirty_columns", "WITH d AS (SELECT " + ", ".join(f"{e} AS {c}" for c, e in _DIRTY.items())
+       + " FROM orders) " + " UNION ALL ".join(_lattice_sql(c) for c in _DIRTY))
+def q_s02_lattice(spark, sf):
+    """Types of ten dirty text columns, inferred from a CSV of all orders and read back from the record."""
+    path = scratch_path(spark, "dirty-csv")
+    read_table(spark, sf, "orders").selectExpr(*[f"{e} AS {c}" for c, e in _DIRTY.items()]).write.option("header", True).csv(path)
+    return ty.infer_csv_types(spark, path, scratch_path(spark, "types"))
+
+
 @query("S04_csv_integer_matrix", with_views(
     "SELECT " + ", ".join(c for c, t in _FL_TYPES.items() if t == "int") + " FROM flights", "flights"))
 def q_s04(spark, sf):
