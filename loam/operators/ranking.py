@@ -134,6 +134,33 @@ def approx_quantiles(df: DataFrame, col: str, probs: Sequence[float],
         value_name)
 
 
+def sketch_rank_error(k: int) -> float:
+    """The rank error (a share of the rows) that a KLL sketch of size ``k`` keeps
+    with 99 % confidence, merged or not; sketches of fewer than ``k`` values are exact."""
+    return 2.296 / k ** 0.9021
+
+
+def quantile_sketches(df: DataFrame, col: str, by: Sequence[str], k: int = 4096, name: str = "sketch") -> DataFrame:
+    """A11, stored form: one mergeable KLL sketch a group (binary, a few times
+    ``k`` numbers whatever the rows).  Write it as a table: later questions about
+    any union of groups read the sketches, not the rows.  Nulls are not counted."""
+    x = F.col(col).cast("double")
+    return df.where(x.isNotNull()).groupBy(*_names(by)).agg(F.kll_sketch_agg_double(x, k).alias(name))
+
+
+def sketch_quantiles(sketches: DataFrame, probs: Sequence[float], by: Sequence[str] = (), k: int = 4096, name: str = "sketch",
+                     prob_name: str = "prob", value_name: str = "value") -> DataFrame:
+    """Quantiles of the union of all sketches with equal ``by`` (of all, without):
+    rows (by.., n, prob, value), each value within :func:`sketch_rank_error`."""
+    by = _names(by)
+    merged = sketches.groupBy(*by).agg(F.kll_merge_agg_double(name, k).alias("_s")).where(F.col("_s").isNotNull())
+    ranks = F.array(*[F.lit(float(p)) for p in probs])
+    return (merged.select(*by, F.kll_sketch_get_n_double("_s").alias("n"), ranks.alias("_p"),
+                          F.kll_sketch_get_quantile_double("_s", ranks).alias("_v"))
+                  .select(*by, "n", F.explode(F.arrays_zip("_p", "_v")).alias("_z"))
+                  .select(*by, "n", F.col("_z._p").alias(prob_name), F.col("_z._v").alias(value_name)))
+
+
 def quantile_value(df: DataFrame, col: str, prob: float, exact: bool = True) -> Column:
     """One quantile as a scalar-subquery Column (lazy; no driver round trip)."""
     q = (exact_quantiles(df, col, [prob]) if exact else approx_quantiles(df, col, [prob]))

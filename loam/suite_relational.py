@@ -841,6 +841,27 @@ def q_a09w(spark, sf):
     return rel.crosstab_wide(view(spark, sf, "scored"), "PredictedLabel", "category")
 
 
+@query("A11_stored_sketch_unions", with_views(
+    "SELECT category, n, prob, true AS within_error FROM (SELECT category, count(Probability) AS n FROM scored GROUP BY category "
+    f"UNION ALL SELECT 'all', count(Probability) FROM scored), (SELECT unnest({_PLIST}) AS prob)", "scored"))
+def q_a11_stored(spark, sf):
+    """Sketches by category and fold, stored; quantiles of each category and of all
+    rows from unions of them, each held against the rows' own ranks."""
+    from loam.operators import ranking as rk
+    s = view(spark, sf, "scored").withColumn("fold", smp.fold_id("event_id", 3, 5))
+    path = scratch_path(spark, "quantile-sketches")
+    rk.quantile_sketches(s, "Probability", ["category", "fold"]).write.parquet(path)
+    stored = spark.read.parquet(path)
+    got = rk.sketch_quantiles(stored, PROBS, ["category"]).unionByName(
+        rk.sketch_quantiles(stored, PROBS).withColumn("category", F.lit("all")))
+    rows = s.select("category", "Probability").unionByName(s.select(F.lit("all").alias("category"), "Probability"))
+    error = rk.sketch_rank_error(4096)
+    ranks = rows.join(got, "category").groupBy("category", "n", "prob").agg(
+        F.count_if(F.col("Probability") < F.col("value")).alias("below"), F.count_if(F.col("Probability") <= F.col("value")).alias("upto"))
+    ok = (F.col("below") <= (F.col("prob") + error) * F.col("n") + 1) & (F.col("upto") >= (F.col("prob") - error) * F.col("n") - 1)
+    return ranks.select("category", "n", "prob", ok.alias("within_error"))
+
+
 @query("A11_approx_percentiles_sketch")
 def q_a11_sketch(spark, sf):
     """A11, sketch form: mergeable quantile summaries (bounded memory per
