@@ -26,11 +26,6 @@ def hour_of_hhmm(col) -> Column:
     return F.floor(c.try_cast("int") / F.lit(100))
 
 
-def safe_double(col) -> Column:
-    """numeric conversion of a possibly dirty text column (null on failure)."""
-    return _c(col).try_cast("double")
-
-
 def safe_int(col) -> Column:
     return _c(col).try_cast("int")
 

@@ -35,11 +35,6 @@ class ForecastParams:
         return replace(self, **kw)
 
 
-def clean_demand(df: DataFrame, params: ForecastParams) -> DataFrame:
-    """Parse the date, drop rows with a missing value."""
-    return df.withColumn(params.date_col, F.to_date(params.date_col)).dropna(how="any")
-
-
 def bottom_panel(df: DataFrame, params: ForecastParams, drop_constant: bool = True) -> tuple[DataFrame, list[str]]:
     """Monthly sums per key vector on a dense calendar (every series x
     every month from the first to the last month, gaps = 0).

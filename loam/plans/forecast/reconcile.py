@@ -332,9 +332,3 @@ def combine(node_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str],
         return state.select(*k, F.col("x").alias("fcast"))
     finally:
         store.release_all()
-
-
-def clamp_and_sum(bottom_fc: DataFrame, membership: DataFrame, sys_keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Negative bottom forecasts -> 0, then parents re-summed."""
-    b = bottom_fc.withColumn("fcast", F.greatest(F.col("fcast"), F.lit(0.0)))
-    return b, bottom_up(b, membership, sys_keys)

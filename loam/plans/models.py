@@ -7,7 +7,6 @@ factor levels are fitted once on the full table and shared by train/test.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -188,26 +187,6 @@ def coefficient_table(spark, model: PipelineModel, sample: DataFrame | None = No
         rows, "term string, estimate double, std_error double, t_value double, p_value double")
 
 
-def model_fit_stats(model: PipelineModel) -> dict:
-    """Deviance / AIC of a GLM fit (empty for other learners)."""
-    last = model.stages[-1]
-    if last.__class__.__name__ != "GeneralizedLinearRegressionModel":
-        return {}
-    s = last.summary
-    return {"deviance": float(s.deviance), "null_deviance": float(s.nullDeviance), "aic": float(s.aic),
-            "dof": int(s.residualDegreeOfFreedom)}
-
-
-def top_coefficients(spark, model: PipelineModel, vocabulary: Sequence[str] | None, n: int = 12) -> DataFrame:
-    """The first ``n`` coefficients with their terms (vocabulary index or
-    hashed feature index)."""
-    last = model.stages[-1]
-    c = last.coefficients.toArray()
-    vocab = list(vocabulary or [])
-    rows = [(vocab[i] if i < len(vocab) else f"f{i}", float(c[i])) for i in range(min(n, len(c)))]
-    return spark.createDataFrame(rows, "term string, weight double")
-
-
 # ----------------------------------------------------------------- ensemble
 def fit_parts_ensemble(df: DataFrame, part_col: str, n_parts: int, formula: str,
                        name: str = "btrees_reg", params: dict | None = None,
@@ -246,9 +225,3 @@ def ensemble_predict(models: Sequence[PipelineModel], df: DataFrame, name: str =
         out = learner_model.transform(out)
     mean = sum(F.col(f"_p{i}") for i in range(len(models))) / F.lit(float(len(models)))
     return out.select(*keep, mean.alias(name))
-
-
-def timed(fn, *a, **kw):
-    t = time.perf_counter()
-    r = fn(*a, **kw)
-    return r, time.perf_counter() - t

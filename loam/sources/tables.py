@@ -63,11 +63,6 @@ def inspect(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         f"stack({len(cols)}, {', '.join(rows)}) AS (name, type, low, high, valid_n, missing_n)")
 
 
-def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
-    """First ``n`` rows in a stated order (deterministic)."""
-    return df.orderBy(*order).limit(n)
-
-
 def level_record(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """The levels of each factor column, one row per (column, level)."""
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
