@@ -5,19 +5,30 @@ words in repeated 8-word windows, and mean word length, all as integers.  Each
 measure of each (language, source) goes into a mergeable quantile sketch: a
 count per bucket, buckets keeping the seven leading bits of the value, so a
 quantile read from it is at most 1/64 below the true one and sketches merge by
-adding counts, in any order, with the same result.  A document is rejected if
-a measure lies beyond its group's fence ``q75 + FENCE * (q75 - q25)`` and also
-beyond a floor that ordinary prose never reaches.  Groups under ``MIN_DOCS``
-documents use their language's sketch, languages under it the whole corpus'.
+adding counts, in any order, with the same result.
+
+Sketches hold the texts that pass the base rule.  A group's fence is
+``q75 + FENCE * (q75 - q25)``, and on the lower side ``q25 - FENCE * (q75 - q25)``.
+No rate is fixed.  A source's fence is never wider than its language's and, but
+for word length, a language's never wider than the corpus', so a source full of
+junk does not lift its own limit (junk in over a quarter of a whole language
+does).  A text is rejected by a rule if its count exceeds what the fence allows
+for its size by at least the rule's smallest count plus the square root of the
+size (of words, characters or lines): short texts need a larger rate.  Groups
+under ``MIN_DOCS`` such texts use their language's sketch, languages under it
+the whole corpus'.
 
 Two texts with one word array have one result; windows are compared by a
 64-bit hash within one text.  Defined results: null, empty and blank texts have
 no words and fail the base rule; null language or source is a group of its
-own; repeated rows count and are returned each; an empty table gives none.
+own; a group without a text that passes the base rule has no fence, and keeps
+none; repeated rows count and are returned each; an empty table gives none.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +39,22 @@ WINDOW = 8
 MIN_WORDS = 20
 FENCE = 3
 MIN_DOCS = 200
-#: measure -> (floor of the upper fence, ceiling of the lower fence or None)
+
+
+class Rule(NamedTuple):
+    count: str     # measure whose rate is bounded
+    size: str      # per this measure
+    unit: int      # rate: ``unit`` times count per size
+    smallest: int  # least excess of the count that rejects, beside the root of the size
+    both: bool     # has a lower fence too
+    by_corpus: bool  # fences of languages stay within the corpus'
+
+
 RULES = {
-    "symbol_rate": (500, None),      # symbols per 10,000 word characters
-    "dup_line_rate": (3000, None),   # repeated lines per 10,000 lines
-    "repeat_rate": (3000, None),      # words in repeated windows per 10,000
-    "word_length": (1500, 200),      # hundredths of a character
+    "symbol_rate": Rule("n_symbols", "word_chars", 10_000, 10, False, True),
+    "dup_line_rate": Rule("n_dup_lines", "n_lines", 10_000, 2, False, True),
+    "repeat_rate": Rule("n_repeat_words", "n_words", 10_000, 2 * WINDOW, False, True),
+    "word_length": Rule("word_chars", "n_words", 100, 50, True, False),
 }
 
 
@@ -85,10 +106,13 @@ def base_failed(m: str = "m") -> Column:
 
 
 def sketch(measured: DataFrame, lang: str, source: str) -> DataFrame:
-    """Bucket counts: (lang, source, rule, lo, n); ``lo`` is the bucket's least
-    value.  Merging two sketches is adding ``n`` per bucket."""
-    long = measured.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.col(f"m.{r}").alias("v")) for r in RULES])).alias("x"))
+    """Bucket counts of the texts that pass the base rule: (lang, source, rule,
+    lo, n); ``lo`` is the bucket's least value.  Merging two sketches is adding
+    ``n`` per bucket."""
+    # inside the generator, not a filter: pushed below ``measures`` it would repeat its nested expressions
+    values = F.array(*[F.struct(F.lit(r).alias("rule"), F.col(f"m.{r}").alias("v")) for r in RULES])
+    long = measured.select(F.col(lang).alias("lang"), F.col(source).alias("source"),
+                           F.explode(F.when(~base_failed(), values)).alias("x"))
     lo = F.expr("shiftleft(shiftright(x.v, greatest(length(bin(x.v)) - 7, 0)), greatest(length(bin(x.v)) - 7, 0))")
     return long.groupBy("lang", "source", F.col("x.rule").alias("rule"), lo.alias("lo")).agg(F.count("*").alias("n"))
 
@@ -107,45 +131,57 @@ def _fences(s: DataFrame, keys: list[str]) -> DataFrame:
             named_struct('c', s.c + x.n, 'q', if(s.q is null and (s.c + x.n) * {den} >= docs * {num}, x.lo, s.q))).q""")
 
     q = packed.withColumns({"q1": quantile(1, 4), "q3": quantile(3, 4)})
+    spread = FENCE * (F.col("q3") - F.col("q1"))
     cols = [F.max("docs").alias("docs")]
-    for r, (top, low) in RULES.items():
-        spread = FENCE * (F.col("q3") - F.col("q1"))
-        hi = F.greatest(F.lit(top), F.col("q3") + spread)
-        cols.append(F.max(F.when(F.col("rule") == r, hi)).alias(f"{r}_hi"))
-        if low is not None:
-            cols.append(F.max(F.when(F.col("rule") == r, F.least(F.lit(low), F.col("q1") - spread))).alias(f"{r}_lo"))
+    for r, rule in RULES.items():
+        cols.append(F.max(F.when(F.col("rule") == r, F.col("q3") + spread)).alias(f"{r}_hi"))
+        if rule.both:
+            cols.append(F.max(F.when(F.col("rule") == r, F.col("q1") - spread)).alias(f"{r}_lo"))
     return q.groupBy(*keys).agg(*cols)
 
 
 def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """One row per (lang, source): the fences that hold for it."""
     s = stored(sketch(measured, lang, source), "sketch")
-    names = [f"{r}_hi" for r in RULES] + [f"{r}_lo" for r, (_, low) in RULES.items() if low is not None]
     g = _fences(s, ["lang", "source"]).alias("g")
     by_lang = _fences(s, ["lang"]).alias("l")
     whole = _fences(s.withColumn("__all", F.lit(1)), ["__all"]).alias("a")
-    pick = lambda n: (F.when(F.col("g.docs") >= MIN_DOCS, F.col(f"g.{n}"))
-                      .when(F.col("l.docs") >= MIN_DOCS, F.col(f"l.{n}")).otherwise(F.col(f"a.{n}")).alias(n))
+    own, known = F.col("g.docs") >= MIN_DOCS, F.col("l.docs") >= MIN_DOCS
+
+    def pick(n: str, rule: Rule, narrow) -> Column:
+        of_lang = narrow(F.col(f"l.{n}"), F.col(f"a.{n}")) if rule.by_corpus else F.col(f"l.{n}")
+        outer = F.when(known, of_lang).otherwise(F.col(f"a.{n}"))
+        return F.when(own, narrow(F.col(f"g.{n}"), outer)).otherwise(outer).alias(n)
+
+    names = [pick(f"{r}_hi", x, F.least) for r, x in RULES.items()]
+    names += [pick(f"{r}_lo", x, F.greatest) for r, x in RULES.items() if x.both]
     out = (g.join(by_lang, F.col("g.lang").eqNullSafe(F.col("l.lang")))
             .withColumn("__one", F.lit(1)).join(F.broadcast(whole), F.col("__one") == F.col("a.__all"))  # one row
-            .select(F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), *[pick(n) for n in names]))
+            .select(F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), *names))
     return stored(out, "fences")
 
 
+def rejects(rule: str, m: str = "m", fences: str = "__f") -> Column:
+    """The count lies beyond what the fence allows by the smallest count and the root of the size."""
+    x = RULES[rule]
+    count, size = F.col(f"{m}.{x.count}") * x.unit, F.col(f"{m}.{x.size}")
+    margin = x.unit * (x.smallest + F.ceil(F.sqrt(size.cast("double"))))
+    out = count - F.col(f"{fences}.{rule}_hi") * size >= margin
+    return out | (F.col(f"{fences}.{rule}_lo") * size - count >= margin) if x.both else out
+
+
 def verdicts(measured: DataFrame, fences: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
     """``measured`` plus base_failed and kept.  The fences are a written table;
     Spark joins them by their measured size (and splits a hot source if it
     must shuffle)."""
     ok = ~base_failed()
-    for r, (_, low) in RULES.items():
-        ok = ok & (F.col(f"m.{r}") <= F.col(f"__f.{r}_hi"))
-        if low is not None:
-            ok = ok & (F.col(f"m.{r}") >= F.col(f"__f.{r}_lo"))
+    for r in RULES:
+        ok = ok & ~rejects(r)
     cols = measured.columns
     f = fences.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"),
                       F.struct(*[c for c in fences.columns if c not in ("lang", "source")]).alias("__f"))
-    j = measured.join(f, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")))
-    return j.select(*cols, base_failed().alias("base_failed"), ok.alias("kept"))
+    j = measured.join(f, F.col(lang).eqNullSafe(F.col("__lang")) & F.col(source).eqNullSafe(F.col("__source")), "left")
+    return j.select(*cols, base_failed().alias("base_failed"), F.coalesce(ok, F.lit(False)).alias("kept"))
 
 
 def _short(df: DataFrame) -> tuple[DataFrame, list[str]]:

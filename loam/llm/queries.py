@@ -113,16 +113,20 @@ _RATES = ("symbol_rate", "dup_line_rate", "repeat_rate", "word_length")
 
 
 def _op7() -> str:
-    fence = []
-    for r, (top, low) in quality.RULES.items():
-        fence.append(f"max(CASE WHEN rule = '{r}' THEN greatest({top}, q3 + {quality.FENCE} * (q3 - q1)) END) AS {r}_hi")
-        if low is not None:
-            fence.append(f"max(CASE WHEN rule = '{r}' THEN least({low}, q1 - {quality.FENCE} * (q3 - q1)) END) AS {r}_lo")
-    names = [f"{r}_hi" for r in quality.RULES] + [f"{r}_lo" for r, x in quality.RULES.items() if x[1] is not None]
-    pick = ", ".join(f"CASE WHEN g.docs >= {quality.MIN_DOCS} THEN g.{n} WHEN l.docs >= {quality.MIN_DOCS} THEN l.{n} "
-                     f"ELSE a.{n} END AS {n}" for n in names)
-    ok = " AND ".join([f"{r} <= {r}_hi" for r in quality.RULES]
-                      + [f"{r} >= {r}_lo" for r, x in quality.RULES.items() if x[1] is not None])
+    spread = f"{quality.FENCE} * (q3 - q1)"
+    fence, picks, bad = [], [], []
+    for r, x in quality.RULES.items():
+        for side, at, narrow in (("hi", f"q3 + {spread}", "least"), ("lo", f"q1 - {spread}", "greatest")):
+            if side == "lo" and not x.both:
+                continue
+            n = f"{r}_{side}"
+            fence.append(f"max(CASE WHEN rule = '{r}' THEN {at} END) AS {n}")
+            of_lang = f"{narrow}(l.{n}, a.{n})" if x.by_corpus else f"l.{n}"
+            outer = f"CASE WHEN l.docs >= {quality.MIN_DOCS} THEN {of_lang} ELSE a.{n} END"
+            picks.append(f"CASE WHEN g.docs >= {quality.MIN_DOCS} THEN {narrow}(g.{n}, {outer}) ELSE {outer} END AS {n}")
+            over = f"{x.count} * {x.unit} - {n} * {x.size}" if side == "hi" else f"{n} * {x.size} - {x.count} * {x.unit}"
+            bad.append(f"{over} >= {x.unit} * ({x.smallest} + ceil(sqrt({x.size})))")
+    pick, ok = ", ".join(picks), " AND ".join(f"NOT ({x})" for x in bad)
 
     def level(name: str, lang: str, source: str) -> str:
         return f"""{name}_s AS (SELECT {lang} AS lang, {source} AS source, rule, lo, sum(n) AS n FROM sk GROUP BY ALL),
@@ -132,7 +136,7 @@ def _op7() -> str:
              min(CASE WHEN upto * 4 >= docs * 3 THEN lo END) AS q3 FROM {name}_c GROUP BY ALL),
 {name} AS (SELECT lang, source, max(docs) AS docs, {", ".join(fence)} FROM {name}_q GROUP BY lang, source)"""
 
-    longs = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {r} AS v FROM m" for r in _RATES)
+    longs = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {r} AS v FROM mb WHERE NOT base_failed" for r in _RATES)
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
@@ -157,7 +161,8 @@ WITH d AS (
          n_dup_lines * 10000 // greatest(n_lines, 1) AS dup_line_rate,
          n_repeat_words * 10000 // greatest(n_words, 1) AS repeat_rate,
          word_chars * 100 // greatest(n_words, 1) AS word_length FROM b
-), x AS ({longs}),
+), mb AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m),
+x AS ({longs}),
 sk AS (
   SELECT lang, source, rule, (v >> greatest(length(bin(v)) - 7, 0)) << greatest(length(bin(v)) - 7, 0) AS lo,
          count(*) AS n FROM x GROUP BY ALL
@@ -165,9 +170,9 @@ sk AS (
 {level("l", "lang", "NULL")},
 {level("a", "NULL", "NULL")},
 f AS (SELECT g.lang, g.source, {pick} FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang CROSS JOIN a)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {ok} AS kept
-FROM (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m) m
-JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       coalesce(NOT base_failed AND {ok}, false) AS kept
+FROM mb LEFT JOIN f ON mb.lang IS NOT DISTINCT FROM f.lang AND mb.source IS NOT DISTINCT FROM f.source
 """
 
 

@@ -51,17 +51,10 @@ def test_columns(spark):
 
 def test_pipeline(spark):
     from test_corpus_operators import check_packing, fingerprint, roots
-    from test_text_operators import fences, measure
+    from test_text_operators import quality_row, quality_verdicts
     from tokenizers import Tokenizer
     docs = spark.read.parquet(f"{SF01}/documents.parquet").collect()
-    rows = []
-    for r in docs:
-        n, chars, sym, lines, dup, rep = measure(r.text)
-        rows.append({"lang": r.lang, "source": r.source, "symbol_rate": sym * 10000 // max(chars, 1), "n": n, "rep": rep,
-                     "dup_line_rate": dup * 10000 // max(lines, 1), "repeat_rate": rep * 10000 // max(n, 1),
-                     "word_length": chars * 100 // max(n, 1)})
-    good = [r for r, x, f in zip(docs, rows, fences(rows)) if x["n"] >= 20 and 100 * x["rep"] <= 30 * x["n"]
-            and all(x[k] <= hi and (lo is None or x[k] >= lo) for k, (hi, lo) in f.items())]
+    good = [r for r, kept in zip(docs, quality_verdicts([quality_row(r.text, r.lang, r.source) for r in docs])) if kept]
     fps = [fingerprint(r.text) for r in good]
     g = roots(len(fps), [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 2])
     best = {}

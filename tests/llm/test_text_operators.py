@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from itertools import product
@@ -127,28 +128,67 @@ def measure(text):
             len(lines) - len(set(lines)), len(covered))
 
 
+def quality_row(text, lang, source):
+    n, chars, sym, lines, dup, rep = measure(text)
+    return {"lang": lang, "source": source, "n_words": n, "word_chars": chars, "n_symbols": sym, "n_lines": lines,
+            "n_dup_lines": dup, "n_repeat_words": rep, "base_failed": n < 20 or 100 * rep > 30 * n,
+            "symbol_rate": sym * 10000 // max(chars, 1), "dup_line_rate": dup * 10000 // max(lines, 1),
+            "repeat_rate": rep * 10000 // max(n, 1), "word_length": chars * 100 // max(n, 1)}
+
+
 def fences(rows):
-    """Fences per (lang, source) from sorted values floored to seven leading bits."""
+    """Fences of each row's (lang, source) from sorted values of the texts that
+    pass the base rule, floored to seven leading bits; None: no such text."""
     def low(v):
         s = max(v.bit_length() - 7, 0)
         return v >> s << s
 
     def of(group):
         out = {}
-        for rule, (top, least) in quality.RULES.items():
+        for rule in quality.RULES:
             v = sorted(low(r[rule]) for r in group)
             q1, q3 = v[-(-len(v) // 4) - 1], v[-(-3 * len(v) // 4) - 1]
-            out[rule] = (max(top, q3 + 3 * (q3 - q1)), None if least is None else min(least, q1 - 3 * (q3 - q1)))
+            out[rule] = (q3 + 3 * (q3 - q1), q1 - 3 * (q3 - q1))
         return out
 
-    def pick(r):
-        for same in (lambda x: (x["lang"], x["source"]) == (r["lang"], r["source"]), lambda x: x["lang"] == r["lang"]):
-            group = [x for x in rows if same(x)]
-            if len(group) >= quality.MIN_DOCS:
-                return of(group)
-        return of(rows)
+    def within(inner, outer, rules):
+        return {k: (min(inner[k][0], outer[k][0]), max(inner[k][1], outer[k][1])) if k in rules else inner[k] for k in inner}
+
+    good = [x for x in rows if not x["base_failed"]]
     cache = {}
-    return [cache[k] if (k := (r["lang"], r["source"])) in cache else cache.setdefault(k, pick(r)) for r in rows]
+
+    def pick(lang, source):
+        own = [x for x in good if (x["lang"], x["source"]) == (lang, source)]
+        if not own:
+            return None
+        of_lang = [x for x in good if x["lang"] == lang]
+        outer = of(good)
+        if len(of_lang) >= quality.MIN_DOCS:
+            outer = within(of(of_lang), outer, ("symbol_rate", "dup_line_rate", "repeat_rate"))
+        return within(of(own), outer, quality.RULES) if len(own) >= quality.MIN_DOCS else outer
+
+    for r in rows:
+        k = r["lang"], r["source"]
+        if k not in cache:
+            cache[k] = pick(*k)
+    return [cache[r["lang"], r["source"]] for r in rows]
+
+
+def broken(x, f):
+    """Rules that a row breaks, each by its count against what its fence allows."""
+    out = set()
+    for rule, (count, size, unit, least) in {
+            "symbol_rate": ("n_symbols", "word_chars", 10000, 10), "dup_line_rate": ("n_dup_lines", "n_lines", 10000, 2),
+            "repeat_rate": ("n_repeat_words", "n_words", 10000, 16), "word_length": ("word_chars", "n_words", 100, 50)}.items():
+        margin = least + math.ceil(math.sqrt(x[size]))
+        if x[count] * unit - f[rule][0] * x[size] >= unit * margin or (
+                rule == "word_length" and f[rule][1] * x[size] - x[count] * unit >= unit * margin):
+            out.add(rule)
+    return out
+
+
+def quality_verdicts(rows):
+    return [not x["base_failed"] and not broken(x, f) for x, f in zip(rows, fences(rows))]
 
 
 @pytest.mark.parametrize("which", ["docs", "real_docs", "sf01"])
@@ -156,18 +196,61 @@ def test_quality(which, request, spark):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet") if which == "sf01" else request.getfixturevalue(which)
     got = quality.judge(df, carry=("text", "lang", "source")).collect()
     assert len(got) == df.count()
-    rows = []
-    for r in got:
-        n, chars, sym, lines, dup, rep = measure(r.text)
-        assert (r.m.n_words, r.m.word_chars, r.m.n_symbols, r.m.n_lines, r.m.n_dup_lines, r.m.n_repeat_words) == (
-            n, chars, sym, lines, dup, rep), r.text
-        assert r.base_failed == (n < 20 or 100 * rep > 30 * n)
-        rows.append({"lang": r.lang, "source": r.source, "symbol_rate": sym * 10000 // max(chars, 1),
-                     "dup_line_rate": dup * 10000 // max(lines, 1), "repeat_rate": rep * 10000 // max(n, 1),
-                     "word_length": chars * 100 // max(n, 1)})
-    for r, x, f in zip(got, rows, fences(rows)):
-        ok = not r.base_failed and all(x[k] <= hi and (lo is None or x[k] >= lo) for k, (hi, lo) in f.items())
-        assert r.kept == ok
+    rows = [quality_row(r.text, r.lang, r.source) for r in got]
+    for r, x, kept in zip(got, rows, quality_verdicts(rows)):
+        assert all(r.m[c] == x[c] for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")), r.text
+        assert r.base_failed == x["base_failed"]
+        assert r.kept == kept
+
+
+def plain(i, words=120):
+    return "\n".join(" ".join(f"w{(i * 131 + j * 17 + j * j) % 9973:04d}" for j in range(a, a + 12)) for a in range(0, words, 12))
+
+
+def test_quality_each_rule_alone(spark):
+    base = plain(7, 240)
+    lines = base.split("\n")
+    odd = {"symbol_rate": base.replace("w", "#", 120), "dup_line_rate": "\n".join(lines + ["short"] * 12),
+           "repeat_rate": base + "\n" + " ".join(" ".join(lines[:3]).split()) + " end",
+           "word_length": base.replace("w", "wwwwww")}
+    rows = [(plain(i), "en", f"s{i % 2}") for i in range(500)] + [(t, "en", "s0") for t in odd.values()]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    got = quality.judge(df, carry=("text", "lang", "source")).collect()
+    kept = {r.text: r.kept for r in got}
+    measured = [quality_row(*r) for r in rows]
+    alone = dict(zip([r[0] for r in rows], (broken(x, f) for x, f in zip(measured, fences(measured)))))
+    for rule, t in odd.items():
+        assert alone[t] == {rule} and not kept[t], rule
+        assert not {r.text: r.base_failed for r in got}[t]
+    assert all(kept[t] for t, _, _ in rows[:500])
+
+
+def test_quality_junk_does_not_lift_its_fence(spark):
+    """Half of one source is symbol spam: its own quartiles would let all of it pass."""
+    spam = [plain(i).replace("w", "#", 60) for i in range(250)]
+    rows = [(t, "en", "junk") for t in spam] + [(plain(1000 + i), "en", "junk") for i in range(250)]
+    rows += [(plain(2000 + i), "en", f"s{i % 4}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    got = quality.judge(df, carry=("text",)).collect()
+    assert not any(r.kept for r in got if r.text in set(spam))
+    assert all(r.kept for r in got if r.text not in set(spam))
+
+
+def test_quality_fence_follows_the_data(spark):
+    """The same text is ordinary where a quarter of the texts hold as many symbols, and spam elsewhere."""
+    code = [plain(i).replace("w", "#", 20 + i % 30) for i in range(300)]
+    rows = [(t, "code", "git") for t in code] + [(plain(3000 + i), "en", "web") for i in range(300)] + [(code[29], "en", "web")]
+    rows += [(plain(5000 + i).replace("w", "#", 20 + i % 30), "code", "git2") for i in range(300)]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    got = quality.judge(df, carry=("text", "lang")).collect()
+    assert not [r for r in got if r.text == code[29] and r.lang == "en"][0].kept
+    assert all(r.kept for r in got if r.lang == "code")
+
+
+def test_quality_group_without_a_good_text(spark):
+    rows = [("two words", "en", "a"), (None, "en", "a"), (plain(1), "en", "b")]
+    got = quality.judge(spark.createDataFrame(rows, "text string, lang string, source string"), carry=("source",)).collect()
+    assert sorted((r.source, r.kept) for r in got) == [("a", False), ("a", False), ("b", True)]
 
 
 def test_quality_stage_keeps_columns(docs):
