@@ -15,11 +15,19 @@ context: the previous word, the pair of previous leaves, and two skips (second
 and third word back).  Biases start at the leaves' own frequencies, so an
 untrained model is the unigram model.
 
-Training: in each round every task runs AdaGrad over its share of the training
-documents from the round's weights, and the tasks' updates, weighted by tokens,
-are added in two steps of partial sums and averaged.  Each document is used in
-one round.  The model has a fixed size; counts, updates and rare words grow
-with the corpus and stay in Spark.
+Codes: once the lexicon is fixed, every text is read once more and its token
+codes are written; training and scoring start from these numbers.
+
+Training: the training documents of a round are dealt by a hash of id and codes
+to blocks of about ``BLOCK_TOKENS`` tokens and sorted by another hash, so a
+block is the same however the rows lie in files or tasks.  A block runs AdaGrad
+from the round's weights.  The blocks' updates are averaged row by row of the
+tables, each weighted by the tokens of the block that touched the row: a row
+that few blocks touch is not diluted by the others.  Sums go up a tree of
+``FAN`` blocks a step, in the order of the blocks.  Each document is used in one
+round.  Equal rows (id and text) of more than two blocks' tokens are dealt one
+by one.  The tables have a fixed size; counts, codes, updates and rare words
+grow with the corpus and stay in Spark.
 
 Scoring: the ``HOT`` most frequent words' counts go to the tasks (bounded by
 that parameter); all other words leave as (row, word, times) and meet the whole
@@ -54,7 +62,9 @@ HOT = 200_000
 ROUNDS = 2
 BATCH = 1 << 15
 RATE = 0.25
-BLOCKS = 16
+BLOCK_TOKENS = 1 << 21
+PIECES = 16  # that an update travels in
+FAN = 16
 CLIP = 60.0  # of logits: no exponential overflows or vanishes
 _TRIM = b".,;:!?\"')"
 
@@ -123,6 +133,7 @@ class Model:
         self.w_c = self.flat[:n].reshape(FEATURES, CLASSES)
         self.w_m = self.flat[n:].reshape(n, MEMBERS)
         self.g2: np.ndarray | None = None
+        self.touch = np.zeros(FEATURES * (CLASSES + 1))  # tokens a row of either table met
 
     def logits(self, feats: np.ndarray, leaves: np.ndarray):
         """Class and member logits of each token, and the member table's rows."""
@@ -150,7 +161,8 @@ class Model:
         if self.g2 is None:
             self.g2 = np.full_like(self.flat, 1.0)
         n = FEATURES * CLASSES
-        for x, target, part, index in ((z, cls, slice(0, n), feats), (y, mem, slice(n, None), rows)):
+        for x, target, part, index, touch in ((z, cls, slice(0, n), feats, self.touch[:FEATURES]),
+                                              (y, mem, slice(n, None), rows, self.touch[FEATURES:])):
             np.exp(x, out=x)
             x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
             x[at, target] -= 1
@@ -161,18 +173,13 @@ class Model:
             first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
             g = np.add.reduceat(np.take(x, order % len(leaves), axis=0), first, axis=0)
             row = index[first].astype(np.int64)
+            touch[row] += np.diff(first, append=len(index))
             w, g2 = self.flat[part].reshape(-1, x.shape[1]), self.g2[part].reshape(-1, x.shape[1])
             s = g2[row] + g * g
             g2[row] = s
             w[row] -= RATE * g / np.sqrt(s)
 
 
-def read_document(words: list[bytes], lexicon: Lexicon) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, leaves, places) of a document's words and its end."""
-    codes = lexicon.read([*words, b""])
-    return codes, lexicon.leaves(codes), np.arange(len(codes))
-
-
 def count_words(train: DataFrame, most: int = 1_000_000) -> DataFrame:
     """(word, n) over all tokens of the column t; the end is the empty word."""
     def run(batches):
@@ -224,128 +231,188 @@ def leaf_mass(counts: DataFrame, lexicon: Lexicon) -> np.ndarray:
     return mass
 
 
-def train_round(train: DataFrame, lexicon: Lexicon, mass: np.ndarray, flat: np.ndarray) -> np.ndarray:
-    """Weights after one round: the start plus the tasks' mean update."""
-    sc = train.sparkSession.sparkContext
+def encode(src: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """Rows (id, t, held_out) as uid, id, held_out, n_tokens, known (hot tokens),
+    logs (sum of their log10(c + 0.5)), codes (32 bits a token), rare and times
+    (the other words), key (a hash of id and codes)."""
+    shared = src.sparkSession.sparkContext.broadcast(lexicon)  # size fixed by HOT
+
+    def run(batches):
+        lex = shared.value
+        for b in batches:
+            for a in range(0, b.num_rows, 256):
+                part = b.slice(a, 256)
+                n, hot, logs, codes, rare, times = [], [], [], [], [], []
+                for text in part.column("t").to_pylist():
+                    w = [*words_of(text), b""]
+                    x = lex.read(w)
+                    known = x < lex.size
+                    left = Counter([w[i] for i in np.flatnonzero(~known).tolist()])
+                    n.append(len(x))
+                    hot.append(int(known.sum()))
+                    logs.append(float(lex.logs[x[known]].sum()))
+                    codes.append(x.astype(np.int32).tobytes())
+                    rare.append([y.decode("utf-8", "surrogatepass") for y in left])
+                    times.append(list(left.values()))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(n, pa.int64()), pa.array(hot, pa.int64()), pa.array(logs, pa.float64()),
+                     pa.array(codes, pa.binary()), pa.array(rare, pa.list_(pa.string())), pa.array(times, pa.list_(pa.int32()))],
+                    names=[*part.schema.names[:3], "n_tokens", "known", "logs", "codes", "rare", "times"])
+
+    src = src.withColumn("uid", F.monotonically_increasing_id()).select("uid", "id", "held_out", "t")
+    schema = T.StructType([*src.schema.fields[:3], *(T.StructField(n, k) for n, k in (
+        ("n_tokens", T.LongType()), ("known", T.LongType()), ("logs", T.DoubleType()), ("codes", T.BinaryType()),
+        ("rare", T.ArrayType(T.StringType())), ("times", T.ArrayType(T.IntegerType()))))])
+    return src.mapInArrow(run, schema).withColumn("key", F.xxhash64("id", "codes"))
+
+
+def learn_block(model: Model, lexicon: Lexicon, docs: list[np.ndarray]) -> None:
+    """Steps over the codes of some documents, in batches."""
+    codes = np.concatenate(docs).astype(np.int64)
+    leaves = lexicon.leaves(codes)
+    f = features(codes, leaves, np.concatenate([np.arange(len(d)) for d in docs]))
+    for a in range(0, len(codes), BATCH):
+        model.learn(f[:, a:a + BATCH], leaves[a:a + BATCH])
+
+
+_UPDATE = "piece int, block int, touch binary, delta binary"
+
+
+def _pieces(block: int, touch: np.ndarray, delta: np.ndarray) -> pa.RecordBatch:
+    """An update as rows; ``delta`` is already multiplied by ``touch``."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(PIECES), pa.int32()), pa.array([block] * PIECES, pa.int32()),
+         pa.array([x.tobytes() for x in touch.reshape(PIECES, -1)], pa.binary()),
+         pa.array([x.astype(np.float32).tobytes() for x in delta.reshape(PIECES, -1)], pa.binary())],
+        names=["piece", "block", "touch", "delta"])
+
+
+def deal(encoded: DataFrame, tokens: int, rounds: int, block_tokens: int) -> tuple[DataFrame, int]:
+    """(turn, block, place, codes) of the training documents, and the blocks of a round."""
+    blocks = max(1, -(-tokens // (rounds * block_tokens)))
+    train = encoded.where("not held_out").select("key", "uid", "n_tokens", "codes")
+    hot = (train.groupBy("key").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("k"))
+                .where((F.col("k") > 1) & (F.col("n") > 2 * block_tokens)).select("key", F.lit(True).alias("hot")))
+    by = train.join(stored(hot, "hot_keys"), "key", "left").withColumn(
+        "by", F.when(F.col("hot"), F.xxhash64("key", "uid")).otherwise(F.col("key")))
+    return by.select(F.pmod(F.xxhash64("by", F.lit(3)), F.lit(rounds)).cast("int").alias("turn"),
+                     F.pmod(F.xxhash64("by", F.lit(5)), F.lit(blocks)).cast("int").alias("block"),
+                     F.xxhash64("by", F.lit(7)).alias("place"), "codes"), blocks
+
+
+def train_round(docs: DataFrame, blocks: int, lexicon: Lexicon, mass: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """Weights after one round: the start plus, row by row, the mean update of the blocks."""
+    sc = docs.sparkSession.sparkContext
     shared = sc.broadcast((lexicon, flat))  # sizes fixed by HOT and FEATURES
 
     def run(batches):
         lex, start = shared.value
-        model, tokens, held = Model(mass, start), 0, []
+        model, held, waiting, now = None, [], 0, None
+
+        def flush():
+            if held:
+                learn_block(model, lex, held)
+                held.clear()
 
-        def step():
-            codes, leaves, places = (np.concatenate(x) for x in zip(*held))
-            f = features(codes, leaves, places)
-            for a in range(0, len(codes), BATCH):
-                model.learn(f[:, a:a + BATCH], leaves[a:a + BATCH])
-            held.clear()
+        def update():
+            delta = (model.flat - start).reshape(len(model.touch), -1) * model.touch[:, None]
+            return _pieces(now, model.touch, delta)
 
-        waiting = 0
         for b in batches:
-            for text in b.column("t").to_pylist():
-                doc = read_document(words_of(text), lex)
-                held.append(doc)
-                tokens += len(doc[0])
-                waiting += len(doc[0])
+            for block, codes in zip(b.column("block").to_pylist(), b.column("codes")):
+                if block != now:
+                    if now is not None:
+                        flush()
+                        yield update()
+                    model, waiting, now = Model(mass, start), 0, block
+                held.append(np.frombuffer(codes.as_buffer(), np.int32))
+                waiting += len(held[-1])
                 if waiting >= BATCH:
-                    step()
+                    flush()
                     waiting = 0
-        if held:
-            step()
-        if tokens:
-            delta = ((model.flat - start).astype(np.float64) * tokens).astype(np.float32).reshape(BLOCKS, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(BLOCKS), pa.int32()), pa.array([hash_task(tokens)] * BLOCKS, pa.int32()),
-                 pa.array([tokens] * BLOCKS, pa.int64()), pa.array([x.tobytes() for x in delta], pa.binary())],
-                names=["block", "salt", "tokens", "delta"])
-
-    schema = "block int, salt int, tokens long, delta binary"
+        if now is not None:
+            flush()
+            yield update()
 
     def add(batches):
-        sums: dict[int, list] = {}
+        piece = None
         for b in batches:
-            for block, _, n, d in zip(*(c.to_pylist() for c in b.columns)):
-                at = sums.setdefault(block, [0, 0.0])
-                at[0] += n
-                at[1] = at[1] + np.frombuffer(d, np.float32).astype(np.float64)
-        for block, (n, d) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([0], pa.int32()), pa.array([n], pa.int64()),
-                                              pa.array([d.astype(np.float32).tobytes()], pa.binary())],
-                                             names=["block", "salt", "tokens", "delta"])
-
-    parts = train.mapInArrow(run, schema).repartition(BLOCKS * 4, "block", "salt").mapInArrow(add, schema)
-    out = flat.reshape(BLOCKS, -1).copy()
-    for r in parts.repartition(BLOCKS, "block").mapInArrow(add, schema).collect():  # BLOCKS rows, the model's size
-        out[r.block] += np.frombuffer(r.delta, np.float32) / np.float32(r.tokens)
+            for at, block, t, d in zip(*(c.to_pylist() for c in b.columns)):
+                if (at, block // FAN) != piece:
+                    if piece is not None:
+                        yield out(piece, touch, delta)
+                    piece, touch, delta = (at, block // FAN), 0.0, 0.0
+                touch = touch + np.frombuffer(t)
+                delta = delta + np.frombuffer(d, np.float32).astype(np.float64)
+        if piece is not None:
+            yield out(piece, touch, delta)
+
+    def out(piece, touch, delta):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([piece[0]], pa.int32()), pa.array([piece[1]], pa.int32()), pa.array([touch.tobytes()], pa.binary()),
+             pa.array([delta.astype(np.float32).tobytes()], pa.binary())], names=["piece", "block", "touch", "delta"])
+
+    parts = (docs.repartitionById(blocks, "block").sortWithinPartitions("block", "place")
+                 .select("block", "codes").mapInArrow(run, _UPDATE))
+    while True:
+        blocks = -(-blocks // FAN)  # a task adds up at most FAN rows
+        group = (F.floor(F.col("block") / FAN) * PIECES + F.col("piece")).cast("int")
+        parts = (parts.repartitionById(blocks * PIECES, group).sortWithinPartitions("piece", "block").mapInArrow(add, _UPDATE))
+        if blocks == 1:
+            break
+    result = flat.reshape(PIECES, -1).copy()
+    for r in parts.collect():  # PIECES rows, the model's size
+        touch = np.maximum(np.frombuffer(r.touch), 1.0)
+        mean = np.frombuffer(r.delta, np.float32).reshape(len(touch), -1) / touch[:, None]
+        result[r.piece] += mean.astype(np.float32).ravel()
     shared.unpersist()
-    return out.ravel()
-
-
-def hash_task(tokens: int) -> int:
-    return zlib.crc32(str(tokens).encode()) % 16
+    return result.ravel()
 
 
 def score(df: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = 5, held_fold: int = 1,
-          hot: int = HOT, rounds: int = ROUNDS) -> DataFrame:
+          hot: int = HOT, rounds: int = ROUNDS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """One row per row of ``df``: ``id_col``, held_out, n_tokens, n_known,
     train_tokens, base_score, score."""
     sc = df.sparkSession.sparkContext
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % folds, F.lit(held_fold + 1))
     src = df.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("t"), (fold == held_fold).alias("held_out"))
-    train = src.where("not held_out")
-    counts = stored(count_words(train), "counts")
+    counts = stored(count_words(src.where("not held_out")), "counts")
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     lexicon = Lexicon(hot_words(counts.where("n > 0"), hot))
     mass = leaf_mass(counts.where("n > 0"), lexicon)
-    model = Model(mass)
-    flat = model.flat
-    turn = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(rounds))
-    for r in range(rounds):
-        flat = train_round(train.where(turn == r), lexicon, mass, flat)
+    encoded = stored(encode(src, lexicon), "codes")
+    flat = Model(mass).flat
+    docs, blocks = deal(encoded, int(total), rounds, block_tokens)
+    for r in range(rounds if total else 0):
+        flat = train_round(docs.where(F.col("turn") == r), blocks, lexicon, mass, flat)
     shared = sc.broadcast((lexicon, mass, flat))
 
     def run(batches):
         lex, s, weights = shared.value
         m = Model(s, weights)
         logs_s = np.log10(s)
-        names = ["uid", "id", "held_out", "n_tokens", "known", "logs", "ctx", "rare", "times"]
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 part = b.slice(a, 256)
-                docs, rare, times = [], [], []
-                for text in part.column("t").to_pylist():
-                    w = words_of(text)
-                    docs.append(read_document(w, lex))
-                    w.append(b"")
-                    left = Counter([w[i] for i in np.flatnonzero(docs[-1][0] >= lex.size).tolist()])
-                    rare.append([x.decode("utf-8", "surrogatepass") for x in left])
-                    times.append(list(left.values()))
-                codes, leaves, places = (np.concatenate(x) for x in zip(*docs))
-                f = features(codes, leaves, places)
+                docs = [np.frombuffer(x.as_buffer(), np.int32) for x in part.column("codes")]
+                codes = np.concatenate(docs).astype(np.int64)
+                leaves = lex.leaves(codes)
+                f = features(codes, leaves, np.concatenate([np.arange(len(d)) for d in docs]))
                 ctx = np.concatenate([m.logp(f[:, k:k + BATCH], leaves[k:k + BATCH]) for k in range(0, len(codes), BATCH)])
                 ctx -= logs_s[leaves]
-                known = codes < lex.size
-                logs = np.where(known, lex.logs[np.minimum(codes, max(lex.size - 1, 0))], 0.0) if lex.size else np.zeros(len(codes))
-                n = np.array([len(d[0]) for d in docs])
-                at = np.concatenate([[0], np.cumsum(n)[:-1]])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("uid"), part.column("id"), part.column("held_out"), pa.array(n),
-                     pa.array(np.add.reduceat(known.astype(np.int64), at)), pa.array(np.add.reduceat(logs, at)),
-                     pa.array(np.add.reduceat(ctx, at)), pa.array(rare, pa.list_(pa.string())),
-                     pa.array(times, pa.list_(pa.int32()))], names=names)
+                at = np.concatenate([[0], np.cumsum([len(d) for d in docs])[:-1]])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(np.add.reduceat(ctx, at))],
+                                                 names=[*part.schema.names[:-1], "ctx"])
 
-    src = src.withColumn("uid", F.monotonically_increasing_id()).select("uid", "id", "held_out", "t")
-    schema = T.StructType([*src.schema.fields[:3], *(T.StructField(n, k) for n, k in (
-        ("n_tokens", T.LongType()), ("known", T.LongType()), ("logs", T.DoubleType()), ("ctx", T.DoubleType()),
-        ("rare", T.ArrayType(T.StringType())), ("times", T.ArrayType(T.IntegerType()))))])
-    scored = stored(src.mapInArrow(run, schema), "scored")
-    rare = scored.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
+    kept = encoded.select("uid", "id", "held_out", "n_tokens", "known", "logs", "codes")
+    scored = kept.mapInArrow(run, T.StructType([*kept.schema.fields[:-1], T.StructField("ctx", T.DoubleType())]))
+    rare = encoded.select("uid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select(
         "uid", F.col("x.rare").alias("w"), F.col("x.times").alias("k"))
     c = F.coalesce(F.col("n"), F.lit(0))
     rare = (rare.join(counts, F.col("w") == F.col("word"), "left").groupBy("uid")
                 .agg(F.sum(F.col("k") * F.log10(c + 0.5)).alias("rare_logs"),
                      F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("rare_known")))
-    out = scored.drop("rare", "times").join(rare, "uid", "left")
+    out = scored.join(rare, "uid", "left")
     logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
     return out.select(
         F.col("id").alias(id_col), "held_out", "n_tokens",

@@ -171,6 +171,76 @@ def test_lm_beats_base_on_held_out(spark):
     assert r[0] - r[1] > 0.05 * r[2]  # at least 0.05 decimal digits a token
 
 
+def by_id(df):
+    return {r.doc_id: (r.score, r.base_score) for r in df.collect()}
+
+
+def test_lm_does_not_depend_on_the_layout(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    one = by_id(lm.score(df.repartition(1), block_tokens=1 << 14))
+    for parts in (16, 64):
+        other = by_id(lm.score(df.repartition(parts, "n_chars"), block_tokens=1 << 14))
+        assert other.keys() == one.keys()
+        assert np.allclose([other[k] for k in one], list(one.values()), rtol=1e-5)
+
+
+def test_lm_equals_one_process(spark, real_docs):
+    """Blocks, order, steps and row-wise means rebuilt in plain loops; enough blocks for two steps of the tree."""
+    size = 1 << 10
+    text = {r.doc_id: (r.text or "").encode().lower().split() + [b""] for r in real_docs.collect()}
+    train = {k for k in text if zlib.crc32(str(k).encode()) % 5 != 1}
+    c = Counter(w for k in train for w in text[k])
+    lex = lm.Lexicon(sorted(((w.decode(), n) for w, n in c.items()), key=lambda x: (-x[1], x[0])))
+    mass = np.full(lm.LEAVES, 0.5)
+    for w, n in c.items():
+        mass[int(lex.leaves(lex.read([w]))[0])] += n + 0.5
+    codes = {k: lex.read(w).astype(np.int32) for k, w in text.items()}
+    blocks = -(-sum(c.values()) // (lm.ROUNDS * size))
+    assert blocks > lm.FAN
+    keys = spark.createDataFrame([(k, bytearray(codes[k].tobytes())) for k in train], "id long, codes binary").withColumn(
+        "key", F.xxhash64("id", "codes"))
+    dealt = keys.select("id", F.pmod(F.xxhash64("key", F.lit(3)), F.lit(lm.ROUNDS)).alias("turn"),
+                        F.pmod(F.xxhash64("key", F.lit(5)), F.lit(blocks)).alias("block"),
+                        F.xxhash64("key", F.lit(7)).alias("place")).collect()
+    flat = lm.Model(mass).flat
+    for turn in range(lm.ROUNDS):
+        touch, total = 0.0, 0.0
+        for block in range(blocks):
+            docs = [codes[r.id] for r in sorted(dealt, key=lambda r: r.place) if (r.turn, r.block) == (turn, block)]
+            if not docs:
+                continue
+            m = lm.Model(mass, flat)
+            held = []
+            for d in docs:
+                held.append(d)
+                if sum(map(len, held)) >= lm.BATCH:
+                    lm.learn_block(m, lex, held)
+                    held = []
+            if held:
+                lm.learn_block(m, lex, held)
+            touch = touch + m.touch
+            total = total + (m.flat - flat).reshape(len(m.touch), -1).astype(float) * m.touch[:, None]
+        flat = (flat + (total / np.maximum(touch, 1)[:, None]).ravel()).astype(np.float32)
+    m = lm.Model(mass, flat)
+    got = by_id(lm.score(real_docs, block_tokens=size))
+    for k, x in codes.items():
+        leaves = lex.leaves(x.astype(np.int64))
+        ctx = m.logp(lm.features(x.astype(np.int64), leaves, np.arange(len(x))), leaves) - np.log10(mass[leaves])
+        logs = sum(math.log10(c[w] + 0.5) for w in text[k])
+        assert math.isclose(got[k][0], ctx.sum() + logs, rel_tol=1e-5), k
+
+
+def test_lm_splits_hot_rows(spark, real_docs):
+    """One row repeated until it is most of the corpus: its copies are dealt one by one."""
+    many = real_docs.unionByName(real_docs.where("doc_id = 0").crossJoin(spark.range(400)).drop("id"))
+    rows = lm.score(many, block_tokens=1 << 10).collect()
+    assert len(rows) == many.count() and all(np.isfinite(r.score) for r in rows)
+    src = many.select(F.col("doc_id").alias("id"), F.col("text").alias("t"), F.lit(False).alias("held_out"))
+    docs, blocks = lm.deal(lm.stored(lm.encode(src, lm.Lexicon([])), "codes"), 10 ** 6, 2, 1 << 10)
+    largest = docs.groupBy("turn", "block").count().agg(F.max("count")).first()[0]
+    assert blocks > 100 and largest < 40
+
+
 def test_lm_probabilities_add_up():
     counts = {f"word{i}": 1 + 900 // (i + 1) for i in range(700)} | {"": 90}
     hot = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:300]
