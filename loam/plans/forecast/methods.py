@@ -11,8 +11,8 @@ spread over all tasks.
   (A,N,A), (A,A,A).  The settings are an array inside the row; each is one
   ``aggregate`` fold over the history, and the best by AIC is the array's
   minimum, so the search neither copies the history nor shuffles;
-* ``arima``: AR(1)/AR(2) on 0 or 1 differences by conditional least squares
-  from moment sums, best order per series by AIC (no MA terms).
+* ``arima``: ARMA orders on 0, 1 or 2 differences (``arma.py``);
+* ``ar_fixed``: AR(1)/AR(2) by conditional least squares from moment sums.
 
 All return ``(keys..., step, fcast)`` plus the in-sample one-step residual
 variance ``resid_var`` (used by WLS reconciliation).
@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loam.plans.forecast.arma import arima
+
 # Smoothing grids: (model, alpha, beta, gamma); N = none, A = additive, in the
 # order error, trend, season.
 ETS_GRID = ([("ANN", a / 10, 0.0, 0.0) for a in range(1, 10)]
@@ -251,35 +253,6 @@ def _ar_forecast_cols(h: int) -> list[Column]:
     return out
 
 
-def arima(arrays: DataFrame, keys: Sequence[str], h: int) -> DataFrame:
-    """AR(1)/AR(2) on 0 or 1 differences, best by AIC per series; a
-    series where no order can be fitted gets the naive forecast (it is a
-    last-resort candidate in the same selection, so one pass)."""
-    keys = list(keys)
-    cands = None
-    for d in (0, 1):
-        for p in (1, 2):
-            c = _ar_candidate(arrays, keys, d, p)
-            cands = c if cands is None else cands.unionByName(c)
-    m = F.col("fit.m").cast("double")
-    aic = F.when(F.col("fit.ok"), m * F.log(F.greatest(F.col("fit.sse") / m, F.lit(1e-12))) + 2 * (F.col("p") + 1))
-    # not fittable -> ranked after every fitted order (null AIC sorts last via the flag)
-    rank = F.struct((~F.col("fit.ok")).alias("bad"), aic.alias("aic"), F.col("d"), F.col("p"))
-    best = (cands.groupBy(*keys, "last_date")
-                 .agg(F.min_by(F.struct("y", "d", "p", "fit"), rank).alias("b"))
-                 .select(*keys, "last_date", "b.*"))
-    ok = F.col("fit.ok")
-    y = F.col("y")
-    d = _diff(y)
-    naive_var = F.aggregate(d, F.lit(0.0), lambda acc, e: acc + e * e) / F.greatest(F.size(d), F.lit(1))
-    fc = best.select(*keys, "last_date", "fit", "d", "p", "y",
-                     F.posexplode(F.array(*_ar_forecast_cols(h))).alias("_i", "_ar"))
-    return fc.select(*keys, "last_date", (F.col("_i") + 1).alias("step"),
-                     F.when(ok, F.col("_ar")).otherwise(F.element_at(y, -1)).alias("fcast"),
-                     F.when(ok, F.col("fit.sse") / F.col("fit.m")).otherwise(naive_var).alias("resid_var"),
-                     F.when(ok, F.col("d")).alias("ar_d"), F.when(ok, F.col("p")).alias("ar_p"))
-
-
 def forecast(arrays: DataFrame, keys: Sequence[str], h: int, method: str, frequency: int = 12) -> DataFrame:
     """Dispatch by method name: ``naive``, ``ets``, ``arima``."""
     if method == "naive":

@@ -4,15 +4,16 @@ The naive (last value) forecaster makes rolling-origin evaluation, parameter
 search and reconciliation fully SQL-checkable: naive node forecasts are
 already coherent, so bottom-up and every optimal-combination weighting must
 return them unchanged.  Smoothing with a fixed weight and AR(1) are checked
-against a recursive CTE and ``regr_slope``; the searched ETS / AR fits are
-rows-only checks backed by pytest.
+against a recursive CTE and ``regr_slope``, ARMA(1,1) against its two regressions
+and the filter in SQL; the searched ETS / ARIMA fits are rows-only checks backed
+by pytest.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loam.plans.forecast import methods
+from loam.plans.forecast import arma, methods
 from loam.plans.forecast import search as fs
 from loam.plans.forecast.panel import ForecastParams, aggregate_nodes, bottom_panel, membership
 from loam.plans.forecast.reconcile import bottom_up, combine, node_weights
@@ -140,6 +141,50 @@ def q_t04(spark, sf):
     return fc.select("node", F.round("fcast", 2).alias("fcast"))
 
 
+@query("T04_arma_fixed_order", _sql(
+    """SELECT node, step, ok, CASE WHEN ok THEN round(phi, 6) + 0.0 END AS phi, CASE WHEN ok THEN round(theta, 6) + 0.0 END AS theta, CASE WHEN ok THEN round(CASE step
+         WHEN 1 THEN f1 WHEN 2 THEN c + phi * f1 ELSE c + phi * (c + phi * f1) END, 2) + 0.0 END AS fcast
+       FROM (SELECT r.node, ok, c, phi, theta, c + phi * s.y + theta * r.e AS f1 FROM r JOIN s ON s.node = r.node AND s.t = r.t
+             JOIN b ON b.node = r.node WHERE r.t = (SELECT max(t) FROM s)), (SELECT unnest(range(1, 4)) AS step)""", """
+s AS (SELECT node, CAST(row_number() OVER (PARTITION BY node ORDER BY Date) AS INT) AS t, Quantity AS y FROM nodes),
+l AS (SELECT node, t, y, lag(y) OVER (PARTITION BY node ORDER BY t) AS x FROM s),
+f AS (SELECT node, regr_slope(y, x) AS a1, regr_intercept(y, x) AS a0 FROM l WHERE x IS NOT NULL GROUP BY node),
+e AS (SELECT node, t, y, x, lag(y - a0 - a1 * x) OVER (PARTITION BY node ORDER BY t) AS e FROM l JOIN f USING (node) WHERE x IS NOT NULL),
+g AS (SELECT node, avg(y) AS my, avg(x) AS mx, avg(e) AS me, var_pop(x) AS xx, var_pop(e) AS ee, covar_pop(x, e) AS xe,
+        covar_pop(x, y) AS xy, covar_pop(e, y) AS ey FROM e WHERE e IS NOT NULL GROUP BY node),
+h AS (SELECT *, (xy * ee - ey * xe) / (xx * ee - xe * xe) AS phi, (ey * xx - xy * xe) / (xx * ee - xe * xe) AS theta FROM g),
+b AS (SELECT node, phi, theta, my - phi * mx - theta * me AS c, abs(phi) < 0.999 AND abs(theta) < 0.999 AS ok FROM h),
+r(node, t, e) AS (SELECT node, 1, 0e0 FROM b
+   UNION ALL SELECT l.node, l.t, l.y - b.c - b.phi * l.x - b.theta * r.e
+   FROM r JOIN l ON l.node = r.node AND l.t = r.t + 1 JOIN b ON b.node = r.node)"""
+).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_t04c(spark, sf):
+    """ARMA(1,1) of every node, first regression of order 1: coefficients and three
+    months, no forecast where the coefficients are not stationary and invertible."""
+    _, _, nodes = _nodes(spark, sf)
+    arr = methods.series_arrays(nodes, ["node"], "Date", "Quantity")
+    fc = arma.arma_fixed(arr, ["node"], 3, 1, 1, long=1)
+    # two decimals for the forecasts, as above
+    return r6(fc.select("node", "step", "ok", F.get("phi", F.lit(0)).alias("phi"), F.get("theta", F.lit(0)).alias("theta"),
+                        F.round("fcast", 2).alias("fcast")), "phi", "theta")
+
+
+@query("T04_unit_root_statistic", _sql(
+    f"""SELECT node, {s6('ss / n / v')} AS kpss, ss / n / v <= 0.463 AS level FROM (
+          SELECT node, n, sum(s * s) AS ss, any_value(own + 2 * coalesce(w, 0)) AS v
+          FROM c LEFT JOIN q USING (node) JOIN (SELECT node, sum(e * e) AS own FROM o GROUP BY node) USING (node) GROUP BY node, n)""", """
+o AS (SELECT node, row_number() OVER (PARTITION BY node ORDER BY Date) AS t, Quantity - avg(Quantity) OVER (PARTITION BY node) AS e,
+        count(*) OVER (PARTITION BY node) AS n FROM nodes),
+c AS (SELECT node, n, sum(e) OVER (PARTITION BY node ORDER BY t) AS s FROM o),
+q AS (SELECT a.node, sum((1 - (a.t - b.t) / (floor(4 * pow(a.n / 100, 0.25)) + 1)) * a.e * b.e) AS w FROM o a JOIN o b
+        ON a.node = b.node AND a.t - b.t BETWEEN 1 AND floor(4 * pow(a.n / 100, 0.25)) GROUP BY a.node)"""))
+def q_t04d(spark, sf):
+    """KPSS statistic of every node and whether it passes for a constant level."""
+    _, _, nodes = _nodes(spark, sf)
+    arr = methods.series_arrays(nodes, ["node"], "Date", "Quantity").select("node", arma.kpss(F.col("y")).alias("kpss"))
+    return r6(arr.select("node", "kpss", (F.col("kpss") <= arma.KPSS_5).alias("level")), "kpss")
+
+
 @query("T04_arima_order_search")
 def q_t04b(spark, sf):
     _, _, nodes = _nodes(spark, sf)
