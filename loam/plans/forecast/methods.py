@@ -6,11 +6,7 @@ volume, so ``collect_list`` per series is safe; the number of series is
 spread over all tasks.
 
 * naive: last value (fully SQL-checkable baseline);
-* ``ets``: additive exponential smoothing, level-only (A,N,N), linear trend
-  (A,A,N) and, for series of two periods or more, their seasonal forms
-  (A,N,A), (A,A,A).  The settings are an array inside the row; each is one
-  ``aggregate`` fold over the history, and the best by AIC is the array's
-  minimum, so the search neither copies the history nor shuffles;
+* ``ets``: additive exponential smoothing with fitted weights (``smooth.py``);
 * ``arima``: ARMA orders on 0, 1 or 2 differences (``arma.py``);
 * ``ar_fixed``: AR(1)/AR(2) by conditional least squares from moment sums.
 
@@ -26,15 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loam.plans.forecast.arma import arima
-
-# Smoothing grids: (model, alpha, beta, gamma); N = none, A = additive, in the
-# order error, trend, season.
-ETS_GRID = ([("ANN", a / 10, 0.0, 0.0) for a in range(1, 10)]
-            + [("AAN", a, b, 0.0) for a in (0.1, 0.3, 0.5, 0.7, 0.9) for b in (0.05, 0.2)])
-ETS_SEASONAL_GRID = ([("ANA", a, 0.0, g) for a in (0.1, 0.3, 0.5, 0.7) for g in (0.05, 0.2, 0.5)]
-                     + [("AAA", a, 0.05, g) for a in (0.1, 0.3, 0.5) for g in (0.05, 0.2)])
-# smoothing weights and initial states; a seasonal form adds its ``frequency`` slots
-ETS_PARAMS = {"ANN": 2, "AAN": 4, "ANA": 3, "AAA": 5}
+from loam.plans.forecast.smooth import ets
 
 
 def series_arrays(long: DataFrame, keys: Sequence[str], date_col: str, value_col: str) -> DataFrame:
@@ -117,64 +105,6 @@ def seasonal_fixed(arrays: DataFrame, keys: Sequence[str], h: int, alpha: float,
         (F.col("_f.l") + F.get(F.col("_f.s"), (F.col("step") - 1) % m)).alias("fcast"))
 
 
-def ets(arrays: DataFrame, keys: Sequence[str], h: int, grid=ETS_GRID, seasonal_grid=ETS_SEASONAL_GRID,
-        frequency: int = 12) -> DataFrame:
-    """Additive exponential smoothing with the best setting per series.
-
-    Seasonal settings join where a series has two periods of ``frequency``
-    months (``frequency`` 1: none).  All settings of a series are compared over
-    the same months: with a season in play, errors count after the first period."""
-    keys = list(keys)
-    m = frequency
-    y = F.col("y")
-    n = F.size(y)
-    seasonal = (n >= 2 * m) if m > 1 and seasonal_grid else F.lit(False)
-    warm = F.when(seasonal, F.lit(m - 1)).otherwise(F.lit(0))
-
-    def settings(g):
-        return F.array(*[F.struct(F.lit(i).alias("gi"), F.lit(mod).alias("model"), F.lit(float(a)).alias("alpha"),
-                                  F.lit(float(b)).alias("beta"), F.lit(float(c)).alias("gamma"),
-                                  F.lit(float(ETS_PARAMS[mod] + (m if mod.endswith("A") else 0))).alias("k"))
-                         for i, (mod, a, b, c) in g])
-
-    def fitted(st, state):
-        aic = F.col("_m") * F.log(F.greatest(state["sse"] / F.col("_m"), F.lit(1e-12))) + 2 * st["k"]
-        return F.struct(aic.alias("aic"), st["gi"].alias("gi"), st["model"].alias("model"), st["alpha"].alias("alpha"),
-                        state.alias("f"))
-
-    def plain(st):
-        def step(acc, x):
-            pred = acc["l"] + acc["b"]
-            lvl = st["alpha"] * x + (1 - st["alpha"]) * pred
-            return F.struct(lvl.alias("l"), (st["beta"] * (lvl - acc["l"]) + (1 - st["beta"]) * acc["b"]).alias("b"),
-                            acc["s"].alias("s"), (acc["sse"] + (x - pred) * (x - pred)).alias("sse"))
-        b0 = F.when((st["model"] == "AAN") & (n >= 2), F.try_element_at(y, F.lit(2)) - F.element_at(y, 1)).otherwise(F.lit(0.0))
-        start = F.struct(F.element_at(y, 1).alias("l"), b0.alias("b"), F.array().cast("array<double>").alias("s"),
-                         F.lit(0.0).alias("sse"))
-        before = F.aggregate(F.slice(y, F.lit(2), F.col("_warm")), start, step,
-                             lambda acc: F.struct(acc["l"].alias("l"), acc["b"].alias("b"), acc["s"].alias("s"),
-                                                  F.lit(0.0).alias("sse")))
-        return F.aggregate(_tail(y, F.col("_warm") + 2, F.col("_warm") + 1), before, step)
-
-    def season(st):
-        return F.aggregate(_tail(y, m + 1, m), _season_start(y, m, st["model"] == "AAA"),
-                           _season_step(st["alpha"], st["beta"], st["gamma"], m))
-
-    numbered = list(enumerate([*grid, *seasonal_grid]))
-    tried = F.transform(settings(numbered[:len(grid)]), lambda st: fitted(st, plain(st)))
-    if m > 1 and seasonal_grid:
-        more = F.transform(settings(numbered[len(grid):]), lambda st: fitted(st, season(st)))
-        tried = F.when(F.col("_seasonal"), F.concat(tried, more)).otherwise(tried)
-    base = arrays.withColumns({"_seasonal": seasonal, "_warm": warm}).withColumn(
-        "_m", F.greatest(n - 1 - F.col("_warm"), F.lit(1)))
-    best = base.withColumn("_b", F.array_min(tried))
-    swing = F.when(F.size("_b.f.s") > 0, F.get(F.col("_b.f.s"), (F.col("step") - 1) % m)).otherwise(F.lit(0.0))
-    return best.select(*keys, "last_date", _steps(h), "_b", "_m").select(
-        *keys, "last_date", "step", (F.col("_b.f.l") + F.col("step") * F.col("_b.f.b") + swing).alias("fcast"),
-        (F.col("_b.f.sse") / F.col("_m")).alias("resid_var"),
-        F.col("_b.model").alias("ets_model"), F.col("_b.alpha").alias("alpha"))
-
-
 def _ar_moments(z: Column, p: int) -> Column:
     """Sums over the lagged pairs/triples of array ``z`` for an AR(p) fit with
     intercept (one fold over the array)."""
@@ -258,7 +188,8 @@ def forecast(arrays: DataFrame, keys: Sequence[str], h: int, method: str, freque
     if method == "naive":
         return naive(arrays, keys, h)
     if method == "ets":
-        return ets(arrays, keys, h, frequency=frequency)
+        # the parameter search fits every node at every origin: weights from the coarse grid
+        return ets(arrays, keys, h, frequency=frequency, search=False)
     if method == "arima":
         return arima(arrays, keys, h)
     raise ValueError(f"unknown forecasting method {method!r}")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loam.plans.forecast import arma, methods
+from loam.plans.forecast import arma, methods, smooth
 from loam.plans.forecast import search as fs
 from loam.plans.forecast.panel import ForecastParams, aggregate_nodes, bottom_panel, membership
 from loam.plans.forecast.reconcile import bottom_up, combine, node_weights
@@ -121,6 +121,24 @@ def q_t03c(spark, sf):
     return r6(methods.seasonal_fixed(arr, ["node"], 3, 0.3, 0.2, PARAMS.frequency).select("node", "step", "fcast"), "fcast")
 
 
+@query("T03_damped_fixed_weights", _sql(
+    f"SELECT node, step, {s6('l + b * w')} AS fcast, {s6('sqrt(sse)')} AS root_sse FROM r, (SELECT step, sum(pow(0.9e0, i)) AS w "
+    "FROM (SELECT unnest(range(1, 4)) AS step), (SELECT unnest(range(1, 4)) AS i) WHERE i <= step GROUP BY step) "
+    "WHERE t = (SELECT max(t) FROM s WHERE s.node = r.node)", """
+s AS (SELECT node, CAST(row_number() OVER (PARTITION BY node ORDER BY Date) AS INT) AS t, Quantity AS y FROM nodes),
+r(node, t, l, b, sse) AS (SELECT s.node, 1, s.y, n.y - s.y, 0e0 FROM s JOIN s n ON n.node = s.node AND n.t = 2 WHERE s.t = 1
+   UNION ALL SELECT s.node, s.t, 0.4e0 * s.y + 0.6e0 * (r.l + 0.9e0 * r.b),
+     0.3e0 * (0.4e0 * s.y + 0.6e0 * (r.l + 0.9e0 * r.b) - r.l) + 0.7e0 * 0.9e0 * r.b, r.sse + pow(s.y - r.l - 0.9e0 * r.b, 2)
+   FROM r JOIN s ON s.node = r.node AND s.t = r.t + 1)"""
+).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_t03d(spark, sf):
+    """Damped trend with fixed weights: three months and the root of the squared error, of the fold that the search runs."""
+    _, _, nodes = _nodes(spark, sf)
+    arr = methods.series_arrays(nodes, ["node"], "Date", "Quantity")
+    return r6(smooth.smooth_fixed(arr, ["node"], 3, "AAdN", 0.4, 0.3, phi=0.9).select("node", "step", "fcast", F.sqrt("sse").alias("root_sse")),
+              "fcast", "root_sse")
+
+
 @query("T03_ets_searched_per_node")
 def q_t03b(spark, sf):
     _, _, nodes = _nodes(spark, sf)
@@ -234,7 +252,7 @@ def q_t07b(spark, sf):
     measured from the result, against the size of its terms."""
     panel, keys, nodes = _nodes(spark, sf)
     memb = materialize(membership(panel, keys))
-    fc = materialize(methods.ets(methods.series_arrays(nodes, ["node"], "Date", "Quantity"), ["node"], 1))
+    fc = materialize(methods.ets(methods.series_arrays(nodes, ["node"], "Date", "Quantity"), ["node"], 1, search=False))
     fc = fc.select("node", "fcast", "resid_var", F.explode(F.array(*[F.lit(w) for w in _SCHEMES])).alias("weights"))
     wts = None
     for w in _SCHEMES:
