@@ -83,16 +83,20 @@ def solve(r: np.ndarray, tolerance: float = RANK_TOLERANCE) -> tuple[np.ndarray,
     return inverse @ (basis.T @ z), kept, (inverse * inverse).sum(axis=1)
 
 
-def _dense(batch: pa.RecordBatch, width: int, a: int, z: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows a..z of (y, indices, values) with a leading 1."""
-    y = batch.column(0).slice(a, z - a).to_numpy(zero_copy_only=False).astype(float)
-    x = np.zeros((z - a, width + 1))
-    x[:, 0] = 1.0
-    idx, val = batch.column(1).slice(a, z - a), batch.column(2).slice(a, z - a)
-    n = np.diff(val.offsets.to_numpy())
-    values = val.flatten().to_numpy(zero_copy_only=False)
-    x[np.repeat(np.arange(z - a), n), idx.flatten().to_numpy(zero_copy_only=False) + 1] = values
-    return y, x
+def _design(batches, width: int, step: int):
+    """Blocks (n, p: the sum of y, y, x) of at most ``step`` dense rows with a leading 1: what every
+    iteration reads, decoded once."""
+    for b in batches:
+        for a in range(0, b.num_rows, step):
+            n = min(step, b.num_rows - a)
+            y = b.column(0).slice(a, n).to_numpy(zero_copy_only=False).astype(float)
+            x = np.zeros((n, width + 1))
+            x[:, 0] = 1.0
+            idx, val = b.column(1).slice(a, n), b.column(2).slice(a, n)
+            many = np.diff(val.offsets.to_numpy())
+            x[np.repeat(np.arange(n), many), idx.flatten().to_numpy(zero_copy_only=False) + 1] = val.flatten().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([y.sum()]), pa.array([y.tobytes()], pa.binary()),
+                                              pa.array([x.tobytes()], pa.binary())], names=["n", "p", "y", "x"])
 
 
 def fit_binomial(df: DataFrame, terms: Sequence[str], label_col: str = "label", features_col: str = "features",
@@ -109,17 +113,19 @@ def fit_binomial(df: DataFrame, terms: Sequence[str], label_col: str = "label",
     bad = F.exists(v["values"], lambda x: F.isnan(x) | (F.abs(x) == float("inf")))
     rows = df.where(F.col(label_col).isNotNull() & F.col(features_col).isNotNull()).where(~bad).select(
         F.col(label_col).cast("double").alias("y"), idx.alias("i"), v["values"].alias("v"))
-    held = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    step = max(1, CHUNK_VALUES // (width + 2))
+    held = rows.mapInArrow(lambda batches: _design(batches, width, step), "n long, p double, y binary, x binary").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        first = held.agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
+        first = held.agg(F.sum("n").alias("n"), F.sum("p").alias("p")).first()
         n = first.n
         if not n:
             raise ValueError("no rows to fit")
         null = _deviance_of_share(n, first.p)
+        blocks = held.select("y", "x")
         beta, kept, deviance, done, converged = None, [], math.inf, 0, False
         tasks = held.rdd.getNumPartitions()
         for done in range(1, max_iter + 1):
-            r, now = _pass(held, width, beta, tasks)
+            r, now = _pass(held.select("y", "x"), width, beta, tasks)
             if beta is not None:
                 if abs(now - deviance) <= tol * (abs(now) + 0.1):
                     converged = True
@@ -143,13 +149,12 @@ def _deviance_of_share(n: int, p: float) -> float:
 def _pass(rows: DataFrame, width: int, beta: np.ndarray | None, tasks: int) -> tuple[np.ndarray, float]:
     """The factor of the weighted rows and the deviance, both at ``beta`` (None:
     the usual start from the labels)."""
-    step = max(1, CHUNK_VALUES // (width + 2))
-
     def local(batches):
         r, deviance = None, 0.0
         for b in batches:
-            for a in range(0, b.num_rows, step):
-                y, x = _dense(b, width, a, min(a + step, b.num_rows))
+            for k in range(b.num_rows):
+                y = np.frombuffer(b.column(0)[k].as_buffer())
+                x = np.frombuffer(b.column(1)[k].as_buffer()).reshape(len(y), -1)
                 if beta is None:
                     mu = (y + 0.5) / 2
                     eta = np.log(mu / (1 - mu))

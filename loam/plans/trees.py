@@ -2,14 +2,14 @@
 
 Every part has a model of its own: trees on the residuals of the part's rows,
 grown level by level.  One pass over the rows gives the histograms of all parts
-at once, keyed (part, node, feature, bin); the driver picks each node's split
-from them and sends the grown level back.  The number of jobs is that of the
+at once, keyed (part, node, feature, bin); those of a part are added in a task,
+which picks each node's split, and the driver sends the grown level back.  The number of jobs is that of the
 levels and trees, whatever the number of parts.
 
 Rows are kept as blocks of bin numbers (one byte a value) in the shared folder.
 A block's running predictions are written after each tree; a lost executor takes
-them up from there.  What the driver holds is bounded by parts x nodes x features
-x bins, not by the rows.
+them up from there.  What the driver holds is bounded by parts x trees x nodes, what a
+task holds beside its block by parts x nodes x bins of all features.
 """
 
 from __future__ import annotations
@@ -24,10 +24,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loam.plans.partials import packed, summed
 from loam.session import materialize
 
 BINS = 32
+BLOCK_ROWS = 1 << 15
 BLOCK_SCHEMA = "block long, n int, part binary, y binary, bins binary"
 
 
@@ -52,21 +52,28 @@ def block_rows(df: DataFrame, edges: list[np.ndarray], part_col: str, label_col:
     width = len(edges)
 
     def pack(batches):
-        number = TaskContext.get().partitionId() << 32
+        number, waiting, held = TaskContext.get().partitionId() << 32, [], 0
         for b in batches:
-            n = b.num_rows
-            if not n:
-                continue
-            x = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(n, width)
-            bins = np.empty((width, n), np.uint8)
-            for k, e in enumerate(edges):
-                bins[k] = np.where(np.isnan(x[:, k]), len(e), np.searchsorted(e, x[:, k], "left"))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([number], pa.int64()), pa.array([n], pa.int32()),
-                pa.array([b.column(0).to_numpy(zero_copy_only=False).astype(np.int32).tobytes()], pa.binary()),
-                pa.array([b.column(1).to_numpy(zero_copy_only=False).astype(float).tobytes()], pa.binary()),
-                pa.array([bins.tobytes()], pa.binary())], names=["block", "n", "part", "y", "bins"])
-            number += 1
+            if b.num_rows:
+                waiting.append(b)
+                held += b.num_rows
+            if held >= BLOCK_ROWS:
+                yield block(number, pa.Table.from_batches(waiting))
+                number, waiting, held = number + 1, [], 0
+        if waiting:
+            yield block(number, pa.Table.from_batches(waiting))
+
+    def block(number, t):
+        n = t.num_rows
+        x = t.column(2).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, width)
+        bins = np.empty((width, n), np.uint8)
+        for k, e in enumerate(edges):
+            bins[k] = np.where(np.isnan(x[:, k]), len(e), np.searchsorted(e, x[:, k], "left"))
+        return pa.RecordBatch.from_arrays([
+            pa.array([number], pa.int64()), pa.array([n], pa.int32()),
+            pa.array([t.column(0).to_numpy().astype(np.int32).tobytes()], pa.binary()),
+            pa.array([t.column(1).to_numpy().astype(float).tobytes()], pa.binary()),
+            pa.array([bins.tobytes()], pa.binary())], names=["block", "n", "part", "y", "bins"])
 
     rows = df.select(F.col(part_col).cast("int").alias("p"), F.col(label_col).cast("double").alias("y"), features)
     return materialize(rows.mapInArrow(pack, BLOCK_SCHEMA), "tree-blocks")
@@ -124,8 +131,8 @@ def fit_parts(df: DataFrame, part_col: str, label_col: str = "label", features_c
     has the largest drop of the squared error (ties: the first feature, then the
     lowest edge) and at least ``min_rows`` rows a side.  Rows with a null part,
     label or vector are left out."""
-    data = df.where(F.col(part_col).isNotNull() & F.col(label_col).isNotNull() & F.col(features_col).isNotNull()).select(
-        part_col, F.col(label_col).cast("double").alias(label_col), vector_to_array(features_col).alias("x"))
+    data = materialize(df.where(F.col(part_col).isNotNull() & F.col(label_col).isNotNull() & F.col(features_col).isNotNull()).select(
+        part_col, F.col(label_col).cast("double").alias(label_col), vector_to_array(features_col).alias("x")), "tree-rows")
     means = {int(r[0]): (r.m, r.n) for r in data.groupBy(F.col(part_col).cast("int")).agg(F.avg(label_col).alias("m"), F.count("*").alias("n")).collect()}
     if not means:
         raise ValueError("no rows to fit")
@@ -134,7 +141,8 @@ def fit_parts(df: DataFrame, part_col: str, label_col: str = "label", features_c
     width = data.select(F.size("x")).first()[0]
     edges = bin_edges(data, width, bins=bins)
     stored = block_rows(data, edges, part_col, label_col)
-    tasks = max(1, stored.rdd.getNumPartitions())
+    # one histogram a task and part: twice the cores keep all busy, more tasks would only add histograms
+    tasks = max(1, min(stored.rdd.getNumPartitions(), 2 * df.sparkSession.sparkContext.defaultParallelism))
     held = stored.repartition(tasks, "block").persist(StorageLevel.MEMORY_AND_DISK)
     nodes = 2 ** (depth + 1) - 1
     feature = np.full((len(parts), trees, nodes), -1, np.int32)
@@ -144,13 +152,16 @@ def fit_parts(df: DataFrame, part_col: str, label_col: str = "label", features_c
     state = None
     try:
         for t in range(trees):
-            inputs = held if state is None else held.join(state, "block")
+            # joined once for the passes of a tree
+            inputs = held if state is None else held.join(state, "block").persist(StorageLevel.MEMORY_AND_DISK)
             for level in range(depth):
-                hist = _histograms(inputs, number, base, feature[:, t], cut[:, t], level, bins, width, tasks)
-                if not _grow(hist, feature[:, t], cut[:, t], edge[:, t], value[:, t], edges, rate, min_rows):
+                splits = _histograms(inputs, number, base, feature[:, t], cut[:, t], level, bins, edges, rate, min_rows, tasks)
+                if not _grow(splits, level, feature[:, t], cut[:, t], edge[:, t], value[:, t], edges):
                     break
             if t + 1 < trees:
                 state = _advance(inputs, number, base, feature[:, t], cut[:, t], value[:, t])
+            if inputs is not held:
+                inputs.unpersist()
     finally:
         held.unpersist()
     return PartsEnsemble(parts, base, feature, edge, value)
@@ -177,27 +188,61 @@ def _reach(part, bins, feature, cut, steps: int) -> np.ndarray:
     return at
 
 
-def _histograms(inputs, number, base, feature, cut, level, bins, width, tasks):
-    """(parts, nodes of the level, features, bins, [residual, rows])."""
-    parts, nodes = len(number), 2 ** level
-    shape = (parts, nodes, width, bins, 2)
+def _histograms(inputs, number, base, feature, cut, level, bins, edges, rate, min_rows, tasks) -> pa.Table:
+    """The level's nodes with rows: (part, node, feature, bin, left, right), the
+    feature -1 and the node's value in ``left`` where none splits it.  A task sums
+    the histograms of its blocks (nodes, bins of all features, [residual, rows]) by
+    part, those of a part meet in one task, and the driver gets the chosen splits."""
+    parts, nodes, width = len(number), 2 ** level, len(edges)
+    sizes = [len(e) + 1 for e in edges]
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(int)
+    of = np.repeat(np.arange(width), sizes)
+    place = np.arange(starts[-1]) - starts[of]
+    shape = (parts, nodes, int(starts[-1]), 2)
 
-    def run(batches):
+    def local(batches):
         out = np.zeros(shape)
         for b in batches:
             for row in b.to_pylist():
                 part, y, now, values = _block(row, number, base)
                 at = _reach(part, values, feature, cut, level)
-                here = at >= nodes - 1
-                group = (part[here] * nodes + at[here] - (nodes - 1)) * bins
+                here = np.flatnonzero(at >= nodes - 1)
+                group = part[here] * nodes + at[here] - (nodes - 1)
                 rest = (y - now)[here]
-                for k in range(width):
-                    key = group + values[k, here]
-                    out[:, :, k, :, 0] += np.bincount(key, rest, parts * nodes * bins).reshape(parts, nodes, bins)
-                    out[:, :, k, :, 1] += np.bincount(key, minlength=parts * nodes * bins).reshape(parts, nodes, bins)
-        yield packed(out)
-
-    return summed(inputs.mapInArrow(run, "v binary"), tasks, int(np.prod(shape))).reshape(shape)
+                for k, size in enumerate(sizes):
+                    key = group * size + values[k, here]
+                    cells = out[:, :, starts[k]:starts[k + 1]]
+                    cells[..., 0] += np.bincount(key, rest, parts * nodes * size).reshape(parts, nodes, size)
+                    cells[..., 1] += np.bincount(key, minlength=parts * nodes * size).reshape(parts, nodes, size)
+        some = [p for p in range(parts) if out[p, :, :, 1].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([out[p].tobytes() for p in some], pa.binary())], names=["part", "v"])
+
+    def choose(batches):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for p, v in zip(b.column(0).to_pylist(), b.column(1)):
+                sums[p] = sums.get(p, 0.0) + np.frombuffer(v.as_buffer()).reshape(shape[1:])
+        found = []
+        for p, cells in sums.items():
+            for k in range(nodes):
+                h = np.zeros((width, bins, 2))
+                h[of, place] = cells[k]
+                rows = h[0, :, 1].sum()
+                if not rows:
+                    continue
+                best = best_split(h, min_rows)
+                if best is None:
+                    found.append((p, k, -1, -1, rate * h[0, :, 0].sum() / rows, 0.0))
+                    continue
+                f, b = best
+                left, right = h[f, :b + 1], h[f, b + 1:]
+                found.append((p, k, f, b, rate * left[:, 0].sum() / left[:, 1].sum(), rate * right[:, 0].sum() / right[:, 1].sum()))
+        cols = list(zip(*found)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int32()) for c in cols[:4]], *[pa.array(c, pa.float64()) for c in cols[4:]]],
+                                         names=["part", "node", "feature", "bin", "left", "right"])
+
+    sums = inputs.mapInArrow(local, "part int, v binary").repartition(min(parts, tasks), "part")
+    return sums.mapInArrow(choose, "part int, node int, feature int, bin int, left double, right double").toArrow()
 
 
 def best_split(hist: np.ndarray, min_rows: int) -> tuple[int, int] | None:
@@ -218,25 +263,17 @@ def best_split(hist: np.ndarray, min_rows: int) -> tuple[int, int] | None:
     return int(f), int(b)
 
 
-def _grow(hist, feature, cut, edge, value, edges, rate, min_rows) -> bool:
-    """Splits for the nodes of one level, and the value of every child should it
-    stay a leaf; whether any node was split."""
+def _grow(splits: pa.Table, level: int, feature, cut, edge, value, edges) -> bool:
+    """Splits of one level, and the value of every child should it stay a leaf;
+    whether any node was split."""
     grown = False
-    parts, nodes = hist.shape[:2]
-    for p in range(parts):
-        for k in range(nodes):
-            h = hist[p, k]
-            rows = h[0, :, 1].sum()
-            at = nodes - 1 + k
-            found = best_split(h, min_rows) if rows else None
-            if found is None:
-                if rows:
-                    value[p, at] = rate * h[0, :, 0].sum() / rows
-                continue
-            f, b = found
-            feature[p, at], cut[p, at], edge[p, at], grown = f, b, edges[f][b], True
-            for child, side in ((2 * at + 1, h[f, :b + 1]), (2 * at + 2, h[f, b + 1:])):
-                value[p, child] = rate * side[:, 0].sum() / side[:, 1].sum()
+    for r in splits.to_pylist():
+        p, at, f, b = r["part"], 2 ** level - 1 + r["node"], r["feature"], r["bin"]
+        if f < 0:
+            value[p, at] = r["left"]
+            continue
+        feature[p, at], cut[p, at], edge[p, at], grown = f, b, edges[f][b], True
+        value[p, 2 * at + 1], value[p, 2 * at + 2] = r["left"], r["right"]
     return grown
 
 

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import json
-import os
-
 import numpy as np
+import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF001
 
 
-def scans(monkeypatch, module, name):
-    """Calls of a suite helper."""
-    calls, old = [], getattr(module, name)
-    monkeypatch.setattr(module, name, lambda *a, **k: (calls.append(a), old(*a, **k))[1])
-    return calls
-
-
 def test_shared_rows_are_stored_once(spark, monkeypatch):
     """The training rows of E02 and both sets of M11 are joined once and read from files."""
     from loam import suite_models as sm
@@ -34,3 +24,28 @@ def test_shared_rows_are_stored_once(spark, monkeypatch):
     for df in fitted:
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert "Join" not in plan and "parquet" in plan
+
+
+def test_driver_gets_splits_not_histograms(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    from loam.plans import trees as tr
+    rng = np.random.default_rng(2)
+    x = rng.random((300, 5))
+    df = spark.createDataFrame([(int(i % 3), float(a[0] > 0.5), Vectors.dense(a)) for i, a in enumerate(x)], ["part", "label", "features"])
+    got, real = [], tr._histograms
+    monkeypatch.setattr(tr, "_histograms", lambda *a, **k: (got.append(real(*a, **k)), got[-1])[1])
+    model = tr.fit_parts(df, "part", trees=2, depth=3)
+    assert all(isinstance(t, pa.Table) and t.num_rows <= 3 * 2 ** 2 and t.nbytes < 2000 for t in got)
+    assert (model.feature[:, 0, 0] == 0).all()
+
+
+def test_rows_of_a_glm_are_decoded_once(spark, monkeypatch):
+    """Every iteration reads dense blocks; numbers of a row fill one binary value of each block."""
+    from pyspark.ml.linalg import Vectors
+    from loam.plans import glm
+    seen, real = [], glm._pass
+    monkeypatch.setattr(glm, "_pass", lambda rows, *a: (seen.append(rows), real(rows, *a))[1])
+    df = spark.createDataFrame([(float(i % 3 == 0), Vectors.dense([float(i % 7)])) for i in range(50)], ["label", "features"])
+    fit = glm.fit_binomial(df.coalesce(1), ["x"])
+    assert fit.rows == 50 and len(seen) > 2
+    assert [f.dataType.typeName() for f in seen[0].schema] == ["binary", "binary"] and seen[0].count() == 1
