@@ -49,3 +49,15 @@ def test_rows_of_a_glm_are_decoded_once(spark, monkeypatch):
     fit = glm.fit_binomial(df.coalesce(1), ["x"])
     assert fit.rows == 50 and len(seen) > 2
     assert [f.dataType.typeName() for f in seen[0].schema] == ["binary", "binary"] and seen[0].count() == 1
+
+
+def test_counting_tasks_grow_with_the_input(spark, tmp_path, monkeypatch):
+    from loam.functions import text as tx
+    path = str(tmp_path / "docs")
+    spark.range(400).selectExpr("id", "repeat(cast(id * 7919 as string), 20) as text").write.parquet(path)
+    df = spark.read.parquet(path)
+    want = {tuple(r) for r in tx.word_counts(df, "id", "text").collect()}
+    monkeypatch.setattr(tx, "COUNT_BYTES", 200)
+    for counts in (tx.word_counts(df, "id", "text"), tx.ngram_term_counts(df, "id", "text")):
+        assert counts.rdd.getNumPartitions() > 20
+    assert {tuple(r) for r in tx.word_counts(df, "id", "text").collect()} == want
