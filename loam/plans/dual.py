@@ -10,7 +10,9 @@ the layout of the input does not change the result.  A round is one pass:
 
 * every block takes local coordinate steps over its own rows, in an order drawn
   from (seed, round, block), on a bound of the dual in which the other blocks
-  move as this one does, so that all changes may be added, not averaged;
+  move as this one does, so that all changes may be added, not averaged; where
+  rows weigh little against the penalty, runs of them step at once on the same
+  kind of bound;
 * the blocks' changes of ``v`` are summed and shared for the next round;
 * the primal and the dual value before the steps are summed in the same pass;
   fitting ends when the duality gap, which bounds the distance to the optimum,
@@ -39,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -56,6 +59,8 @@ BLOCK_VALUES = 1 << 22
 #: Local passes a round: one block alone gains nothing from an early end.
 PASSES, PASSES_ALONE = 8, 40
 SENT_BYTES = 64 << 20
+#: Rows step at once where at least ``GROUP_ROWS`` of them add at most ``GROUP_SHARE`` to a row's step bound.
+GROUP_ROWS, GROUP_SHARE = 64, 0.125
 SEED = 17
 
 BLOCK_SCHEMA = "block long, n int, y binary, uses binary, feats array<long>, ptr array<binary>, loc array<binary>, val array<binary>"
@@ -104,6 +109,28 @@ def _log_step(a, y, z, q):
     return y / (1.0 + math.exp(-t)) if t > -700 else 0.0
 
 
+def _log_steps(a, y, z, q):
+    """``_log_step`` of many rows at once."""
+    b, m = a * y, y * z
+    low, high = -m - q * (1.0 - b), -m + q * b
+    t = np.minimum(np.maximum(-m, low), high)
+    left = np.arange(len(t))
+    for _ in range(50):
+        k = t[left]
+        s = 1.0 / (1.0 + np.exp(-np.maximum(k, -700.0)))
+        h = k + m[left] + q[left] * (s - b[left])
+        high[left] = np.where(h > 0, k, high[left])
+        low[left] = np.where(h > 0, low[left], k)
+        new = k - h / (1.0 + q[left] * s * (1.0 - s))
+        new = np.where((low[left] < new) & (new < high[left]), new, 0.5 * (low[left] + high[left]))
+        moved = np.abs(new - k) > 1e-14 * np.maximum(1.0, np.abs(k))
+        t[left] = new
+        left = left[moved]
+        if not len(left):
+            break
+    return np.where(t > -700, y / (1.0 + np.exp(-np.maximum(t, -700.0))), 0.0)
+
+
 def _square_values(z, y):
     return 0.5 * (z - y) ** 2
 
@@ -116,7 +143,8 @@ def _square_step(a, y, z, q):
     return a + (y - z - a) / (1.0 + q)
 
 
-LOSSES = {"log": (_log_values, _log_dual, _log_step), "squared": (_square_values, _square_dual, _square_step)}
+LOSSES = {"log": (_log_values, _log_dual, (_log_step, _log_steps)),
+          "squared": (_square_values, _square_dual, (_square_step, _square_step))}
 
 
 def shrink(v: np.ndarray, by: float) -> np.ndarray:
@@ -133,6 +161,32 @@ def rows_of_vectors(df: DataFrame, label_col: str = "label", features_col: str =
                      F.array(idx.cast("array<long>")).alias("idx"), F.array(v["values"]).alias("val"))
 
 
+def _view_of(idx: pa.Array, val: pa.Array, k: int, intercept: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ptr, features, values) of view ``k``: a row's features in order, repeats
+    added up in the order of their mentions, then the intercept; no zeros."""
+    lists, n = pc.list_element(idx, k), len(idx)
+    size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    f = lists.flatten().to_numpy().astype(np.int64)
+    x, given = np.ones(len(f)), pc.is_valid(val).to_numpy(zero_copy_only=False).astype(bool)
+    if given.any():
+        values = pc.list_element(val.filter(pa.array(given)), k)
+        if not np.array_equal(pc.fill_null(pc.list_value_length(values), 0).to_numpy(), size[given]):
+            raise ValueError("a row's features and values differ in number")
+        x[np.repeat(given, size)] = values.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(n), size)
+    order = np.lexsort((f, row))
+    first = np.ones(len(f), bool)
+    first[1:] = (f[order][1:] != f[order][:-1]) | (row[order][1:] != row[order][:-1])
+    which = np.empty(len(f), np.int64)
+    which[order] = np.cumsum(first) - 1
+    row, f, x = row[order][first], f[order][first], np.bincount(which, weights=x, minlength=int(first.sum()))
+    if intercept:
+        at = np.cumsum(np.bincount(row, minlength=n))
+        row, f, x = np.insert(row, at, np.arange(n)), np.insert(f, at, INTERCEPT), np.insert(x, at, 1.0)
+    row, f, x = row[x != 0], f[x != 0], x[x != 0]
+    return np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]), f, x
+
+
 def blocks_of(rows: DataFrame, intercept: bool = True, block_values: int = BLOCK_VALUES) -> tuple[DataFrame, int, list[int]]:
     """Stored blocks of about ``block_values`` feature values, their number and
     the rows each flag holds for.  Rows with a null label, flags or features are left out;
@@ -150,29 +204,13 @@ def blocks_of(rows: DataFrame, intercept: bool = True, block_values: int = BLOCK
         h, y = t.column("h").to_numpy(), t.column("y").to_numpy()
         order = np.lexsort((y, h))
         y = y[order]
-        uses = np.array(t.column("uses").to_pylist(), dtype=np.uint8)[order]
-        idx, val = t.column("idx").combine_chunks(), t.column("val").combine_chunks()
-        views = len(idx[0])
-        lists = []
-        for k in range(views):
-            parts, nums = [], []
-            for i in order.tolist():
-                f = np.asarray(idx[i].as_py()[k] or (), np.int64)
-                x = val[i].as_py()
-                x = np.ones(len(f)) if x is None else np.asarray(x[k], np.float64)
-                f, which = np.unique(f, return_inverse=True)
-                x = np.bincount(which, weights=x, minlength=len(f))
-                if intercept:
-                    f, x = np.append(f, INTERCEPT), np.append(x, 1.0)
-                parts.append(f[x != 0])
-                nums.append(x[x != 0])
-            lists.append((parts, nums))
-        feats = np.unique(np.concatenate([p for parts, _ in lists for p in parts] or [np.zeros(0, np.int64)]))
-        ptr, loc, vals = [], [], []
-        for parts, nums in lists:
-            ptr.append(np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64).tobytes())
-            loc.append(np.searchsorted(feats, np.concatenate(parts)).astype(np.int32).tobytes())
-            vals.append(np.concatenate(nums).astype(np.float64).tobytes())
+        uses = t.column("uses").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.uint8).reshape(len(y), -1)[order]
+        idx, val = (t.column(c).combine_chunks().take(pa.array(order)) for c in ("idx", "val"))
+        views = [_view_of(idx, val, k, intercept) for k in range(len(idx[0]))]
+        feats = np.unique(np.concatenate([f for _, f, _ in views] or [np.zeros(0, np.int64)]))
+        ptr = [p.astype(np.int64).tobytes() for p, _, _ in views]
+        loc = [np.searchsorted(feats, f).astype(np.int32).tobytes() for _, f, _ in views]
+        vals = [x.astype(np.float64).tobytes() for _, _, x in views]
         return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int64()), "n": pa.array([len(y)], pa.int32()),
                          "y": pa.array([y.tobytes()], pa.binary()), "uses": pa.array([uses.tobytes()], pa.binary()),
                          "feats": pa.array([feats.tolist()], pa.list_(pa.int64())),
@@ -207,20 +245,46 @@ class Block:
         ptr, loc, val = self.views[s.view]
         use = np.flatnonzero(self.uses[:, s.use])
         squares = np.concatenate([[0.0], np.cumsum(val * val)])
-        q = ((squares[ptr[1:]] - squares[ptr[:-1]]) * blocks / (s.l2 * n)).tolist()
-        u, rate, y, cut, by = v.copy(), blocks / (s.l2 * n), self.y.tolist(), ptr.tolist(), s.l1 / s.l2
+        q = (squares[ptr[1:]] - squares[ptr[:-1]]) * blocks / (s.l2 * n)
+        u, rate, by = v.copy(), blocks / (s.l2 * n), s.l1 / s.l2
+        weight = float(q[use].mean()) if len(use) else 0.0
+        group = min(len(use), int(GROUP_SHARE / weight)) if weight > 0 else len(use)
+        one, many = step
+        if group >= GROUP_ROWS:
+            self._ascend_groups(a, u, use, group, q, rate, by, s.view, passes, rng, many)
+            return (u - v) / blocks
+        q, y, cut = q.tolist(), self.y.tolist(), ptr.tolist()
         for _ in range(passes):
             for i in rng.permutation(use).tolist():
                 at, x = loc[cut[i]:cut[i + 1]], val[cut[i]:cut[i + 1]]
                 here = u[at]
                 w = shrink(here, by) if by else here
-                new = step(a[i], y[i], float(w @ x), q[i])
+                new = one(a[i], y[i], float(w @ x), q[i])
                 d = new - a[i]
                 if d:
                     a[i] = new
                     u[at] = here + (rate * d) * x
         return (u - v) / blocks
 
+    def _ascend_groups(self, a, u, use, group, q, rate, by, view, passes, rng, step) -> None:
+        """Runs of ``group`` rows step at once: |sum d_i x_i|^2 <= group * sum d_i^2 |x_i|^2
+        for any rows, so with ``group`` times their ``q`` the sum of the steps still ascends."""
+        ptr, loc, val = self.views[view]
+        size = np.diff(ptr)
+        if len(use) < len(size):
+            mine = np.repeat(np.isin(np.arange(len(size)), use, assume_unique=True), size)
+            size, loc, val = size[use], loc[mine], val[mine]
+            ptr = np.concatenate([[0], np.cumsum(size)])
+        row = np.repeat(np.arange(len(use)), size)
+        for _ in range(passes):
+            for k in rng.permutation(-(-len(use) // group)).tolist():
+                lo, hi = k * group, min((k + 1) * group, len(use))
+                i, at, x, r = use[lo:hi], loc[ptr[lo]:ptr[hi]], val[ptr[lo]:ptr[hi]], row[ptr[lo]:ptr[hi]] - lo
+                w = shrink(u[at], by) if by else u[at]
+                new = step(a[i], self.y[i], np.bincount(r, weights=w * x, minlength=hi - lo), q[i] * (hi - lo))
+                np.add.at(u, at, rate * (new - a[i])[r] * x)
+                a[i] = new
+
 
 # -------------------------------------------------------------- fitting
 @dataclass
