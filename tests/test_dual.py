@@ -113,6 +113,29 @@ def test_rows_that_cannot_be_used(spark, planted):
         dual.ascend(df.withColumn("uses", F.array(F.lit(False))), [Setting(0.0, 0.1)])
 
 
+@pytest.mark.parametrize("wide", [True, False])
+def test_heavy_rows_reach_the_gap(spark, wide):
+    """Counts that weigh much against the penalty: Newton steps on either side of the matrix, settings in several tasks."""
+    rng = np.random.default_rng(8)
+    n, d = (60, 150) if wide else (300, 25)
+    x = rng.poisson(rng.gamma(0.3, 60, d), (n, d)).astype(float)
+    y = (rng.random(n) < 0.4).astype(float)
+    rows = [(float(b), [True, bool(i % 3)], [np.flatnonzero(a).tolist()], [a[a > 0].tolist()]) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "y double, uses array<boolean>, idx array<array<long>>, val array<array<double>>")
+    settings = [Setting(0.0, 1e-3), Setting(1e-3, 1e-3, use=1), Setting(1e-4, 1e-2)]
+    fit = dual.ascend(df, settings, tol=1e-5, max_rounds=3)
+    assert fit.reached == [True] * 3
+    w = np.zeros((3, d + 1))
+    for r in fit.weights.collect():
+        w[r.setting, d if r.feature == INTERCEPT else r.feature] = r.weight
+    last = {r.setting: r for r in fit.history.orderBy("round").collect()}
+    for i, s in enumerate(settings):
+        m = np.arange(n) % 3 > 0 if s.use else np.ones(n, bool)
+        z = np.c_[x, np.ones(n)][m] @ w[i] * (2 * y[m] - 1)
+        primal = np.logaddexp(0, -z).mean() + s.l2 / 2 * w[i] @ w[i] + s.l1 * np.abs(w[i]).sum()
+        assert abs(primal - last[i].primal) < 1e-9 and -1e-9 < last[i].gap <= 1e-5 * primal
+
+
 def test_stage_is_a_spark_model(spark, planted, tmp_path):
     x, ys = planted
     cols = [f"x{k}" for k in range(D)]
