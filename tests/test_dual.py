@@ -136,6 +136,20 @@ def test_heavy_rows_reach_the_gap(spark, wide):
         assert abs(primal - last[i].primal) < 1e-9 and -1e-9 < last[i].gap <= 1e-5 * primal
 
 
+def test_good_duals_stay():
+    """A block that is asked again after its gap is closed changes nothing."""
+    rng = np.random.default_rng(4)
+    n, d = 80, 30
+    x = rng.poisson(20, (n, d)).astype(float)
+    block = dual.Block({"block": 0, "n": n, "y": np.where(rng.random(n) < 0.5, 1.0, -1.0).tobytes(), "uses": np.ones(n, np.uint8).tobytes(),
+                        "feats": list(range(d)), "ptr": [(np.arange(n + 1) * d).tobytes()],
+                        "loc": [np.tile(np.arange(d, dtype=np.int32), n).tobytes()], "val": [x.tobytes()]})
+    a, s = np.zeros(n), Setting(1e-3, 1e-3)
+    v = block.ascend(a, np.zeros(d), s, n, 1, 8, rng, dual.LOSSES["log"], 1e-4)
+    was = a.copy()
+    assert v.any() and not block.ascend(a, v, s, n, 1, 8, rng, dual.LOSSES["log"], 1e-4).any() and np.array_equal(a, was)
+
+
 def test_stage_is_a_spark_model(spark, planted, tmp_path):
     x, ys = planted
     cols = [f"x{k}" for k in range(D)]
