@@ -136,6 +136,29 @@ def test_heavy_rows_reach_the_gap(spark, wide):
         assert abs(primal - last[i].primal) < 1e-9 and -1e-9 < last[i].gap <= 1e-5 * primal
 
 
+def test_heavy_rows_of_several_blocks(spark, monkeypatch):
+    """The rows of all blocks step together by Newton's method on a matrix summed in runs."""
+    monkeypatch.setattr(dual, "TOGETHER_ROWS", 8)
+    rng = np.random.default_rng(12)
+    n, d = 150, 40
+    x = rng.poisson(rng.gamma(0.3, 60, d), (n, d)).astype(float)
+    y = (rng.random(n) < 0.4).astype(float)
+    rows = [(float(b), [True, bool(i % 3)], [np.flatnonzero(a).tolist()], [a[a > 0].tolist()]) for i, (a, b) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, "y double, uses array<boolean>, idx array<array<long>>, val array<array<double>>")
+    settings = [Setting(0.0, 1e-3), Setting(1e-3, 1e-3, use=1)]
+    fit = dual.ascend(df, settings, tol=1e-4, max_rounds=3, block_values=1500)
+    assert fit.reached == [True] * 2
+    w = np.zeros((2, d + 1))
+    for r in fit.weights.collect():
+        w[r.setting, d if r.feature == INTERCEPT else r.feature] = r.weight
+    last = {r.setting: r for r in fit.history.orderBy("round").collect()}
+    for i, s in enumerate(settings):
+        m = np.arange(n) % 3 > 0 if s.use else np.ones(n, bool)
+        z = np.c_[x, np.ones(n)][m] @ w[i] * (2 * y[m] - 1)
+        primal = np.logaddexp(0, -z).mean() + s.l2 / 2 * w[i] @ w[i] + s.l1 * np.abs(w[i]).sum()
+        assert abs(primal - last[i].primal) < 1e-9 and -1e-9 < last[i].gap <= 1e-4 * primal
+
+
 def test_good_duals_stay():
     """A block that is asked again after its gap is closed changes nothing."""
     rng = np.random.default_rng(4)
