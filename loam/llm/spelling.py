@@ -156,6 +156,13 @@ def misspelt_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return parts.where(F.char_length("word") > 0).groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def sorted_on(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that sorts both: the planner knows stored rows by
+    their packed size, and exploded ones by the rows before, and would send tables
+    to the driver that are many times larger there."""
+    return df.hint("merge")
+
+
 def near_pairs(words: DataFrame, col: str = "word", hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """Rows (a, b): every unordered pair of near words once; ``a`` is the smaller
     (by length, then text).  Words are distinct, of 2 characters at least."""
@@ -174,21 +181,21 @@ def near_pairs(words: DataFrame, col: str = "word", hot_pairs: int = HOT_PAIRS)
     key = ["size", "place", "gram"]
     chunks, grams = stored(chunks, "chunks"), stored(grams, "grams")
     hot = stored(chunks.groupBy(*key).agg(F.count("*").alias("n")).join(
-        grams.groupBy(*key).agg(F.count("*").alias("m")), key).where(F.col("n") * F.col("m") > hot_pairs).select(*key), "hot")
+        sorted_on(grams.groupBy(*key).agg(F.count("*").alias("m"))), key).where(F.col("n") * F.col("m") > hot_pairs).select(*key), "hot")
     smaller = "(char_length(a) < char_length(b) or a < b) and levenshtein(a, b, 1) = 1"
-    usual = (chunks.join(hot, key, "left_anti").join(grams.join(hot, key, "left_anti"), key)
+    usual = (chunks.join(sorted_on(hot), key, "left_anti").join(sorted_on(grams.join(sorted_on(hot), key, "left_anti")), key)
                    .where(smaller).select("a", "b"))
     # words of hot keys, each once
-    left = chunks.join(hot, key, "left_semi").select("a").distinct()
-    right = grams.join(hot, key, "left_semi").select("b").distinct()
+    left = chunks.join(sorted_on(hot), key, "left_semi").select("a").distinct()
+    right = grams.join(sorted_on(hot), key, "left_semi").select("b").distinct()
 
     def less(c):
         return F.expr(f"explode(transform(sequence(1, char_length({c})), i -> "
                       f"named_struct('at', i, 'rest', concat(substring({c}, 1, i - 1), substring({c}, i + 1)))))").alias("d")
 
     replaced = (left.select("a", less("a")).select("a", "d.*")
-                    .join(right.select("b", less("b")).select("b", "d.*"), ["at", "rest"]).where("a < b"))
-    inserted = left.join(right.select("b", less("b")).select("b", F.col("d.rest").alias("a")).distinct(), "a")
+                    .join(sorted_on(right.select("b", less("b")).select("b", "d.*")), ["at", "rest"]).where("a < b"))
+    inserted = left.join(sorted_on(right.select("b", less("b")).select("b", F.col("d.rest").alias("a")).distinct()), "a")
     return usual.unionByName(replaced.select("a", "b")).unionByName(inserted.select("a", "b")).distinct()
 
 
@@ -199,9 +206,9 @@ def variants(counts: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
     pairs = stored(near_pairs(words), "near")
     both = pairs.select(F.col("a").alias("word"), F.col("b").alias("other")).unionByName(
         pairs.select(F.col("b").alias("word"), F.col("a").alias("other")))
-    best = (both.join(words.select(F.col("word").alias("other"), F.col("n").alias("m")), "other")
+    best = (both.join(sorted_on(words.select(F.col("word").alias("other"), F.col("n").alias("m"))), "other")
                 .groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("m")).alias("m"), "other")).alias("top")))
-    first = words.join(best, "word", "left").select(
+    first = words.join(sorted_on(best), "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
         F.when(-F.col("top.m") >= ratio * F.col("n"), F.struct(F.col("top.other").alias("form"), (-F.col("top.m")).alias("m"))).alias("f"))
     first = stored(first.select("word", F.col("f.form").alias("form"), "n", "n_near", F.col("f.m").alias("form_n")), "forms")
@@ -209,10 +216,10 @@ def variants(counts: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
     steps = first.where("form is not null").select("word", F.col("form").alias("root"))
     while True:
         on = steps.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        longer = stored(steps.join(on, "root", "left").select("word", F.coalesce("next", "root").alias("root"),
+        longer = stored(steps.join(sorted_on(on), "root", "left").select("word", F.coalesce("next", "root").alias("root"),
                                                               F.col("next").isNotNull().alias("moved")), "roots")
         steps = longer.select("word", "root")
         if longer.where("moved").isEmpty():
             break
-    return (first.join(steps, "word", "left")
+    return (first.join(sorted_on(steps), "word", "left")
                  .select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"))
