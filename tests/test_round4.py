@@ -19,5 +19,5 @@ def test_spelling_sends_no_table_to_the_driver(spark, monkeypatch):
     plans.append(out._jdf.queryExecution().executedPlan().toString())
     assert [p for p in plans if "Join" in p] and not [p for p in plans if "Broadcast" in p]
     got = {r.word: (r.form, r.root, r.n_near) for r in out.collect()}
-    assert got["leters"] == ("letters", "letters", 1) and got["planet"] == ("planets", "planets", 1)
+    assert got["leters"] == ("letters", "letters", 2) and got["planet"] == ("planets", "planets", 1)
     assert got["silence"] == (None, "silence", 0)
