@@ -15,7 +15,8 @@ the layout of the input does not change the result.  A round is one pass:
   kind of bound, and where they weigh much, all of a block's rows step at once by
   Newton's method on that bound, while a side of its matrix is small enough; where
   they weigh much and lie in several blocks, the rows of all blocks step together
-  by Newton's method on the dual itself (``_Together``);
+  by Newton's method on the dual itself (``_Together``), as rows of few features do
+  whatever they weigh;
 * the blocks' changes of ``v`` are summed and shared for the next round;
 * the primal and the dual value before the steps are summed in the same pass;
   fitting ends when the duality gap, which bounds the distance to the optimum,
@@ -39,6 +40,7 @@ and the last stored duals, with the same steps.
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -59,6 +61,8 @@ from loam.session import materialize
 #: The feature of value 1 in every row.
 INTERCEPT = -(1 << 63)
 BLOCK_VALUES = 1 << 22
+#: Rows on their way to a block are packed in tables of about so many bytes.
+BUNDLE_BYTES = 32 << 20
 #: Local passes a round: one block alone gains nothing from an early end.
 PASSES, PASSES_ALONE = 8, 40
 SENT_BYTES = 64 << 20
@@ -70,9 +74,11 @@ NEWTON_WEIGHT, NEWTON_SIDE, NEWTON_VALUES, NEWTON_STEPS = 1.0, 5120, 1 << 23, 20
 #: Rows of several blocks step together: features of the summed matrix at most, its rows in a sum, the values of a piece
 #: of a block, and passes for a system beyond that matrix.
 TOGETHER_SIDE, TOGETHER_ROWS, TOGETHER_VALUES, TOGETHER_PASSES = 5120, 64, 1 << 20, 10
+#: Rows of so few features step together however little they weigh: stored duals would be as large as the rows.
+TOGETHER_FEW = 4
 SEED = 17
 
-BLOCK_SCHEMA = "block long, n int, y binary, uses binary, feats array<long>, ptr array<binary>, loc array<binary>, val array<binary>"
+BLOCK_SCHEMA = "block long, n int, y binary, uses binary, feats array<long>, ptr array<binary>, loc array<binary>, val array<binary>, packed boolean"
 
 
 @dataclass(frozen=True)
@@ -162,8 +168,10 @@ def _square_state(t, y):
     return y - t, np.ones(len(t))
 
 
-LOSSES = {"log": (_log_values, _log_dual, (_log_step, _log_steps, _log_state)),
-          "squared": (_square_values, _square_dual, (_square_step, _square_step, _square_state))}
+LOSSES = {"log": (_log_values, _log_dual, (_log_step, _log_steps)),
+          "squared": (_square_values, _square_dual, (_square_step, _square_step))}
+#: The duals at given margins, by the loss's dual.
+STATES = {_log_dual: _log_state, _square_dual: _square_state}
 
 
 def shrink(v: np.ndarray, by: float) -> np.ndarray:
@@ -206,6 +214,16 @@ def _view_of(idx: pa.Array, val: pa.Array, k: int, intercept: bool) -> tuple[np.
     return np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))]), f, x
 
 
+def _squeezed(x: np.ndarray) -> bytes:
+    """An array of a block, compressed: Spark holds several copies of what it reads."""
+    data = np.ascontiguousarray(x).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unsqueezed(data: bytes, kind=np.float64) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True), kind)
+
+
 def blocks_of(rows: DataFrame, intercept: bool = True, block_values: int = BLOCK_VALUES) -> tuple[DataFrame, int, list[int]]:
     """Stored blocks of about ``block_values`` feature values, their number and
     the rows each flag holds for.  Rows with a null label, flags or features are left out;
@@ -222,7 +240,39 @@ def blocks_of(rows: DataFrame, intercept: bool = True, block_values: int = BLOCK
     count = max(1, -(-int(stats["values"]) // block_values))
     keyed = rows.withColumn("h", F.xxhash64("y", "uses", "idx", "val")).withColumn("block", F.pmod("h", F.lit(count)))
 
+    columns = keyed.select("h", "y", "uses", "idx", "val").columns
+
+    def bundle(batches):
+        """The rows of several batches, those of a block as one packed table."""
+        held, size = [], 0
+
+        def packed():
+            t = pa.Table.from_batches(held)
+            block = t.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            t, block = t.take(pa.array(order)).combine_chunks(), block[order]
+            cuts = np.concatenate([[0], np.flatnonzero(block[1:] != block[:-1]) + 1, [len(block)]]).tolist()
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                out = pa.BufferOutputStream()
+                part = t.slice(lo, hi - lo).select(columns)
+                with pa.ipc.new_stream(out, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
+                    w.write_table(part)
+                yield pa.RecordBatch.from_arrays([pa.array([int(block[lo])], pa.int64()), pa.array([out.getvalue().to_pybytes()], pa.binary())],
+                                                 names=["block", "rows"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(b)
+                size += b.nbytes
+            if size >= BUNDLE_BYTES:
+                yield from packed()
+                held, size = [], 0
+        if held:
+            yield from packed()
+
     def pack(t: pa.Table) -> pa.Table:
+        number = t.column("block")[0].as_py()
+        t = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in t.column("rows").to_pylist()])
         h, y = t.column("h").to_numpy(), t.column("y").to_numpy()
         order = np.lexsort((y, h))
         y = y[order]
@@ -230,17 +280,18 @@ def blocks_of(rows: DataFrame, intercept: bool = True, block_values: int = BLOCK
         idx, val = (t.column(c).combine_chunks().take(pa.array(order)) for c in ("idx", "val"))
         views = [_view_of(idx, val, k, intercept) for k in range(len(idx[0]))]
         feats = np.unique(np.concatenate([f for _, f, _ in views] or [np.zeros(0, np.int64)]))
-        ptr = [p.astype(np.int64).tobytes() for p, _, _ in views]
-        loc = [np.searchsorted(feats, f).astype(np.int32).tobytes() for _, f, _ in views]
-        vals = [x.astype(np.float64).tobytes() for _, _, x in views]
-        return pa.table({"block": pa.array([t.column("block")[0].as_py()], pa.int64()), "n": pa.array([len(y)], pa.int32()),
-                         "y": pa.array([y.tobytes()], pa.binary()), "uses": pa.array([uses.tobytes()], pa.binary()),
+        ptr = [_squeezed(p.astype(np.int64)) for p, _, _ in views]
+        loc = [_squeezed(np.searchsorted(feats, f).astype(np.int32)) for _, f, _ in views]
+        vals = [_squeezed(x.astype(np.float64)) for _, _, x in views]
+        return pa.table({"block": pa.array([number], pa.int64()), "n": pa.array([len(y)], pa.int32()),
+                         "y": pa.array([_squeezed(y)], pa.binary()), "uses": pa.array([_squeezed(uses)], pa.binary()),
                          "feats": pa.array([feats.tolist()], pa.list_(pa.int64())),
                          "ptr": pa.array([ptr], pa.list_(pa.binary())), "loc": pa.array([loc], pa.list_(pa.binary())),
-                         "val": pa.array([vals], pa.list_(pa.binary()))})
+                         "val": pa.array([vals], pa.list_(pa.binary())), "packed": pa.array([True])})
 
-    packed = keyed.select("block", "h", "y", "uses", "idx", "val").groupBy("block").applyInArrow(pack, BLOCK_SCHEMA)
-    return materialize(packed, "dual-blocks"), count, [int(x) for x in used]
+    bundles = keyed.select("block", *columns).mapInArrow(bundle, "block long, rows binary")
+    # blocks are larger than their bundles: few share a file, of which a task reads all at once
+    return materialize(bundles.repartition(4 * count, "block").groupBy("block").applyInArrow(pack, BLOCK_SCHEMA), "dual-blocks"), count, [int(x) for x in used]
 
 
 class Block:
@@ -248,10 +299,11 @@ class Block:
 
     def __init__(self, row: dict):
         self.number, n = row["block"], row["n"]
-        self.y = np.frombuffer(row["y"])
-        self.uses = np.frombuffer(row["uses"], np.uint8).reshape(n, -1).astype(bool)
+        read = _unsqueezed if row.get("packed") else np.frombuffer
+        self.y = read(row["y"])
+        self.uses = read(row["uses"], np.uint8).reshape(n, -1).astype(bool)
         self.feats = np.asarray(row["feats"], np.int64)
-        self.views = [(np.frombuffer(p, np.int64), np.frombuffer(c, np.int32), np.frombuffer(v))
+        self.views = [(read(p, np.int64), read(c, np.int32), read(v))
                       for p, c, v in zip(row["ptr"], row["loc"], row["val"])]
 
     def margins(self, w: np.ndarray, view: int) -> np.ndarray:
@@ -262,9 +314,10 @@ class Block:
             out[full] = np.add.reduceat(val * w[loc], ptr[:-1][full])
         return out
 
-    def ascend(self, a: np.ndarray, v: np.ndarray, s: Setting, n: int, blocks: int, passes: int, rng, loss, tol: float) -> np.ndarray:
-        """Local steps on the duals ``a`` (changed in place); the change of ``v``."""
-        values, conjugate, step = loss
+    def ascend(self, a: np.ndarray, v: np.ndarray, s: Setting, n: int, blocks: int, passes: int, rng, loss, tol: float = 0.0) -> np.ndarray:
+        """Local steps on the duals ``a`` (changed in place); the change of ``v``.  Of a ``loss``
+        with its two kinds of steps alone, no Newton steps are taken."""
+        one, many = loss[-1] if len(loss) == 3 else loss
         ptr, loc, val = self.views[s.view]
         use = np.flatnonzero(self.uses[:, s.use])
         squares = np.concatenate([[0.0], np.cumsum(val * val)])
@@ -272,9 +325,8 @@ class Block:
         u, rate, by = v.copy(), blocks / (s.l2 * n), s.l1 / s.l2
         weight = float(q[use].mean()) if len(use) else 0.0
         group = min(len(use), int(GROUP_SHARE / weight)) if weight > 0 else len(use)
-        one, many, state = step
-        if weight >= NEWTON_WEIGHT and min(len(use), len(np.unique(loc))) <= NEWTON_SIDE:
-            return self._ascend_newton(a, v, use, 1.0 / rate, by, s.view, (values, conjugate, state), tol) / blocks
+        if len(loss) == 3 and weight >= NEWTON_WEIGHT and min(len(use), len(np.unique(loc))) <= NEWTON_SIDE:
+            return self._ascend_newton(a, v, use, 1.0 / rate, by, s.view, loss, tol) / blocks
         if group >= GROUP_ROWS:
             self._ascend_groups(a, u, use, group, q, rate, by, s.view, passes, rng, many)
             return (u - v) / blocks
@@ -296,7 +348,8 @@ class Block:
         sum conj(a) - c/2 |shrink(v + X'(a - was)/c, by)|^2, along weights ``p`` whose
         margins give the duals, until its gap is a part of ``tol``.  Steps lower the primal
         of the bound; from the first that cannot, they raise the bound itself, as short ones always do."""
-        values, conjugate, state = loss
+        values, conjugate, _ = loss
+        state = STATES[conjugate]
         ptr, at, val = self.views[view]
         size = np.diff(ptr)
         mine = np.repeat(np.isin(np.arange(len(size)), use, assume_unique=True), size)
@@ -460,16 +513,21 @@ def ascend(rows: DataFrame, settings: Sequence[Setting], loss: str = "log", tol:
         sent = n_feats * len(settings) * 8 <= sent_bytes
         shared = _Sent(blocks, len(settings)) if sent else _Joined(blocks, len(settings))
         active, duals, history = list(range(len(settings))), None, []
-        heavy = {i for i, q in enumerate(_row_weights(blocks, settings, used)) if q >= NEWTON_WEIGHT} if sent and count > 1 else set()
+        heavy = set()
+        if sent and count > 1:
+            heavy = {i for i, q in enumerate(_row_weights(blocks, settings, used) if n_feats > TOGETHER_FEW else [NEWTON_WEIGHT] * len(settings))
+                     if q >= NEWTON_WEIGHT}
         together = _Together(blocks, count, block_values, shared.feats) if heavy else None
         known = {}      # weights whose margins give the duals
         reached = [False] * len(settings)
         done = 0
         for done in range(1, max_rounds + 1):
             now, r = list(active), done
-            inputs = held if duals is None else held.join(duals, ["block", "part"], "left")
+            # blocks that keep no duals are read as they are stored: none moves, none is held
+            keeps = bool(set(now) - heavy)
+            inputs = (held if duals is None else held.join(duals, ["block", "part"], "left")) if keeps else blocks.withColumn("part", F.lit(0))
             out = materialize(shared.ready(inputs, settings).mapInArrow(
-                _round(settings, now, duals is not None, used, count, parts, passes, r, LOSSES[loss], tol, shared.lookup(), set(heavy),
+                _round(settings, now, duals is not None, used, count, parts if keeps else 1, passes, r, LOSSES[loss], tol, shared.lookup(), set(heavy),
                        dict(known), shared.feats if known else None),
                 "block long, part int, of array<int>, feats array<long>, duals binary, loss array<double>, dual array<double>, change array<binary>"), "dual-round")
             sums = out.agg(*[F.sum(F.col(c)[k]).alias(f"{c}{k}") for c in ("loss", "dual") for k in range(len(now))]).first()
@@ -495,7 +553,7 @@ def ascend(rows: DataFrame, settings: Sequence[Setting], loss: str = "log", tol:
                     heavy.discard(i)
                 else:
                     known[i], shared.v[i] = found
-            duals = out.select("block", "part", F.col("duals").alias("was"), "of")
+            duals = out.select("block", "part", F.col("duals").alias("was"), "of") if keeps else None
         return Fit(shared.weights(spark, settings),
                    spark.createDataFrame(history, "setting int, round int, primal double, dual double, gap double"), reached, done)
     finally:
@@ -505,7 +563,8 @@ def ascend(rows: DataFrame, settings: Sequence[Setting], loss: str = "log", tol:
 
 
 def _round(settings, now, started, used, blocks, parts, passes, r, loss, tol, lookup, heavy, known, feats):
-    values, conjugate, (_, _, state) = loss
+    values, conjugate, _ = loss
+    state = STATES[conjugate]
 
     def run(batches):
         for b in batches:
@@ -605,15 +664,24 @@ class _Together:
         cuts = max(-(-block_values // TOGETHER_VALUES), -(-blocks.sparkSession.sparkContext.defaultParallelism // count))
         self.feats, self.tasks = len(feats), count * cuts
 
-        def slices(row):
-            block = Block(row)
-            to = np.searchsorted(feats, block.feats).astype(np.int32)
-            ends = np.linspace(0, len(block.y), cuts + 1).astype(int)
-            for j, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
-                views = [(p[lo:hi + 1] - p[lo], to[c[p[lo]:p[hi]]], x[p[lo]:p[hi]]) for p, c, x in block.views]
-                yield block.number * cuts + j, (block.y[lo:hi], block.uses[lo:hi], views)
-
-        self.pieces = blocks.rdd.flatMap(slices).partitionBy(self.tasks, int).values().persist(StorageLevel.MEMORY_AND_DISK)
+        def slices(batches):
+            for b in batches:
+                for row in b.to_pylist():
+                    block = Block(row)
+                    to = np.searchsorted(feats, block.feats).astype(np.int32)
+                    ends = np.linspace(0, len(block.y), cuts + 1).astype(int)
+                    for j, (lo, hi) in enumerate(zip(ends[:-1], ends[1:])):
+                        views = [(p[lo:hi + 1] - p[lo], to[c[p[lo]:p[hi]]], x[p[lo]:p[hi]]) for p, c, x in block.views]
+                        piece = pickle.dumps((block.y[lo:hi], block.uses[lo:hi], views), 5)
+                        yield pa.RecordBatch.from_arrays([pa.array([block.number * cuts + j], pa.int64()), pa.array([piece], pa.binary())],
+                                                         names=["number", "piece"])
+
+        # cut before rows go to Python one by one: a whole block is large there
+        pieces = blocks.mapInArrow(slices, "number long, piece binary").rdd.map(lambda r: (r.number, pickle.loads(r.piece)))
+        # blocks that lie in enough tasks stay where they are read
+        if pieces.getNumPartitions() < blocks.sparkSession.sparkContext.defaultParallelism:
+            pieces = pieces.partitionBy(self.tasks, int)
+        self.pieces = pieces.values().persist(StorageLevel.MEMORY_AND_DISK)
 
     def _summed(self, s: Setting, size, add) -> np.ndarray:
         """An array of ``size`` that ``add`` adds a piece's rows to, summed over all."""
@@ -708,7 +776,8 @@ class _Together:
     def climb(self, p, v: np.ndarray, s: Setting, n: int, loss, tol: float):
         """(p, v): weights whose margins give the duals, as in ``Block._ascend_newton``, and the duals' ``v``;
         None where the dual does not rise."""
-        values, conjugate, (_, _, state) = loss
+        values, conjugate, _ = loss
+        state = STATES[conjugate]
         c, by, feats = s.l2 * n, s.l1 / s.l2, self.feats
         started = p is not None
         p = p if started else shrink(v, by)
