@@ -67,4 +67,4 @@ def test_rows_of_few_features_keep_no_duals(spark, monkeypatch):
     assert np.allclose([w[dual.INTERCEPT], w[1]], np.linalg.solve(m.T @ m / n + 0.1 * np.eye(2), m.T @ y / n), atol=1e-8)
     assert fit.reached == [True] and fit.rounds == 2 and written["dual-blocks"][0][1].count() > 3
     for plan, out in written["dual-round"]:
-        assert "Exchange" not in plan and "InMemory" not in plan and all(not r.duals for r in out.select("duals").collect())
+        assert "Exchange" not in plan and "InMemoryTableScan" not in plan and all(not r.duals for r in out.select("duals").collect())
